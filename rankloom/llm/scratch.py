@@ -1,0 +1,67 @@
+"""Intermediate tables in the folder that every executor shares."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_own: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; only where it is unset, a temporary folder of this process (tests, one machine)."""
+    given = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if given:
+        return given.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = "file://" + tempfile.mkdtemp(prefix="rankloom-")
+    return _own[app]
+
+
+@contextmanager
+def _freeing(spark: SparkSession):
+    """Shuffle files of a job that ends in a table are of no further use; let Spark remove them with it."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+class Scratch:
+    """Writes tables, reads them back (which cuts lineage), and drops them when the caller says so."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self._n = 0
+
+    def table(self, df: DataFrame, name: str = "t") -> DataFrame:
+        self._n += 1
+        path = f"{self.root}/{self._n}-{name}"
+        with _freeing(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._rankloom_path = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            self._delete(t._rankloom_path)
+
+    def drop_all(self) -> None:
+        self._delete(self.root)
+
+    def _delete(self, path: str) -> None:
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
