@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import chat_formatting, extendible_sharding, license_scan, quality_rules
+from . import chat_formatting, decontamination, extendible_sharding, license_scan, packing, quality_classifier, quality_rules, secret_scan
 
 
 def queries() -> dict:
     return {
         "op1_license_scan": license_scan.op1_license_scan,
+        "op3_packing": packing.op3_packing,
+        "op4_quality_classifier": quality_classifier.op4_quality_classifier,
         "op5_extendible_sharding": extendible_sharding.op5_extendible_sharding,
+        "op6_decontamination": decontamination.op6_decontamination,
+        "op7_secret_scan": secret_scan.op7_secret_scan,
         "op9_quality_rules": quality_rules.op9_quality_rules,
         "op10_chat_formatting": chat_formatting.op10_chat_formatting,
     }
@@ -17,6 +21,8 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": license_scan.OP1_SQL,
+        "op3_packing": packing.op3_packing,
+        "op4_quality_classifier": quality_classifier.op4_quality_classifier,
         "op5_extendible_sharding": extendible_sharding.OP5_SQL,
         "op10_chat_formatting": chat_formatting.OP10_SQL,
     }
