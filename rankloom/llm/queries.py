@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat_formatting, decontamination, extendible_sharding, license_scan, packing, quality_classifier, quality_rules, secret_scan
+from . import chat_formatting, decontamination, extendible_sharding, license_scan, packing, quality_classifier, quality_rules, secret_scan, substring_dedup
 
 
 def queries() -> dict:
     return {
         "op1_license_scan": license_scan.op1_license_scan,
+        "op2_suffix_dedup": substring_dedup.op2_suffix_dedup,
         "op3_packing": packing.op3_packing,
         "op4_quality_classifier": quality_classifier.op4_quality_classifier,
         "op5_extendible_sharding": extendible_sharding.op5_extendible_sharding,
@@ -21,6 +22,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": license_scan.OP1_SQL,
+        "op2_suffix_dedup": substring_dedup.op2_suffix_dedup,
         "op3_packing": packing.op3_packing,
         "op4_quality_classifier": quality_classifier.op4_quality_classifier,
         "op5_extendible_sharding": extendible_sharding.OP5_SQL,
