@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_formatting, decontamination, extendible_sharding, license_scan, packing, quality_classifier, quality_rules, secret_scan, substring_dedup
+from . import chat_formatting, decontamination, extendible_sharding, license_scan, ngram_join, packing, quality_classifier, quality_rules, secret_scan, substring_dedup
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op5_extendible_sharding": extendible_sharding.op5_extendible_sharding,
         "op6_decontamination": decontamination.op6_decontamination,
         "op7_secret_scan": secret_scan.op7_secret_scan,
+        "op8_ngram_join": ngram_join.op8_ngram_join,
         "op9_quality_rules": quality_rules.op9_quality_rules,
         "op10_chat_formatting": chat_formatting.op10_chat_formatting,
     }
