@@ -221,7 +221,12 @@ def _batch_features(column: pa.Array) -> np.ndarray:
 
 def train(feature_table: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, **settings) -> Model:
     known = pick(labels, "doc_id", "quality").filter("quality is not null").filter(~held_out(F.col("doc_id")))
-    rows = known.join(feature_table, "doc_id").select("doc_id", "quality", "x").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_rows).toPandas()
+    rows = known.join(feature_table, "doc_id").select("doc_id", "quality", "x", F.xxhash64("doc_id").alias("h"))
+    # Hashes up to a bound that leaves a little more than max_rows, so that tasks don't each send that many.
+    n = known.count()
+    if n > 2 * max_rows:
+        rows = rows.filter(F.col("h") <= int(-(2**63) + 2**64 * (1.2 * max_rows / n)))
+    rows = rows.orderBy("h", "doc_id", "quality").limit(max_rows).toPandas()
     x = np.array(rows["x"].tolist(), np.float32).reshape(len(rows), len(FEATURES))
     return fit(x, rows["quality"].to_numpy(np.float64), **settings)
 
