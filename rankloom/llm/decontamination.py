@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import pick
-from .shipping import map_arrow
+from ..shipping import map_arrow
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20

@@ -32,7 +32,7 @@ from . import bytes_ops
 from .columns import pick
 from .components import components
 from .scratch import Scratch
-from .shipping import map_arrow
+from ..shipping import map_arrow
 
 WORDS, PERCENT = 5, 80
 BUCKETS = 1 << 16

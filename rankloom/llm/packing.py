@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .columns import pick
 from .scratch import Scratch
-from .shipping import map_arrow, ship
+from ..shipping import map_arrow, ship
 
 LENGTH, END_ID = 2048, 1
 #: A source is served once its credit reaches so many tokens (or its document's rest), which keeps pieces long.

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from . import bytes_ops
 from .columns import pick
 from .scratch import Scratch
-from .shipping import map_arrow
+from ..shipping import map_arrow
 
 FEATURES = (
     "log_words", "word_length", "upper", "symbols", "bangs", "bars", "digits", "stops", "lines", "high_bytes",

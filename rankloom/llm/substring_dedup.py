@@ -39,7 +39,7 @@ from . import bytes_ops
 from .columns import pick
 from .run_length_index import RunLengthIndex
 from .scratch import Scratch
-from .shipping import map_arrow
+from ..shipping import map_arrow
 
 DEPTH, GRAM = 100, 16
 SPAN = DEPTH - GRAM + 1  # grams in a window
