@@ -27,19 +27,30 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
         key <<= bits
         if j < n:
             key[: n - j] |= rank[j:]
+    order = np.argsort(key)
+    # A suffix's rank is the first slot of the suffixes that it is not yet told from; only these are sorted on.
+    new = np.ones(n, bool)
+    new[1:] = key[order][1:] != key[order][:-1]
+    slots = np.arange(n)
     while True:
-        order = np.argsort(key, kind="quicksort")
-        new = np.empty(n, bool)
-        new[0] = False
-        sorted_key = key[order]
-        new[1:] = sorted_key[1:] != sorted_key[:-1]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new) + 1
-        if rank[order[-1]] == n:
+        first = np.maximum.accumulate(np.where(new, slots, 0))
+        if len(slots) == n:
+            rank = np.empty(n, np.int64)
+        rank[order[slots]] = first
+        tied = ~new
+        tied[:-1] |= ~new[1:]
+        slots = slots[tied]
+        if not len(slots):
             return order
-        key = rank << np.int64(31)
-        if width < n:
-            key[: n - width] |= rank[width:]
+        at = order[slots]
+        key = rank[at] << np.int64(31)
+        inside = at + width < n
+        key[inside] |= rank[at[inside] + width] + 1
+        by = np.argsort(key)
+        order[slots] = at[by]
+        key = key[by]
+        new = np.ones(len(slots), bool)
+        new[1:] = key[1:] != key[:-1]
         width *= 2
 
 

@@ -3,19 +3,20 @@
 An index of the whole corpus would be one object that grows with it, so the corpus is first cut into pieces that can
 be indexed apart and still lose no repeat:
 
-1. In every window of 100 bytes the 16-byte substring of least hash is its anchor (the leftmost of equals). Equal
+1. In every window of 100 bytes the 32-byte substring of least hash is its anchor (the leftmost of equals). Equal
    windows have equal anchors at the same place, and neighbouring windows mostly share theirs: the windows of one
-   anchor make a piece of 100 to 184 bytes. Anchors are counted over all documents; a window whose anchor occurs once
+   anchor make a piece of 100 to 168 bytes. Anchors are counted over all documents; a window whose anchor occurs once
    occurs once.
 2. Of pieces whose anchor repeats, equal ones are taken together and keep their first place (doc_id, start). An
    anchor with one distinct piece needs no index: its first place holds the first copy of each of its windows.
-3. The distinct pieces of an anchor go to one block, many anchors to a block. A block gets a run-length index
-   (run_length_index); the pieces are streamed over it, matching statistics of 100 bytes or more give the interval of
-   rows of each window, and the least place in an interval is that window's first copy.
-4. Anchors with very many distinct pieces (a passage that many documents share, each in its own context) are split:
-   windows are told apart by how far they reach to the left of the anchor, and a group is keyed by the bytes that all
-   its windows share. Halving that range lengthens those bytes; parts of pieces that are equal fall together, until
-   groups are small. So no task gets more than a bounded group, and nothing is left out.
+3. Windows of an anchor are told apart by how far they reach to its left. That range is halved, and pieces fall into
+   groups by the bytes that all windows of a half share; a part that is alone in its group repeats nothing. Equal
+   parts are taken together. Groups that still hold very many distinct parts (a passage that many documents share,
+   each in its own context) are halved again, which lengthens the shared bytes, until none is large. So no task gets
+   more than a bounded group, and nothing is left out.
+4. The parts of a group go to one block, many groups to a block. A block gets a run-length index (run_length_index);
+   the parts are streamed over it, matching statistics of 100 bytes or more give the interval of rows of each window,
+   and the least place in an interval is that window's first copy.
 
 What is a window's first copy stays; all other windows with repeating anchors are removed, bytes once each.
 
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +43,7 @@ from .run_length_index import RunLengthIndex
 from .scratch import Scratch
 from ..shipping import map_arrow
 
-DEPTH, GRAM = 100, 16
+DEPTH, GRAM = 100, 32
 SPAN = DEPTH - GRAM + 1  # grams in a window
 #: Distinct pieces of a group that are indexed together, and bytes of a block.
 GROUP_ROWS, BLOCK_BYTES = 1024, 1 << 20
@@ -111,43 +113,49 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of wanted pieces of each document."""
     for batch in batches:
-        hs, docs, packs, counts, texts = [], [], [], [], []
-        th = batch.column("th").to_pylist()
-        raw = batch.column("text").cast(pa.binary())
-        for i, wanted in enumerate(batch.column("wanted").to_pylist()):
-            text = memoryview(raw[i].as_buffer()) if raw[i].is_valid else memoryview(b"")
-            for w in wanted or ():
-                p = w["packed"]
-                if p >> 46 == th[i]:
-                    start, more = p >> 14 & 0xFFFFFFFF, p >> 7 & 127
-                    hs.append(w["h"])
-                    docs.append(w["doc"])
-                    packs.append(p)
-                    counts.append(w["pieces"])
-                    texts.append(bytes(text[start : start + more + DEPTH]))
-        yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array(docs, pa.int64()), pa.array(packs, pa.int64()), pa.array(counts, pa.int64()), pa.array([0] * len(hs), pa.int32()), pa.array(texts, pa.binary())], names=["g", "doc", "packed", "pieces", "at", "piece"])
-
-
-def _halves(lo: int, hi: int):
-    """Splits every part by how far windows reach left of the anchor: [lo, mid] and [mid + 1, hi]."""
-    mid = (lo + hi) // 2
+        th = batch.column("th").to_numpy()
+        raw, wanted = batch.column("text").cast(pa.binary()), batch.column("wanted")
+        offsets = wanted.offsets.to_numpy()
+        flat = wanted.values
+        h, packed = flat.field("h").to_numpy(), flat.field("packed").to_numpy()
+        row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+        mine = np.flatnonzero(packed[offsets[0] : offsets[-1]] >> 46 == th[row])
+        row, h, packed = row[mine], h[offsets[0] :][mine], packed[offsets[0] :][mine]
+        start, more = packed >> 14 & 0xFFFFFFFF, packed >> 7 & 127
+        held, texts = -1, []
+        for i, a, b in zip(row.tolist(), start.tolist(), (start + more + DEPTH).tolist()):
+            if i != held:
+                held, text = i, raw[i].as_py() or b""
+            texts.append(text[a:b])
+        doc = batch.column("doc").to_numpy()[row]
+        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(doc), pa.array(packed), pa.array(np.zeros(len(h), np.int32)), pa.array(texts, pa.binary())], names=["g", "doc", "packed", "at", "piece"])
+
+
+def _halves(size: int):
+    """Splits every part by how far windows reach left of the anchor: the lower half of its range, and the rest."""
+    half = (size + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for g, doc, packed, at, piece, low in zip(*(batch.column(c).to_pylist() for c in ("g", "doc", "packed", "at", "piece", "low"))):
-                anchor = (packed & 127) - at  # in this part's bytes
-                for a, b in ((lo, mid), (mid + 1, hi)):
-                    a, b = a + low, min(b + low, SPAN - 1)
-                    first, last = max(0, anchor - b), min(anchor - a, len(piece) - DEPTH)
-                    if a > b or first > last:
-                        continue
-                    key = hashlib.blake2b(piece[anchor - a : anchor + DEPTH - b], digest_size=8, salt=a.to_bytes(2, "little")).digest()
-                    part = piece[first : last + DEPTH]
-                    rows.append((g ^ int.from_bytes(key, "little", signed=True), int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True), doc, packed, at + first, part, a))
-            cols = list(zip(*rows)) if rows else [[]] * 7
-            kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["g", "ph", "doc", "packed", "at", "piece", "low"])
+            g, doc, packed, at, low = (batch.column(c).to_numpy() for c in ("g", "doc", "packed", "at", "low"))
+            for row, data, offsets in bytes_ops.slices(batch.column("piece")):
+                n = len(offsets) - 1
+                rows = np.arange(row, row + n)
+                hashed = bytes_ops.RangeHash(data)
+                anchor = offsets[:-1] + (packed[rows] & 127) - at[rows]
+                for lo, hi in ((0, half - 1), (half, size - 1)):
+                    a, b = low[rows] + lo, np.minimum(low[rows] + hi, SPAN - 1)
+                    first, last = np.maximum(offsets[:-1], anchor - b), np.minimum(anchor - a, offsets[1:] - DEPTH)
+                    ok = np.flatnonzero((a <= b) & (first <= last))
+                    f, e, r = first[ok], last[ok] + DEPTH, rows[ok]
+                    key = hashed((anchor - a)[ok], (anchor + DEPTH - b)[ok]) + a[ok].astype(np.uint64)
+                    group = bytes_ops.mix(g[r].view(np.uint64) ^ bytes_ops.mix(key))
+                    sizes = e - f
+                    cuts = np.r_[0, np.cumsum(sizes)]
+                    parts = data[np.arange(cuts[-1]) + np.repeat(f - cuts[:-1], sizes)]
+                    piece = pa.Array.from_buffers(pa.binary(), len(ok), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(parts)])
+                    columns = [_signed(group), _signed(hashed(f, e)), doc[r], packed[r], (at[r] + f - offsets[:-1][ok]).astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), piece, pa.array(a[ok].astype(np.int32))], names=["g", "ph", "doc", "packed", "at", "piece", "low"])
 
     return run
 
@@ -194,7 +202,7 @@ def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             g = table.column("g").to_numpy()
             # The last group may go on in the next batch.
             starts = np.r_[0, np.flatnonzero(g[1:] != g[:-1]) + 1, len(g)]
-            lengths = np.cumsum([0, *(len(x) for x in table.column("piece").to_pylist())])
+            lengths = np.r_[0, np.cumsum(pc.binary_length(table.column("piece")).to_numpy())]
             done = 0
             for k in range(1, len(starts) - 1):
                 if lengths[starts[k]] - lengths[done] >= BLOCK_BYTES or k == len(starts) - 2:
@@ -223,24 +231,22 @@ def _first_windows(scratch: Scratch, docs: DataFrame, places: DataFrame) -> Data
     sizes = distinct.groupBy("h").agg(F.count("*").alias("pieces"))
     distinct = scratch.table(distinct.join(sizes, "h"), "sized")
     single = distinct.filter("pieces = 1").select("doc", "packed", F.lit(0).alias("a"), F.expr("int(shiftright(packed, 7) & 127)").alias("b"))
-    wanted = distinct.filter("pieces > 1").groupBy("doc").agg(F.collect_list(F.struct("h", "doc", "packed", "pieces")).alias("wanted"))
-    near = docs.join(wanted, "doc").select("th", "text", "wanted")
-    rows = scratch.table(map_arrow(near, _fetch, "g bigint, doc bigint, packed bigint, pieces bigint, at int, piece binary").dropDuplicates(["g", "doc", "packed"]), "pieces")
-    out = [single, scratch.table(_blocks(rows.filter(F.col("pieces") <= GROUP_ROWS)), "first")]
-    hot = rows.filter(F.col("pieces") > GROUP_ROWS).withColumn("low", F.lit(0))
-    size = 128
-    while size > 1 and not hot.isEmpty():
-        cut = map_arrow(hot.select("g", "doc", "packed", "at", "piece", "low"), _halves(0, size - 1), "g bigint, ph bigint, doc bigint, packed bigint, at int, piece binary, low int")
-        # By true place, as offsets in pieces differ: hash, then start and offset.
-        place = F.struct("doc", F.expr("shiftright(packed, 46)").alias("t"), F.expr("(shiftright(packed, 14) & 4294967295) + at").alias("s"), "packed", "at", "piece", "low")
-        parts = cut.groupBy("g", "ph").agg(F.min(place).alias("p")).select("g", "p.doc", "p.packed", "p.at", "p.piece", "p.low")
+    wanted = distinct.filter("pieces > 1").groupBy("doc").agg(F.collect_list(F.struct("h", "packed")).alias("wanted"))
+    near = docs.join(wanted, "doc").select("doc", "th", "text", "wanted")
+    rows = scratch.table(map_arrow(near, _fetch, "g bigint, doc bigint, packed bigint, at int, piece binary").dropDuplicates(["g", "doc", "packed"]), "pieces")
+    out, rest, size = [single], rows.withColumn("low", F.lit(0)), SPAN
+    while size > 1 and not rest.isEmpty():
+        cut = map_arrow(rest.select("g", "doc", "packed", "at", "piece", "low"), _halves(size), "g bigint, ph bigint, doc bigint, packed bigint, at int, piece binary, low int")
+        # By true place, as offsets in pieces differ: hash, then start and offset. Equal parts have equal bytes.
+        place = F.struct("doc", F.expr("shiftright(packed, 46)").alias("t"), F.expr("(shiftright(packed, 14) & 4294967295) + at").alias("s"), "packed", "at", "low")
+        parts = cut.groupBy("g", "ph").agg(F.min(place).alias("p"), F.first("piece").alias("piece")).select("g", "p.doc", "p.packed", "p.at", "piece", "p.low")
         parts = scratch.table(parts, "parts")
-        counted = parts.join(parts.groupBy("g").agg(F.count("*").alias("pieces")), "g")
-        counted = scratch.table(counted, "counted")
+        counted = scratch.table(parts.join(parts.groupBy("g").agg(F.count("*").alias("pieces")), "g"), "counted")
+        scratch.drop(parts)
         out.append(counted.filter("pieces = 1").select("doc", "packed", F.col("at").alias("a"), (F.col("at") + F.length("piece") - DEPTH).cast("int").alias("b")))
         out.append(scratch.table(_blocks(counted.filter((F.col("pieces") > 1) & (F.col("pieces") <= GROUP_ROWS))), "first"))
-        hot = counted.filter(F.col("pieces") > GROUP_ROWS)
-        size //= 2
+        rest, size = counted.filter(F.col("pieces") > GROUP_ROWS), (size + 1) // 2
+    # A range of one is one window: its group has one part, so nothing large can be left.
     merged = out[0]
     for x in out[1:]:
         merged = merged.unionByName(x)
