@@ -184,6 +184,23 @@ def op6_decontamination(spark, sf_dir: str) -> DataFrame:
     )
 
 
+OP6_SQL = r"""
+WITH up AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS a, 'abcdefghijklmnopqrstuvwxyz' AS b),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), a, b), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents, up),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), a, b), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark, up),
+iw AS (SELECT item_id, n, array_to_string(w[s : s + n - 1], ' ') AS x
+       FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s FROM i WHERE len(w) > 0)),
+dw AS (SELECT doc_id, n, s, array_to_string(w[s : s + n - 1], ' ') AS x
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, n, s, item_id FROM dw JOIN iw USING (n, x)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT doc_id, n, s FROM hit)) GROUP BY 1),
+ids AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
+
+
 def brute(text: str | None, items: list[tuple[str, str | None]], window: int = WINDOW) -> tuple[int, int, int, str, bool]:
     """The contract, word by word; for tests."""
     import re

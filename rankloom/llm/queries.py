@@ -23,9 +23,9 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": license_scan.OP1_SQL,
-        "op2_suffix_dedup": substring_dedup.op2_suffix_dedup,
-        "op3_packing": packing.op3_packing,
-        "op4_quality_classifier": quality_classifier.op4_quality_classifier,
+        "op2_suffix_dedup": substring_dedup.OP2_SQL,
         "op5_extendible_sharding": extendible_sharding.OP5_SQL,
+        "op6_decontamination": decontamination.OP6_SQL,
+        "op8_ngram_join": ngram_join.OP8_SQL,
         "op10_chat_formatting": chat_formatting.OP10_SQL,
     }

@@ -314,6 +314,23 @@ def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("kept")
 
 
+OP2_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS x FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS s FROM d WHERE n >= 100)),
+later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY x ORDER BY doc_id, s) AS k FROM w) WHERE k > 1),
+bytes AS (SELECT doc_id, unnest(range(0, n)) AS p FROM d),
+gone AS (SELECT bytes.doc_id, p, max((later.s IS NOT NULL)::INT) OVER (PARTITION BY bytes.doc_id ORDER BY p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS g
+         FROM bytes LEFT JOIN later ON later.doc_id = bytes.doc_id AND later.s = bytes.p),
+runs AS (SELECT *, lag(g, 1, 0) OVER (PARTITION BY doc_id ORDER BY p) AS was FROM gone),
+per AS (SELECT doc_id, sum(g) AS n_removed, sum((g = 1 AND was = 0)::INT) AS n_spans FROM runs GROUP BY 1),
+stays AS (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS island FROM gone WHERE g = 0),
+pieces AS (SELECT doc_id, min(p) AS a, count(*) AS m FROM stays GROUP BY doc_id, island),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * m), '' ORDER BY a) AS k FROM pieces JOIN d USING (doc_id) GROUP BY 1)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k, ''))) AS kept_sha256
+FROM d LEFT JOIN per USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def brute(rows: list[tuple[int, str | None]], depth: int = DEPTH) -> dict[int, tuple[int, int, int, str]]:
     """The contract with a dictionary of all windows; for tests."""
     seen: set[bytes] = set()
