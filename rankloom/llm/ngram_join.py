@@ -6,9 +6,10 @@ A document is the set of its distinct five-word shingles; two link when 100 |A a
 2. The global order of shingles goes from rare to common, by counts of 65536 hash buckets over all documents, then by
    hash. Linked sets must share a shingle among the first |A| - ceil(0.8 |A|) + 1 of each, so only these are
    exchanged; shingles that one class alone has are dropped.
-3. Within a shingle's list each class is paired with one leader, chosen anew for every shingle, and the links found
-   join most lists into one component. Only lists that still hold several components are compared in full, block by
-   block and across components only: a pair inside one component can change nothing.
+3. Within a shingle's list each class is paired with a leader (the same for all lists of few classes, one of several
+   for lists of many), and the links found join most lists into one component. This is done twice, with other
+   leaders, then lists that still hold several components are compared in full, block by block and across components
+   only: a pair inside one component can change nothing.
 4. Pairs are cleared by sizes and by 512-bit parity sketches (the bits in which two sketches differ never exceed the
    shingles in which the sets differ, so nothing that links is lost), and those left are counted exactly: the order is
    cut into fragments, each document's set with it, overlaps are counted fragment by fragment and summed per pair.
@@ -37,12 +38,19 @@ from ..shipping import map_arrow
 WORDS, PERCENT = 5, 80
 BUCKETS = 1 << 16
 SKETCH = 512
-FRAGMENTS = 4
+#: Sets above so many shingles have a second sketch of so many bits, as 512 say nothing of large sets.
+LARGE, WIDE = 500, 8192
+FRAGMENTS = 8
+#: Rounds of leaders; leaders of a list: one for so many classes, at most so many.
+ROUNDS, PER_LEADER, LEADERS = 2, 32, 8
 #: A list's members are compared in blocks of about so many.
 BLOCK = 256
 #: Rows of 8 bytes that may be broadcast, after a count.
 BROADCAST_ROWS = 200_000
 
+#: Stands for a null doc_id.
+NO_ID = -(2**63)
+
 _U = np.uint64
 _WEIGHTS = bytes_ops.mix(np.arange(1, 64, dtype=np.uint64) * _U(0xD1B54A32D192ED03)) | _U(1)
 
@@ -71,22 +79,27 @@ def _key(s: np.ndarray) -> int:
     return int(bytes_ops.mix(bytes_ops.mix(s + _U(0x5851F42D4C957F2D)).sum(keepdims=True) + _U(len(s))).view(np.int64)[0])
 
 
+def _parity(s: np.ndarray, bits: int) -> bytes:
+    return np.packbits(np.bincount((s & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for every document (key, size, sketch), and at a task's end its counts of shingle buckets."""
     total = np.zeros(BUCKETS, np.int64)
-    names = ["doc", "k", "n", "sketch", "bucket", "count"]
+    names = ["doc", "k", "n", "sketch", "wide", "bucket", "count"]
     for batch in batches:
-        ks, ns, sk = [], [], []
+        ks, ns, sk, wide = [], [], [], []
         for s in shingle_sets(batch.column("text")):
             ks.append(_key(s))
             ns.append(len(s))
-            sk.append(np.packbits(np.bincount((s & _U(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1).tobytes())
+            sk.append(_parity(s, SKETCH))
+            wide.append(_parity(s, WIDE) if len(s) > LARGE else None)
             np.add.at(total, (s >> _U(48)).astype(np.int64), 1)
         m = batch.num_rows
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(ks, pa.int64()), pa.array(ns, pa.int64()), pa.array(sk, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(ks, pa.int64()), pa.array(ns, pa.int64()), pa.array(sk, pa.binary()), pa.array(wide, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())], names=names)
     at = np.flatnonzero(total)
     m = len(at)
-    yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=names)
+    yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=names)
 
 
 def prefix_length(n: int) -> int:
@@ -120,16 +133,21 @@ def _prefixes(counts):
 
 def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """k, fragment of the order (by leading bits of the hash), the set's shingles in it."""
+    bits = FRAGMENTS.bit_length() - 1
     for batch in batches:
         ks, fs, sets = [], [], []
         for k, s in zip(batch.column("k").to_pylist(), shingle_sets(batch.column("text"))):
-            cuts = np.searchsorted(s >> _U(32), np.arange(1, FRAGMENTS, dtype=np.uint64) * _U((1 << 32) // FRAGMENTS))
-            for f, part in enumerate(np.split(s, cuts)):
+            if not len(s) or _key(s) != k:
+                continue
+            cuts = np.searchsorted(s >> _U(64 - bits), np.arange(1, FRAGMENTS, dtype=np.uint64))
+            for f, part in enumerate(np.split(s.view(np.int64), cuts)):
                 if len(part):
                     ks.append(k)
                     fs.append(f)
-                    sets.append(part.view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(fs, pa.int32()), pa.array(sets, pa.list_(pa.int64()))], names=["k", "f", "s"])
+                    sets.append(part)
+        offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+        values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(fs, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["k", "f", "s"])
 
 
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,13 +163,22 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 differ = np.bitwise_count(qs_[a] ^ ms_[b]).sum(1)
                 # |A xor B| <= (100 - p) / (100 + p) (|A| + |B|) for linked sets.
                 keep = (100 + PERCENT) * differ <= (100 - PERCENT) * (qn[a] + mn[b])
-                us.append(np.minimum(qk[a[keep]], mk[b[keep]]))
-                vs.append(np.maximum(qk[a[keep]], mk[b[keep]]))
+                us.append(qk[a[keep]])
+                vs.append(mk[b[keep]])
         if us:
             both = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
 
+def _wide_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = []
+        for na, nb, wa, wb in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "wa", "wb"))):
+            differ = 0 if wa is None or wb is None else (int.from_bytes(wa, "little") ^ int.from_bytes(wb, "little")).bit_count()
+            keep.append((100 + PERCENT) * differ <= (100 - PERCENT) * (na + nb))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _members(x: pa.StructArray):
     sketch = np.frombuffer(b"".join(x.field("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
     return x.field("k").to_numpy(), x.field("n").to_numpy(zero_copy_only=False).astype(np.int64), x.field("c").to_numpy(zero_copy_only=False), sketch
@@ -161,52 +188,63 @@ class _Join:
     def __init__(self, documents: DataFrame):
         self.spark = documents.sparkSession
         self.scratch = Scratch(self.spark, "ngram-join")
-        self.docs = pick(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc"), "text")
+        self.docs = pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
 
     def run(self) -> DataFrame:
         sc = self.scratch
-        schema = "doc bigint, k bigint, n bigint, sketch binary, bucket int, count bigint"
+        schema = "doc bigint, k bigint, n bigint, sketch binary, wide binary, bucket int, count bigint"
         told = sc.table(map_arrow(self.docs, _describe, schema), "told")
-        self.sets = told.filter("k is not null").select("doc", "k", "n", "sketch")
+        self.sets = told.filter("k is not null").select("doc", "k", "n", "sketch", "wide")
         filled = self.sets.filter("n > 0")
-        self.classes = sc.table(filled.groupBy("k").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
+        self.classes = sc.table(filled.groupBy("k").agg(F.coalesce(F.min(F.when(F.col("doc") != NO_ID, F.col("doc"))), F.lit(NO_ID)).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "classes")
         counts = np.zeros(BUCKETS, np.int64)
         for r in told.filter("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("c")).collect():  # one row for each of 65536 buckets
             counts[r["bucket"]] = r["c"]
         order = self.spark.sparkContext.broadcast(counts)
-        prefixes = map_arrow(self.docs.select("text"), _prefixes(order), "t bigint, k bigint, n int")
-        shared = prefixes.groupBy("t").agg(F.min("k").alias("low"), F.max("k").alias("high")).filter("low <> high").select("t")
+        prefixes = sc.table(map_arrow(self.docs.select("text"), _prefixes(order), "t bigint, k bigint, n int"), "prefixes")
+        shared = prefixes.groupBy("t").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("m")).filter("low <> high").select("t", "m")
         shared = sc.table(shared, "shared")
-        live = sc.table(prefixes.join(shared, "t"), "live")
-        sc.drop(shared)
-        self._sets_of(live)
-        # One leader for each shingle.
-        lead = live.groupBy("t").agg(F.min(F.struct(F.xxhash64("t", "k").alias("h"), "k", "n")).alias("l"))
-        close = F.expr(f"100 * least(n, l.n) >= {PERCENT} * greatest(n, l.n)")
-        pairs = live.join(lead, "t").filter((F.col("k") != F.col("l.k")) & close).select(F.least("k", "l.k").alias("a"), F.greatest("k", "l.k").alias("b")).distinct()
-        links = self._linked(self._sketched(pairs))
-        labels = components(sc, links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        # Lists of three or more classes and several components.
-        placed = sc.table(live.join(labels.withColumnRenamed("node", "k"), "k", "left").select("t", "k", "n", F.coalesce("root", "k").alias("c")), "placed")
-        sc.drop(live)
-        pairs = sc.table(self._across(placed), "across")
-        more = self._linked(pairs)
-        roots = labels.select(F.col("node").alias("k"), "root")
-        edges = more.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left").select(F.coalesce("ra", "a").alias("u"), F.coalesce("rb", "b").alias("v"))
-        merged = components(sc, edges)
-        final = roots.join(merged.toDF("root", "top"), "root", "left").select("k", F.coalesce("top", "root").alias("c")).unionByName(merged.select(F.col("node").alias("k"), F.col("root").alias("c")).join(roots, "k", "left_anti"))
+        live = sc.table(prefixes.join(shared, "t").select("t", "k", "n", F.col("k").alias("c"), "m"), "live")
+        sc.drop(shared, prefixes)
+        final = None
+        for turn in range(ROUNDS):
+            links = self._linked(self._sketched(self._led(live, turn)))
+            final, settled = self._merged(final, links), live
+            # Lists of two have been compared; of the others those stay that hold several components.
+            placed = live.filter("m > 2").drop("c").join(final.withColumnRenamed("node", "k"), "k", "left").select("t", "k", "n", F.coalesce("root", "k").alias("c"), "m")
+            placed = sc.table(placed, "placed")
+            several = placed.groupBy("t").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("t")
+            live = sc.table(placed.join(several, "t"), "live")
+            sc.drop(placed, settled)
+        final = self._merged(final, self._linked(self._across(live)))
+        final = final.select(F.col("node").alias("k"), F.col("root").alias("c"))
         final = sc.table(final, "labels")
         labelled = self.classes.join(final, "k", "left").select("k", "rep", F.coalesce("c", "k").alias("c"))
-        least = labelled.groupBy("c").agg(F.min("rep").alias("component_id"))
+        least = labelled.groupBy("c").agg(F.min(F.when(F.col("rep") != NO_ID, F.col("rep"))).alias("component_id"))
         of_class = sc.table(labelled.join(least, "c").select("k", "component_id"), "components")
-        return self.sets.join(of_class, "k", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"))
+        own = F.nullif(F.col("doc"), F.lit(NO_ID))
+        return self.sets.join(of_class, "k", "left").select(own.alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(own).alias("component_id"))
 
-    def _sets_of(self, live: DataFrame) -> None:
-        """Sets, cut in fragments, of the classes that share some leading shingle with another; from one document each."""
-        reps = live.select("k").distinct().join(self.classes, "k").select(F.col("rep").alias("doc"), "k")
-        texts = self.docs.join(reps, "doc").select("k", "text")
-        keyed = map_arrow(texts, _fragments, "k bigint, f int, s array<bigint>")
-        self.fragments = self.scratch.table(keyed, "fragments")
+    def _led(self, live: DataFrame, turn: int) -> DataFrame:
+        """Pairs of a class and its list's leader, where components differ and sizes allow a link."""
+        choice = F.pmod("t", F.greatest(F.lit(1), F.least(F.lit(LEADERS), F.floor(F.col("m") / PER_LEADER))))
+        lead = live.groupBy("t").agg(F.min(F.struct(F.xxhash64("k", choice, F.lit(turn)).alias("h"), "k", "n", "c")).alias("l"))
+        close = F.expr(f"100 * least(n, l.n) >= {PERCENT} * greatest(n, l.n)")
+        return live.join(lead, "t").filter((F.col("c") != F.col("l.c")) & close).select(F.col("k").alias("a"), F.col("l.k").alias("b")).distinct()
+
+    def _merged(self, labels: DataFrame | None, links: DataFrame) -> DataFrame:
+        """node, root after the links are taken in; links join components, so few rows are walked."""
+        sc = self.scratch
+        edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        if labels is None:
+            return components(sc, edges)
+        root = lambda x: labels.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))
+        edges = edges.join(root("u"), "u", "left").join(root("v"), "v", "left").select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"))
+        merged = components(sc, edges)
+        up = merged.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        moved = labels.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+        # Nodes that were roots, or had no label, and now have a root.
+        return sc.table(moved.unionByName(merged), "labels")
 
     def _sketched(self, pairs: DataFrame) -> DataFrame:
         """Pairs that their sketches do not rule out. Sketches are compared as eight longs, in Spark."""
@@ -216,31 +254,50 @@ class _Join:
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         return self.scratch.table(both.filter((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b"), "candidates")
 
+    def _wide(self, pairs: DataFrame) -> DataFrame:
+        """Of pairs of large sets, those that their wide sketches don't rule out; all others."""
+        side = lambda x: self.classes.select(F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}"))
+        return self.scratch.table(map_arrow(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"), _wide_pairs, "a bigint, b bigint"), "cleared")
+
     def _linked(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose overlap, summed over fragments, suffices."""
-        wanted = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
-        wanted = self.scratch.table(wanted, "wanted")
-        small = wanted.count() <= BROADCAST_ROWS
-        used = self.fragments.join(F.broadcast(wanted) if small else wanted, "k")
+        """Pairs whose overlap, summed over fragments, suffices. The sets of a go to the pairs first and with them to
+        the sets of b, of which there are few where b are leaders."""
+        pairs = self._wide(pairs)
+        used = self._sets(pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct())
+        sets = lambda x: used.join(pairs.select(F.col(x).alias("k")).distinct(), "k").toDF(x, "f", f"s{x}")
         size = lambda x: self.classes.select(F.col("k").alias(x), F.col("n").alias(f"n{x}"))
-        parts = pairs.join(used.toDF("a", "f", "sa"), "a").join(used.toDF("b", "f", "sb"), ["b", "f"])
+        parts = pairs.join(sets("a"), "a").join(sets("b"), ["b", "f"])
         shared = parts.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("x")).groupBy("a", "b").agg(F.sum("x").alias("x"))
         judged = shared.join(size("a"), "a").join(size("b"), "b").filter(F.expr(f"100 * x >= {PERCENT} * (na + nb - x)"))
-        return self.scratch.table(judged.select("a", "b"), "links")
+        links = self.scratch.table(judged.select("a", "b"), "links")
+        self.scratch.drop(used, pairs)
+        return links
+
+    def _sets(self, keys: DataFrame) -> DataFrame:
+        """The sets, in fragments, of the given classes, made anew from one document each. The classes are counted; if
+        they are few their ids go to the texts, otherwise texts and ids meet in a shuffle."""
+        keys = self.scratch.table(keys.join(self.classes, "k").select(F.col("rep").alias("doc"), "k"), "keys")
+        few = keys.count() <= BROADCAST_ROWS
+        texts = self.docs.join(F.broadcast(keys) if few else keys, "doc").select("k", "text")
+        # Rows may share an id or be copies; only the text that made the key counts, and once.
+        return self.scratch.table(map_arrow(texts, _fragments, "k bigint, f int, s array<bigint>").dropDuplicates(["k", "f"]), "sets")
 
     def _across(self, placed: DataFrame) -> DataFrame:
         """Candidate pairs of different components in lists that hold several. The members of a list's largest
         component need no comparing with one another; all others are held against the whole list, block by block."""
-        sizes = placed.groupBy("t", "c").agg(F.count_distinct("k").alias("m"))
-        tops = sizes.groupBy("t").agg(F.sum("m").alias("all"), F.count("*").alias("parts"), F.max(F.struct("m", "c")).alias("top"))
-        tops = tops.filter("parts > 1 and all > 2").select("t", "all", F.col("top.m").alias("most"), F.col("top.c").alias("main"))
+        placed = placed.drop("m")
+        sizes = placed.groupBy("t", "c").agg(F.count_distinct("k").alias("q"))
+        tops = sizes.groupBy("t").agg(F.sum("q").alias("all"), F.count("*").alias("parts"), F.max(F.struct("q", "c")).alias("top"))
+        tops = tops.filter("parts > 1 and all > 2").select("t", "all", F.col("top.q").alias("most"), F.col("top.c").alias("main"))
         open_ = placed.join(tops, "t").distinct().join(self.classes.select("k", "sketch"), "k")
         open_ = self.scratch.table(open_, "open")
         dealt = lambda total: F.pmod(F.xxhash64("k"), F.ceil(F.col(total) / F.lit(BLOCK)).cast("long"))
         member = F.struct("k", "n", "c", "sketch")
         blocks = open_.groupBy("t", dealt("all").alias("mb")).agg(F.collect_list(member).alias("m"))
         queries = open_.filter("c <> main").withColumn("rest", F.col("all") - F.col("most")).groupBy("t", dealt("rest").alias("qb")).agg(F.collect_list(member).alias("q"))
-        return map_arrow(queries.join(blocks, "t").select("q", "m"), _block_pairs, "a bigint, b bigint").distinct()
+        pairs = self.scratch.table(map_arrow(queries.join(blocks, "t").select("q", "m"), _block_pairs, "a bigint, b bigint").distinct(), "across")
+        self.scratch.drop(open_)
+        return pairs
 
 
 def link_components(documents: DataFrame) -> DataFrame:
@@ -260,6 +317,21 @@ def op8_ngram_join(spark, sf_dir: str) -> DataFrame:
     return link_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+OP8_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+link AS (
+  SELECT a, b FROM (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM s p JOIN s q ON p.x = q.x AND p.doc_id <> q.doc_id GROUP BY 1, 2)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+), reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
+"""
+
+
 def brute(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
     """The contract over all pairs; for tests."""
     import re

@@ -88,5 +88,12 @@ def test_links_edge_cases(spark):
     assert links(tables.clashing(df)) == ngram_join.brute(rows)
     twice = ngram_join.link_components(df.union(df)).collect()
     assert len(twice) == 2 * len(rows) and {r.doc_id: (r.n_shingles, r.component_id) for r in twice} == ngram_join.brute(rows)
+    # Near copies among repeated rows, and rows that share an id: counts are of sets, not of rows.
+    close = near(6, 12)
+    far = [(i, " ".join(t.split()[:20] + tables.text(50, random.Random(i)).split())) for i, t in close[:6]]
+    many = tables.documents(spark, close)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link_components(many.union(many)).collect()} == ngram_join.brute(close)
+    shared_ids = ngram_join.link_components(tables.documents(spark, close + far + [(None, close[0][1])])).collect()
+    assert len(shared_ids) == 19 and next(r for r in shared_ids if r.doc_id is None).component_id == ngram_join.brute(close)[close[0][0]][1]
     kept = ngram_join.keep_one_per_component(df)
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 7, 8, 9, 10]
