@@ -22,7 +22,7 @@ from .scratch import Scratch
 SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 8
 N_BUCKETS = 1 << 16
-ORDERS = (1,)
+ORDERS = (1, 2)
 #: Kept from this mean log-likelihood ratio on: raw text in general lies near 0, junk well below.
 THRESHOLD = -0.4
 SMOOTHING = 1.0
@@ -89,29 +89,19 @@ def base_columns(documents: DataFrame) -> DataFrame:
     ).select("doc_id", "th", F.col("w.n").alias("n_words"), F.col("w.c").alias("word_chars"), "n_symbols", "n_dup_lines", F.col("w.r").alias("n_repeat_words"))
 
 
-def ngram_hashes(text: Column, orders=ORDERS) -> Column:
-    """array<bigint>: a hash of every word n-gram."""
-
-    def grams(h: Column) -> Column:
-        made, last = [], h
-        for n in range(1, max(orders) + 1):
-            if n > 1:  # an n-gram is an (n-1)-gram and the word after it
-                size = F.greatest(F.size(h) - (n - 1), F.lit(0))
-                last = F.zip_with(F.slice(last, F.lit(1), size), F.slice(h, F.lit(n), size), lambda a, b: F.xxhash64(a, b))
-            if n in orders:
-                made.append(last)
-        return F.concat(*made) if len(made) > 1 else made[0]
-
-    return _let(F.transform(words_of(text), lambda w: F.xxhash64(w)), grams)
-
-
 def _exploded(docs: DataFrame, keys: list[str], n_buckets: int, orders) -> DataFrame:
-    """The keys and a bucket for every n-gram. Single words are exploded as they are and hashed in compiled code."""
-    if tuple(orders) == (1,):
-        rows = docs.select(*keys, F.explode(F.split("text", SPACE, -1)).alias("g")).filter("g <> ''").withColumn("g", F.xxhash64("g"))
-    else:
-        rows = docs.select(*keys, F.explode(ngram_hashes(F.col("text"), orders)).alias("g"))
-    return rows.select(*keys, F.pmod("g", F.lit(n_buckets)).cast("int").alias("bucket"))
+    """The keys and a bucket for every n-gram. A word is exploded together with those after it, so hashes are made in
+    compiled code; an n-gram is an (n-1)-gram and the word after it."""
+    words = docs.select(*keys, F.split(F.btrim("text", F.lit(" \t\n\x0b\x0c\r")), SPACE, -1).alias("ws"))
+    shifted = [F.col("ws"), *[F.slice("ws", F.lit(i), F.size("ws")) for i in range(2, max(orders) + 1)]]
+    names = [f"g{i}" for i in range(1, max(orders) + 1)]
+    rows = words.select(*keys, F.inline(F.arrays_zip(*[x.alias(n) for x, n in zip(shifted, names)])).alias(*names)).filter("g1 <> ''")
+    made, last = [], None
+    for i, n in enumerate(names, 1):
+        last = F.xxhash64(n) if last is None else F.xxhash64(last, F.xxhash64(n))
+        if i in orders:
+            made.append(F.when(F.col(n).isNotNull(), F.pmod(last, F.lit(n_buckets)).cast("int")))
+    return rows.select(*keys, F.explode(F.array(*made)).alias("bucket")).filter("bucket is not null")
 
 
 def _bounded(ids: DataFrame, most: int) -> DataFrame:

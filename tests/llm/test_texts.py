@@ -175,3 +175,20 @@ def test_chats(spark):
         assert g.formatted_chars == len(text[c].formatted) and len(text[c].loss_spans) == sum(r == "assistant" for *_, r, _ in turns)
         assert all(a.role != b.role for a, b in zip(text[c].blocks, text[c].blocks[1:]))
     assert chat_formatting.digest(chat_formatting.format_conversations(df.limit(0))).count() == 0
+
+
+def test_rules_use_word_order(spark):
+    rng = random.Random(9)
+    order = tables.WORDS[:40]
+    good = [(i, " ".join(order[(k + j) % 40] for k in [rng.randrange(40)] for j in range(60))) for i in range(40)]
+    junk = [(100 + i, " ".join(rng.sample(order, 40) + rng.sample(order, 20))) for i in range(20)]
+    trusted = spark.createDataFrame([(d,) for d, _ in good], "doc_id long")
+    got = {r.doc_id: r for r in quality_rules.apply_rules(tables.documents(spark, good + junk), trusted).collect()}
+    assert max(got[d].llr for d, _ in junk) < quality_rules.THRESHOLD < min(got[d].llr for d, _ in good)
+
+
+def test_ngrams_of_rules(spark):
+    rows = [(1, " a b\tc \n"), (2, "one"), (3, ""), (4, " \n"), (5, "a b a b")]
+    got = Counter((r.doc_id, r.bucket) for r in quality_rules._exploded(tables.documents(spark, rows), ["doc_id"], 1 << 30, (1, 2, 3)).collect())
+    assert [sum(n for (d, _), n in got.items() if d == k) for k in range(1, 6)] == [6, 1, 0, 0, 9]
+    assert sorted(n for (d, _), n in got.items() if d == 5) == [1, 1, 1, 2, 2, 2]
