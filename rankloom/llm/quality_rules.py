@@ -26,8 +26,6 @@ ORDERS = (1, 2)
 #: Kept from this mean log-likelihood ratio on: raw text in general lies near 0, junk well below.
 THRESHOLD = -0.4
 SMOOTHING = 1.0
-#: Trusted documents that teach the target; more than these are sampled. The raw corpus is counted whole.
-MAX_TRUSTED = 100_000
 
 
 def words_of(text: Column) -> Column:
@@ -104,21 +102,14 @@ def _exploded(docs: DataFrame, keys: list[str], n_buckets: int, orders) -> DataF
     return rows.select(*keys, F.explode(F.array(*made)).alias("bucket")).filter("bucket is not null")
 
 
-def _bounded(ids: DataFrame, most: int) -> DataFrame:
-    """At most `most` distinct ids, those of least hash: the same choice at any size and in any order of rows."""
-    ids = ids.select("doc_id").filter("doc_id is not null").distinct()
-    n = ids.count()
-    if n <= most:
-        return ids
-    bound = int(-(2**63) + 2**64 * min(1.0, 1.2 * most / n))
-    return ids.withColumn("h", F.xxhash64("doc_id")).filter(F.col("h") <= bound).orderBy("h", "doc_id").limit(most).select("doc_id")
-
-
-def ratio_table(documents: DataFrame, trusted_ids: DataFrame, n_buckets: int = N_BUCKETS, orders=ORDERS, smoothing: float = SMOOTHING, max_trusted: int = MAX_TRUSTED) -> DataFrame:
+def ratio_table(documents: DataFrame, trusted_ids: DataFrame, n_buckets: int = N_BUCKETS, orders=ORDERS, smoothing: float = SMOOTHING) -> DataFrame:
     """bucket, weight: log p_target - log p_raw for each bucket that occurs, with additive smoothing. One pass over the
-    texts counts both: the trusted ids are bounded and broadcast, so texts are not shuffled."""
+    texts counts both. Every trusted id counts: texts are shuffled once to the ids' partitions, where only the ids are
+    held; nothing is sorted or broadcast, so the plan is the same at any size. Rows without an id are not shuffled."""
     docs = pick(documents, "doc_id", "text").filter("text is not null")
-    flagged = docs.join(F.broadcast(_bounded(trusted_ids, max_trusted).withColumn("trusted", F.lit(1))), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(0)).alias("trusted"))
+    ids = trusted_ids.select("doc_id").filter("doc_id is not null").distinct().withColumn("trusted", F.lit(1))
+    flagged = docs.filter("doc_id is not null").join(ids.hint("shuffle_hash"), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(0)).alias("trusted"))
+    flagged = flagged.unionByName(docs.filter("doc_id is null").select("text", F.lit(0).alias("trusted")))
     counts = _exploded(flagged, ["trusted"], n_buckets, orders).groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
     both = Scratch(documents.sparkSession, "quality-rules").table(counts, "counts")
     total = both.agg(F.sum("raw").alias("raw_all"), F.sum("target").alias("target_all"))  # one row

@@ -192,3 +192,11 @@ def test_ngrams_of_rules(spark):
     got = Counter((r.doc_id, r.bucket) for r in quality_rules._exploded(tables.documents(spark, rows), ["doc_id"], 1 << 30, (1, 2, 3)).collect())
     assert [sum(n for (d, _), n in got.items() if d == k) for k in range(1, 6)] == [6, 1, 0, 0, 9]
     assert sorted(n for (d, _), n in got.items() if d == 5) == [1, 1, 1, 2, 2, 2]
+
+
+def test_rules_count_every_trusted_document(spark):
+    n = 200_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 500).alias("text"))
+    docs = docs.union(spark.createDataFrame([(None, "w1"), (None, None), (7, "w1")], "doc_id long, text string"))
+    out = quality_rules.ratio_table(docs, docs.select("doc_id").union(docs.select("doc_id")), smoothing=1e-9).collect()
+    assert len(out) > 490 and max(abs(r.weight) for r in out) < 0.01  # target and raw differ by one row without an id
