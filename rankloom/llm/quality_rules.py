@@ -24,7 +24,7 @@ WINDOW = 8
 N_BUCKETS = 1 << 16
 ORDERS = (1, 2)
 #: Kept from this mean log-likelihood ratio on: raw text in general lies near 0, junk well below.
-THRESHOLD = -0.4
+THRESHOLD = -0.2
 SMOOTHING = 1.0
 
 

@@ -200,3 +200,14 @@ def test_rules_count_every_trusted_document(spark):
     docs = docs.union(spark.createDataFrame([(None, "w1"), (None, None), (7, "w1")], "doc_id long, text string"))
     out = quality_rules.ratio_table(docs, docs.select("doc_id").union(docs.select("doc_id")), smoothing=1e-9).collect()
     assert len(out) > 490 and max(abs(r.weight) for r in out) < 0.01  # target and raw differ by one row without an id
+
+
+def test_rules_drop_what_scores_below_the_threshold(spark):
+    rng = random.Random(10)
+    good = [(i, tables.text(100, rng)) for i in range(40)]
+    part = lambda k: " ".join(f"junk{rng.randrange(30)}" if rng.random() < k / 40 else rng.choice(tables.WORDS) for _ in range(100))
+    mixed = [(100 + k, part(k)) for k in range(40)]
+    trusted = spark.createDataFrame([(d,) for d, _ in good], "doc_id long")
+    got = {r.doc_id: r for r in quality_rules.apply_rules(tables.documents(spark, good + mixed), trusted, n_buckets=512).collect()}
+    between = [got[d] for d, _ in mixed if -0.4 <= got[d].llr < -0.2 and not got[d].base_failed]
+    assert between and not any(r.kept for r in between) and all(got[d].kept for d, _ in good)
