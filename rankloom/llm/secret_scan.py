@@ -1,7 +1,8 @@
 """Secret scan with a recursive decoding worklist.
 
 Each text is scanned as it is, then as layers: URL escapes and Unicode escapes decoded in place, runs of base64
-decoded, and compressed payloads (zlib, gzip) unpacked. Every layer is scanned and put on the worklist until nothing
+decoded (over line breaks, and at all four alignments, since what stands before may be of the alphabet too), and
+compressed payloads (zlib, gzip) unpacked wherever they start in the bytes. Decoded bytes need not be text throughout. Every layer is scanned and put on the worklist until nothing
 new appears; layers already seen, by the characters and the place they come from, are not decoded again, which ends
 cycles. Each character of a layer knows the span of the original text it comes from, so a secret found three layers
 down is reported at the characters of the original that encode it. Found in the text itself, spans are the base
@@ -16,7 +17,6 @@ returned once. Extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import hashlib
 import re
@@ -46,9 +46,13 @@ _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _HEX_BYTES = re.compile(b"[0-9a-f]{24}")
 _URL = re.compile("(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
+#: A run on one line, or over line breaks (MIME). What is glued to it by characters of the alphabet is part of the run.
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{4,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+|[A-Za-z0-9+/_-]{%d,})={0,2}" % MIN_BASE64)
+_BREAKS = re.compile(r"\r?\n[\x20\t]*")
 #: An encoded layer needs one of these; cheap to rule out.
-_ENCODED = re.compile(rb"%%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]|&#|[A-Za-z0-9+/_-]{%d}" % MIN_BASE64)
+_ENCODED = re.compile(rb"%%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]|&#|[A-Za-z0-9+/_-]{%d}|[A-Za-z0-9+/_-]{4}\r?\n[\x20\t]*[A-Za-z0-9+/_-]" % MIN_BASE64)
+_PAYLOAD = re.compile(rb"\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78](?=[\x00-\xff])")
+_PRINTABLE = re.compile(r"[\t-\r\x20-\x7e]{8,}")
 
 Span = tuple[str, int, int]
 
@@ -130,43 +134,86 @@ def _unicode(m: re.Match) -> str | None:
     return chr(n) if n < 0x110000 and not 0xD800 <= n < 0xE000 else None
 
 
-def _unpacked(raw: bytes) -> tuple[bytes, bool] | None:
-    """Contents of a zlib or gzip payload, and whether the bound cut it."""
+def _unpacked(raw: bytes) -> tuple[bytes, bool, int] | None:
+    """Contents of a zlib or gzip payload, whether the bound cut it, and the bytes it took."""
     if raw[:2] == b"\x1f\x8b" or (len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0):
         d = zlib.decompressobj(47)
         try:
             out = d.decompress(raw, MAX_UNPACKED)
         except zlib.error:
             return None
-        return out, bool(d.unconsumed_tail)
+        return (out, bool(d.unconsumed_tail), len(raw) - len(d.unused_data) - len(d.unconsumed_tail)) if out else None
     return None
 
 
-def _texts_of(run: str) -> tuple[str, bool] | None:
-    """What a base64 run holds: text, or compressed text."""
-    body = run.rstrip("=").translate({45: 43, 95: 47})
-    if len(body) % 4 == 1:
-        return None
+def _readings(run: str) -> Iterator[tuple[int, list[int] | range, bytes]]:
+    """A base64 run read at each of the four alignments, as what it is glued to shifts it: the alignment, the place of
+    every character of the run without its line breaks, the bytes."""
+    body = run.rstrip("=")
+    places: list[int] | range = range(len(body))
+    if "\n" in body:
+        gaps = [m.span() for m in _BREAKS.finditer(body)]
+        places = [i for a, b in zip([0, *[g[1] for g in gaps]], [*[g[0] for g in gaps], len(body)]) for i in range(a, b)]
+        body = _BREAKS.sub("", body)
+    if len(body) < MIN_BASE64:
+        return
+    body = body.translate({45: 43, 95: 47})
+    for k in range(4):
+        part = body[k : len(body) - ((len(body) - k) % 4 == 1)]
+        yield k, places, binascii.a2b_base64(part + "=" * (-len(part) % 4))
+
+
+def _layers_of(layer: Layer, m: re.Match) -> Iterator[tuple[Layer, bool]]:
+    """What the base64 run of a layer holds: text, text of two or four bytes a character, or compressed text; and
+    whether a bound cut it. Bytes stand for one character each, as all that is looked for is ASCII."""
+    for k, places, raw in _readings(m[0]):
+
+        def span(a: int, b: int) -> tuple[int, int]:
+            """The original characters that encode the bytes a to b; all of the run, padding too, for all of the bytes."""
+            end = m.end() if b == len(raw) else m.start() + places[min(k + (b * 8 + 5) // 6, len(places)) - 1] + 1
+            return layer.origin(m.start() + places[k + a * 8 // 6], end)
+
+        if _may_hold(raw):
+            text = raw.decode("latin-1")
+            cuts = [0, len(raw)]
+            if not _plain(raw):
+                cuts = sorted({0, len(raw), *[x for t in _PRINTABLE.finditer(text) for x in t.span()]})
+            pieces = [(a, b, (w := span(a, b))[0], w) for a, b in zip(cuts, cuts[1:])]
+            yield Layer(text, pieces, layer.depth + 1), False
+        if b"\0" in raw and _may_hold(thin := raw.replace(b"\0", b"")):
+            w = span(0, len(raw))
+            yield Layer(thin.decode("latin-1"), [(0, len(thin), w[0], w)], layer.depth + 1), False
+        done = 0
+        for p in _PAYLOAD.finditer(raw):
+            if p.start() < done or (found := _contents(raw[p.start() :])) is None:
+                continue
+            used, texts = found
+            w = span(p.start(), p.start() + used)
+            done = p.start() + used
+            for text, cut in texts:
+                yield Layer(text, [(0, len(text), w[0], w)], layer.depth + 1), cut
+
+
+def _plain(raw: bytes) -> bool:
     try:
-        raw = base64.b64decode(body + "=" * (-len(body) % 4))
-    except (binascii.Error, ValueError):
+        text = raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return not any(ord(c) < 32 and c not in "\t\n\r" for c in text)
+
+
+def _contents(raw: bytes) -> tuple[int, list[tuple[str, bool]]] | None:
+    """Bytes used by the compressed payload at the start, and its text."""
+    if (inner := _unpacked(raw)) is None:
         return None
-    cut = False
+    out, cut, used = inner
     for _ in range(MAX_DEPTH):
-        inner = _unpacked(raw)
-        if inner is None:
+        if (deeper := _unpacked(out)) is None:
             break
-        raw, more = inner
+        out, more, _ = deeper
         cut |= more
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        if not cut:
-            return None
-        text = raw.decode("utf-8", "ignore")
-    if any(ord(c) < 32 and c not in "\t\n\r" for c in text):
-        return None
-    return text, cut
+    texts = [(t.decode("latin-1"), cut) for t in (out, out.replace(b"\0", b"") if b"\0" in out else b"") if t]
+    return used, texts
 
 
 def scan_text(text: str) -> tuple[list[Span], list[Span], bool]:
@@ -186,10 +233,9 @@ def scan_text(text: str) -> tuple[list[Span], list[Span], bool]:
             continue
         new = [x for x in (_replaced(layer, _URL, _url), _replaced(layer, _UNICODE, _unicode)) if x is not None]
         for m in _BASE64.finditer(layer.text):
-            if (inner := _texts_of(m[0])) is not None:
-                span = layer.origin(m.start(), m.end())
-                truncated |= inner[1]
-                new.append(Layer(inner[0], [(0, len(inner[0]), span[0], span)], layer.depth + 1))
+            for inner, cut in _layers_of(layer, m):
+                truncated |= cut
+                new.append(inner)
         for x in new:
             whole = f"{x.pieces[0][2]},{x.pieces[0][3]},{len(x.pieces)}" if x.pieces else ""
             key = hashlib.sha256(x.text.encode("utf-8", "surrogatepass")).digest() + whole.encode()

@@ -211,3 +211,42 @@ def test_rules_drop_what_scores_below_the_threshold(spark):
     got = {r.doc_id: r for r in quality_rules.apply_rules(tables.documents(spark, good + mixed), trusted, n_buckets=512).collect()}
     between = [got[d] for d, _ in mixed if -0.4 <= got[d].llr < -0.2 and not got[d].base_failed]
     assert between and not any(r.kept for r in between) and all(got[d].kept for d, _ in good)
+
+
+def glued():
+    b64 = lambda b: base64.b64encode(b).decode()
+    wrap = lambda x, n, by="\n": by.join(x[i : i + n] for i in range(0, len(x), n))
+    one = b64(SECRET.encode())
+    noise = bytes(random.Random(3).randrange(256) for _ in range(300))
+    return {
+        "equals": f"data={one}",
+        "query": f"?q={one}&r=1",
+        "path": f"https://a.b/x/yz/{one}/end",
+        "dash": f"-{one}",
+        "joined": f"ab_{one}-cd",
+        "mime": wrap(b64(b"some words before " + SECRET.encode() + b" and some after"), 22, "\r\n"),
+        "narrow": wrap(one, 5, "\n  "),
+        "after a word": "attachment\n" + wrap(one, 16),
+        "wrapped gzip": wrap(b64(gzip.compress(noise + SECRET.encode(), mtime=0)), 76),
+        "gzip in path": "x/" + b64(gzip.compress(SECRET.encode(), mtime=0)),
+        "utf-16": b64(SECRET.encode("utf-16")),
+        "form feed": b64(("a\f" + SECRET).encode()),
+        "binary": b64(noise + SECRET.encode() + noise),
+    }
+
+
+@pytest.mark.parametrize("how", list(glued()))
+def test_base64_however_it_stands(how):
+    hidden = glued()[how]
+    base, every, cut = secret_scan.scan_text(f"before {hidden} after")
+    added = [s for s in every if s not in base]
+    assert "assign" in {s[0] for s in added} and not cut and all(7 <= a < b <= 7 + len(hidden) for _, a, b in added)
+
+
+def test_spans_of_glued_base64():
+    one = base64.b64encode(SECRET.encode()).decode()
+    text = f"see data={one} end"
+    assert secret_scan.scan_text(text)[1] == [("assign", 9, 9 + len(one))]
+    text = "x " + base64.b64encode(b"\0\xff" * 150 + SECRET.encode() + b"\0\xff" * 150).decode()
+    ((kind, a, b),) = secret_scan.scan_text(text)[1]
+    assert kind == "assign" and a == 2 + 400 and b - a < 40
