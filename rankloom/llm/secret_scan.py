@@ -8,8 +8,10 @@ cycles. Each character of a layer knows the span of the original text it comes f
 down is reported at the characters of the original that encode it. Found in the text itself, spans are the base
 spans; the method only adds.
 
-Bounds: a compressed payload is unpacked to at most MAX_UNPACKED bytes and the chain of layers is at most
-MAX_DEPTH deep, so that a decompression bomb cannot take the executor; `truncated` says where that happened.
+No bound on the chain of layers: URL, Unicode and base64 steps shrink the text, so they end; time grows with the depth.
+Compressed payloads are unpacked to their end, member after member, and scanned in stretches of MAX_UNPACKED bytes that
+overlap, so memory is bounded however much they hold. `truncated` says where a payload could not be read whole: it
+breaks off in error, or an encoded run inside it is as long as a stretch. redact_secrets takes such payloads out.
 
 Defined cases: null text is empty and has no spans. Repeated rows are each returned. Equal spans of one kind are
 returned once. Extra columns are ignored; an empty table gives no rows.
@@ -38,8 +40,10 @@ HEX = re.compile("[0-9a-f]+")
 #: As HEX with 24 or more: a run is taken whole, so the length can stand in the pattern.
 LONG_HEX = re.compile("(?<![0-9a-f])[0-9a-f]{24,}")
 
+#: Bytes of unpacked text that are scanned at a time, what stretches share at least, and what is unpacked in one call.
 MAX_UNPACKED = 64 << 20
-MAX_DEPTH = 12
+OVERLAP = 1 << 20
+PIECE = 1 << 20
 MIN_BASE64 = 16
 
 _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -134,16 +138,97 @@ def _unicode(m: re.Match) -> str | None:
     return chr(n) if n < 0x110000 and not 0xD800 <= n < 0xE000 else None
 
 
-def _unpacked(raw: bytes) -> tuple[bytes, bool, int] | None:
-    """Contents of a zlib or gzip payload, whether the bound cut it, and the bytes it took."""
-    if raw[:2] == b"\x1f\x8b" or (len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0):
-        d = zlib.decompressobj(47)
-        try:
-            out = d.decompress(raw, MAX_UNPACKED)
-        except zlib.error:
-            return None
-        return (out, bool(d.unconsumed_tail), len(raw) - len(d.unused_data) - len(d.unconsumed_tail)) if out else None
-    return None
+def _packed(raw: bytes) -> bool:
+    """Whether bytes start as a gzip or zlib payload does."""
+    return raw[:3] == b"\x1f\x8b\x08" or (len(raw) > 2 and raw[0] & 143 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0)
+
+
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    return (raw[i : i + PIECE] for i in range(0, len(raw), PIECE))
+
+
+class Unpacking:
+    """The contents of the payload at the start of some bytes, member after member, in pieces. used: bytes that whole
+    pieces came from; broken: it ended in error after some of it was read."""
+
+    def __init__(self, source: Iterator[bytes]):
+        self.source, self.used, self.broken = source, 0, False
+
+    def __iter__(self) -> Iterator[bytes]:
+        data, any_out = b"", False
+        while _packed(data := self._more(data)):
+            d = zlib.decompressobj(47)
+            while not d.eof:
+                try:
+                    out = d.decompress(data, PIECE)
+                except zlib.error:
+                    self.broken = any_out
+                    return
+                self.used += len(data) - len(d.unconsumed_tail) - len(d.unused_data)
+                data = d.unconsumed_tail
+                if out:
+                    any_out = True
+                    yield out
+                elif not data and not d.eof and not (data := next(self.source, b"")):
+                    return
+            data = d.unused_data
+
+    def _more(self, data: bytes) -> bytes:
+        while len(data) < 3 and (x := next(self.source, b"")):
+            data = bytes(data) + bytes(x)
+        return data
+
+
+def _stretches(pieces: Iterator[bytes]) -> Iterator[tuple[bytes, bool]]:
+    """Pieces joined to stretches of about MAX_UNPACKED bytes, each starting with the last of the one before: OVERLAP
+    bytes, or all of a run of characters of values and encodings that is longer; whether such a run had to be cut."""
+    held, new, cut = b"", [], False
+    size = 0
+    for x in pieces:
+        new.append(x)
+        size += len(x)
+        if len(held) + size >= MAX_UNPACKED:
+            held = b"".join([held, *new])
+            yield held, cut
+            if held.endswith(b" "):  # no pattern tells many blanks from one
+                held = held.rstrip(b" ") + b" "
+            run = len(held) - len(held.rstrip(_RUN))
+            if cut := run > MAX_UNPACKED // 2:
+                run = 0
+            held, new, size = held[-max(run, OVERLAP) :], [], 0
+    if size:
+        yield b"".join([held, *new]), cut
+
+
+def _text_of(raw: bytes) -> Iterator[tuple[bytes, bool]]:
+    """Stretches of what a payload holds and, while that is a payload itself, of what it holds too. One that holds
+    itself ends there."""
+    seen = set()
+    whole, deep = raw, 1  # the last payload that is here as a whole; from it, levels that are not are unpacked again
+    while True:
+        source = _pieces(whole)
+        chain = []
+        for _ in range(deep):
+            chain.append(Unpacking(source))
+            source = iter(chain[-1])
+        n, first, packed = 0, b"", False
+        for n, (first, cut) in enumerate(_stretches(source), 1):
+            packed = _packed(first) if n == 1 else packed
+            yield first, cut
+        if chain[-1].broken:
+            yield b" ", True
+        if not packed:
+            return
+        if n > 1:
+            deep += 1
+            continue
+        if (key := hashlib.sha256(first).digest()) in seen:
+            return
+        seen.add(key)
+        whole, deep = first, 1
+
+
+_RUN = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=.%\\&#;{}\r\n"
 
 
 def _readings(run: str) -> Iterator[tuple[int, list[int] | range, bytes]]:
@@ -163,9 +248,9 @@ def _readings(run: str) -> Iterator[tuple[int, list[int] | range, bytes]]:
         yield k, places, binascii.a2b_base64(part + "=" * (-len(part) % 4))
 
 
-def _layers_of(layer: Layer, m: re.Match) -> Iterator[tuple[Layer, bool]]:
-    """What the base64 run of a layer holds: text, text of two or four bytes a character, or compressed text; and
-    whether a bound cut it. Bytes stand for one character each, as all that is looked for is ASCII."""
+def _layers_of(layer: Layer, m: re.Match) -> Iterator[Layer | Iterator[tuple[Layer, bool]]]:
+    """What the base64 run of a layer holds: text, text of two or four bytes a character, or the layers of a compressed
+    payload. Bytes stand for one character each, as all that is looked for is ASCII."""
     for k, places, raw in _readings(m[0]):
 
         def span(a: int, b: int) -> tuple[int, int]:
@@ -179,19 +264,15 @@ def _layers_of(layer: Layer, m: re.Match) -> Iterator[tuple[Layer, bool]]:
             if not _plain(raw):
                 cuts = sorted({0, len(raw), *[x for t in _PRINTABLE.finditer(text) for x in t.span()]})
             pieces = [(a, b, (w := span(a, b))[0], w) for a, b in zip(cuts, cuts[1:])]
-            yield Layer(text, pieces, layer.depth + 1), False
+            yield Layer(text, pieces, layer.depth + 1)
         if b"\0" in raw and _may_hold(thin := raw.replace(b"\0", b"")):
             w = span(0, len(raw))
-            yield Layer(thin.decode("latin-1"), [(0, len(thin), w[0], w)], layer.depth + 1), False
-        done = 0
+            yield Layer(thin.decode("latin-1"), [(0, len(thin), w[0], w)], layer.depth + 1)
+        done, view = 0, memoryview(raw)
         for p in _PAYLOAD.finditer(raw):
-            if p.start() < done or (found := _contents(raw[p.start() :])) is None:
-                continue
-            used, texts = found
-            w = span(p.start(), p.start() + used)
-            done = p.start() + used
-            for text, cut in texts:
-                yield Layer(text, [(0, len(text), w[0], w)], layer.depth + 1), cut
+            if p.start() >= done and (used := _used(view[p.start() :])):
+                done = p.start() + used
+                yield _unpacked_layers(raw[p.start() : done], span(p.start(), done), layer.depth + 1)
 
 
 def _plain(raw: bytes) -> bool:
@@ -202,47 +283,68 @@ def _plain(raw: bytes) -> bool:
     return not any(ord(c) < 32 and c not in "\t\n\r" for c in text)
 
 
-def _contents(raw: bytes) -> tuple[int, list[tuple[str, bool]]] | None:
-    """Bytes used by the compressed payload at the start, and its text."""
-    if (inner := _unpacked(raw)) is None:
-        return None
-    out, cut, used = inner
-    for _ in range(MAX_DEPTH):
-        if (deeper := _unpacked(out)) is None:
-            break
-        out, more, _ = deeper
-        cut |= more
-    texts = [(t.decode("latin-1"), cut) for t in (out, out.replace(b"\0", b"") if b"\0" in out else b"") if t]
-    return used, texts
+def _used(raw: bytes) -> int:
+    """Bytes that the compressed payload at the start takes; 0 if there is none."""
+    if not _packed(raw):
+        return 0
+    opened = Unpacking(_pieces(raw))
+    size = sum(len(x) for x in opened)
+    return len(raw) if opened.broken else opened.used if size else 0
 
 
-def scan_text(text: str) -> tuple[list[Span], list[Span], bool]:
-    """Base spans, all spans, whether a bound cut a layer; both sorted by start, then kind."""
-    order = lambda s: (s[1], KINDS.index(s[0]), s[2])
-    base = sorted(base_spans(text), key=order)
+def _unpacked_layers(raw: bytes, span: tuple[int, int], depth: int) -> Iterator[tuple[Layer, bool]]:
+    for out, cut in _text_of(raw):
+        for text in (out, out.replace(b"\0", b"") if b"\0" in out else b""):
+            if text and (cut or _may_hold(text)):
+                yield Layer(text.decode("latin-1"), [(0, len(text), span[0], span)], depth), cut
+
+
+def _scanned(text: str) -> tuple[list[Span], list[Span], set[tuple[int, int]]]:
+    """Base spans, all spans, both sorted by start, then kind; spans of payloads that could not be read whole."""
+    base = sorted(base_spans(text), key=_ORDER)
     found = set(base)
-    work = [Layer(text, [(0, len(text), 0, None)], 0)]
-    seen = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest() + b"0"}
-    truncated = False
+    work: list[Layer | Iterator[tuple[Layer, bool]]] = [Layer(text, [(0, len(text), 0, None)], 0)]
+    seen = {_key(work[0])}
+    unread = set()
     while work:
         layer = work.pop()
+        if not isinstance(layer, Layer):  # a payload's stretches come one at a time
+            inner = next(layer, None)
+            if inner is None:
+                continue
+            work.append(layer)
+            layer, cut = inner
+            if cut:
+                unread.add(layer.origin(0, len(layer.text)))
+            if (key := _key(layer)) in seen:
+                continue
+            seen.add(key)
         if layer.depth:
             found.update((k, *layer.origin(a, b)) for k, a, b in base_spans(layer.text))
-        if layer.depth >= MAX_DEPTH:
-            truncated = True
-            continue
         new = [x for x in (_replaced(layer, _URL, _url), _replaced(layer, _UNICODE, _unicode)) if x is not None]
-        for m in _BASE64.finditer(layer.text):
-            for inner, cut in _layers_of(layer, m):
-                truncated |= cut
-                new.append(inner)
+        new += [x for m in _BASE64.finditer(layer.text) for x in _layers_of(layer, m)]
         for x in new:
-            whole = f"{x.pieces[0][2]},{x.pieces[0][3]},{len(x.pieces)}" if x.pieces else ""
-            key = hashlib.sha256(x.text.encode("utf-8", "surrogatepass")).digest() + whole.encode()
-            if x.text and key not in seen:
+            if not isinstance(x, Layer):
+                work.append(x)
+            elif x.text and (key := _key(x)) not in seen:
                 seen.add(key)
                 work.append(x)
-    return base, sorted(found, key=order), truncated
+    return base, sorted(found, key=_ORDER), unread
+
+
+def _key(x: Layer) -> bytes:
+    whole = f"{x.pieces[0][2]},{x.pieces[0][3]},{len(x.pieces)}" if x.pieces else ""
+    return hashlib.sha256(x.text.encode("utf-8", "surrogatepass")).digest() + whole.encode()
+
+
+def _ORDER(s: Span) -> tuple[int, int, int]:
+    return s[1], KINDS.index(s[0]), s[2]
+
+
+def scan_text(text: str) -> tuple[list[Span], list[Span], bool]:
+    """Base spans, all spans, whether a payload could not be read whole; both sorted by start, then kind."""
+    base, every, unread = _scanned(text)
+    return base, every, bool(unread)
 
 
 def _may_hold(raw: bytes) -> bool:
@@ -259,7 +361,8 @@ def joined(spans: list[Span]) -> str:
 
 def scan_documents(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",), redact: bool = False) -> DataFrame:
     """The kept columns, then base and spans (strings of kind:start:end), counts of the base, truncated; with redact,
-    text is returned with every span replaced by [REDACTED:kind] (overlapping spans together, by the first's kind)."""
+    text is returned with every span replaced by [REDACTED:kind] (overlapping spans together, by the first's kind), and
+    payloads that could not be read whole by [REDACTED:payload]."""
     docs = pick(documents, *dict.fromkeys((*keep, "text")))
     names = [f"k_{i}" for i in range(len(keep))]
     work = docs.select(*[F.col(k).alias(n) for k, n in zip(keep, names)], F.col("text").alias("k_text"))
@@ -274,9 +377,10 @@ def scan_documents(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",), re
                     rows.append((0, 0, 0, "", "", False, None if raw is None else raw.decode("utf-8")))
                     continue
                 text = raw.decode("utf-8")
-                base, every, cut = scan_text(text)
+                base, every, unread = _scanned(text)
+                hide = sorted([*every, *[("payload", *x) for x in unread]], key=lambda s: (s[1], s[2])) if unread else every
                 n = [sum(s[0] == k for s in base) for k in KINDS]
-                rows.append((*n, joined(base), joined(every), cut, redacted(text, every) if redact and every else text))
+                rows.append((*n, joined(base), joined(every), bool(unread), redacted(text, hide) if redact and hide else text))
             cols = list(zip(*rows)) if rows else [[]] * 7
             kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.bool_(), pa.string()]
             arrays = [batch.column(n) for n in names] + [pa.array(c, t) for c, t in list(zip(cols, kinds))[: 7 if redact else 6]]
@@ -301,7 +405,7 @@ def redact_secrets(documents: DataFrame) -> DataFrame:
     """All rows and columns of documents, with secrets in text replaced and n_chars, where there is one, counted anew."""
     found = scan_documents(documents, keep=tuple(documents.columns), redact=True)
     cols = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
-    return found.select(*[F.when(F.col("spans") != "", cols[c]).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in documents.columns])
+    return found.select(*[F.when((F.col("spans") != "") | F.col("truncated"), cols[c]).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in documents.columns])
 
 
 def op7_secret_scan(spark, sf_dir: str) -> DataFrame:

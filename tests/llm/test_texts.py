@@ -247,6 +247,53 @@ def test_spans_of_glued_base64():
     one = base64.b64encode(SECRET.encode()).decode()
     text = f"see data={one} end"
     assert secret_scan.scan_text(text)[1] == [("assign", 9, 9 + len(one))]
-    text = "x " + base64.b64encode(b"\0\xff" * 150 + SECRET.encode() + b"\0\xff" * 150).decode()
+    text = "x " + base64.b64encode(b"\xff\xfe" * 150 + SECRET.encode() + b"\xff\xfe" * 150).decode()
     ((kind, a, b),) = secret_scan.scan_text(text)[1]
     assert kind == "assign" and a == 2 + 400 and b - a < 40
+
+
+def deep():
+    b64 = lambda b: base64.b64encode(b).decode()
+    gz = lambda b: gzip.compress(b, mtime=0)
+    s = SECRET.encode()
+    nested, packed = s, s
+    for _ in range(15):
+        nested, packed = base64.b64encode(nested), gz(packed)
+    return {
+        "url 15 times": "token" + "%" + "25" * 14 + "3Dabcdef123456",
+        "base64 15 times": nested.decode(),
+        "gzip 15 times": b64(packed),
+        "second member": b64(gz(b"nothing here") + gz(b"nor here") + gz(s)),
+        "beyond 64 MiB": b64(gz(b". " * (35 << 20) + s)),
+        "beyond 64 MiB twice": b64(gz(gz(b". " * (35 << 20) + s))),
+    }
+
+
+@pytest.mark.parametrize("how", list(deep()))
+def test_layers_to_the_end(how):
+    hidden = deep()[how]
+    base, every, cut = secret_scan.scan_text(f"before {hidden} after")
+    assert "assign" in {s[0] for s in every if s not in base} and not cut
+
+
+def test_stretches_overlap(monkeypatch):
+    monkeypatch.setattr(secret_scan, "MAX_UNPACKED", 4096)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 512)
+    monkeypatch.setattr(secret_scan, "PIECE", 256)
+    inner = base64.b64encode(gzip.compress(SECRET.encode() + random.Random(5).randbytes(500), mtime=0))
+    for lead in range(3000, 4300, 37):
+        for body in (SECRET.encode(), inner, b"password" + b" " * 9000 + b"= abcdef123456"):
+            hidden = base64.b64encode(gzip.compress(b". " * (lead // 2) + body + b" ." * 3000, mtime=0)).decode()
+            base, every, cut = secret_scan.scan_text(hidden)
+            assert "assign" in {s[0] for s in every} and not cut
+
+
+def test_unread_payloads_are_redacted(spark, monkeypatch):
+    noise = base64.b64encode(random.Random(6).randbytes(1100 << 10))  # more than one piece, then an error
+    payload = bytearray(gzip.compress(noise, mtime=0))
+    payload[-100_000:-99_000] = b"\xff" * 1000
+    hidden = base64.b64encode(bytes(payload)).decode()
+    df = tables.documents(spark, [(1, f"a {hidden} b"), (2, "plain")])
+    assert secret_scan.scan_text(f"a {hidden} b")[2]
+    got = {r.doc_id: r for r in secret_scan.redact_secrets(df).collect()}
+    assert got[1].text == "a [REDACTED:payload] b" and got[1].n_chars == len(got[1].text) and got[2].text == "plain"
