@@ -7,7 +7,8 @@ table of known sentences (a bounded literal), and a rule's match is a run in whi
 
 Defined cases: null and empty texts have no sentences. Unrecognised sentences between recognised ones do not break a
 match. Rows alike in doc_id and text count as one document, rows that share doc_id only are scanned apart and their
-matches all returned. Longer rules do not hide shorter ones. An empty table gives no rows; extra columns are ignored.
+matches all returned. A line is a sentence, and so is what runs over line ends inside a paragraph (hard-wrapped texts);
+places count lines. OP1_SQL says the first only, so it holds where no known sentence is wrapped. Longer rules do not hide shorter ones. An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ SENTENCES = {
     "apache-notice": "Licensed under the Apache License, Version 2.0",
     "apache-short": "Released under the Apache License 2.0",
     "apache-spdx": "SPDX-License-Identifier: Apache-2.0",
+    "apache-licensed": "Licensed under the Apache License, Version 2.0 (the \"License\");",
     "apache-compliance": "you may not use this file except in compliance with the License.",
     "apache-copy": "You may obtain a copy of the License at",
     "apache-asis": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
@@ -65,6 +67,8 @@ RULES = [
     ("apache-short", "Apache-2.0", ["apache-short"]),
     ("apache-spdx", "Apache-2.0", ["apache-spdx"]),
     ("apache-header", "Apache-2.0", ["apache-copy", "apache-asis", "apache-see"]),
+    ("apache-first", "Apache-2.0", ["apache-licensed"]),
+    ("apache-full", "Apache-2.0", ["apache-compliance", "apache-copy", "apache-asis", "apache-see"]),
     ("gpl3-line", "GPL-3.0", ["gpl3-notice"]),
     ("gpl2-line", "GPL-2.0", ["gpl2-notice"]),
     ("gpl3-spdx", "GPL-3.0", ["gpl3-spdx"]),
@@ -116,6 +120,30 @@ def _sentences(text: Column) -> Column:
     return F.split(cut, "\n", -1)
 
 
+#: A line's end that ends a paragraph: before a line without letters and digits, or before an item of a list.
+PARAGRAPH = r"\n(?=[^A-Za-z0-9\n]*(?:\n|(?:[0-9]+|[A-Za-z])[.)][\x20\n]))"
+
+
+def _normal(c: Column) -> Column:
+    return F.trim(F.regexp_replace(lower_ascii(c), "[^a-z0-9]+", " "))
+
+
+def _wrapped(docs: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
+    """doc_id, th, place, upto, sentence: known sentences that run over line ends inside a paragraph, with the places of
+    their first and last line. Only texts that hold the words of a known sentence are cut a second time."""
+    flat = _normal(F.col("text"))
+    words = [x for x, _ in known]
+    holding = docs.filter("text like '%\n%'").withColumn("flat", flat).filter(F.exists(F.lit(words), lambda x: F.contains(F.col("flat"), x)))
+    # Every piece keeps the line ends in it, one for each cut too, so line ends before a piece tell its place.
+    cut = F.regexp_replace(F.regexp_replace(F.translate("text", "\x01", " "), f"({ENDS}){SPACE}+", "$1\n\x01"), PARAGRAPH, "\n\x01")
+    pieces = F.transform(F.split(cut, "\x01", -1), lambda x, i: F.struct(i.alias("i"), x.alias("raw"), _normal(x).alias("sentence")))
+    said = holding.select("doc_id", "th", F.split(cut, "\x01", -1).alias("all"), F.explode(F.filter(pieces, lambda x: x["sentence"].isin(words))).alias("p"))
+    ends = lambda c: F.length(F.regexp_replace(c, "[^\n]+", "")).cast("int")
+    lead = ends(F.concat(F.array_join(F.slice("all", F.lit(1), F.col("p.i")), ""), F.regexp_extract("p.raw", "^[^A-Za-z0-9]*", 0)))
+    inside = ends(F.regexp_extract("p.raw", "[A-Za-z0-9](?s:.*)[A-Za-z0-9]", 0))
+    return said.select("doc_id", "th", lead.alias("place"), (lead + inside).alias("upto"), F.col("p.sentence").alias("sentence")).filter("upto > place")
+
+
 def scan(documents: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES) -> DataFrame:
     """doc_id, license, rule, first_sentence, last_sentence (places among the document's sentences, from 0), a row for each match."""
     spark = documents.sparkSession
@@ -125,12 +153,13 @@ def scan(documents: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULE
     said = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(_sentences(F.col("text"))).alias("place", "raw"))
     least = min(len(x) for x, _ in known_rows(sentences))  # normalising never lengthens a sentence
     near = said.filter(F.length("raw") >= least)
-    norm = F.trim(F.regexp_replace(lower_ascii(F.col("raw")), "[^a-z0-9]+", " "))
-    seen = near.select("doc_id", "th", "place", norm.alias("sentence")).join(F.broadcast(known), "sentence").select("doc_id", "th", "place", "sid").distinct()
+    lines = near.select("doc_id", "th", "place", F.col("place").alias("upto"), _normal(F.col("raw")).alias("sentence"))
+    wrapped = _wrapped(docs.select("doc_id", "text", F.xxhash64("text").alias("th")), known_rows(sentences))
+    seen = lines.unionByName(wrapped).join(F.broadcast(known), "sentence").select("doc_id", "th", "place", "upto", "sid").distinct()
     w = W.partitionBy("doc_id", "th").orderBy("place", "sid")
     placed = seen.withColumn("nth", F.row_number().over(w).cast("long"))
     runs = placed.join(F.broadcast(steps), "sid").groupBy("doc_id", "th", "rule", "license", "steps", (F.col("nth") - F.col("step")).alias("run"))
-    whole = runs.agg(F.count("*").alias("n"), F.min("place").alias("a"), F.max("place").alias("b")).filter("n = steps")
+    whole = runs.agg(F.count("*").alias("n"), F.min("place").alias("a"), F.max("upto").alias("b")).filter("n = steps")
     return whole.select("doc_id", "license", "rule", F.col("a").cast("long").alias("first_sentence"), F.col("b").cast("long").alias("last_sentence"))
 
 

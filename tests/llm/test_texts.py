@@ -297,3 +297,34 @@ def test_unread_payloads_are_redacted(spark, monkeypatch):
     assert secret_scan.scan_text(f"a {hidden} b")[2]
     got = {r.doc_id: r for r in secret_scan.redact_secrets(df).collect()}
     assert got[1].text == "a [REDACTED:payload] b" and got[1].n_chars == len(got[1].text) and got[2].text == "plain"
+
+
+APACHE = """Copyright 2020 Someone
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_licences_as_published(spark):
+    import textwrap
+
+    fill = lambda *names: "\n\n".join(textwrap.fill(license_scan.SENTENCES[x], 70) for x in names)
+    bsd = "Redistribution" + fill("bsd-grant")[14:] + "\n" + "\n".join(f"{i}. {textwrap.fill(license_scan.SENTENCES[x], 70)}" for i, x in enumerate(("bsd-source", "bsd-binary", "bsd-endorse"), 1))
+    gpl = textwrap.fill(license_scan.SENTENCES["gpl-free"], 70) + "\n\n" + textwrap.fill(" ".join(license_scan.SENTENCES[x] for x in ("gpl-hope", "gpl-implied", "gpl-see")), 70)
+    rows = [(1, fill("mit-grant", "mit-condition")), (2, APACHE), (3, "\n".join("# " + x for x in APACHE.split("\n"))), (4, bsd), (5, gpl), (6, fill("isc-grant")), (7, "Intro\nReleased under the MIT License\nend"), (8, "released\n\nunder the MIT License")]
+    got = {}
+    for r in license_scan.scan(tables.documents(spark, rows)).collect():
+        got.setdefault(r.doc_id, {})[r.rule] = (r.first_sentence, r.last_sentence)
+    apache = {"apache-first", "apache-full", "apache-header"}
+    assert {d: set(x) for d, x in got.items()} == {1: {"mit-text"}, 2: apache, 3: apache, 4: {"bsd2-text", "bsd3-text"}, 5: {"gpl3-header"}, 6: {"isc-text"}, 7: {"mit-short"}}
+    n = fill("mit-grant").count("\n")
+    assert got[1]["mit-text"] == (0, n + 2 + fill("mit-condition").count("\n")) and got[7]["mit-short"] == (1, 1)
