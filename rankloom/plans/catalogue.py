@@ -101,6 +101,20 @@ def full_outer_guarded(spark, sf_dir):
     return joins.guarded_full_outer(c, s, "k", ["c_name"], ["s_name"])
 
 
+@entry("""
+WITH c AS (SELECT c_custkey AS k, c_name FROM customer), s AS (SELECT s_suppkey AS k, s_name FROM supplier),
+one AS (SELECT k FROM c GROUP BY k HAVING count(*) = 1 INTERSECT SELECT k FROM s GROUP BY k HAVING count(*) = 1)
+SELECT k, c_name, s_name, 'both' AS source FROM c JOIN s USING (k) WHERE k IN (FROM one)
+UNION ALL SELECT k, c_name, NULL, 'left' FROM c WHERE k NOT IN (FROM one)
+UNION ALL SELECT k, NULL, s_name, 'right' FROM s WHERE k NOT IN (FROM one)
+""")
+def full_outer_guarded_whole(spark, sf_dir):
+    """As full_outer_guarded over both whole tables, on keys that are single on both sides at any size."""
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), "c_name")
+    s = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), "s_name")
+    return joins.guarded_full_outer(c, s, "k", ["c_name"], ["s_name"])
+
+
 @entry("""
 WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events)
 SELECT a.event_id, coalesce(b.event_id, -1) AS purchase_id FROM e a LEFT JOIN e b ON a.user_id = b.user_id AND a.n = b.n AND b.event_type = 'purchase'

@@ -44,3 +44,10 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_full_outer_over_whole_tables(spark):
+    got = catalogue.ENTRIES["full_outer_guarded_whole"][0](spark, SF).groupBy("source").count().collect()
+    n = {r["source"]: r["count"] for r in got}
+    rows = lambda t: spark.read.parquet(f"{SF}/{t}.parquet").count()
+    assert n["both"] > 0 and n["both"] + n.get("left", 0) == rows("customer") and n["both"] + n.get("right", 0) == rows("supplier")
