@@ -10,7 +10,8 @@ The automaton is built from the benchmark, which is a fixed set whose text is me
 hits from all blocks are united, so results do not depend on the bound.
 
 Defined cases: null and empty texts have no words, no hits and are not contaminated. An item without words has no
-window. Repeated rows are each returned. Items that share an id count as one id. An empty benchmark leaves all clean.
+window. Repeated rows are each returned. Items that share an id count as one id; the words of an item
+without an id (null) are hit and contaminate like others, but it is in no list of ids. An empty benchmark leaves all clean.
 Extra columns are ignored.
 """
 
@@ -49,15 +50,17 @@ def windows_of(words: list[bytes], window: int = WINDOW) -> list[bytes]:
 class Scanner:
     """The automaton; bytes are read as latin-1, so one byte is one character and nothing is decoded."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
         import ahocorasick
 
         owners: dict[bytes, set[int]] = {}
-        self.ids = sorted({i for i, _ in items})
+        self.ids = sorted({i for i, _ in items if i is not None})
         at = {x: k for k, x in enumerate(self.ids)}
         for item, text in items:
             for p in windows_of(words_of(text), window):
-                owners.setdefault(p, set()).add(at[item])
+                who = owners.setdefault(p, set())
+                if item is not None:
+                    who.add(at[item])
         self.automaton = ahocorasick.Automaton()
         for p, who in owners.items():
             self.automaton.add_word(p.decode("latin-1"), (len(p) - 1, p.count(b" ") - 1, tuple(sorted(who))))
@@ -97,9 +100,9 @@ def word_offsets(text: bytes) -> list[tuple[int, int]]:
     return [m.span() for m in re.finditer("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", text.decode("utf-8").translate({i: i + 32 for i in range(65, 91)}))]
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str | None, bytes]]]:
     """Items in blocks of at most block_bytes of text (a larger item alone), read one block at a time."""
-    items = pick(benchmark, "item_id", "text").filter("text is not null and item_id is not null").select(F.col("item_id").cast("string").alias("item_id"), F.encode("text", "UTF-8").alias("text"))
+    items = pick(benchmark, "item_id", "text").filter("text is not null").select(F.col("item_id").cast("string").alias("item_id"), F.encode("text", "UTF-8").alias("text"))
     block, size = [], 0
     for r in items.orderBy("item_id").toLocalIterator():
         if block and size + len(r["text"]) > block_bytes:

@@ -328,3 +328,10 @@ def test_licences_as_published(spark):
     assert {d: set(x) for d, x in got.items()} == {1: {"mit-text"}, 2: apache, 3: apache, 4: {"bsd2-text", "bsd3-text"}, 5: {"gpl3-header"}, 6: {"isc-text"}, 7: {"mit-short"}}
     n = fill("mit-grant").count("\n")
     assert got[1]["mit-text"] == (0, n + 2 + fill("mit-condition").count("\n")) and got[7]["mit-short"] == (1, 1)
+
+
+def test_items_without_an_id(spark):
+    item = tables.text(20, random.Random(12))
+    got = decontamination.find_contamination(tables.documents(spark, [(1, item), (2, "other")]), items(spark, [(None, item), (5, "not there")])).collect()
+    assert {r.doc_id: (r.n_hit, r.item_ids) for r in got} == {1: (20, []), 2: (0, [])}
+    assert [r.doc_id for r in decontamination.drop_contaminated(tables.documents(spark, [(1, item), (2, "other")]), items(spark, [(None, item)])).collect()] == [2]
