@@ -14,6 +14,8 @@ places count lines. OP1_SQL says the first only, so it holds where no known sent
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -133,7 +135,8 @@ def _wrapped(docs: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
     their first and last line. Only texts that hold the words of a known sentence are cut a second time."""
     flat = _normal(F.col("text"))
     words = [x for x, _ in known]
-    holding = docs.filter("text like '%\n%'").withColumn("flat", flat).filter(F.exists(F.lit(words), lambda x: F.contains(F.col("flat"), x)))
+    # The lambda binds the normal form, which would be made again for every sentence otherwise.
+    holding = docs.filter(F.contains("text", F.lit("\n"))).filter(F.exists(F.array(flat), lambda f: reduce(or_, [F.contains(f, F.lit(x)) for x in words])))
     # Every piece keeps the line ends in it, one for each cut too, so line ends before a piece tell its place.
     cut = F.regexp_replace(F.regexp_replace(F.translate("text", "\x01", " "), f"({ENDS}){SPACE}+", "$1\n\x01"), PARAGRAPH, "\n\x01")
     pieces = F.transform(F.split(cut, "\x01", -1), lambda x, i: F.struct(i.alias("i"), x.alias("raw"), _normal(x).alias("sentence")))
