@@ -23,7 +23,7 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     before = None
     while True:
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if (state["n"], state["s"]) == before:
+        if not state["n"] or (state["n"], state["s"]) == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = (state["n"], state["s"])
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -5,15 +5,20 @@ A document is the set of its distinct five-word shingles; two link when 100 |A a
 1. Equal sets fall together in classes (same key: a hash and the size); links are sought between classes only.
 2. The global order of shingles goes from rare to common, by counts of 65536 hash buckets over all documents, then by
    hash. Linked sets must share a shingle among the first |A| - ceil(0.8 |A|) + 1 of each, so only these are
-   exchanged; shingles that one class alone has are dropped.
-3. Within a shingle's list each class is paired with a leader (the same for all lists of few classes, one of several
-   for lists of many), and the links found join most lists into one component. This is done twice, with other
-   leaders, then lists that still hold several components are compared in full, block by block and across components
-   only: a pair inside one component can change nothing.
-4. Pairs are cleared by sizes and by 512-bit parity sketches (the bits in which two sketches differ never exceed the
-   shingles in which the sets differ, so nothing that links is lost), and those left are counted exactly: the order is
-   cut into fragments, each document's set with it, overlaps are counted fragment by fragment and summed per pair.
-5. Components come from alternating stars over the links.
+   exchanged; shingles that one class alone has are dropped, and of lists with the same classes one stays.
+3. In rounds, each list has a leader, every class takes the leader of other component that is likest by sketch, and
+   the links found join components; a list whose classes are all in one component is done, as a pair inside one
+   component can change nothing. Rounds go on, each with other leaders, as long as they make links in some number.
+4. Lists that still hold several components are compared in full, block by block, across components only; a pair is
+   proposed by the first list that both classes are in.
+5. Pairs are cleared by sizes and by parity sketches (the bits in which two sketches differ never exceed the shingles
+   in which the sets differ, so nothing that links is lost), and those left are counted exactly: the global order is
+   cut at pivots into fragments of equal weight, each set with it, overlaps are counted fragment by fragment and
+   summed per pair.
+6. Components come from alternating stars over the links.
+
+So the pairs that are made grow with the classes in a group, and with those pairs of different components that lie
+just below the threshold, not with the square of the group.
 
 Defined cases: null and empty texts have an empty set and link with nothing. Texts of one to four words have one
 shingle, the whole sequence. Repeated rows are copies: each is returned, in one component. A null doc_id takes part
@@ -37,12 +42,13 @@ from ..shipping import map_arrow
 
 WORDS, PERCENT = 5, 80
 BUCKETS = 1 << 16
-SKETCH = 512
-#: Sets above so many shingles have a second sketch of so many bits, as 512 say nothing of large sets.
+SKETCH = 1024
+#: Sets above so many shingles have a second sketch of so many bits, as the first says nothing of large sets.
 LARGE, WIDE = 500, 8192
 FRAGMENTS = 8
-#: Rounds of leaders; leaders of a list: one for so many classes, at most so many.
-ROUNDS, PER_LEADER, LEADERS = 2, 32, 8
+#: Leaders of a list: one for so many classes, at most so many. A round is followed by another if it made a link for
+#: every so many rows of open lists.
+PER_LEADER, LEADERS, PRODUCTIVE = 32, 8, 100
 #: A list's members are compared in blocks of about so many.
 BLOCK = 256
 #: Rows of 8 bytes that may be broadcast, after a count.
@@ -79,12 +85,17 @@ def _key(s: np.ndarray) -> int:
     return int(bytes_ops.mix(bytes_ops.mix(s + _U(0x5851F42D4C957F2D)).sum(keepdims=True) + _U(len(s))).view(np.int64)[0])
 
 
-def _parity(s: np.ndarray, bits: int) -> bytes:
-    return np.packbits(np.bincount((s & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+def _parity(s: np.ndarray, bits: int) -> np.ndarray:
+    return np.packbits(np.bincount((s & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).view(np.int64)
+
+
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for every document (key, size, sketch), and at a task's end its counts of shingle buckets."""
+    """A row for every document (key, size, sketches), and at a task's end its counts of shingle buckets."""
     total = np.zeros(BUCKETS, np.int64)
     names = ["doc", "k", "n", "sketch", "wide", "bucket", "count"]
     for batch in batches:
@@ -93,13 +104,14 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ks.append(_key(s))
             ns.append(len(s))
             sk.append(_parity(s, SKETCH))
-            wide.append(_parity(s, WIDE) if len(s) > LARGE else None)
-            np.add.at(total, (s >> _U(48)).astype(np.int64), 1)
+            wide.append(_parity(s, WIDE).tobytes() if len(s) > LARGE else None)
+            at, counts = np.unique(s >> _U(48), return_counts=True)  # sorted already
+            total[at.astype(np.int64)] += counts
         m = batch.num_rows
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(ks, pa.int64()), pa.array(ns, pa.int64()), pa.array(sk, pa.binary()), pa.array(wide, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(ks, pa.int64()), pa.array(ns, pa.int64()), _lists(sk), pa.array(wide, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())], names=names)
     at = np.flatnonzero(total)
     m = len(at)
-    yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=names)
+    yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.binary()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=names)
 
 
 def prefix_length(n: int) -> int:
@@ -131,43 +143,68 @@ def _prefixes(counts):
     return run
 
 
-def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """k, fragment of the order (by leading bits of the hash), the set's shingles in it."""
-    bits = FRAGMENTS.bit_length() - 1
-    for batch in batches:
-        ks, fs, sets = [], [], []
-        for k, s in zip(batch.column("k").to_pylist(), shingle_sets(batch.column("text"))):
-            if not len(s) or _key(s) != k:
-                continue
-            cuts = np.searchsorted(s >> _U(64 - bits), np.arange(1, FRAGMENTS, dtype=np.uint64))
-            for f, part in enumerate(np.split(s.view(np.int64), cuts)):
-                if len(part):
+def pivots(counts: np.ndarray, fragments: int) -> np.ndarray:
+    """The fragment of every bucket: the global order of buckets, rare to common, cut into parts of equal weight."""
+    order = np.argsort(counts, kind="stable")
+    upto = np.cumsum(counts[order])
+    out = np.empty(len(counts), np.int64)
+    out[order] = np.minimum(fragments - 1, (upto - counts[order]) * fragments // max(1, int(upto[-1])))
+    return out
+
+
+def _fragments(counts):
+    """k, fragment of the global order, the set's shingles in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_bucket = pivots(counts.value, FRAGMENTS)
+        for batch in batches:
+            ks, fs, sets = [], [], []
+            for k, s in zip(batch.column("k").to_pylist(), shingle_sets(batch.column("text"))):
+                if not len(s) or _key(s) != k:
+                    continue
+                f = of_bucket[(s >> _U(48)).astype(np.int64)]
+                for i in np.unique(f).tolist():
                     ks.append(k)
-                    fs.append(f)
-                    sets.append(part)
-        offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
-        values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(fs, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["k", "f", "s"])
+                    fs.append(i)
+                    sets.append(s[f == i].view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(fs, pa.int32()), _lists(sets)], names=["k", "f", "s"])
+
+    return run
+
+
+class _Members:
+    """A block of a list's classes as arrays."""
+
+    def __init__(self, x: pa.StructArray):
+        self.k, self.c = (x.field(f).to_numpy() for f in ("k", "c"))
+        self.n = x.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
+        self.sketch = x.field("sketch").flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH // 64)  # bits of signed numbers would be counted of their absolute values
+        self.lists = x.field("lists")
+
+    def lists_of(self, i: int) -> set[int]:
+        return set(self.lists[i].as_py())
 
 
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs between two blocks of one list that sizes and sketches allow, across components."""
+    """Pairs between two blocks of one list that sizes and sketches allow, across components; of the lists that hold
+    both classes the least proposes them, and of the two orders of a pair outside the main component one."""
     for batch in batches:
         us, vs = [], []
-        qs, ms = batch.column("q"), batch.column("m")
-        for i in range(batch.num_rows):
-            (qk, qn, qc, qs_), (mk, mn, mc, ms_) = (_members(x[i].values) for x in (qs, ms))
-            ok = (qc[:, None] != mc[None, :]) & (100 * np.minimum(qn[:, None], mn[None, :]) >= PERCENT * np.maximum(qn[:, None], mn[None, :]))
+        for t, main, queries, members in zip(batch.column("t").to_pylist(), batch.column("main").to_pylist(), batch.column("q"), batch.column("m")):
+            q, m = _Members(queries.values), _Members(members.values)
+            ok = (q.c[:, None] != m.c[None, :]) & (100 * np.minimum(q.n[:, None], m.n[None, :]) >= PERCENT * np.maximum(q.n[:, None], m.n[None, :]))
+            ok &= (q.k[:, None] < m.k[None, :]) | (m.c == main)[None, :]
             a, b = np.nonzero(ok)
-            if len(a):
-                differ = np.bitwise_count(qs_[a] ^ ms_[b]).sum(1)
-                # |A xor B| <= (100 - p) / (100 + p) (|A| + |B|) for linked sets.
-                keep = (100 + PERCENT) * differ <= (100 - PERCENT) * (qn[a] + mn[b])
-                us.append(qk[a[keep]])
-                vs.append(mk[b[keep]])
-        if us:
-            both = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+            # |A xor B| <= (100 - p) / (100 + p) (|A| + |B|) for linked sets.
+            differ = np.bitwise_count(q.sketch[a] ^ m.sketch[b]).sum(1)
+            keep = (100 + PERCENT) * differ <= (100 - PERCENT) * (q.n[a] + m.n[b])
+            a, b = a[keep].tolist(), b[keep].tolist()
+            of_q, of_m = ({i: x.lists_of(i) for i in set(at)} for x, at in ((q, a), (m, b)))
+            for i, j in zip(a, b):
+                if min(of_q[i] & of_m[j]) == t:
+                    us.append(int(q.k[i]))
+                    vs.append(int(m.k[j]))
+        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["a", "b"])
 
 
 def _wide_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,9 +216,9 @@ def _wide_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _members(x: pa.StructArray):
-    sketch = np.frombuffer(b"".join(x.field("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
-    return x.field("k").to_numpy(), x.field("n").to_numpy(zero_copy_only=False).astype(np.int64), x.field("c").to_numpy(zero_copy_only=False), sketch
+def _differ(a: str, b: str):
+    """Bits in which two sketches differ; plain element access, so it is compiled."""
+    return F.expr(" + ".join(f"bit_count({a}[{i}] ^ {b}[{i}])" for i in range(SKETCH // 64)))
 
 
 class _Join:
@@ -189,10 +226,12 @@ class _Join:
         self.spark = documents.sparkSession
         self.scratch = Scratch(self.spark, "ngram-join")
         self.docs = pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
+        #: Pairs that have been counted, linked or not.
+        self.tried: DataFrame | None = None
 
     def run(self) -> DataFrame:
         sc = self.scratch
-        schema = "doc bigint, k bigint, n bigint, sketch binary, wide binary, bucket int, count bigint"
+        schema = "doc bigint, k bigint, n bigint, sketch array<bigint>, wide binary, bucket int, count bigint"
         told = sc.table(map_arrow(self.docs, _describe, schema), "told")
         self.sets = told.filter("k is not null").select("doc", "k", "n", "sketch", "wide")
         filled = self.sets.filter("n > 0")
@@ -200,37 +239,64 @@ class _Join:
         counts = np.zeros(BUCKETS, np.int64)
         for r in told.filter("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("c")).collect():  # one row for each of 65536 buckets
             counts[r["bucket"]] = r["c"]
-        order = self.spark.sparkContext.broadcast(counts)
-        prefixes = sc.table(map_arrow(self.docs.select("text"), _prefixes(order), "t bigint, k bigint, n int"), "prefixes")
-        shared = prefixes.groupBy("t").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("m")).filter("low <> high").select("t", "m")
-        shared = sc.table(shared, "shared")
-        live = sc.table(prefixes.join(shared, "t").select("t", "k", "n", F.col("k").alias("c"), "m"), "live")
-        sc.drop(shared, prefixes)
-        final = None
-        for turn in range(ROUNDS):
-            links = self._linked(self._sketched(self._led(live, turn)))
-            final, settled = self._merged(final, links), live
-            # Lists of two have been compared; of the others those stay that hold several components.
-            placed = live.filter("m > 2").drop("c").join(final.withColumnRenamed("node", "k"), "k", "left").select("t", "k", "n", F.coalesce("root", "k").alias("c"), "m")
-            placed = sc.table(placed, "placed")
-            several = placed.groupBy("t").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("t")
-            live = sc.table(placed.join(several, "t"), "live")
-            sc.drop(placed, settled)
-        final = self._merged(final, self._linked(self._across(live)))
-        final = final.select(F.col("node").alias("k"), F.col("root").alias("c"))
-        final = sc.table(final, "labels")
+        self.order = self.spark.sparkContext.broadcast(counts)
+        live, final, turn = self._shared_lists(), None, 0
+        while True:
+            links = self._linked(self._cleared(self._led(live, turn)))
+            final, before = self._merged(final, links), live
+            live = self._open(live, final)
+            last = links.count() * PRODUCTIVE <= before.count()
+            sc.drop(before)
+            turn += 1
+            if last:
+                break
+        final = self._merged(final, self._linked(self._cleared(self._across(live))))
+        sc.drop(live)
+        final = sc.table(final.select(F.col("node").alias("k"), F.col("root").alias("c")), "labels")
         labelled = self.classes.join(final, "k", "left").select("k", "rep", F.coalesce("c", "k").alias("c"))
         least = labelled.groupBy("c").agg(F.min(F.when(F.col("rep") != NO_ID, F.col("rep"))).alias("component_id"))
         of_class = sc.table(labelled.join(least, "c").select("k", "component_id"), "components")
         own = F.nullif(F.col("doc"), F.lit(NO_ID))
         return self.sets.join(of_class, "k", "left").select(own.alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(own).alias("component_id"))
 
+    def _shared_lists(self) -> DataFrame:
+        """t, k, n, c (component, at first the class), m (classes in the list), sketch: lists of two classes or more,
+        one of those that hold the same classes."""
+        sc = self.scratch
+        prefixes = sc.table(map_arrow(self.docs.select("text"), _prefixes(self.order), "t bigint, k bigint, n int"), "prefixes")
+        shared = sc.table(prefixes.groupBy("t").agg(F.min("k").alias("low"), F.max("k").alias("high")).filter("low <> high").select("t"), "shared")
+        near = sc.table(prefixes.join(shared, "t").select("t", "k", "n").distinct(), "near")
+        sc.drop(shared, prefixes)
+        h = F.xxhash64("k")
+        content = [F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("x"), F.sum(F.shiftrightunsigned(h, 32)).alias("y"), F.min("k").alias("low"), F.max("k").alias("high")]
+        lists = near.groupBy("t").agg(F.count("*").alias("m"), *content).groupBy("m", "x", "y", "low", "high").agg(F.min("t").alias("t")).select("t", "m")
+        live = near.join(lists, "t").join(self.classes.select("k", "sketch"), "k").select("t", "k", "n", F.col("k").alias("c"), "m", "sketch")
+        live = sc.table(live, "live")
+        sc.drop(near)
+        return live
+
+    def _open(self, live: DataFrame, labels: DataFrame) -> DataFrame:
+        """Lists that still hold several components."""
+        sc = self.scratch
+        placed = sc.table(live.drop("c").join(labels.withColumnRenamed("node", "k"), "k", "left").select("t", "k", "n", F.coalesce("root", "k").alias("c"), "m", "sketch"), "placed")
+        several = placed.groupBy("t").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("t")
+        out = sc.table(placed.join(several, "t"), "live")
+        sc.drop(placed)
+        return out
+
+    def _untried(self, pairs: DataFrame) -> DataFrame:
+        """a < b, each pair once, without those counted before."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *[c for c in pairs.columns if c not in ("a", "b")])
+        return pairs if self.tried is None else pairs.join(self.tried, ["a", "b"], "left_anti")
+
     def _led(self, live: DataFrame, turn: int) -> DataFrame:
-        """Pairs of a class and its list's leader, where components differ and sizes allow a link."""
+        """For every class the leader of another component that is likest by sketch, if size and sketch allow a link."""
         choice = F.pmod("t", F.greatest(F.lit(1), F.least(F.lit(LEADERS), F.floor(F.col("m") / PER_LEADER))))
-        lead = live.groupBy("t").agg(F.min(F.struct(F.xxhash64("k", choice, F.lit(turn)).alias("h"), "k", "n", "c")).alias("l"))
-        close = F.expr(f"100 * least(n, l.n) >= {PERCENT} * greatest(n, l.n)")
-        return live.join(lead, "t").filter((F.col("c") != F.col("l.c")) & close).select(F.col("k").alias("a"), F.col("l.k").alias("b")).distinct()
+        lead = live.groupBy("t").agg(F.min(F.struct(F.xxhash64("k", choice, F.lit(turn)).alias("h"), F.col("k").alias("lk"), F.col("n").alias("ln"), F.col("c").alias("lc"), F.col("sketch").alias("ls"))).alias("l")).select("t", "l.*")
+        close = F.expr(f"c <> lc and 100 * least(n, ln) >= {PERCENT} * greatest(n, ln)")
+        near = live.join(lead, "t").filter(close).withColumn("d", _differ("sketch", "ls")).filter((100 + PERCENT) * F.col("d") <= (100 - PERCENT) * (F.col("n") + F.col("ln")))
+        pairs = self._untried(near.select(F.col("k").alias("a"), F.col("lk").alias("b"), "k", "d"))
+        return pairs.groupBy("k").agg(F.min(F.struct("d", "a", "b")).alias("p")).select("p.a", "p.b")
 
     def _merged(self, labels: DataFrame | None, links: DataFrame) -> DataFrame:
         """node, root after the links are taken in; links join components, so few rows are walked."""
@@ -246,23 +312,16 @@ class _Join:
         # Nodes that were roots, or had no label, and now have a root.
         return sc.table(moved.unionByName(merged), "labels")
 
-    def _sketched(self, pairs: DataFrame) -> DataFrame:
-        """Pairs that their sketches do not rule out. Sketches are compared as eight longs, in Spark."""
-        side = lambda x: self.classes.select(F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-        words = [f"bit_count(cast(conv(hex(substring(sa, {8 * i + 1}, 8)), 16, -10) as bigint) ^ cast(conv(hex(substring(sb, {8 * i + 1}, 8)), 16, -10) as bigint))" for i in range(SKETCH // 64)]
-        differ = F.expr(" + ".join(words))
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
-        return self.scratch.table(both.filter((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b"), "candidates")
-
-    def _wide(self, pairs: DataFrame) -> DataFrame:
-        """Of pairs of large sets, those that their wide sketches don't rule out; all others."""
+    def _cleared(self, pairs: DataFrame) -> DataFrame:
+        """Pairs, each once, without those of large sets that their wide sketches rule out; noted as tried."""
         side = lambda x: self.classes.select(F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}"))
-        return self.scratch.table(map_arrow(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"), _wide_pairs, "a bigint, b bigint"), "cleared")
+        cleared = self.scratch.table(map_arrow(pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b"), _wide_pairs, "a bigint, b bigint"), "cleared")
+        self.tried = cleared if self.tried is None else self.tried.unionByName(cleared)
+        return cleared
 
     def _linked(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose overlap, summed over fragments, suffices. The sets of a go to the pairs first and with them to
         the sets of b, of which there are few where b are leaders."""
-        pairs = self._wide(pairs)
         used = self._sets(pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct())
         sets = lambda x: used.join(pairs.select(F.col(x).alias("k")).distinct(), "k").toDF(x, "f", f"s{x}")
         size = lambda x: self.classes.select(F.col("k").alias(x), F.col("n").alias(f"n{x}"))
@@ -270,7 +329,7 @@ class _Join:
         shared = parts.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("x")).groupBy("a", "b").agg(F.sum("x").alias("x"))
         judged = shared.join(size("a"), "a").join(size("b"), "b").filter(F.expr(f"100 * x >= {PERCENT} * (na + nb - x)"))
         links = self.scratch.table(judged.select("a", "b"), "links")
-        self.scratch.drop(used, pairs)
+        self.scratch.drop(used)
         return links
 
     def _sets(self, keys: DataFrame) -> DataFrame:
@@ -280,23 +339,26 @@ class _Join:
         few = keys.count() <= BROADCAST_ROWS
         texts = self.docs.join(F.broadcast(keys) if few else keys, "doc").select("k", "text")
         # Rows may share an id or be copies; only the text that made the key counts, and once.
-        return self.scratch.table(map_arrow(texts, _fragments, "k bigint, f int, s array<bigint>").dropDuplicates(["k", "f"]), "sets")
+        return self.scratch.table(map_arrow(texts, _fragments(self.order), "k bigint, f int, s array<bigint>").dropDuplicates(["k", "f"]), "sets")
 
-    def _across(self, placed: DataFrame) -> DataFrame:
+    def _across(self, live: DataFrame) -> DataFrame:
         """Candidate pairs of different components in lists that hold several. The members of a list's largest
-        component need no comparing with one another; all others are held against the whole list, block by block."""
-        placed = placed.drop("m")
-        sizes = placed.groupBy("t", "c").agg(F.count_distinct("k").alias("q"))
-        tops = sizes.groupBy("t").agg(F.sum("q").alias("all"), F.count("*").alias("parts"), F.max(F.struct("q", "c")).alias("top"))
-        tops = tops.filter("parts > 1 and all > 2").select("t", "all", F.col("top.q").alias("most"), F.col("top.c").alias("main"))
-        open_ = placed.join(tops, "t").distinct().join(self.classes.select("k", "sketch"), "k")
-        open_ = self.scratch.table(open_, "open")
+        component need no comparing with one another; all others are held against the whole list, block by block.
+        Pairs of blocks are made by number and dealt out before the blocks join them, so no task gets a whole list."""
+        sc = self.scratch
+        sizes = live.groupBy("t", "c").agg(F.count("*").alias("q"))
+        tops = sizes.groupBy("t").agg(F.sum("q").alias("all"), F.max(F.struct("q", "c")).alias("top"))
+        tops = tops.select("t", "all", (F.col("all") - F.col("top.q")).alias("rest"), F.col("top.c").alias("main"))
+        held = live.groupBy("k").agg(F.array_sort(F.collect_set("t")).alias("lists"))  # as many as its prefix is long
+        open_ = sc.table(live.join(tops, "t").join(held, "k").select("t", "k", "n", "c", "sketch", "lists", "main", "all", "rest"), "open")
         dealt = lambda total: F.pmod(F.xxhash64("k"), F.ceil(F.col(total) / F.lit(BLOCK)).cast("long"))
-        member = F.struct("k", "n", "c", "sketch")
-        blocks = open_.groupBy("t", dealt("all").alias("mb")).agg(F.collect_list(member).alias("m"))
-        queries = open_.filter("c <> main").withColumn("rest", F.col("all") - F.col("most")).groupBy("t", dealt("rest").alias("qb")).agg(F.collect_list(member).alias("q"))
-        pairs = self.scratch.table(map_arrow(queries.join(blocks, "t").select("q", "m"), _block_pairs, "a bigint, b bigint").distinct(), "across")
-        self.scratch.drop(open_)
+        member = F.struct("k", "n", "c", "sketch", "lists")
+        blocks = sc.table(open_.groupBy("t", dealt("all").alias("mb")).agg(F.collect_list(member).alias("m")), "blocks")
+        queries = sc.table(open_.filter("c <> main").groupBy("t", dealt("rest").alias("qb")).agg(F.first("main").alias("main"), F.collect_list(member).alias("q")), "queries")
+        numbers = queries.select("t", "qb").join(blocks.select("t", "mb"), "t")
+        both = numbers.join(queries, ["t", "qb"]).join(blocks, ["t", "mb"]).select("t", "main", "q", "m")
+        pairs = sc.table(self._untried(map_arrow(both, _block_pairs, "a bigint, b bigint")), "across")
+        sc.drop(open_, blocks, queries)
         return pairs
 
 

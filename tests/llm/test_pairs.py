@@ -81,6 +81,39 @@ def test_links(spark, monkeypatch, block, rows_broadcast):
     assert links(tables.documents(spark, rows)) == ngram_join.brute(rows)
 
 
+def spread(seed, n):
+    """Copies of one text with more or fewer words changed: many pairs lie on either side of the threshold."""
+    rng = random.Random(seed)
+    base = tables.text(150, rng).split(" ")
+    out = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randrange(len(w))] = rng.choice(tables.WORDS) + str(rng.randint(0, 9))
+        out.append((5000 + i, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize(("productive", "block"), [(0, 16), (100, 256)])
+def test_links_of_a_large_group(spark, monkeypatch, productive, block):
+    """After one round of leaders (productive 0) all that is left is found by the comparison of blocks."""
+    monkeypatch.setattr(ngram_join, "PRODUCTIVE", productive)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rows = spread(7, 160) + spread(8, 40) + near(3, 20)
+    rows = list(dict((i, t) for i, (_, t) in enumerate(rows)).items())
+    assert links(tables.documents(spark, rows)) == ngram_join.brute(rows)
+
+
+def test_pivots_cut_the_global_order_evenly():
+    counts = np.random.default_rng(1).integers(0, 50, 4096)
+    part = ngram_join.pivots(counts, 8)
+    order = np.argsort(counts, kind="stable")
+    assert (np.diff(part[order]) >= 0).all() and set(part) == set(range(8))
+    weight = np.bincount(part, counts)
+    assert weight.max() - weight.min() < 2 * counts.max()
+    assert (ngram_join.pivots(np.zeros(4, np.int64), 8) == 0).all()
+
+
 def test_links_edge_cases(spark):
     assert links(tables.documents(spark, [])) == {}
     rows = tables.odd_texts()
