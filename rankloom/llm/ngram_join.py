@@ -5,12 +5,14 @@ A document is the set of its distinct five-word shingles; two link when 100 |A a
 1. Equal sets fall together in classes (same key: a hash and the size); links are sought between classes only.
 2. The global order of shingles goes from rare to common, by counts of 65536 hash buckets over all documents, then by
    hash. Linked sets must share a shingle among the first |A| - ceil(0.8 |A|) + 1 of each, so only these are
-   exchanged; shingles that one class alone has are dropped, and of lists with the same classes one stays.
+   exchanged, with their places; shingles that one class alone has, or that stand early in no set, are dropped, and of
+   lists with the same classes the first in the order stays. What two sets share lies from their first shared shingle
+   on, so its places bound the overlap, and pairs for which the bound is too low are left out in every list.
 3. In rounds, each list has a leader, every class takes the leader of other component that is likest by sketch, and
    the links found join components; a list whose classes are all in one component is done, as a pair inside one
    component can change nothing. Rounds go on, each with other leaders, as long as they make links in some number.
-4. Lists that still hold several components are compared in full, block by block, across components only; a pair is
-   proposed by the first list that both classes are in.
+4. Lists that still hold several components are compared in full, block by block, across components only. Of the
+   pairs found each class's likest comes first; what then still lies between components is counted too.
 5. Pairs are cleared by sizes and by parity sketches (the bits in which two sketches differ never exceed the shingles
    in which the sets differ, so nothing that links is lost), and those left are counted exactly: the global order is
    cut at pivots into fragments of equal weight, each set with it, overlaps are counted fragment by fragment and
@@ -119,26 +121,28 @@ def prefix_length(n: int) -> int:
 
 
 def _prefixes(counts):
-    """The first shingles of every set in the global order; each class once per task."""
+    """The first shingles of every set in the global order, their places, and whether they stand so early that the set
+    can be the smaller one of a linked pair; each class once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = counts.value, set()
         for batch in batches:
-            ts, ks, ns = [np.zeros(0, np.uint64)], [], []
+            ts, ks, at, early = [np.zeros(0, np.uint64)], [], [], []
             for s in shingle_sets(batch.column("text")):
                 if not len(s) or (k := _key(s)) in seen:
                     continue
                 seen.add(k)
+                n = len(s)
                 rank = order[(s >> _U(48)).astype(np.int64)]
-                p = prefix_length(len(s))
-                if p < len(s):
-                    # Sorted by hash already, so a stable sort by count gives (count, hash).
-                    s = s[np.argsort(rank, kind="stable")[:p]]
+                # Sorted by hash already, so a stable sort by count gives (count, hash).
+                s = s[np.argsort(rank, kind="stable")[: prefix_length(n)]]
                 ts.append(s)
                 ks.append(np.full(len(s), k))
-                ns.append(np.full(len(s), len(rank)))
+                at.append(np.arange(len(s), dtype=np.int32))
+                early.append((100 + PERCENT) * (n - at[-1].astype(np.int64)) >= 2 * PERCENT * n)
             if ks:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ts).view(np.int64)), pa.array(np.concatenate(ks).astype(np.int64)), pa.array(np.concatenate(ns).astype(np.int32))], names=["t", "k", "n"])
+                columns = [np.concatenate(ts).view(np.int64), np.concatenate(ks).astype(np.int64), np.concatenate(at), np.concatenate(early)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["t", "k", "pos", "early"])
 
     return run
 
@@ -178,33 +182,28 @@ class _Members:
     def __init__(self, x: pa.StructArray):
         self.k, self.c = (x.field(f).to_numpy() for f in ("k", "c"))
         self.n = x.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
+        self.rest = self.n - x.field("pos").to_numpy(zero_copy_only=False)
         self.sketch = x.field("sketch").flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH // 64)  # bits of signed numbers would be counted of their absolute values
-        self.lists = x.field("lists")
-
-    def lists_of(self, i: int) -> set[int]:
-        return set(self.lists[i].as_py())
 
 
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs between two blocks of one list that sizes and sketches allow, across components; of the lists that hold
-    both classes the least proposes them, and of the two orders of a pair outside the main component one."""
+    """Pairs between two blocks of one list that sizes, places and sketches allow, across components; of the two orders
+    of a pair outside the main component one."""
     for batch in batches:
-        us, vs = [], []
-        for t, main, queries, members in zip(batch.column("t").to_pylist(), batch.column("main").to_pylist(), batch.column("q"), batch.column("m")):
+        found = [np.zeros((0, 3), np.int64)]
+        for main, queries, members in zip(batch.column("main").to_pylist(), batch.column("q"), batch.column("m")):
             q, m = _Members(queries.values), _Members(members.values)
-            ok = (q.c[:, None] != m.c[None, :]) & (100 * np.minimum(q.n[:, None], m.n[None, :]) >= PERCENT * np.maximum(q.n[:, None], m.n[None, :]))
+            small, large = np.minimum(q.n[:, None], m.n[None, :]), np.maximum(q.n[:, None], m.n[None, :])
+            ok = (q.c[:, None] != m.c[None, :]) & (100 * small >= PERCENT * large)
+            ok &= (100 + PERCENT) * np.minimum(q.rest[:, None], m.rest[None, :]) >= PERCENT * (small + large)
             ok &= (q.k[:, None] < m.k[None, :]) | (m.c == main)[None, :]
             a, b = np.nonzero(ok)
             # |A xor B| <= (100 - p) / (100 + p) (|A| + |B|) for linked sets.
-            differ = np.bitwise_count(q.sketch[a] ^ m.sketch[b]).sum(1)
+            differ = np.bitwise_count(q.sketch[a] ^ m.sketch[b]).sum(1).astype(np.int64)
             keep = (100 + PERCENT) * differ <= (100 - PERCENT) * (q.n[a] + m.n[b])
-            a, b = a[keep].tolist(), b[keep].tolist()
-            of_q, of_m = ({i: x.lists_of(i) for i in set(at)} for x, at in ((q, a), (m, b)))
-            for i, j in zip(a, b):
-                if min(of_q[i] & of_m[j]) == t:
-                    us.append(int(q.k[i]))
-                    vs.append(int(m.k[j]))
-        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["a", "b"])
+            found.append(np.stack([q.k[a[keep]], m.k[b[keep]], differ[keep]], 1))
+        every = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(every[:, i]) for i in range(3)], names=["a", "b", "d"])
 
 
 def _wide_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +249,9 @@ class _Join:
             turn += 1
             if last:
                 break
-        final = self._merged(final, self._linked(self._cleared(self._across(live))))
+        pairs = self._across(live)
+        final = self._merged(final, self._linked(self._cleared(self._likest(pairs))))
+        final = self._merged(final, self._linked(self._cleared(self._between(pairs, final))))
         sc.drop(live)
         final = sc.table(final.select(F.col("node").alias("k"), F.col("root").alias("c")), "labels")
         labelled = self.classes.join(final, "k", "left").select("k", "rep", F.coalesce("c", "k").alias("c"))
@@ -260,17 +261,19 @@ class _Join:
         return self.sets.join(of_class, "k", "left").select(own.alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(own).alias("component_id"))
 
     def _shared_lists(self) -> DataFrame:
-        """t, k, n, c (component, at first the class), m (classes in the list), sketch: lists of two classes or more,
-        one of those that hold the same classes."""
+        """t, k, pos, n, c (component, at first the class), m (classes in the list), sketch: lists of two classes or
+        more, of those that hold the same classes the first in the global order, where all of these stand earliest."""
         sc = self.scratch
-        prefixes = sc.table(map_arrow(self.docs.select("text"), _prefixes(self.order), "t bigint, k bigint, n int"), "prefixes")
-        shared = sc.table(prefixes.groupBy("t").agg(F.min("k").alias("low"), F.max("k").alias("high")).filter("low <> high").select("t"), "shared")
-        near = sc.table(prefixes.join(shared, "t").select("t", "k", "n").distinct(), "near")
+        prefixes = sc.table(map_arrow(self.docs.select("text"), _prefixes(self.order), "t bigint, k bigint, pos int, early boolean"), "prefixes")
+        shared = prefixes.groupBy("t").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.max("early").alias("early")).filter("low <> high and early").select("t")
+        shared = sc.table(shared, "shared")
+        near = sc.table(prefixes.join(shared, "t").select("t", "k", "pos").distinct(), "near")
         sc.drop(shared, prefixes)
         h = F.xxhash64("k")
         content = [F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("x"), F.sum(F.shiftrightunsigned(h, 32)).alias("y"), F.min("k").alias("low"), F.max("k").alias("high")]
-        lists = near.groupBy("t").agg(F.count("*").alias("m"), *content).groupBy("m", "x", "y", "low", "high").agg(F.min("t").alias("t")).select("t", "m")
-        live = near.join(lists, "t").join(self.classes.select("k", "sketch"), "k").select("t", "k", "n", F.col("k").alias("c"), "m", "sketch")
+        lists = near.groupBy("t").agg(F.count("*").alias("m"), F.min_by("pos", "k").alias("first"), *content)
+        lists = lists.groupBy("m", "x", "y", "low", "high").agg(F.min(F.struct("first", "t")).alias("o")).select("o.t", "m")
+        live = near.join(lists, "t").join(self.classes.select("k", F.col("n").cast("int").alias("n"), "sketch"), "k").select("t", "k", "pos", "n", F.col("k").alias("c"), "m", "sketch")
         live = sc.table(live, "live")
         sc.drop(near)
         return live
@@ -278,7 +281,7 @@ class _Join:
     def _open(self, live: DataFrame, labels: DataFrame) -> DataFrame:
         """Lists that still hold several components."""
         sc = self.scratch
-        placed = sc.table(live.drop("c").join(labels.withColumnRenamed("node", "k"), "k", "left").select("t", "k", "n", F.coalesce("root", "k").alias("c"), "m", "sketch"), "placed")
+        placed = sc.table(live.drop("c").join(labels.withColumnRenamed("node", "k"), "k", "left").select("t", "k", "pos", "n", F.coalesce("root", "k").alias("c"), "m", "sketch"), "placed")
         several = placed.groupBy("t").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("t")
         out = sc.table(placed.join(several, "t"), "live")
         sc.drop(placed)
@@ -292,12 +295,23 @@ class _Join:
     def _led(self, live: DataFrame, turn: int) -> DataFrame:
         """For every class the leader of another component that is likest by sketch, if size and sketch allow a link."""
         choice = F.pmod("t", F.greatest(F.lit(1), F.least(F.lit(LEADERS), F.floor(F.col("m") / PER_LEADER))))
-        lead = live.groupBy("t").agg(F.min(F.struct(F.xxhash64("k", choice, F.lit(turn)).alias("h"), F.col("k").alias("lk"), F.col("n").alias("ln"), F.col("c").alias("lc"), F.col("sketch").alias("ls"))).alias("l")).select("t", "l.*")
-        close = F.expr(f"c <> lc and 100 * least(n, ln) >= {PERCENT} * greatest(n, ln)")
+        lead = live.groupBy("t").agg(F.min(F.struct(F.xxhash64("k", choice, F.lit(turn)).alias("h"), F.col("k").alias("lk"), F.col("n").alias("ln"), F.col("pos").alias("lpos"), F.col("c").alias("lc"), F.col("sketch").alias("ls"))).alias("l")).select("t", "l.*")
+        close = F.expr(f"c <> lc and 100 * least(n, ln) >= {PERCENT} * greatest(n, ln) and {100 + PERCENT} * least(n - pos, ln - lpos) >= {PERCENT} * (n + ln)")
         near = live.join(lead, "t").filter(close).withColumn("d", _differ("sketch", "ls")).filter((100 + PERCENT) * F.col("d") <= (100 - PERCENT) * (F.col("n") + F.col("ln")))
         pairs = self._untried(near.select(F.col("k").alias("a"), F.col("lk").alias("b"), "k", "d"))
         return pairs.groupBy("k").agg(F.min(F.struct("d", "a", "b")).alias("p")).select("p.a", "p.b")
 
+    def _likest(self, pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b, d) the one of least d for every class in them."""
+        both = pairs.select(F.col("a").alias("k"), "d", "a", "b").unionByName(pairs.select(F.col("b").alias("k"), "d", "a", "b"))
+        return both.groupBy("k").agg(F.min(F.struct("d", "a", "b")).alias("p")).select("p.a", "p.b")
+
+    def _between(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs of different components that have not been tried."""
+        root = lambda x: labels.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))
+        placed = self._untried(pairs.select("a", "b")).join(root("a"), "a", "left").join(root("b"), "b", "left")
+        return placed.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+
     def _merged(self, labels: DataFrame | None, links: DataFrame) -> DataFrame:
         """node, root after the links are taken in; links join components, so few rows are walked."""
         sc = self.scratch
@@ -349,15 +363,14 @@ class _Join:
         sizes = live.groupBy("t", "c").agg(F.count("*").alias("q"))
         tops = sizes.groupBy("t").agg(F.sum("q").alias("all"), F.max(F.struct("q", "c")).alias("top"))
         tops = tops.select("t", "all", (F.col("all") - F.col("top.q")).alias("rest"), F.col("top.c").alias("main"))
-        held = live.groupBy("k").agg(F.array_sort(F.collect_set("t")).alias("lists"))  # as many as its prefix is long
-        open_ = sc.table(live.join(tops, "t").join(held, "k").select("t", "k", "n", "c", "sketch", "lists", "main", "all", "rest"), "open")
+        open_ = sc.table(live.join(tops, "t").select("t", "k", "pos", "n", "c", "sketch", "main", "all", "rest"), "open")
         dealt = lambda total: F.pmod(F.xxhash64("k"), F.ceil(F.col(total) / F.lit(BLOCK)).cast("long"))
-        member = F.struct("k", "n", "c", "sketch", "lists")
+        member = F.struct("k", "n", "pos", "c", "sketch")
         blocks = sc.table(open_.groupBy("t", dealt("all").alias("mb")).agg(F.collect_list(member).alias("m")), "blocks")
         queries = sc.table(open_.filter("c <> main").groupBy("t", dealt("rest").alias("qb")).agg(F.first("main").alias("main"), F.collect_list(member).alias("q")), "queries")
         numbers = queries.select("t", "qb").join(blocks.select("t", "mb"), "t")
-        both = numbers.join(queries, ["t", "qb"]).join(blocks, ["t", "mb"]).select("t", "main", "q", "m")
-        pairs = sc.table(self._untried(map_arrow(both, _block_pairs, "a bigint, b bigint")), "across")
+        both = numbers.join(queries, ["t", "qb"]).join(blocks, ["t", "mb"]).select("main", "q", "m")
+        pairs = sc.table(self._untried(map_arrow(both, _block_pairs, "a bigint, b bigint, d bigint").distinct()), "across")
         sc.drop(open_, blocks, queries)
         return pairs
 
