@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import catalogue
+from .plans import catalogue, updates  # noqa: F401  updates adds its entries to the catalogue's
 
 
 def queries() -> dict:

@@ -14,6 +14,9 @@ RANK = r"^(\d{1,5})(?:\s*/\s*\d{1,5})?\s+"
 CENTRE = r"^\d{5,7}\s+(.+)\((\d{8})\)(.+)$"
 SPECIALTY = r"^([0-9A-Z]{3})\s*/\s*(.+)$"
 MARKERS = r"(?iu)(?:Petici.n\s*:|Voluntaria\b|Obligat.ria\b|PREFER.NCIA\b)"
+# The header of a page of other bodies: its marker, lines read after it, a code at a line's end or start.
+PAGE_MARKER, PAGE_LINES = "altres cossos / otros cuerpos", 6
+CODE_AT_END, CODE_AT_START, DIGIT = r"^(.+?)\s*([0-9A-Z]{3})$", r"^([0-9A-Z]{3})\s+(.+)$", r"\d"
 
 
 def is_candidate(line: Column) -> Column:
@@ -24,10 +27,10 @@ def page_specialty(text: Column) -> Column:
     """struct<code,name> of a page: within six lines after the marker, the first line that ends or begins with a code
     of three characters, one a digit at least; lines with a slash don't count. Null without one."""
     lines = F.filter(F.transform(F.split(text, r"\r?\n"), squeeze), lambda x: x != "")
-    marked = F.filter(F.transform(lines, lambda x, i: F.when(folded(x).contains("altres cossos / otros cuerpos"), i)), lambda i: i.isNotNull())
+    marked = F.filter(F.transform(lines, lambda x, i: F.when(folded(x).contains(PAGE_MARKER), i)), lambda i: i.isNotNull())
     start = F.get(marked, F.lit(0))
-    near = F.slice(lines, start + 2, 6)
-    suffix, prefix, digit = r"^(.+?)\s*([0-9A-Z]{3})$", r"^([0-9A-Z]{3})\s+(.+)$", r"\d"
+    near = F.slice(lines, start + 2, PAGE_LINES)
+    suffix, prefix, digit = CODE_AT_END, CODE_AT_START, DIGIT
 
     def read(x: Column) -> Column:
         by_end = F.regexp_extract(x, suffix, 2).rlike(digit)
@@ -44,7 +47,7 @@ def awards(blocks: DataFrame) -> DataFrame:
     """blocks: lines array<string>, body, page_specialty struct<code,name> (nullable), and any other columns, which
     stay. Adds award, null where the block is no award."""
     head = F.get("lines", F.lit(0))
-    rest = F.slice("lines", 2, 1_000_000)
+    rest = F.slice("lines", F.lit(2), F.greatest(F.size("lines"), F.lit(1)))
     first = lambda p: F.get(F.filter(rest, lambda x: x.rlike(p)), F.lit(0))
     centre, spec = first(CENTRE), first(SPECIALTY)
     awarded = F.regexp_extract(spec, SPECIALTY, 1)

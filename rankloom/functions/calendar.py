@@ -77,6 +77,7 @@ def due_modes(utc: Column, zone: str = "Europe/Madrid") -> Column:
     return F.array_compact(F.array(*[F.when(rule, mode) for mode, rule in rules.items()]))
 
 
+# Names of the checks, in canonical order.
 MODES = ("inicio", "curso", "posiciones", "acreditaciones", "puestos")
 
 

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
-import pandas as pd
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..shipping import ship
 
 
 def _accent_table() -> tuple[str, str]:
@@ -30,9 +25,11 @@ _BLANKS = r"[\s   -     　\u000B\u001C-\u001F\u0085]+"
 
 
 def strip_accents(c: Column, compatibility: bool = False) -> Column:
-    """Letters without their marks; with compatibility also the ordinal signs become a and o."""
+    """Letters without their marks; with compatibility also the ordinal signs become a and o. Texts of ASCII alone,
+    which have as many bytes as characters, stay as they are."""
     plain = F.regexp_replace(F.translate(c, _FROM, _TO), _MARKS, "")
-    return F.translate(plain, "ªº", "ao") if compatibility else plain
+    plain = F.translate(plain, "ªº", "ao") if compatibility else plain
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(plain)
 
 
 def squeeze(c: Column) -> Column:
@@ -79,69 +76,82 @@ def zero_is_blank(c: Column) -> Column:
     return F.when(squeeze(c) == "0", "").otherwise(squeeze(c))
 
 
-# Words that centre names write in a form of their own.
-_ACRONYMS = ("CEIP", "CEP", "CEE", "CRA", "IES", "CIPFP", "CFPA", "FPA", "EOI", "EI", "FP")
-_LINKING = ("De", "Del", "Dels", "I", "Y")
-_ARTICLES = ("el", "la", "los", "las")
-_NUMERALS = ("II", "III", "IV", "VI", "VII", "VIII", "IX", "XI", "XII")
-_RULERS = ("Jaume", "Jaime", "Joan", "Juan", "Alfons", "Alfonso", "Carles", "Carlos", "Enric", "Enrique", "Lluís", "Luis")
-_PLACE_ARTICLES = {"EL": "El", "LA": "La", "LOS": "Los", "LAS": "Las", "ELS": "Els", "LES": "Les"}
-
-_WORD_FORMS = {a.capitalize(): a for a in _ACRONYMS} | {w: w.lower() for w in _LINKING}
-_NUMERAL_FORMS = {n.capitalize(): n for n in _NUMERALS}
-_NAMED = re.compile(r"\b(%s)\b" % "|".join(sorted(_WORD_FORMS, key=len, reverse=True)))
-_NUMBERED = re.compile(r"\b(%s)\b" % "|".join(sorted(_NUMERAL_FORMS, key=len, reverse=True)))
-_RULED = re.compile(r"\b(%s)\s+i\b" % "|".join(_RULERS), re.I)
-_AFTER_ACRONYM = re.compile(r"^(%s)\s+(%s)\b" % ("|".join(a for a in _ACRONYMS if a not in ("FPA", "FP")), "|".join(_ARTICLES)))
-_PLACE = re.compile(r"^(.+?)\s+\((%s|L['’])\)$" % "|".join(_PLACE_ARTICLES), re.I)
-
-
-def title_of(value: str | None) -> str:
-    """Title case with the conventions of centre names."""
-    text = " ".join((value or "").split()).lower().title()
-    text = _NAMED.sub(lambda m: _WORD_FORMS[m[0]], re.sub(r"\bPub\.\b", "Púb.", text))
-    text = re.sub(r"^(%s)\b" % "|".join(_ARTICLES), lambda m: m[0].capitalize(), text)
-    text = _AFTER_ACRONYM.sub(lambda m: f"{m[1]} {m[2].capitalize()}", text)
-    text = re.sub(r"\bD'([A-ZÀ-Ú])", lambda m: "d'" + m[1].lower(), text)
-    text = re.sub(r"\bL'([a-zà-ú])", lambda m: "L'" + m[1].upper(), text)
-    text = text.replace("Col·Legi", "Col·legi").replace("1Er", "1er")
-    text = _NUMBERED.sub(lambda m: _NUMERAL_FORMS[m[0]], text)
-    return _RULED.sub(lambda m: m[1] + " I", text)
-
-
-def place_of(value: str | None) -> str:
-    """As title_of; an article in brackets at the end goes to the front."""
-    text = " ".join((value or "").split())
-    if not (m := _PLACE.match(text)):
-        return title_of(text)
-    name, article = title_of(m[1]), m[2].upper().replace("’", "'")
-    return f"L'{name[:1].upper()}{name[1:]}" if article == "L'" else f"{_PLACE_ARTICLES[article]} {name}"
-
-
-def name_of(value: str | None) -> str:
-    """'SURNAMES, GIVEN' as 'Given Surnames'."""
-    surnames, comma, given = (value or "").partition(",")
-    shown = (f"{given.strip()} {surnames.strip()}" if comma else surnames).title()
-    return re.sub(r"\bMª", "Mª", shown, flags=re.I)
+# Words that centre names write in a form of their own, names of rulers, articles of place names.
+ACRONYMS = ("CEIP", "CEP", "CEE", "CRA", "IES", "CIPFP", "CFPA", "FPA", "EOI", "EI", "FP")
+LINKING = ("de", "del", "dels", "i", "y")
+NUMERALS = ("II", "III", "IV", "VI", "VII", "VIII", "IX", "XI", "XII")
+RULERS = ("Jaume", "Jaime", "Joan", "Juan", "Alfons", "Alfonso", "Carles", "Carlos", "Enric", "Enrique", "Lluís", "Luis")
+PLACE_ARTICLES = ("El", "La", "Los", "Las", "Els", "Les")
+
+_WORD = r"[\p{L}\p{M}\p{N}_]"
+_FORMS = {w.lower(): w for w in (*ACRONYMS, *LINKING, *NUMERALS)}
+
 
+def _capitals(word: Column) -> Column:
+    """Every run of letters in a word begins with a capital; digits part runs, so 3a is 3A but 1er stays 1er."""
+    runs = F.regexp_extract_all(word, F.lit(r"([^\p{L}\p{M}]+|[\p{L}\p{M}]+)"), F.lit(1))
+    cased = F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substring(r, 2, 2147483647))), "")
+    return F.regexp_replace(cased, "1Er", "1er")
 
-def _vectorised(function, c: Column) -> Column:
-    """Title case of Python and of Spark differ after apostrophes and dots, so these run on Arrow batches."""
 
-    def apply(s: pd.Series) -> pd.Series:
-        return s.map(function)
+def _words(c: Column) -> Column:
+    """Words and what stands between them, in turn, as one array."""
+    return F.regexp_extract_all(F.lower(squeeze(c)), F.lit(f"({_WORD}+|(?:(?!{_WORD}).)+)"), F.lit(1))
 
-    ship(SparkSession.active())
-    return F.pandas_udf(apply, T.StringType())(c)
+
+def title_case(c: Column) -> Column:
+    """Capitals after everything that is no letter."""
+    return F.array_join(F.transform(_words(c), _capitals), "")
 
 
 def smart_title(c: Column) -> Column:
-    return _vectorised(title_of, c)
+    """Title case with the conventions of centre names. A word's form depends on the word and on what stands before and
+    after it: acronyms and numerals in capitals, linking words small, d' with a small letter and l' with a capital one,
+    a ruler's number 'i' as a numeral, the second half of a geminate l small."""
+
+    def form(tokens: Column, word: Column, at: Column) -> Column:
+        near = lambda step: F.coalesce(F.get(tokens, at + step), F.lit(""))
+        before, earlier, after = near(-1), near(-2), near(1)
+        usual = F.coalesce(lookup(_FORMS, word), _capitals(word))
+        joined = lambda head, mark: (before == mark) & (earlier == head)
+        return (
+            F.when((word == "i") & (F.trim(before) == "") & earlier.isin(*[r.lower() for r in RULERS]), "I")
+            .when(joined("d", "'"), lower_first(usual))
+            .when(joined("l", "'"), upper_first(usual))
+            .when((before == "·") & (earlier == "col") & word.startswith("legi"), word)
+            .when((word == "d") & after.startswith("'") & (F.length(after) == 1) & (F.size(tokens) > at + 2), "d")
+            .when((word == "pub") & (after == ".") & (F.size(tokens) > at + 2), "Púb")
+            .otherwise(usual)
+        )
+
+    # The outer lambda binds the words, which would be cut anew for each of them otherwise.
+    said = F.transform(F.array(_words(c)), lambda tokens: F.array_join(F.transform(tokens, lambda w, i: form(tokens, w, i)), ""))
+    return F.get(said, F.lit(0))
+
+
+def lookup(mapping: dict[str, str], c: Column) -> Column:
+    """A small fixed mapping; null where it has no entry."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv]), c)
+
+
+def upper_first(c: Column) -> Column:
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 2147483647))
+
+
+def lower_first(c: Column) -> Column:
+    return F.concat(F.lower(F.substring(c, 1, 1)), F.substring(c, 2, 2147483647))
 
 
 def display_place(c: Column) -> Column:
-    return _vectorised(place_of, c)
+    """As smart_title; an article in brackets at the end goes to the front, joined if it ends in an apostrophe."""
+    text, tail = squeeze(c), r"(?iu)^(.+?) \((%s|l['’])\)$" % "|".join(a.lower() for a in PLACE_ARTICLES)
+    article = F.lower(F.regexp_extract(text, tail, 2))
+    name = smart_title(F.regexp_extract(text, tail, 1))
+    return F.when(article == "", smart_title(text)).when(F.substring(article, 2, 1).isin("'", "’"), F.concat(F.lit("L'"), upper_first(name))).otherwise(F.concat_ws(" ", upper_first(article), name))
 
 
 def display_name(c: Column) -> Column:
-    return _vectorised(name_of, c)
+    """'SURNAMES, GIVEN' as 'Given Surnames'."""
+    c = F.coalesce(c.cast("string"), F.lit(""))
+    surnames, given = F.substring_index(c, ",", 1), F.substring(c, F.instr(c, ",") + 1, F.lit(2147483647))
+    return title_case(F.when(F.instr(c, ",") > 0, F.concat_ws(" ", F.trim(given), F.trim(surnames))).otherwise(surnames))

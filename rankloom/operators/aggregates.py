@@ -78,3 +78,24 @@ def sorted_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """counts: a map of value to count for each group, in order of value; empty groups don't occur."""
     per = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
     return per.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(value, "n")))).alias("counts"))
+
+
+def reason_counts(df: DataFrame, parts: list[str], reason: str, batch: str) -> DataFrame:
+    """key ('part:part:reason') and n. A batch that counts a key again overwrites what earlier ones counted."""
+    per = df.groupBy(*parts, reason, batch).agg(F.count("*").alias("n"))
+    last = per.groupBy(*parts, reason).agg(F.max_by("n", batch).alias("n"))
+    return last.select(F.concat_ws(":", *parts, reason).alias("key"), "n")
+
+
+def document_summary(df: DataFrame, document: str, code: str, counted: Column, owned: Column) -> DataFrame:
+    """Per document: records, counted rows, those of them that are not owned, those that are, and a map of the owned by
+    code, in order of code."""
+    c, mine = F.coalesce(counted, F.lit(False)), F.coalesce(owned, F.lit(False))
+    per = df.groupBy(document, code).agg(F.count("*").alias("__r"), F.count_if(c).alias("__c"), F.count_if(c & mine).alias("__o"))
+    g = per.groupBy(document).agg(F.sum("__r").alias("records"), F.sum("__c").alias("counted"), F.sum("__o").alias("owned"), F.array_sort(F.collect_list(F.when(F.col("__o") > 0, F.struct(F.col(code).alias("key"), F.col("__o").alias("value"))))).alias("__m"))
+    return g.select(document, "records", "counted", (F.col("counted") - F.col("owned")).alias("excluded"), "owned", F.map_from_entries("__m").alias("counts"))
+
+
+def occupancy(df: DataFrame, code: str, contribution: Column) -> DataFrame:
+    """The sum of contributions of each code, which is the last value of its running sum; 0 where nobody contributes."""
+    return df.groupBy(code).agg(F.coalesce(F.sum(contribution), F.lit(0)).cast("long").alias("total"))

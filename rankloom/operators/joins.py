@@ -5,13 +5,11 @@ None of these broadcasts by hint: Spark does so below its own size threshold, an
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..shipping import ship
+from ..shipping import map_arrow, ship
 
 
 def lookup(left: DataFrame, dimension: DataFrame, on: list[str], fallbacks: dict[str, Column | str]) -> DataFrame:
@@ -75,46 +73,80 @@ def block_join(rows: DataFrame, starts: DataFrame, keys: list[str], row_at: str,
 
 
 def guarded_full_outer(left: DataFrame, right: DataFrame, key: str, left_columns: list[str], right_columns: list[str]) -> DataFrame:
-    """Rows of a key that is single on both sides fuse (source 'both'); all other rows stay as they are, with their side."""
-    count = lambda df, n: df.groupBy(key).agg(F.count("*").alias(n))
-    sizes = count(left, "__l").join(count(right, "__r"), key)
-    single = sizes.filter("__l = 1 and __r = 1").select(key)
-    fused = left.select(key, *left_columns).join(single, key).join(right.select(key, *right_columns), key).withColumn("source", F.lit("both"))
-    rest = lambda df, cols, name: df.select(key, *cols).join(single, key, "left_anti").withColumn("source", F.lit(name))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [fused, rest(left, left_columns, "left"), rest(right, right_columns, "right")])
-
-
-def similarity(a: str, b: str) -> float:
-    """1 for equal names but for blanks or the order of words, else the ratio of matching blocks."""
-    from difflib import SequenceMatcher
-
-    if a.replace(" ", "") == b.replace(" ", "") or sorted(a.split()) == sorted(b.split()):
-        return 1.0
-    return SequenceMatcher(None, a, b).ratio()
+    """Rows of a key that is single on both sides fuse (source 'both'); all other rows stay as they are, with their
+    side. A null key never fuses. One aggregate counts both sides and holds the rows of single keys."""
+    side = lambda df, cols, name, other, n: df.select(key, F.struct(*cols).alias(name), F.lit(None).cast(other.select(F.struct(*n)).schema[0].dataType).alias("__r" if name == "__l" else "__l"))
+    both = side(left, left_columns, "__l", right, right_columns).unionByName(side(right, right_columns, "__r", left, left_columns))
+    g = both.groupBy(key).agg(F.count("__l").alias("__nl"), F.count("__r").alias("__nr"), F.max("__l").alias("__l"), F.max("__r").alias("__r"))
+    single = g.filter(F.col(key).isNotNull() & (F.col("__nl") == 1) & (F.col("__nr") == 1))
+    rest = both.join(single.select(key), key, "left_anti")
+    source = F.when(F.col("__l").isNull(), "right").otherwise("left")
+    out = single.select(key, "__l", "__r", F.lit("both").alias("source")).unionByName(rest.select(key, "__l", "__r", source.alias("source")))
+    return out.select(key, *[F.col(f"__l.{c}").alias(c) for c in left_columns], *[F.col(f"__r.{c}").alias(c) for c in right_columns], "source")
+
+
+def _ratios(floor: float):
+    """Of every pair 1 if it is known to be the same, else the share of text in matching blocks, where that can reach floor."""
+
+    def run(batches):
+        from difflib import SequenceMatcher
+
+        import pyarrow as pa
+
+        for batch in batches:
+            scores = []
+            matcher = SequenceMatcher()
+            for same, k, r in zip(*(batch.column(c).to_pylist() for c in ("same", "k", "r"))):
+                if same:
+                    scores.append(1.0)
+                    continue
+                matcher.set_seqs(k, r)
+                scores.append(matcher.ratio() if matcher.quick_ratio() >= floor else None)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("b", "i", "j")), pa.array(scores, pa.float64())], names=["b", "i", "j", "score"])
+
+    return run
+
+
+def scored_pairs(records: DataFrame, rows: DataFrame, floor: float) -> DataFrame:
+    """b, i, j, score of pairs of a block (records: b, i, k; rows: b, j, r) whose names are alike to floor or more. Names
+    that are equal but for blanks or the order of words score 1; lengths rule out most others before any text is read."""
+    compact = lambda c: F.regexp_replace(c, r"\s", "")
+    words = lambda c: F.array_sort(F.split(F.trim(c), r"\s+"))
+    same = (compact("k") == compact("r")) | (words("k") == words("r"))
+    least, total = F.least(F.length("k"), F.length("r")), F.length("k") + F.length("r")
+    near = records.join(rows, "b").withColumn("same", same).filter(F.col("same") | (2 * least >= F.lit(floor) * total))
+    kind = lambda c: near.schema[c].dataType.simpleString()
+    return map_arrow(near.select("b", "i", "j", "same", "k", "r"), _ratios(floor), f"b {kind('b')}, i {kind('i')}, j {kind('j')}, score double").filter(F.col("score") >= floor)
 
 
 def fuzzy_match(records: DataFrame, rows: DataFrame, block: str, record_id: str, record_key: str, row_id: str, row_key: str, least: float = 0.92, margin: float = 0.05) -> DataFrame:
     """record_id, row_id, score: in each block records, in order of id, take the free row of best score if it reaches
-    `least` and leads the second best by `margin`. Taking turns makes this sequential in a block; blocks run apart."""
-    import pandas as pd
-
+    `least` and leads the second best by `margin`. Pairs below least - margin can neither win nor stand in the way, so
+    only the others, which are few, take turns; that is sequential in a block, and blocks run apart."""
     ship(records.sparkSession)
-    kind = lambda df, c: df.schema[c].dataType.simpleString()
     a = records.select(F.col(block).alias("b"), F.col(record_id).alias("i"), F.col(record_key).alias("k"))
     z = rows.select(F.col(block).alias("b"), F.col(row_id).alias("j"), F.col(row_key).alias("r"))
-
-    def match(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        free = dict(zip(y["j"], y["r"]))
-        out = []
-        for i, k in sorted(zip(x["i"], x["k"])):
-            top = sorted(((similarity(k, r), j) for j, r in free.items()), reverse=True)[:2]
-            second = top[1][0] if len(top) > 1 else 0.0
-            if top and top[0][0] >= least and top[0][0] - second >= margin:
-                out.append((i, top[0][1], round(top[0][0], 6)))
-                del free[top[0][1]]
-        return pd.DataFrame(out, columns=["i", "j", "score"])
-
-    matched = a.groupBy("b").cogroup(z.groupBy("b")).applyInPandas(match, f"i {kind(records, record_id)}, j {kind(rows, row_id)}, score double")
+    scored = scored_pairs(a, z, least - margin)
+    kind = lambda c: scored.schema[c].dataType.simpleString()
+
+    def turns(table):
+        from itertools import groupby
+
+        import pyarrow as pa
+
+        out, taken = [], set()
+        ordered = sorted(zip(*(table.column(c).to_pylist() for c in ("i", "score", "j"))))
+        for i, own in groupby(ordered, key=lambda x: x[0]):
+            free = [(score, j) for _, score, j in own if j not in taken]
+            score, j = free[-1] if free else (0.0, None)
+            if score >= least and score - (free[-2][0] if len(free) > 1 else 0.0) >= margin:
+                out.append((i, j, round(score, 6)))
+                taken.add(j)
+        columns = zip(*out) if out else ([], [], [])
+        types = (table.schema.field("i").type, table.schema.field("j").type, pa.float64())
+        return pa.table([pa.array(list(c), t) for c, t in zip(columns, types)], names=["i", "j", "score"])
+
+    matched = scored.groupBy("b").applyInArrow(turns, f"i {kind('i')}, j {kind('j')}, score double")
     return matched.select(F.col("i").alias(record_id), F.col("j").alias(row_id), "score")
 
 
@@ -129,15 +161,14 @@ def top_with_margin(scored: DataFrame, key: str, candidate: str, score: str, lea
 
 def cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[list[str]]) -> DataFrame:
     """left_id, right_id, tier of the first tier of key columns on which a left row has exactly one right row; a tier
-    with several is ambiguous and leaves the row to the next. Keys that hold nulls never match."""
-    found = None
-    rest = left
+    with several is ambiguous and leaves the row to the next. Keys that hold nulls never match. Each tier is one join
+    more on the same rows, so the plan grows with the number of tiers only."""
+    found = left
     for n, keys in enumerate(tiers, 1):
-        one = right.groupBy(*keys).agg(F.count_distinct(right_id).alias("__n"), F.min(right_id).alias(right_id)).filter("__n = 1").drop("__n")
-        hit = rest.join(one, keys).select(left_id, right_id, F.lit(n).alias("tier"))
-        found = hit if found is None else found.unionByName(hit)
-        rest = rest.join(hit.select(left_id), left_id, "left_anti")
-    return found
+        one = right.groupBy(*keys).agg(F.count_distinct(right_id).alias("__n"), F.min(right_id).alias(f"__r{n}")).filter("__n = 1").drop("__n")
+        found = found.join(one, keys, "left")
+    hits = [F.when(F.col(f"__r{n}").isNotNull(), F.struct(F.col(f"__r{n}").alias("r"), F.lit(n).alias("tier"))) for n in range(1, len(tiers) + 1)]
+    return found.select(left_id, F.coalesce(*hits).alias("__h")).filter("__h is not null").select(left_id, F.col("__h.r").alias(right_id), F.col("__h.tier").alias("tier"))
 
 
 def update_columns(base: DataFrame, updates: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -147,6 +178,11 @@ def update_columns(base: DataFrame, updates: DataFrame, key: str, columns: list[
     return joined.select(*[F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in base.columns])
 
 
+def override_rows(base: DataFrame, overrides: DataFrame, key: str) -> DataFrame:
+    """Whole rows of overrides replace those of their key; keys that base lacks are added. Same columns."""
+    return base.join(overrides.select(key), key, "left_anti").select(*base.columns).unionByName(overrides.select(*base.columns))
+
+
 def propagate(rows: DataFrame, source: DataFrame, keys: list[str], column: str, inherits: Column) -> DataFrame:
     """Rows for which inherits holds take the column from source by key, all others get null."""
     src = source.select(*keys, F.col(column).alias("__v"))

@@ -87,3 +87,57 @@ def changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
 def should_publish(old_digest: Column, new_digest: Column, old_date: Column, new_date: Column, old_year: Column, new_year: Column) -> Column:
     """Another content, and not older within the same year."""
     return ~new_digest.eqNullSafe(old_digest) & ((new_year != old_year) | old_date.isNull() | (new_date >= old_date))
+
+
+def key_union(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
+    """The keys that either table has, once each."""
+    return first.select(key).unionByName(second.select(key)).distinct()
+
+
+def union_all(*tables: DataFrame) -> DataFrame:
+    """All rows of all tables, repeated ones too; columns that a table lacks are null."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out
+
+
+def snapshot_for_year(state: DataFrame, snapshots: DataFrame, year: str, date: str, digest: str, wanted) -> DataFrame:
+    """The published snapshot of a year. Of snapshots of the wanted year the newest counts; it replaces the state if its
+    content differs and it is not older within the year. Without one a state of the wanted year stays and any other is
+    cleared. Both tables carry year, date and digest in every row."""
+    own = snapshots.filter(F.col(year) == wanted)
+    new = own.agg(F.max(F.struct(date, digest)).alias("__s")).select(F.col(f"__s.{date}").alias("__nd"), F.col(f"__s.{digest}").alias("__nh"))  # one row
+    old = state.agg(F.max(year).alias("__oy"), F.max(date).alias("__od"), F.max(digest).alias("__oh"))  # one row
+    has = F.col("__nd").isNotNull()
+    take = has & (F.col("__oy").isNull() | should_publish(F.col("__oh"), F.col("__nh"), F.col("__od"), F.col("__nd"), F.col("__oy"), F.lit(wanted)))
+    stays = ~take & (has | (F.col("__oy") == wanted))
+    verdict = F.broadcast(old.join(new).select("__nd", "__nh", F.coalesce(take, F.lit(False)).alias("__take"), F.coalesce(stays, F.lit(False)).alias("__stays")))
+    kept = state.join(verdict).filter("__stays").select(*state.columns)
+    taken = own.join(verdict).filter(F.col("__take") & (F.col(date) == F.col("__nd")) & (F.col(digest) == F.col("__nh"))).select(*state.columns)
+    return kept.unionByName(taken)
+
+
+def rebuilt_if_changed(state: DataFrame, rebuilt: DataFrame, old: DataFrame, new: DataFrame, name: str = "name", digest: str = "sha256") -> DataFrame:
+    """rebuilt if any named digest is new or differs from the one kept, else the state; old and new are small tables of
+    name and digest. One plan, no action."""
+    differ = new.join(old.select(F.col(name).alias("__n"), F.col(digest).alias("__d")), (F.col(name) == F.col("__n")) & F.col(digest).eqNullSafe(F.col("__d")), "left_anti")
+    verdict = F.broadcast(differ.agg((F.count("*") > 0).alias("__changed")))  # one row
+    keep = lambda df, test: df.join(verdict).filter(test).select(*state.columns)
+    return keep(state, ~F.col("__changed")).unionByName(keep(rebuilt, F.col("__changed")))
+
+
+LEDGER = "url string, sha256 string, mode string, body string, published_date string, rows long, reason string"
+
+
+def marked(ledger: DataFrame, documents: DataFrame, mode: str) -> DataFrame:
+    """The ledger with documents (url, sha256, body, published_date, rows) as processed; a later mark of a url wins."""
+    new = documents.select("url", "sha256", F.lit(mode).alias("mode"), "body", "published_date", F.col("rows").cast("long").alias("rows"), F.lit(None).cast("string").alias("reason"))
+    return ledger.join(new.select("url"), "url", "left_anti").select(*new.columns).unionByName(new)
+
+
+def ignored(ledger: DataFrame, links: DataFrame, mode: str, reason: Column) -> DataFrame:
+    """The ledger with links (url) as seen but not used, for a reason."""
+    text = lambda n: F.lit(None).cast("string").alias(n)
+    new = links.select("url", text("sha256"), F.lit(f"{mode}:ignored").alias("mode"), text("body"), text("published_date"), F.lit(0).cast("long").alias("rows"), reason.alias("reason"))
+    return ledger.join(new.select("url"), "url", "left_anti").select(*new.columns).unionByName(new)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ranks import finite
+
 
 def violations(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     """rule, key for every row and rule that does not hold (null counts as not holding); one pass."""
@@ -43,10 +45,101 @@ def rank_rules(start: str, without: str, after: str, after_without: str) -> dict
     }
 
 
+# Names and forms of published offers, cut tables and override files.
+OFFER_DATASET, OFFER_MODE, OFFER_STATUS = "puestos_ofertados", "replace_latest_snapshot", "published"
+PLACEMENTS = ("vacante", "sub_indeterminada", "sub_determinada")
+CUT_FIELDS = ("codigoEspecialidad", "numeroCorte", "cuerpo", "tipoPlaza")
+LEAST_CUT_SCHEMA, LEAST_CUT_POLICY, WEB_SCHEMA = 3, 5, 1
+CODE = r"^\d{8}$"
+
+
 def offer_rules() -> dict[str, Column]:
-    """Rows of offered positions."""
+    """Rules of rows of offered positions."""
     return {
         "order_present": F.col("offer_order").isNotNull() & (F.col("offer_order") > 0),
-        "centre_code": F.coalesce(F.col("center_code"), F.lit("")).rlike(r"^\d{8}$"),
-        "placement": F.col("placement_type").isin("vacante", "sub_determinada", "sub_indeterminada"),
+        "centre_code": F.coalesce(F.col("center_code"), F.lit("")).rlike(CODE),
+        "placement": F.col("placement_type").isin(*PLACEMENTS),
+    }
+
+
+def offer_payload_rules(target_year: Column, fields: list[str]) -> dict[str, Column]:
+    """Rules of a payload: dataset, update_mode, academic_year, status, publication_date, item_fields array<string>,
+    items array<array<string>> (order first, centre code sixth, placement thirteenth)."""
+    c, names = F.col, F.array(*map(F.lit, fields))
+    every = lambda test: F.forall("items", test)
+    orders = F.transform("items", lambda x: F.get(x, F.lit(0)))
+    return {
+        "dataset": (c("dataset") == OFFER_DATASET) & (c("update_mode") == OFFER_MODE),
+        "year": c("academic_year") == target_year,
+        "status": c("status") == OFFER_STATUS,
+        "date": c("publication_date").try_cast("date").isNotNull(),
+        "fields": c("item_fields") == names,
+        "items": F.size("items") > 0,
+        "whole_items": every(lambda x: F.size(x) == len(fields)),
+        "distinct_orders": F.size(F.array_distinct(orders)) == F.size(orders),
+        "centre_codes": every(lambda x: F.coalesce(F.get(x, F.lit(5)), F.lit("")).rlike(CODE)),
+        "placements": every(lambda x: F.coalesce(F.get(x, F.lit(12)), F.lit("")).isin(*PLACEMENTS)),
     }
+
+
+def document_rules(items: DataFrame, document: str, order: str, date: str) -> DataFrame:
+    """rule, key for documents with an order number given twice or without a date. Documents without items have no row
+    here; see documents_without."""
+    per = items.groupBy(document).agg(F.count(order).alias("__n"), F.count_distinct(order).alias("__d"), F.max(date).alias("__t"))
+    return violations(per, document, {"distinct_orders": F.col("__n") == F.col("__d"), "date": F.col("__t").isNotNull()})
+
+
+def documents_without(documents: DataFrame, items: DataFrame, document: str) -> DataFrame:
+    """rule, key for documents that gave no item."""
+    return documents.join(items.select(document), document, "left_anti").select(F.lit("items").alias("rule"), F.col(document).alias("key"))
+
+
+def repeated_keys(df: DataFrame, key: str, rule: str = "key_once") -> DataFrame:
+    """rule, key for keys that are null, blank or in several rows."""
+    g = df.groupBy(F.trim(F.col(key).cast("string")).alias("key")).agg(F.count("*").alias("__n"))
+    return g.filter("key is null or key = '' or __n > 1").select(F.lit(rule).alias("rule"), "key")
+
+
+def override_rules(row: str, fields: int, lat: int = 14, lon: int = 15) -> dict[str, Column]:
+    """Rules of a centre override, an array<string>; keys have a rule of their own (repeated_keys)."""
+    number = lambda i: finite(F.get(row, F.lit(i)).try_cast("double"))
+    return {"arity": F.size(row) == fields, "coordinates": number(lat) & number(lon)}
+
+
+def web_override_violations(websites: DataFrame, blocked: DataFrame) -> DataFrame:
+    """rule, key. websites: code, url; blocked: code, reason."""
+    url = F.trim("url")
+    site = {"code": F.col("code").rlike(CODE), "url": F.lower(F.try_parse_url(url, F.lit("PROTOCOL"))).isin("http", "https") & (F.coalesce(F.try_parse_url(url, F.lit("AUTHORITY")), F.lit("")) != "")}
+    block = {"code": F.col("code").rlike(CODE), "reason": F.trim("reason") != ""}
+    both = websites.join(blocked.select("code"), "code", "left_semi").select(F.lit("mapped_and_blocked").alias("rule"), F.col("code").alias("key"))
+    return violations(websites, "code", site).unionByName(violations(blocked, "code", block)).unionByName(both)
+
+
+def cut_table_rules(hashes: dict[str, str]) -> dict[str, Column]:
+    """Preconditions of a cut table for the last awarded: schema_version, policy_version, cut_format array<string>, and
+    pdfs, a map of body to the sha256 that positions were made from."""
+    same = {f"pdf_{body}": F.coalesce(F.try_element_at("pdfs", F.lit(body)), F.lit("")) == digest for body, digest in hashes.items()}
+    needed = F.array(*map(F.lit, CUT_FIELDS))
+    return {"schema": F.col("schema_version") >= LEAST_CUT_SCHEMA, "policy": F.col("policy_version") >= LEAST_CUT_POLICY, **same, "fields": F.size(F.array_except(needed, "cut_format")) == 0}
+
+
+def control_examples(found: DataFrame, expected: DataFrame, key: str) -> DataFrame:
+    """rule, key for expected rows that no found row equals in all columns of expected; nulls equal nulls."""
+    same = [F.col(f"e.{c}").eqNullSafe(F.col(f"f.{c}")) for c in expected.columns]
+    test = same[0]
+    for x in same[1:]:
+        test = test & x
+    return expected.alias("e").join(found.alias("f"), test, "left_anti").select(F.lit("control_example").alias("rule"), F.col(key).alias("key"))
+
+
+def is_pdf(content: Column) -> Column:
+    """Bytes that begin, after white space, with a PDF's mark."""
+    return F.coalesce(F.decode(F.substring(content, 1, 1024), "ISO-8859-1").rlike(r"^[\x09-\x0D\x20]*%PDF-"), F.lit(False))
+
+
+def unambiguous(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys and value, one row for each key; fails when run if a key has several values."""
+    g = df.groupBy(*keys).agg(F.min(value).alias(value), F.max(value).alias("__high"))
+    name = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+    broken = F.raise_error(F.concat(F.lit("ambiguous: "), name)).cast("boolean")
+    return g.filter(F.when(F.col(value).eqNullSafe(F.col("__high")), True).otherwise(broken)).select(*keys, value)

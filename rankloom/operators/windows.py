@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.text import folded
+from ..scratch import Scratch
+
 
 def _upto(keys: list[str], order: list, last: int = 0):
     return W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, last)
@@ -92,10 +95,16 @@ def top_per_group(df: DataFrame, keys: list[str], order: list, k: int = 1) -> Da
 
 def text_order(df: DataFrame, keys: list[Column], name: str = "place") -> DataFrame:
     """Places in the order of keys, nulls last, for the whole table: ranges are sorted apart, then numbered on from
-    each other by their counts, so no task holds the whole."""
+    each other by their counts, so no task holds the whole. The ranges are written once with their numbers: were they
+    made for the counts and for the rows apart, they could differ, and rows would meet the wrong counts or none."""
     order = [k.asc_nulls_last() for k in keys]
-    ranged = df.repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
+    ranged = Scratch(df.sparkSession, "text-order").table(df.repartitionByRange(*order).withColumn("__p", F.spark_partition_id()), "ranged")
     local = ranged.withColumn("__n", F.row_number().over(W.partitionBy("__p").orderBy(*order)))
     sizes = ranged.groupBy("__p").agg(F.count("*").alias("__c"))
     before = sizes.alias("a").join(sizes.alias("b"), F.col("b.__p") < F.col("a.__p"), "left").groupBy(F.col("a.__p").alias("__p")).agg(F.coalesce(F.sum("b.__c"), F.lit(0)).alias("__s"))
     return local.join(F.broadcast(before), "__p").withColumn(name, F.col("__n") + F.col("__s")).drop("__p", "__n", "__s")
+
+
+def name_order(df: DataFrame, name: str, seq: str, place: str = "place") -> DataFrame:
+    """Places by display name without accents or case; of equal names in the order of seq."""
+    return text_order(df, [folded(F.col(name)), F.col(seq)], place)

@@ -25,12 +25,19 @@ def field(row: Column, header: list[str], name: str) -> Column:
     return F.try_element_at(row, F.lit(header.index(name) + 1)) if name in header else F.lit(None).cast("string")
 
 
-def positional(df: DataFrame, row: str, header: list[str], schema: str) -> DataFrame:
-    """array<string> rows to typed columns by header; values that don't parse are null."""
+def positional(df: DataFrame, row: str, header: list[str], schema: str, keep: list[str] | None = None) -> DataFrame:
+    """array<string> rows to typed columns by header, after the columns to keep; values that don't parse are null."""
     from pyspark.sql.types import StructType
 
     fields = StructType.fromDDL(schema).fields
-    return df.select(*[field(F.col(row), header, f.name).try_cast(f.dataType).alias(f.name) for f in fields])
+    return df.select(*(keep or []), *[field(F.col(row), header, f.name).try_cast(f.dataType).alias(f.name) for f in fields])
+
+
+def keyed(df: DataFrame, row: str, schema: str) -> DataFrame:
+    """map<string,string> rows (the form with names in each row) to the same typed columns."""
+    from pyspark.sql.types import StructType
+
+    return df.select(*[F.try_element_at(row, F.lit(f.name)).try_cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema).fields])
 
 
 def upgraded_cuts(df: DataFrame, row: str, origin: Column) -> DataFrame:

@@ -16,20 +16,22 @@ class HttpStatus(Exception):
 
 
 def fetch_within(request: Callable[[float], bytes], window: float = 1800, first_timeout: float = 120, later_timeout: float = 600, delay: float = 30, clock: Callable[[], float] = time.monotonic, pause: Callable[[float], None] = time.sleep) -> bytes:
-    """Repeats a request until it succeeds or the window ends; no attempt's timeout goes beyond the window."""
-    end, timeout = clock() + window, first_timeout
+    """Repeats a request until it succeeds or the window ends. The last pause is what is left of the window, and an
+    attempt has a second at least; without a window there is one attempt with its whole timeout."""
+    end, timeout = clock() + max(0.0, window), first_timeout
     while True:
         try:
-            return request(max(0.001, min(timeout, end - clock())))
+            return request(min(timeout, max(1.0, end - clock())) if window > 0 else timeout)
         except HttpStatus as e:
             if e.status not in RETRY:
                 raise
             error: Exception = e
         except OSError as e:
             error = e
-        if clock() + delay >= end:
+        left = end - clock()
+        if left <= 0:
             raise error
-        pause(delay)
+        pause(min(delay, left))
         timeout = later_timeout
 
 

@@ -6,11 +6,12 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urldefrag, urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..shipping import ship
+from ..scratch import Scratch
+from ..shipping import map_arrow
 
 
 class _Anchors(HTMLParser):
@@ -21,29 +22,24 @@ class _Anchors(HTMLParser):
         self.parts: list[str] = []
 
     def handle_starttag(self, tag, attrs):
+        # An anchor that is never closed gives no link: the next one takes its place.
         if tag == "a" and (href := dict(attrs).get("href")):
-            self.close_anchor()
-            self.href = href
+            self.href, self.parts = href, []
 
     def handle_data(self, data):
         if self.href is not None:
             self.parts.append(data)
 
     def handle_endtag(self, tag):
-        if tag == "a":
-            self.close_anchor()
-
-    def close_anchor(self):
-        if self.href is not None:
+        if tag == "a" and self.href is not None:
             self.found.append((self.href, " ".join(" ".join(self.parts).split())))
-        self.href, self.parts = None, []
+            self.href, self.parts = None, []
 
 
 def links_of(base: str, html: str | None) -> list[tuple[str, str]]:
     """(absolute url without fragment, text), the first of each url."""
     parser = _Anchors()
     parser.feed(html or "")
-    parser.close_anchor()
     out: dict[str, str] = {}
     for href, text in parser.found:
         out.setdefault(urldefrag(urljoin(base or "", href))[0], text)
@@ -54,14 +50,15 @@ def page_links(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame
     """page_id, place, url, text of every distinct link of every page, parsed in Arrow batches."""
     kind = pages.schema[page_id].dataType.simpleString()
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(i, n, u, t) for i, base, h in zip(b["i"], b["u"], b["h"]) for n, (u, t) in enumerate(links_of(base, h))]
-            yield pd.DataFrame(rows, columns=["page_id", "place", "url", "text"])
+            found = [links_of(base, h) for base, h in zip(b.column("u").to_pylist(), b.column("h").to_pylist())]
+            rows = [(n, u, t) for links in found for n, (u, t) in enumerate(links)]
+            ids = b.column("i").take(pa.array([k for k, links in enumerate(found) for _ in links], pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int32(), pa.string(), pa.string())))], names=["page_id", "place", "url", "text"])
 
-    ship(pages.sparkSession)
     work = pages.select(F.col(page_id).alias("i"), F.col(url).alias("u"), F.col(html).alias("h"))
-    return work.mapInPandas(parse, f"page_id {kind}, place int, url string, text string").withColumnRenamed("page_id", page_id)
+    return map_arrow(work, parse, f"page_id {kind}, place int, url string, text string").withColumnRenamed("page_id", page_id)
 
 
 def hrefs(html: Column) -> Column:
@@ -71,14 +68,16 @@ def hrefs(html: Column) -> Column:
 
 def crawl(edges: DataFrame, roots: DataFrame, most: int = 30) -> DataFrame:
     """url, depth: breadth-first from the roots over edges (url, target), at most `most` pages, nearest and then
-    alphabetically first. A level is one join; it ends when a level brings nothing new."""
-    seen = roots.select("url").distinct().withColumn("depth", F.lit(0))
+    alphabetically first. A level is one join, written so that the next one starts from its rows; it ends when a level
+    brings nothing new. The bound keeps what is counted on the driver, and the number of levels, small."""
+    scratch = Scratch(edges.sparkSession, "crawl")
+    seen = scratch.table(roots.select("url").distinct().withColumn("depth", F.lit(0)), "roots")
     level, n = seen, seen.count()
     depth = 0
     while n < most:
         depth += 1
         new = edges.join(level.select("url"), "url").select(F.col("target").alias("url")).distinct().join(seen.select("url"), "url", "left_anti")
-        new = new.orderBy("url").limit(most - n).withColumn("depth", F.lit(depth)).checkpoint() if edges.sparkSession.sparkContext.getCheckpointDir() else new.orderBy("url").limit(most - n).withColumn("depth", F.lit(depth)).cache()
+        new = scratch.table(new.orderBy("url").limit(most - n).withColumn("depth", F.lit(depth)), "level")
         got = new.count()
         if not got:
             break

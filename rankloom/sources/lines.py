@@ -54,7 +54,7 @@ def accreditation_rows(tables: DataFrame, rows: str) -> DataFrame:
     cell = lambda i: F.try_element_at("row", F.col(i).cast("int"))
     opened = tables.select(
         at("apellido1", "cognom1").alias("a"), at("apellido2", "cognom2").alias("b"), at("nombre", "nom").alias("n"),
-        at("idioma", "llengua", "language").alias("i"), at("nivel", "nivell").alias("l"), at("motivosexclusion", "motiusexclusio").alias("x"), F.explode(F.slice(r, 2, 1_000_000)).alias("row"),
+        at("idioma", "llengua", "language").alias("i"), at("nivel", "nivell").alias("l"), at("motivosexclusion", "motiusexclusio").alias("x"), F.explode(F.slice(r, F.lit(2), F.greatest(F.size(r), F.lit(1)))).alias("row"),
     )
     name = official_name(F.concat(F.concat_ws(" ", cell("a"), cell("b")), F.lit(", "), cell("n")))
     english = folded(cell("i"), True).rlike("angles|ingles|english")

@@ -8,6 +8,7 @@ duckdb = pytest.importorskip("duckdb")
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
+import rankloom.catalog  # noqa: E402, F401  fills the entries
 import rankloom.plans.catalogue as catalogue  # noqa: E402
 
 
@@ -47,7 +48,7 @@ def test_entry(spark):
 
 
 def test_full_outer_over_whole_tables(spark):
-    got = catalogue.ENTRIES["full_outer_guarded_whole"][0](spark, SF).groupBy("source").count().collect()
+    got = catalogue.ENTRIES["full_outer_guarded"][0](spark, SF).groupBy("source").count().collect()
     n = {r["source"]: r["count"] for r in got}
     rows = lambda t: spark.read.parquet(f"{SF}/{t}.parquet").count()
     assert n["both"] > 0 and n["both"] + n.get("left", 0) == rows("customer") and n["both"] + n.get("right", 0) == rows("supplier")

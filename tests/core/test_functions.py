@@ -25,7 +25,19 @@ def one(spark, column, value, kind="string"):
         (text.smart_title, "CEIP LA FONT D'EN CARRÒS", "CEIP La Font d'en Carròs"),
         (text.smart_title, "IES JAUME I", "IES Jaume I"),
         (text.smart_title, "COL·LEGI SANT JOAN XII", "Col·legi Sant Joan XII"),
+        (text.smart_title, "CP PUB.MESTRE D'ESCOLA DE L'HORTA I DELS POBLES", "Cp Púb.Mestre d'escola de L'Horta i dels Pobles"),
+        (text.smart_title, "ceip pub. la llum", "CEIP Pub. La Llum"),
+        (text.smart_title, "joan carles i  y carlos iii el 1er 2n", "Joan Carles I y Carlos III El 1er 2N"),
+        (text.smart_title, "FPA EL PALLETER-XI ceipx", "FPA El Palleter-XI Ceipx"),
+        (text.smart_title, "D'", "D'"),
+        (text.smart_title, "l'i l'alqueria", "L'I L'Alqueria"),
+        (text.smart_title, "PROTOCOL·LEGI", "Protocol·Legi"),
+        (text.smart_title, "jaume-i", "Jaume-i"),
+        (text.smart_title, None, ""),
         (text.display_place, "ALCUDIA (L')", "L'Alcudia"),
+        (text.display_place, "ELIANA (l’)", "L'Eliana"),
+        (text.display_place, "POBLA DE VALLBONA (La)", "La Pobla de Vallbona"),
+        (text.display_place, "X (LO)", "X (Lo)"),
         (text.display_place, "VILA JOIOSA (LA)", "La Vila Joiosa"),
         (text.display_name, "GARCÍA PÉREZ, ANA MARÍA", "Ana María García Pérez"),
         (classify.placement, "Substitució indeterminada", "sub_indeterminada"),
