@@ -6,13 +6,15 @@ its account for the windows after. Targets default to the sources' shares of all
 sample of the whole corpus and all queues end together; given targets hold until a queue is empty, when the others
 take over in proportion.
 
-Documents are dealt to lanes by hash, so no source, however large, gathers in one task, and each lane packs its own
-windows. Token counts per lane and source are summed first; from them every lane starts with the account that the
-lanes before it leave behind, and with the number of its first sequence. What is left of a lane at its end, less than
-a window, is cut into sequences whose lengths are powers of two, which need no padding.
-
-Defined cases: null text is empty; its document is the end token alone. Null sources are one queue. Repeated rows are
-packed each. An empty table gives no rows. Extra columns are ignored.
+Documents are dealt to lanes by hash and place, so no source and no row, however often it is there, gathers in one
+task; a lane gets LANE_BYTES of text at most on average, and packs its own windows. Token counts per lane and source
+are summed first; from them every lane starts with the account that the lanes before it leave behind, and with the
+number of its first sequence. These accounts stay in Spark and meet their lane there. What is left of a lane at its
+end, less than a window, is cut into sequences whose lengths are powers of two, which need no padding.
+
+Defined cases: null text is empty; its document is the end token alone. Null sources are one queue. A null doc_id is
+returned as null, and ids of any type as they are. Repeated rows are packed each. An empty table gives no rows. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,16 +23,18 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .columns import pick
-from .scratch import Scratch
+from ..scratch import Scratch
 from ..shipping import map_arrow, ship
 
 LENGTH, END_ID = 2048, 1
+#: Text of a lane, on average; there are as many lanes as that takes, and no fewer than partitions.
+LANE_BYTES = 32 << 20
 #: A source is served once its credit reaches so many tokens (or its document's rest), which keeps pieces long.
 LEAST_PIECE = 256
 
@@ -38,8 +42,9 @@ _encoders: dict = {}
 
 
 def _encoder(path: str):
-    """A function from texts to ids. tiktoken runs the same merges over the same vocabulary several times faster; the
-    vocabulary's own file says what is special and the first texts of each worker are compared with the tokenizer's."""
+    """Functions from texts to ids: the one to use, and the tokenizer's own. tiktoken runs the same merges over the same
+    vocabulary several times faster; the vocabulary's own file says what is special, and probe texts are compared here,
+    the first texts of every task by the caller."""
     if path not in _encoders:
         import json
 
@@ -48,9 +53,7 @@ def _encoder(path: str):
         slow = Tokenizer.from_file(path)
         fast = _byte_level(json.loads(slow.to_str()))
         plain = lambda texts: [e.ids for e in slow.encode_batch(texts, add_special_tokens=False)]
-        _encoders[path] = fast or plain
-        if fast and fast(_PROBES) != plain(_PROBES):
-            _encoders[path] = plain
+        _encoders[path] = (fast if fast and fast(_PROBES) == plain(_PROBES) else plain, plain)
     return _encoders[path]
 
 
@@ -75,26 +78,38 @@ def _byte_level(spec: dict):
     return lambda texts: [made.encode(t, allowed_special=every) if any(s in t for s in every) else made.encode_ordinary(t) for t in texts]
 
 
+#: At the start of each task so many texts, and so many characters of each, are encoded both ways.
+COMPARED_TEXTS, COMPARED_CHARS = 8, 2000
+
+
 def tokenize(documents: DataFrame, tokenizer_path: str) -> DataFrame:
-    """doc_id, source, n, ids (little-endian unsigned, 2 bytes each, or 4 if any needs it, with width)."""
+    """doc_id, source, n, ids (little-endian unsigned, 2 bytes each, or 4 if any needs it, with width), nth (the row's
+    place in its task)."""
     docs = pick(documents, "doc_id", "text", "source")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(tokenizer_path)
+        encode, plain = _encoder(tokenizer_path)
+        done = 0
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                ids = encode([t or "" for t in part.column("text").to_pylist()])
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                if not done and encode is not plain:
+                    some = [t[:COMPARED_CHARS] for t in texts[:COMPARED_TEXTS]]
+                    encode = encode if encode(some) == plain(some) else plain
+                ids = encode(texts)
                 widths, packed = [], []
                 for x in ids:
                     a = np.array([*x, END_ID], np.uint32)
                     widths.append(2 if a.max() < 65536 else 4)
                     packed.append(a.astype("<u2" if widths[-1] == 2 else "<u4").tobytes())
-                cols = [part.column("doc_id"), part.column("source").cast(pa.string()).fill_null(""), pa.array([len(x) + 1 for x in ids], pa.int64()), pa.array(widths, pa.int32()), pa.array(packed, pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "source", "n", "width", "ids"])
+                nth = pa.array(np.arange(done, done + part.num_rows))
+                done += part.num_rows
+                cols = [part.column("doc_id"), part.column("source").cast(pa.string()).fill_null(""), pa.array([len(x) + 1 for x in ids], pa.int64()), pa.array(widths, pa.int32()), pa.array(packed, pa.binary()), nth]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "source", "n", "width", "ids", "nth"])
 
-    return map_arrow(docs, run, f"doc_id {kind}, source string, n bigint, width int, ids binary")
+    return map_arrow(docs, run, f"doc_id {kind}, source string, n bigint, width int, ids binary, nth bigint")
 
 
 def n_sequences(tokens: int, length: int = LENGTH) -> int:
@@ -166,47 +181,67 @@ def pack(documents: DataFrame, tokenizer_path: str, shares: dict[str, float] | N
     spark = documents.sparkSession
     ship(spark)
     scratch = Scratch(spark, "packing")
-    n_lanes = lanes or max(int(spark.conf.get("spark.sql.shuffle.partitions")), documents.rdd.getNumPartitions())
-    lane = F.pmod(F.xxhash64("doc_id", F.crc32("ids")), F.lit(n_lanes)).cast("int")
-    rows = scratch.table(tokenize(documents, tokenizer_path).withColumn("lane", lane).repartition(n_lanes, "lane"), "ids")
-    # One row for each lane and source: small, however many documents there are.
-    counts = rows.groupBy("lane", "source").agg(F.sum("n").alias("tokens"))
-    counts = scratch.table(counts, "counts")
-    totals = counts.groupBy("source").agg(F.sum("tokens").alias("all")).collect() if shares is None else []
-    given = shares if shares is not None else {r["source"]: float(r["all"]) for r in totals}
-    whole = sum(given.values()) or 1.0
-    target = {s: x / whole for s, x in given.items()}
-    from pyspark.sql import Window as W
-
-    # Per lane: tokens before it and sequences before it; per lane and source: that source's tokens before it.
-    per_lane = counts.groupBy("lane").agg(F.sum("tokens").alias("tokens"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("source", "tokens")))).alias("by_source"))
-    listed = sorted(per_lane.collect(), key=lambda r: r["lane"])  # one row for each lane: their number is a setting
-    starts, sequence, before, of_source = {}, 0, 0, {}
-    for r in listed:
-        starts[r["lane"]] = (sequence, {s: target.get(s, 0.0) * before - of_source.get(s, 0) for s in r["by_source"]})
-        sequence += n_sequences(r["tokens"], length)
-        before += r["tokens"]
-        for s, n in r["by_source"].items():
-            of_source[s] = of_source.get(s, 0) + n
-    sent = spark.sparkContext.broadcast((starts, target))
+    n_lanes = lanes or _n_lanes(documents)
+    lane = F.pmod(F.xxhash64("doc_id", F.crc32("ids"), "nth"), F.lit(n_lanes)).cast("int")
+    rows = scratch.table(tokenize(documents, tokenizer_path).withColumn("lane", lane).drop("nth").repartition(n_lanes, "lane"), "ids")
+    accounts = _accounts(scratch.table(rows.groupBy("lane", "source").agg(F.sum("n").alias("tokens")), "counts"), shares, length)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        starts, target = sent.value
-        first, accounts = starts[int(frame["lane"].iloc[0])]
-        frame = frame.sort_values(["source", "doc_id", "n"], kind="stable", ignore_index=True)
+    def run(table: pa.Table, given: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _PIECES(table.schema.field("doc_id").type).empty_table()
+        of = {a["source"]: a for a in given.to_pylist()}
+        # Sources, then as long as ids sort: nulls last, copies by size.
+        table = table.sort_by([("source", "ascending"), ("doc_id", "ascending"), ("n", "ascending")]).combine_chunks()
         queues: dict[str, list[tuple[int, int]]] = {}
-        for i, (s, n) in enumerate(zip(frame["source"], frame["n"])):
+        for i, (s, n) in enumerate(zip(table.column("source").to_pylist(), table.column("n").to_pylist())):
             queues.setdefault(s, []).append((i, n))
-        pieces = Lane(queues, target, accounts, length).run(first)
+        first = next(iter(of.values()))["first"]
+        pieces = Lane(queues, {s: a["share"] for s, a in of.items()}, {s: a["account"] for s, a in of.items()}, length).run(first)
         d, start, size, seq, offset = (np.array(x, np.int64) for x in zip(*pieces))
-        ids = [np.frombuffer(b, "<u2" if w == 2 else "<u4").astype("<u4") for b, w in zip(frame["ids"], frame["width"])]
-        cut = [ids[k][a : a + n].tobytes() for k, a, n in zip(d, start, size)]
-        take = lambda c: frame[c].to_numpy()[d]
-        return pd.DataFrame({"doc_id": take("doc_id"), "start": start, "length": size, "ids_crc32": [zlib.crc32(x) for x in cut], "doc_tokens": take("n"), "sequence_id": seq, "offset": offset, "source": take("source"), "ids": cut})
+        ids, widths = table.column("ids"), table.column("width").to_pylist()
+        held, cut = -1, []
+        for k, a, n in zip(d.tolist(), start.tolist(), size.tolist()):
+            if k != held:
+                held, whole = k, np.frombuffer(ids[k].as_py(), "<u2" if widths[k] == 2 else "<u4").astype("<u4")
+            cut.append(whole[a : a + n].tobytes())
+        take = lambda c: table.column(c).take(pa.array(d))
+        columns = [take("doc_id"), pa.array(start), pa.array(size), pa.array([zlib.crc32(x) for x in cut], pa.int64()), take("n"), pa.array(seq), pa.array(offset), take("source"), pa.array(cut, pa.binary())]
+        return pa.Table.from_arrays(columns, schema=_PIECES(table.schema.field("doc_id").type))
 
     schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, source string, ids binary"
-    return rows.groupBy("lane").applyInPandas(run, schema)
+    return rows.groupBy("lane").cogroup(accounts.groupBy("lane")).applyInArrow(run, schema)
+
+
+def _PIECES(kind: pa.DataType) -> pa.Schema:
+    names = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return pa.schema([("doc_id", kind), *((n, pa.int64()) for n in names), ("source", pa.string()), ("ids", pa.binary())])
+
+
+def _n_lanes(documents: DataFrame) -> int:
+    spark = documents.sparkSession
+    size = pick(documents, "text").agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), documents.rdd.getNumPartitions(), -(-size // LANE_BYTES))
+
+
+def _accounts(counts: DataFrame, shares: dict[str, float] | None, length: int) -> DataFrame:
+    """lane, source, share (of the source in a window), account (what the lanes before owe it), first (number of the
+    lane's first sequence). counts: lane, source, tokens. Sums run over the lanes of a source, and over the lanes."""
+    spark = counts.sparkSession
+    if shares is None:
+        target = counts.groupBy("source").agg(F.sum("tokens").cast("double").alias("weight"))
+    else:
+        target = spark.createDataFrame(list(shares.items()), "source string, weight double") if shares else counts.select("source", F.lit(0.0).alias("weight")).limit(0)
+    whole = target.agg(F.sum("weight").alias("whole"))  # one row
+    target = target.join(F.broadcast(whole)).select("source", F.when(F.col("whole") > 0, F.col("weight") / F.col("whole")).otherwise(0.0).alias("share"))
+    before = lambda c, *keys: F.coalesce(F.sum(c).over(W.partitionBy(*keys).orderBy("lane").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sequences = F.floor(F.col("tokens") / F.lit(length)) + F.bit_count(F.pmod("tokens", F.lit(length)))
+    # A row for each lane: their number is the text's size over a lane's.
+    lanes = counts.groupBy("lane").agg(F.sum("tokens").alias("tokens")).withColumn("sequences", sequences)
+    lanes = lanes.select("lane", before("tokens").alias("tokens_before"), before("sequences").cast("long").alias("first"))
+    own = counts.select("lane", "source", before("tokens", "source").alias("own_before"))
+    joined = own.join(lanes, "lane").join(target, "source", "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
+    return joined.select("lane", "source", "share", (F.col("share") * F.col("tokens_before") - F.col("own_before")).alias("account"), "first")
 
 
 def op3_packing(spark, sf_dir: str) -> DataFrame:
