@@ -16,6 +16,7 @@ An empty table gives no rows. Columns other than conv_id, turn, role and text ar
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,40 +68,25 @@ def merge_adjacent(turns: Column) -> Column:
 def format_conversations(conversations: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """One row per conversation: conv_id, blocks, formatted, loss_spans (array of start and end, code points, one for
     each text of loss_role, in the formatted string; a span holds that text as escaped)."""
-    turns = pick(conversations, "conv_id", "turn", "role", "text").select(
-        "conv_id",
-        F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"),
-    )
-    sorted_turns = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    blocks = sorted_turns.select("conv_id", merge_adjacent(F.col("turns")).alias("blocks"))
+    turns = pick(conversations, "conv_id", "turn", "role", "text").select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    # Where a text will stand is a running sum over the rows of a conversation, in the order in which they are collected;
+    # within the collected array it would take a copy of the array for every turn.
+    order = W.partitionBy("conv_id").orderBy("turn", "role", "text")
+    same = lambda c: F.coalesce(c == F.col("role"), F.lit(False))
+    lead = F.when(same(F.lag("role").over(order)), len(CONT)).otherwise(F.length(_role(F.col("role"))) + len(OPEN) + len(SEP))
+    tail = F.when(same(F.lead("role").over(order)), 0).otherwise(len(END))
+    sized = turns.withColumn("lead", lead).withColumn("own", F.length(escape(F.col("text")))).withColumn("tail", tail)
+    upto = F.sum((F.col("lead") + F.col("own") + F.col("tail")).cast("long")).over(order.rowsBetween(W.unboundedPreceding, 0))
+    placed = sized.withColumn("end", upto - F.col("tail"))
+    turn = F.struct("turn", "role", "text", (F.col("end") - F.col("own")).alias("start"), "end")
+    sorted_turns = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    spans = F.transform(F.filter("turns", lambda t: t["role"] == loss_role), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end")))
+    blocks = sorted_turns.select("conv_id", merge_adjacent(F.col("turns")).alias("blocks"), spans.alias("loss_spans"))
 
     def rendered(b: Column) -> Column:
         return F.concat(F.lit(OPEN), _role(b["role"]), F.lit(SEP), F.array_join(F.transform(b["texts"], escape), CONT), F.lit(END))
 
-    made = blocks.select("conv_id", "blocks", F.array_join(F.transform("blocks", rendered), "").alias("formatted"))
-    pieces = F.flatten(
-        F.transform(
-            "blocks",
-            lambda b: F.transform(
-                b["texts"],
-                lambda x, i: F.struct(
-                    F.when(i == 0, F.length(_role(b["role"])) + len(OPEN) + len(SEP)).otherwise(len(CONT)).cast("long").alias("before"),
-                    F.length(escape(x)).cast("long").alias("n"),
-                    F.when(i == F.size(b["texts"]) - 1, len(END)).otherwise(0).cast("long").alias("after"),
-                    (b["role"] == loss_role).alias("loss"),
-                ),
-            ),
-        )
-    )
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-
-    def step(acc: Column, p: Column) -> Column:
-        start = acc["at"] + p["before"]
-        span = F.struct(start.alias("start"), (start + p["n"]).alias("end"))
-        return F.struct((start + p["n"] + p["after"]).alias("at"), F.when(p["loss"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
-
-    spans = F.aggregate(pieces, F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
-    return made.select("conv_id", "blocks", "formatted", spans.alias("loss_spans"))
+    return blocks.select("conv_id", "blocks", F.array_join(F.transform("blocks", rendered), "").alias("formatted"), "loss_spans")
 
 
 def read_back(formatted: Column | str) -> Column:
@@ -115,9 +101,28 @@ def read_back(formatted: Column | str) -> Column:
     return F.flatten(F.transform(blocks, turns))
 
 
+#: A substring is found by counting characters from the beginning, so long strings are cut into parts of this size first.
+PART = 4096
+
+
+def cut_out(text: Column, spans: Column) -> Column:
+    """The texts of spans (start and end in code points), at a cost of their lengths and a part or two for each."""
+
+    def of(parts: Column) -> Column:
+        def one(s: Column) -> Column:
+            first, last = F.floor(s["start"] / PART), F.floor(s["end"] / PART)
+            near = F.array_join(F.slice(parts, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+            return F.substring(near, (s["start"] - first * PART + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
+
+        return F.transform(spans, one)
+
+    # The outer lambda binds the parts, which would be cut anew for every span otherwise.
+    return F.get(F.transform(F.array(F.regexp_extract_all(text, F.lit(r"(?s)(.{1,%d})" % PART), F.lit(1))), of), F.lit(0))
+
+
 def digest(out: DataFrame) -> DataFrame:
     """What the formatted strings say when they are read again."""
-    masked = F.array_join(F.transform("loss_spans", lambda s: unescape(F.substring("formatted", (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), "")
+    masked = F.array_join(F.transform(cut_out(F.col("formatted"), F.col("loss_spans")), unescape), "")
     seen = out.select("conv_id", read_back(F.col("formatted")).alias("turns"), masked.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return seen.select(
