@@ -1,13 +1,14 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
-Benchmark items are normalised to words (A-Z lowered, runs of other than letters, digits and non-ASCII cut), and every
-window of 13 consecutive words of an item (all of a shorter one) becomes a pattern of one automaton. A document is
-normalised the same way and scanned once; hits are mapped to word places and, for the spans that are returned, to
-offsets in the original text.
+Benchmark items are normalised to words (A-Z lowered, runs of other than letters, digits and non-ASCII cut), words get
+numbers, and every window of 13 consecutive words of an item (all of a shorter one) becomes a pattern of one automaton
+over these numbers. A document is normalised the same way and scanned once; hits are word places and, for the spans
+that are returned, are mapped to offsets in the original text. Two neighbouring words that are neighbours in no item
+end every match, so only the stretches between such places are given to the automaton, which most texts don't have.
 
-The automaton is built from the benchmark, which is a fixed set whose text is measured before it is sent out; beyond
-`block_bytes` the benchmark is cut into blocks of items by size, each block has its own automaton, and the documents'
-hits from all blocks are united, so results do not depend on the bound.
+The automaton takes about 700 bytes for each word of the benchmark, in every worker. So it is built for block_bytes of
+benchmark text; a larger benchmark is cut into blocks of items by size, each with an automaton and a pass of its own,
+of which a worker holds one at a time, and the hits of each text are united. Results do not depend on the bound.
 
 Defined cases: null and empty texts have no words, no hits and are not contaminated. An item without words has no
 window. Repeated rows are each returned. Items that share an id count as one id; the words of an item
@@ -20,6 +21,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from .columns import pick
 from ..shipping import map_arrow
 
 WINDOW = 13
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 1 << 20
 
 _KEEP = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
 #: Bytes of UTF-8: A-Z to lower case, separators to a space; bytes of non-ASCII characters stay.
@@ -39,58 +41,64 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
 
 
-def windows_of(words: list[bytes], window: int = WINDOW) -> list[bytes]:
-    """Each window as ' w1 w2 ... ', so that it matches whole words only."""
-    if not words:
-        return []
-    n = min(window, len(words))
-    return [b" " + b" ".join(words[i : i + n]) + b" " for i in range(len(words) - n + 1)]
-
-
 class Scanner:
-    """The automaton; bytes are read as latin-1, so one byte is one character and nothing is decoded."""
+    """The automaton over numbers of words."""
 
     def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
         import ahocorasick
 
-        owners: dict[bytes, set[int]] = {}
         self.ids = sorted({i for i, _ in items if i is not None})
         at = {x: k for k, x in enumerate(self.ids)}
+        self.number: dict[bytes, int] = {}
+        owners: dict[tuple[int, ...], set[int]] = {}
+        neighbours: set[tuple[int, int]] = set()
         for item, text in items:
-            for p in windows_of(words_of(text), window):
-                who = owners.setdefault(p, set())
+            w = [self.number.setdefault(x, len(self.number) + 1) for x in words_of(text)]
+            n = min(window, len(w))
+            neighbours.update(zip(w, w[1:]))
+            for i in range(len(w) - n + 1) if w else ():
+                who = owners.setdefault(tuple(w[i : i + n]), set())
                 if item is not None:
                     who.add(at[item])
-        self.automaton = ahocorasick.Automaton()
+        self.single = {p[0]: tuple(who) for p, who in owners.items() if len(p) == 1}
+        self.least = min((len(p) for p in owners if len(p) > 1), default=0)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for p, who in owners.items():
-            self.automaton.add_word(p.decode("latin-1"), (len(p) - 1, p.count(b" ") - 1, tuple(sorted(who))))
-        self.empty = not owners
-        if owners:
-            self.automaton.make_automaton()
+            if len(p) > 1:
+                self.automaton.add_word(p, (len(p), tuple(who)))
+        self.automaton.make_automaton()
+        # Whether two numbers may be neighbours: a table that errs on the side of yes.
+        bits = max(16, (32 * len(neighbours)).bit_length())
+        self.mask = (1 << bits) - 1
+        self.may_follow = np.zeros(1 << bits, bool)
+        if neighbours:
+            self.may_follow[self._slot(np.array(sorted(neighbours), np.int64).T)] = True
+        self.is_single = np.zeros(len(self.number) + 1, bool)
+        self.is_single[list(self.single)] = True
+
+    def _slot(self, pair: np.ndarray) -> np.ndarray:
+        return (pair[0] * 0x9E3779B1 + pair[1] * 0x85EBCA77 >> 7) & self.mask
 
     def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Maximal runs of hit words (first, after last), and the items whose windows occur."""
-        if self.empty or not words:
+        if not words or not self.number:
             return [], set()
-        joined = (b" " + b" ".join(words) + b" ").decode("latin-1")
-        runs: list[tuple[int, int]] = []
+        get = self.number.get
+        w = np.fromiter([get(x, 0) for x in words], np.int64, len(words))
+        found: list[tuple[int, int]] = []
         who: set[int] = set()
-        seen_to, word = 0, 0  # blanks before seen_to are counted in word
-        for end, (span, n, owners) in self.automaton.iter(joined):
-            # The blank at `end` follows the window's last word: words up to it = blanks before it.
-            word += joined.count(" ", seen_to, end)
-            seen_to = end
-            first = word - n
-            who.update(owners)
-            # Windows of unequal lengths can start before earlier ones do.
-            while runs and first <= runs[-1][1] and first < runs[-1][0]:
-                first = min(first, runs[-1][0])
-                runs.pop()
-            if runs and first <= runs[-1][1]:
-                runs[-1] = (runs[-1][0], max(runs[-1][1], word))
-            else:
-                runs.append((first, word))
-        return runs, {self.ids[k] for k in who}
+        for i in np.flatnonzero(self.is_single[w]).tolist():
+            found.append((i, i + 1))
+            who.update(self.single[int(w[i])])
+        if self.least and len(w) > 1:
+            joined = (w[:-1] > 0) & (w[1:] > 0) & self.may_follow[self._slot(np.stack([w[:-1], w[1:]]))]
+            edge = np.flatnonzero(np.diff(joined, prepend=False, append=False))
+            for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+                if b - a + 1 >= self.least:
+                    for end, (n, owners) in self.automaton.iter(tuple(w[a : b + 1].tolist())):
+                        found.append((a + end - n + 1, a + end + 1))
+                        who.update(owners)
+        return _united(found), {self.ids[k] for k in who}
 
 
 def word_offsets(text: bytes) -> list[tuple[int, int]]:
@@ -122,21 +130,29 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     blocks = [spark.sparkContext.broadcast(b) for b in _blocks(benchmark, block_bytes)]
     names = [f"k_{i}" for i in range(len(keep))]
     work = docs.select(*[F.col(k).alias(n) for k, n in zip(keep, names)], F.col("text").alias("k_text"))
+    if len(blocks) > 1:
+        # What is hit depends on the text alone: texts with hits in a block are kept by hash and length, and joined back.
+        key = [F.xxhash64("k_text").alias("k_hash"), F.octet_length("k_text").alias("k_size")]
+        texts, found = work.select(*key, "k_text"), None
+        for block in blocks:
+            part = map_arrow(texts, _hits_in(block, window), "k_hash bigint, k_size int, runs array<struct<a:int,b:int>>, ids array<string>")
+            found = part if found is None else found.unionByName(part)
+        # A block says the same of copies, so one row of each is enough.
+        found = found.dropDuplicates().groupBy("k_hash", "k_size").agg(F.flatten(F.collect_list("runs")).alias("k_runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("k_ids"))
+        work = work.withColumns({"k_hash": key[0], "k_size": key[1]}).join(found, ["k_hash", "k_size"], "left").drop("k_hash", "k_size")
     fields = ", ".join(f"{n} {work.schema[n].dataType.simpleString()}" for n in names)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanners = None
+        scanner = _cached(blocks[0], window) if len(blocks) == 1 else None
         for batch in batches:
-            if scanners is None:
-                scanners = [_cached(b, window) for b in blocks]
             n_words, n_hit, ids, spans = [], [], [], []
-            for text in batch.column("k_text").cast(pa.binary()).to_pylist():
+            known = (batch.column(c).to_pylist() for c in ("k_runs", "k_ids")) if len(blocks) > 1 else ([None] * batch.num_rows,) * 2
+            for text, own, own_ids in zip(batch.column("k_text").cast(pa.binary()).to_pylist(), *known):
                 words = words_of(text) if text else []
-                found = [s.hits(words) for s in scanners]
-                runs = found[0][0] if len(found) == 1 else _united([r for f in found for r in f[0]])
+                runs, who = scanner.hits(words) if scanner else (_united([(x["a"], x["b"]) for x in own or []]), own_ids or [])
                 n_words.append(len(words))
                 n_hit.append(sum(b - a for a, b in runs))
-                ids.append(sorted(set().union(*[f[1] for f in found])) if runs else [])
+                ids.append(sorted(who))
                 at = word_offsets(text) if runs else []
                 spans.append([{"start": at[a][0], "end": at[b - 1][1]} for a, b in runs])
             cols = [batch.column(n) for n in names]
@@ -147,6 +163,26 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     return out.toDF(*keep, "n_words", "n_hit", "item_ids", "spans")
 
 
+def _hits_in(block, window: int):
+    """Of texts with hits in one block: their key, runs of hit words, and items."""
+    run_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = _cached(block, window)
+        for batch in batches:
+            rows, runs, ids = [], [], []
+            for i, text in enumerate(batch.column("k_text").cast(pa.binary()).to_pylist()):
+                found, who = scanner.hits(words_of(text)) if text else ([], set())
+                if found:
+                    rows.append(i)
+                    runs.append([{"a": a, "b": b} for a, b in found])
+                    ids.append(sorted(who))
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("k_hash").take(at), batch.column("k_size").take(at), pa.array(runs, run_type), pa.array(ids, pa.list_(pa.string()))], names=["k_hash", "k_size", "runs", "ids"])
+
+    return run
+
+
 def _united(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(runs):
@@ -157,17 +193,16 @@ def _united(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_scanners: dict = {}
+_held: list = []
 
 
 def _cached(block, window: int) -> Scanner:
-    """One automaton for each block in a worker, however many tasks it runs; the value is held, so its id stays its own."""
-    key = (id(block.value), window)
-    if key not in _scanners:
-        if len(_scanners) >= 4:
-            _scanners.clear()
-        _scanners[key] = (block.value, Scanner(block.value, window))
-    return _scanners[key][1]
+    """The automaton that this worker made last, if it is this block's; only one is held."""
+    if not _held or _held[0] is not block.value or _held[1] != window:
+        _held.clear()
+        value = block.value
+        _held[:] = [value, window, Scanner(value, window)]
+    return _held[2]
 
 
 def _contaminated():
