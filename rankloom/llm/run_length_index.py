@@ -1,7 +1,8 @@
 """A run-length index: Burrows-Wheeler transform in runs, with text positions sampled at the ends of runs.
 
 It holds a collection of byte strings and answers matching statistics: for each place of a pattern, the longest prefix
-of the pattern's rest that occurs in the collection, and where. Patterns are streamed from right to left, many at a
+of the pattern's rest that occurs in the collection, and where. Strings and patterns may carry a tag, and then match
+within their tag only. The suffix array is needed to make the runs; what is kept of it are the samples at their ends. Patterns are streamed from right to left, many at a
 time: a step either follows the transform within a run (LF), or jumps to the nearest run end of the wanted byte above
 or below, whichever shares more with what has been matched; positions come from the samples.
 """
@@ -54,9 +55,15 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
         width *= 2
 
 
+def _tagged(data: np.ndarray, offsets: np.ndarray, tags: np.ndarray | None) -> np.ndarray:
+    """Bytes as symbols; those of other tags are other symbols."""
+    out = data.astype(np.int64)
+    return out if tags is None else out + np.repeat(tags.astype(np.int64) * 256, np.diff(offsets))
+
+
 class RunLengthIndex:
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        """data: the strings one after another; offsets: where each begins, and the end."""
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, tags: np.ndarray | None = None):
+        """data: the strings one after another; offsets: where each begins, and the end; tags: a small number for each."""
         m = len(offsets) - 1
         self.m = m
         sizes = np.diff(offsets)
@@ -67,7 +74,7 @@ class RunLengthIndex:
         stops = at + sizes
         keep = np.ones(len(text), bool)
         keep[stops] = False
-        text[keep] = data.astype(np.int64) + m
+        text[keep] = _tagged(data, offsets, tags) + m
         text[stops] = np.arange(m)
         self.text, self.stops = text, stops
         bytes_with_stops = np.zeros(len(text), np.uint8)
@@ -92,7 +99,6 @@ class RunLengthIndex:
         self.lf[order] = before
         self.by_symbol, self.symbol_key = order, self.run_symbol[order] * (len(order) + 1) + order
         self.n_runs, self.n_rows = len(order), len(bwt)
-        self._rows = sa
 
     def _agree(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Length of the common prefix of the suffixes at a and b, at most `most`, by bisection over hashes."""
@@ -137,8 +143,9 @@ class RunLengthIndex:
             np.where(found, length + 1, 0),
         )
 
-    def matching_statistics(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def matching_statistics(self, data: np.ndarray, offsets: np.ndarray, tags: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each byte of the patterns: the length of its longest match, a place of it in the text, and its row."""
+        data = _tagged(data, offsets, tags)
         length, place, rows = (np.zeros(len(data), np.int64) for _ in range(3))
         sizes = np.diff(offsets)
         order = np.argsort(-sizes, kind="stable")
@@ -154,13 +161,3 @@ class RunLengthIndex:
 
     def _first(self) -> int:
         return int(self.head_position[0]) if self.n_runs else 0
-
-    def classes(self, depth: int) -> np.ndarray:
-        """For every row, the number of its interval of rows that agree on their first `depth` bytes (rows shorter than that stand alone)."""
-        sa = self._rows
-        full = self.room[sa] >= depth
-        new = np.ones(len(sa), bool)
-        both = np.flatnonzero(full[1:] & full[:-1]) + 1
-        a, b = sa[both], sa[both - 1]
-        new[both] = self.hash(a, a + depth) != self.hash(b, b + depth)
-        return np.cumsum(new)

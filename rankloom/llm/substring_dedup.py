@@ -14,9 +14,10 @@ be indexed apart and still lose no repeat:
    parts are taken together. Groups that still hold very many distinct parts (a passage that many documents share,
    each in its own context) are halved again, which lengthens the shared bytes, until none is large. So no task gets
    more than a bounded group, and nothing is left out.
-4. The parts of a group go to one block, many groups to a block. A block gets a run-length index (run_length_index);
-   the parts are streamed over it, matching statistics of 100 bytes or more give the interval of rows of each window,
-   and the least place in an interval is that window's first copy.
+4. The parts of a group go to one block, many groups to a block, in the order of their places. A group is halved again
+   and again: a run-length index (run_length_index) is built of the earlier half, and the parts of the later half are
+   streamed over it; a window whose matching statistic is 100 bytes or more repeats an earlier one. Halves of one depth
+   share an index, where tags keep them apart; a part of which every window has been found is not looked at again.
 
 What is a window's first copy stays; all other windows with repeating anchors are removed, bytes once each.
 
@@ -34,13 +35,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytes_ops
 from .columns import pick
 from .run_length_index import RunLengthIndex
-from .scratch import Scratch
+from ..scratch import Scratch
 from ..shipping import map_arrow
 
 DEPTH, GRAM = 100, 32
@@ -51,6 +52,11 @@ GROUP_ROWS, BLOCK_BYTES = 1024, 1 << 20
 _CHUNK = 4 << 20
 
 
+def _text() -> Column:
+    """The bits of the text's hash in a packed place."""
+    return F.shiftright("packed", 46).alias("th")
+
+
 def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Pieces of many texts: row, first window, last window, anchor (places in data), hash of the anchor, hash of the piece."""
     n = len(data)
@@ -160,6 +166,45 @@ def _halves(size: int):
     return run
 
 
+def _taken(data: np.ndarray, offs: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of some parts, where each begins, and the places of these bytes in data."""
+    sizes = offs[which + 1] - offs[which]
+    cuts = np.r_[0, np.cumsum(sizes)]
+    at = np.arange(cuts[-1]) + np.repeat(offs[which] - cuts[:-1], sizes)
+    return data[at], cuts, at
+
+
+def _repeats_of_earlier(data: np.ndarray, offs: np.ndarray, g: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """For every byte whether the window that begins there equals one of an earlier part of its group. order: parts by
+    group and place; equal windows are always in one group, and never in one part."""
+    n = len(order)
+    new = np.ones(n, bool)
+    new[1:] = g[order][1:] != g[order][:-1]
+    start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    group, nth = np.empty(n, np.int64), np.empty(n, np.int64)
+    group[order], nth[order] = np.cumsum(new), np.arange(n) - start
+    repeats = np.zeros(len(data), bool)
+    windows = offs[1:] - offs[:-1] - DEPTH + 1
+    open_ = np.ones(n, bool)
+    for level in reversed(range(int(nth.max()).bit_length() if n else 0)):
+        half = nth >> level
+        pair = half >> 1
+        key = group * (n + 1) + pair
+        earlier, later = open_ & (half & 1 == 0), open_ & (half & 1 == 1)
+        held = np.flatnonzero(earlier & np.isin(key, key[later]))
+        asked = np.flatnonzero(later & np.isin(key, key[held]))
+        if not len(asked):
+            continue
+        bytes_held, cuts, _ = _taken(data, offs, held)
+        index = RunLengthIndex(bytes_held, cuts, pair[held])
+        bytes_asked, cuts, at = _taken(data, offs, asked)
+        length, _, _ = index.matching_statistics(bytes_asked, cuts, pair[asked])
+        repeats[at] |= length >= DEPTH
+        found = np.add.reduceat(repeats[at].astype(np.int64), cuts[:-1])
+        open_[asked[found == windows[asked]]] = False
+    return repeats
+
+
 def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by group. Blocks of whole groups are indexed and streamed; what returns are runs of windows
     that are first copies: doc, packed, offset of the first and last window in the piece."""
@@ -167,25 +212,19 @@ def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     size = 0
 
     def flush(rows: pa.RecordBatch | pa.Table) -> pa.RecordBatch:
-        doc, packed, at = (rows.column(c).to_numpy() for c in ("doc", "packed", "at"))
+        g, doc, packed, at = (rows.column(c).to_numpy() for c in ("g", "doc", "packed", "at"))
         pieces = rows.column("piece")
         pieces = pieces.combine_chunks() if isinstance(pieces, pa.ChunkedArray) else pieces
         pieces = pieces.cast(pa.binary())
         offs = np.frombuffer(pieces.buffers()[1], np.int32, len(pieces) + 1, pieces.offset * 4).astype(np.int64)
         data = np.frombuffer(pieces.buffers()[2], np.uint8)[offs[0] : offs[-1]]
         offs = offs - offs[0]
-        index = RunLengthIndex(data, offs)
-        length, _, row = index.matching_statistics(data, offs)
-        windows = np.flatnonzero(length >= DEPTH)
-        piece = np.searchsorted(offs, windows, "right") - 1
-        inner = windows - offs[piece]
-        same = index.classes(DEPTH)[row[windows]]
-        place = (packed[piece] >> 46 << 32) + (packed[piece] >> 14 & 0xFFFFFFFF) + at[piece] + inner
-        order = np.lexsort((place, doc[piece], same))
-        first = np.ones(len(order), bool)
-        first[1:] = same[order][1:] != same[order][:-1]
-        keep = np.sort(order[first])
-        p, w = piece[keep], inner[keep]
+        place = (packed >> 46 << 32) + (packed >> 14 & 0xFFFFFFFF) + at
+        repeats = _repeats_of_earlier(data, offs, g, np.lexsort((place, doc, g)))
+        inner = np.arange(len(data)) - np.repeat(offs[:-1], np.diff(offs))
+        keep = np.flatnonzero(~repeats & (inner + DEPTH <= np.repeat(np.diff(offs), np.diff(offs))))
+        p = np.searchsorted(offs, keep, "right") - 1
+        w = inner[keep]
         cut = np.ones(len(keep), bool)
         cut[1:] = (p[1:] != p[:-1]) | (w[1:] != w[:-1] + 1)
         a = np.flatnonzero(cut)
@@ -231,8 +270,8 @@ def _first_windows(scratch: Scratch, docs: DataFrame, places: DataFrame) -> Data
     sizes = distinct.groupBy("h").agg(F.count("*").alias("pieces"))
     distinct = scratch.table(distinct.join(sizes, "h"), "sized")
     single = distinct.filter("pieces = 1").select("doc", "packed", F.lit(0).alias("a"), F.expr("int(shiftright(packed, 7) & 127)").alias("b"))
-    wanted = distinct.filter("pieces > 1").groupBy("doc").agg(F.collect_list(F.struct("h", "packed")).alias("wanted"))
-    near = docs.join(wanted, "doc").select("doc", "th", "text", "wanted")
+    wanted = distinct.filter("pieces > 1").groupBy("doc", _text()).agg(F.collect_list(F.struct("h", "packed")).alias("wanted"))
+    near = docs.join(wanted, ["doc", "th"]).select("doc", "th", "text", "wanted")
     rows = scratch.table(map_arrow(near, _fetch, "g bigint, doc bigint, packed bigint, at int, piece binary").dropDuplicates(["g", "doc", "packed"]), "pieces")
     out, rest, size = [single], rows.withColumn("low", F.lit(0)), SPAN
     while size > 1 and not rest.isEmpty():
@@ -302,11 +341,13 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     places = scratch.table(map_arrow(source, _pieces, "h bigint, ph bigint, doc bigint, packed bigint").join(repeated, "h"), "places")
     scratch.drop(repeated)
     firsts = _first_windows(scratch, source, places)
-    by_doc = places.groupBy("doc").agg(F.collect_set("packed").alias("places"))
-    of_doc = firsts.groupBy("doc").agg(F.collect_set(F.struct("packed", "a", "b")).alias("firsts"))
-    marks = scratch.table(by_doc.join(of_doc, "doc", "left"), "marks")
+    # By text and not by id alone: rows that share an id, such as those without one, are many.
+    by_doc = places.groupBy("doc", _text()).agg(F.collect_set("packed").alias("places"))
+    of_doc = firsts.groupBy("doc", _text()).agg(F.collect_set(F.struct("packed", "a", "b")).alias("firsts"))
+    marks = scratch.table(by_doc.join(of_doc, ["doc", "th"], "left"), "marks")
+    scratch.keep_only(marks)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    joined = docs.join(marks, "doc", "left").select("doc_id", "th", "text", "places", "firsts")
+    joined = docs.join(marks, ["doc", "th"], "left").select("doc_id", "th", "text", "places", "firsts")
     return map_arrow(joined, _cut, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
 
 
