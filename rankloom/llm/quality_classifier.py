@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from . import bytes_ops
 from .columns import pick
-from .scratch import Scratch
 from ..shipping import map_arrow
 
 FEATURES = (
@@ -200,18 +199,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _feature_table(documents: DataFrame) -> DataFrame:
-    """doc_id, x (array of floats)."""
-    docs = pick(documents, "doc_id", "text")
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def _featured(documents: DataFrame) -> DataFrame:
+    """doc_id, quality and h as they are, x (array of floats) for the text."""
+    kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _batch_features(batch.column("text"))
             values = pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), len(FEATURES)).cast(pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), values], names=["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "quality", "h")), values], names=["doc_id", "quality", "h", "x"])
 
-    return map_arrow(docs, run, f"doc_id {kind}, x array<float>")
+    return map_arrow(documents.select("doc_id", "quality", "h", "text"), run, f"doc_id {kind}, quality int, h bigint, x array<float>")
 
 
 def _batch_features(column: pa.Array) -> np.ndarray:
@@ -219,26 +217,27 @@ def _batch_features(column: pa.Array) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)), np.float32)
 
 
-def train(feature_table: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, **settings) -> Model:
+def train(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, **settings) -> Model:
+    """A model of the labelled rows of least hash, max_rows at most. Labels up to a hash that leaves a little more than
+    max_rows go to the documents (2 max_rows at most, 20 bytes each), so features are made of these texts only."""
     known = pick(labels, "doc_id", "quality").filter("quality is not null").filter(~held_out(F.col("doc_id")))
-    rows = known.join(feature_table, "doc_id").select("doc_id", "quality", "x", F.xxhash64("doc_id").alias("h"))
-    # Hashes up to a bound that leaves a little more than max_rows, so that tasks don't each send that many.
+    known = known.select("doc_id", F.col("quality").cast("int").alias("quality"), F.xxhash64("doc_id").alias("h"))
     n = known.count()
     if n > 2 * max_rows:
-        rows = rows.filter(F.col("h") <= int(-(2**63) + 2**64 * (1.2 * max_rows / n)))
+        known = known.filter(F.col("h") <= int(-(2**63) + 2**64 * (1.2 * max_rows / n)))
+    rows = _featured(pick(documents, "doc_id", "text").join(F.broadcast(known), "doc_id"))
     rows = rows.orderBy("h", "doc_id", "quality").limit(max_rows).toPandas()
     x = np.array(rows["x"].tolist(), np.float32).reshape(len(rows), len(FEATURES))
     return fit(x, rows["quality"].to_numpy(np.float64), **settings)
 
 
-def _scores(frame: DataFrame, model: Model, column: str) -> DataFrame:
-    """frame with a score from its column of features (arrays) or of text."""
+def _scores(frame: DataFrame, model: Model, text: str) -> DataFrame:
+    """frame with a score of its column of text."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c = batch.column(column)
-            x = np.asarray(c.flatten(), np.float32).reshape(len(c), len(FEATURES)) if pa.types.is_list(c.type) else _batch_features(c)
+            x = _batch_features(batch.column(text))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x))], names=[*batch.schema.names, "score_"])
 
     return map_arrow(frame, run, f"{fields}, score_ double")
@@ -246,18 +245,13 @@ def _scores(frame: DataFrame, model: Model, column: str) -> DataFrame:
 
 def score_documents(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
-    scratch = Scratch(documents.sparkSession, "quality-classifier")
-    table = scratch.table(_feature_table(documents), "features")
-    scored = _scores(table, train(table, labels, max_rows), "x")
+    scored = _scores(pick(documents, "doc_id", "text"), train(documents, labels, max_rows), "text")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("score_").alias("score"), (F.col("score_") >= CUT).cast("int").alias("predicted"))
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, cut: float = CUT) -> DataFrame:
     """Rows of documents whose score reaches cut, with the same columns."""
-    scratch = Scratch(documents.sparkSession, "quality-classifier")
-    table = scratch.table(_feature_table(documents), "features")
-    model = train(table, labels, max_rows)
-    scratch.drop_all()
+    model = train(documents, labels, max_rows)
     plain = documents.toDF(*[f"k_{i}" for i in range(len(documents.columns))])
     lower = [c.lower() for c in documents.columns]
     scored = _scores(plain, model, f"k_{lower.index('text')}").filter(F.col("score_") >= cut).drop("score_")
