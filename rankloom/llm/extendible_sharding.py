@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import pick
+from ..scratch import Scratch
 
 BITS, LEVEL = 60, 16
 
@@ -46,40 +47,50 @@ def _leaves(sums: DataFrame, low: int, depth: int, limit: int) -> DataFrame:
 
 def assign_shards(documents: DataFrame, limit: int) -> DataFrame:
     """doc_id, n_bytes, shard (the bucket's hash-prefix bits, empty if there is one bucket only), depth, shard_bytes, oversized."""
+    # Hashes are worked out once; every level reads the rows that are left, a few bytes each.
+    scratch = Scratch(documents.sparkSession, "sharding")
     rows = pick(documents, "doc_id", "text").select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), row_hash(F.col("doc_id"), F.coalesce("text", F.lit(""))).alias("h"))
-    done, rest, low = None, rows, 0
+    done, rest, low = None, scratch.table(rows, "hashes"), 0
     for depth in range(LEVEL, BITS + LEVEL, LEVEL):
         depth = min(depth, BITS)
         keyed = rest.withColumn("entry", _prefix(F.col("h"), depth))
         sums = keyed.groupBy(F.col("entry").alias("prefix")).agg(F.sum("n_bytes").alias("bytes"), F.min("h").alias("least"), F.max("h").alias("most"))
-        entries = _leaves(sums, low, depth, limit)
+        entries = scratch.table(_leaves(sums, low, depth, limit), "entries")
         found = keyed.join(entries, "entry", "left")
         settled = found.filter("leaf is not null").select("doc_id", "n_bytes", "leaf.d", "leaf.p", "leaf.bytes")
         done = settled if done is None else done.unionByName(settled)
         if depth == BITS or entries.filter("leaf is null").isEmpty():
             break
-        rest, low = found.filter("leaf is null").select("doc_id", "n_bytes", "h"), depth + 1
+        rest, low = scratch.table(found.filter("leaf is null").select("doc_id", "n_bytes", "h"), "rest"), depth + 1
     bits = F.when(F.col("d") == 0, "").otherwise(F.lpad(F.bin("p"), F.col("d"), F.lit("0")))
     return done.select("doc_id", "n_bytes", bits.alias("shard"), F.col("d").cast("int").alias("depth"), F.col("bytes").alias("shard_bytes"), (F.col("bytes") > limit).alias("oversized"))
 
 
-def write_shards(documents: DataFrame, limit: int, path: str) -> None:
-    """Parquet files, a folder for each shard. Rows are dealt by shard, whose bytes are bounded."""
-    rows = pick(documents, *documents.columns)
-    keyed = rows.withColumn("_h", row_hash(F.col("doc_id"), F.coalesce("text", F.lit(""))))
-    shards = assign_shards(documents, limit).select("shard", "depth").distinct()
-    depths = [r["depth"] for r in shards.select("depth").distinct().collect()]
+def write_shards(documents: DataFrame, limit: int, path: str) -> str:
+    """Parquet files, a folder for each shard, named p and the bits of its hash prefix (p alone if there is one shard),
+    by a column whose name is returned: shard, or with underscores before it where documents has such a column. Rows are
+    dealt by shard, whose bytes are bounded."""
+    plain = documents.toDF(*[f"c{i}" for i in range(len(documents.columns))])
+    lower = [c.lower() for c in documents.columns]
+    name = "shard"
+    while name in lower:
+        name = "_" + name
+    doc_id, text = (F.col(f"c{lower.index(c)}") for c in ("doc_id", "text"))
+    keyed = plain.withColumn("h", row_hash(doc_id, F.coalesce(text, F.lit(""))))
+    shards = Scratch(documents.sparkSession, "sharding").table(assign_shards(documents, limit).select("shard", "depth").distinct(), "shards")
     out = None
-    for d in depths:
-        p = F.when(F.lit(d == 0), "").otherwise(F.lpad(F.bin(_prefix(F.col("_h"), d)), d, "0")) if d else F.lit("")
-        part = keyed.withColumn("shard", p).join(shards.filter(F.col("depth") == d).select("shard"), "shard", "left_semi").drop("_h")
+    for d in sorted(r["depth"] for r in shards.select("depth").distinct().collect()):  # 61 at most
+        p = F.lpad(F.bin(_prefix(F.col("h"), d)), d, "0") if d else F.lit("")
+        part = keyed.withColumn("p", p).join(shards.filter(F.col("depth") == d).select(F.col("shard").alias("p")), "p", "left_semi")
         out = part if out is None else out.unionByName(part)
     if out is not None:
-        out.repartition("shard").write.partitionBy("shard").parquet(path)
+        named = out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(documents.columns)], F.concat(F.lit("p"), "p").alias(name))
+        named.repartition(name).write.partitionBy(name).parquet(path)
+    return name
 
 
 #: Bytes of text in a shard.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 1 << 20
 
 
 def op5_extendible_sharding(spark, sf_dir: str) -> DataFrame:
@@ -91,7 +102,7 @@ WITH r AS (
   SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h
   FROM documents
-), depths AS (SELECT d::INT AS d FROM range(0, 33) t(d)),
+), depths AS (SELECT d::INT AS d FROM range(0, {BITS + 1}) t(d)),
 b AS (SELECT d, h >> (60 - d) AS p, sum(n_bytes) AS bytes, min(h) = max(h) AS one FROM r, depths GROUP BY 1, 2),
 leaf AS (
   SELECT r.doc_id, r.n_bytes, b.d, b.p, b.bytes, row_number() OVER (PARTITION BY r.doc_id, r.h ORDER BY b.d) AS k
