@@ -30,6 +30,8 @@ SENTENCES = {
     "mit-spdx": "SPDX-License-Identifier: MIT",
     "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     "mit-condition": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "mit-warranty": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    "mit-liability": "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     "apache-notice": "Licensed under the Apache License, Version 2.0",
     "apache-short": "Released under the Apache License 2.0",
     "apache-spdx": "SPDX-License-Identifier: Apache-2.0",
@@ -38,6 +40,17 @@ SENTENCES = {
     "apache-copy": "You may obtain a copy of the License at",
     "apache-asis": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     "apache-see": "See the License for the specific language governing permissions and limitations under the License.",
+    "gpl2-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "gpl2-spdx": "SPDX-License-Identifier: GPL-2.0-only",
+    "gpl2-later-spdx": "SPDX-License-Identifier: GPL-2.0-or-later",
+    "gpl3-only-spdx": "SPDX-License-Identifier: GPL-3.0-only",
+    "lgpl-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl-hope": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
+    "lgpl-see": "See the GNU Lesser General Public License for more details.",
+    "lgpl21-spdx": "SPDX-License-Identifier: LGPL-2.1-or-later",
+    "agpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl-see": "See the GNU Affero General Public License for more details.",
+    "agpl3-spdx": "SPDX-License-Identifier: AGPL-3.0-or-later",
     "gpl3-notice": "This work is licensed under the GNU General Public License, version 3",
     "gpl2-notice": "This work is licensed under the GNU General Public License, version 2",
     "gpl3-spdx": "SPDX-License-Identifier: GPL-3.0-or-later",
@@ -49,6 +62,19 @@ SENTENCES = {
     "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd-warranty": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    "bsd2-spdx": "SPDX-License-Identifier: BSD-2-Clause",
+    "bsd3-spdx": "SPDX-License-Identifier: BSD-3-Clause",
+    "isc-spdx": "SPDX-License-Identifier: ISC",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "zlib-origin": "The origin of this software must not be misrepresented;",
+    "zlib-spdx": "SPDX-License-Identifier: Zlib",
+    "0bsd-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "boost-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "boost-spdx": "SPDX-License-Identifier: BSL-1.0",
+    "mpl2-spdx": "SPDX-License-Identifier: MPL-2.0",
+    "epl2-spdx": "SPDX-License-Identifier: EPL-2.0",
+    "unlicense-2": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "unlicense-1": "This is free and unencumbered software released into the public domain.",
     "mpl-1": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",
@@ -65,6 +91,7 @@ RULES = [
     ("mit-licensed", "MIT", ["mit-licensed"]),
     ("mit-spdx", "MIT", ["mit-spdx"]),
     ("mit-text", "MIT", ["mit-grant", "mit-condition"]),
+    ("mit-whole", "MIT", ["mit-grant", "mit-condition", "mit-warranty", "mit-liability"]),
     ("apache-line", "Apache-2.0", ["apache-notice"]),
     ("apache-short", "Apache-2.0", ["apache-short"]),
     ("apache-spdx", "Apache-2.0", ["apache-spdx"]),
@@ -75,6 +102,27 @@ RULES = [
     ("gpl2-line", "GPL-2.0", ["gpl2-notice"]),
     ("gpl3-spdx", "GPL-3.0", ["gpl3-spdx"]),
     ("gpl3-header", "GPL-3.0", ["gpl-free", "gpl-hope", "gpl-implied", "gpl-see"]),
+    ("gpl2-header", "GPL-2.0", ["gpl2-free", "gpl-hope", "gpl-implied", "gpl-see"]),
+    ("gpl2-spdx", "GPL-2.0", ["gpl2-spdx"]),
+    ("gpl2-later-spdx", "GPL-2.0", ["gpl2-later-spdx"]),
+    ("gpl3-only-spdx", "GPL-3.0", ["gpl3-only-spdx"]),
+    ("lgpl-header", "LGPL-2.1", ["lgpl-free", "lgpl-hope", "gpl-implied", "lgpl-see"]),
+    ("lgpl-spdx", "LGPL-2.1", ["lgpl21-spdx"]),
+    ("agpl-header", "AGPL-3.0", ["agpl-free", "gpl-hope", "gpl-implied", "agpl-see"]),
+    ("agpl-spdx", "AGPL-3.0", ["agpl3-spdx"]),
+    ("bsd2-whole", "BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty"]),
+    ("bsd3-whole", "BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty"]),
+    ("bsd2-spdx", "BSD-2-Clause", ["bsd2-spdx"]),
+    ("bsd3-spdx", "BSD-3-Clause", ["bsd3-spdx"]),
+    ("isc-spdx", "ISC", ["isc-spdx"]),
+    ("zlib-text", "Zlib", ["zlib-grant", "zlib-origin"]),
+    ("zlib-spdx", "Zlib", ["zlib-spdx"]),
+    ("0bsd-text", "0BSD", ["0bsd-grant"]),
+    ("boost-line", "BSL-1.0", ["boost-notice"]),
+    ("boost-spdx", "BSL-1.0", ["boost-spdx"]),
+    ("mpl2-spdx", "MPL-2.0", ["mpl2-spdx"]),
+    ("epl2-spdx", "EPL-2.0", ["epl2-spdx"]),
+    ("unlicense-whole", "Unlicense", ["unlicense-1", "unlicense-2"]),
     ("bsd2-text", "BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("bsd3-text", "BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"]),
     ("isc-text", "ISC", ["isc-grant"]),
