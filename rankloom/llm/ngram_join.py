@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from . import bytes_ops
 from .columns import pick
 from .components import components
-from .scratch import Scratch
+from ..scratch import Scratch
 from ..shipping import map_arrow
 
 WORDS, PERCENT = 5, 80
@@ -257,6 +257,7 @@ class _Join:
         labelled = self.classes.join(final, "k", "left").select("k", "rep", F.coalesce("c", "k").alias("c"))
         least = labelled.groupBy("c").agg(F.min(F.when(F.col("rep") != NO_ID, F.col("rep"))).alias("component_id"))
         of_class = sc.table(labelled.join(least, "c").select("k", "component_id"), "components")
+        sc.keep_only(of_class, told)
         own = F.nullif(F.col("doc"), F.lit(NO_ID))
         return self.sets.join(of_class, "k", "left").select(own.alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(own).alias("component_id"))
 

@@ -1,13 +1,14 @@
 """Packing and the quality classifier; the pipeline's stages."""
 
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rankloom.llm import packing, quality_classifier
+from rankloom.llm import decontamination, ngram_join, packing, quality_classifier
 
 from . import tables
 
@@ -62,6 +63,23 @@ def test_proportions_and_accounts():
     assert sum(n for d, _, n, seq, _ in owed.pieces if seq == 0 and d >= 100) > share[0][1]
 
 
+def test_packing_keeps_ids_as_they_are(spark):
+    ids = [None, 2**60 + 1, 2**53 + 1, -1]
+    out = packing.pack(tables.documents(spark, [(i, "a b c") for i in ids]), P.path("byte_bpe_50k.json"), lanes=1).collect()
+    assert sorted(({r.doc_id for r in out}), key=str) == sorted(ids, key=str) and sum(r.length for r in out) == 4 * out[0].doc_tokens
+    named = packing.pack(tables.documents(spark, [(1, "x")]).withColumn("doc_id", F.lit("one")), P.path("byte_bpe_50k.json")).collect()
+    assert [r.doc_id for r in named] == ["one"]
+
+
+def test_copies_of_a_row_are_dealt_to_many_lanes(spark):
+    df = tables.documents(spark, [(1, tables.text(300))]).crossJoin(spark.range(200)).drop("id")
+    out = packing.pack(df, P.path("byte_bpe_50k.json"), lanes=8)
+    assert out.agg(F.sum("length")).first()[0] == 200 * out.first().doc_tokens
+    # Every lane that has rows ends in sequences shorter than a window.
+    sizes = [r["n"] for r in out.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()]
+    assert sum(n < packing.LENGTH for n in sizes) >= 8 and all(n & (n - 1) == 0 for n in sizes)
+
+
 def labelled(spark, n=400):
     rng = random.Random(2)
     texts, labels = [], []
@@ -107,6 +125,24 @@ def test_features_do_not_depend_on_neighbours():
     assert np.allclose(together, alone)
 
 
+def test_scores_are_sums_of_table_entries(spark):
+    """The vectorised score against looking up every table by hand."""
+    import math
+
+    docs, labels = labelled(spark, 200)
+    model = quality_classifier.train(docs, labels)
+    texts = [r.text for r in docs.collect()] + [t or "" for _, t in tables.odd_texts()]
+    import pyarrow as pa
+
+    x = quality_classifier._batch_features(pa.array(texts))
+    for row, got in zip(x, model.score(x)):
+        bin_ = lambda edges, v: sum(1 for e in edges if e <= v)
+        z = model.base + sum(t[bin_(e, v)] for e, t, v in zip(model.edges, model.tables, row))
+        z += sum(t[bin_(model.coarse[f], row[f])][bin_(model.coarse[g], row[g])] for f, g, t in model.pairs)
+        assert abs(got - 1 / (1 + math.exp(-z))) < 1e-9
+    assert model.pairs and any(t.any() for t in model.tables)
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
@@ -126,5 +162,43 @@ def test_pipeline(spark, tmp_path):
         now = spark.read.parquet(f"{sf}/out{i}")
         seen.append({r.doc_id for r in now.select("doc_id").distinct().collect()})
         assert i == 4 or now.dtypes == docs.dtypes
+    # Every stage against a plain version, on what its predecessor kept.
+    before = {r.doc_id: r.text for r in docs.collect()}
+    stage_docs = lambda i: {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/out{i}").collect()}
+    model = quality_classifier.train(docs, labels)
+    import pyarrow as pa
+
+    score = dict(zip(before, model.score(quality_classifier._batch_features(pa.array(list(before.values()))))))
+    assert stage_docs(0) == {d: t for d, t in before.items() if score[d] >= quality_classifier.CUT}
+    groups = ngram_join.brute(list(stage_docs(0).items()))
+    assert stage_docs(1) == {d: t for d, t in stage_docs(0).items() if groups[d][1] == d}
+    assert stage_docs(2) == {d: t for d, t in stage_docs(1).items() if not decontamination.brute(t, [("1", item)])[4]}
+    secret = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]{6,})|AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}"
+    assert stage_docs(3).keys() == stage_docs(2).keys()
+    for d, t in stage_docs(2).items():
+        assert (stage_docs(3)[d] == t) == (not re.search(secret, t or "")) and not re.search("abcdef123456", stage_docs(3)[d] or "")
+    tokens = packing._encoder(P.path("byte_bpe_50k.json"))[1]
+    packed = {}
+    for r in now.collect():
+        packed.setdefault(r.doc_id, []).append((r.start, r.length, r.doc_tokens))
+    for d, t in stage_docs(3).items():
+        n = len(tokens([t or ""])[0]) + 1
+        assert sum(x[1] for x in packed[d]) == n and {x[2] for x in packed[d]} == {n}
     assert 1000 in seen[1] and 1000 not in seen[2] and 2000 not in seen[1] and 1001 in seen[4]
     assert corpus_pipeline.run(spark, sf).count() == now.count()
+
+
+def test_pipeline_stages_bear_odd_tables(spark, tmp_path):
+    """Empty tables, repeated rows, null ids and texts: every stage keeps its columns and gives a row or none for each."""
+    import corpus_pipeline
+
+    sf = str(tmp_path)
+    _, labels = labelled(spark, 40)
+    labels.write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([(1, "a b c"), (None, None)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    odd = tables.documents(spark, tables.odd_texts() + [(None, None), (None, "one two")])
+    for docs in (odd.union(odd), odd.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, sf)
+            n = out.count()
+            assert name == "packing" or (out.columns == docs.columns and n <= docs.count())

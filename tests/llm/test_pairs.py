@@ -53,6 +53,41 @@ def test_repeats(spark, monkeypatch, group_rows):
     assert repeats(tables.documents(spark, rows)) == substring_dedup.brute(rows)
 
 
+def test_tags_keep_strings_apart():
+    cut = np.array([0, 3, 6])
+    data = np.frombuffer(b"abcabd", np.uint8)
+    index = run_length_index.RunLengthIndex(data, cut, np.array([0, 5]))
+    length, _, _ = index.matching_statistics(np.frombuffer(b"abdabd", np.uint8), cut, np.array([0, 5]))
+    assert length.tolist() == [2, 1, 0, 3, 2, 1]
+    assert not hasattr(index, "_rows") and len(index.head_position) == len(index.tail_position) == index.n_runs
+
+
+def test_index_of_earlier_parts_decides(spark, monkeypatch):
+    """What is removed where groups hold several parts comes from matching statistics over earlier parts: parts in the
+    order of places, each against a plain search, and nothing is found over an empty index."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(97, 123, 400).astype(np.uint8)
+    parts = []
+    for _ in range(60):
+        a = int(rng.integers(0, 200))
+        x = base[a : a + int(rng.integers(100, 160))].copy()
+        if rng.random() < 0.5:
+            x[int(rng.integers(0, len(x)))] = 65
+        parts.append(x)
+    offs = np.cumsum([0, *map(len, parts)])
+    got = substring_dedup._repeats_of_earlier(np.concatenate(parts), offs, np.zeros(60, np.int64), np.arange(60))
+    seen, want = set(), np.zeros(offs[-1], bool)
+    for k, x in enumerate(parts):
+        own = {x[i : i + 100].tobytes() for i in range(len(x) - 99)}
+        for i in range(len(x) - 99):
+            want[offs[k] + i] = x[i : i + 100].tobytes() in seen
+        seen |= own
+    assert (got == want).all() and want.any()
+    passage = tables.text(24, random.Random(8))[:130]
+    rows = [(i, tables.text(8, random.Random(i)) + passage + tables.text(8, random.Random(100 + i))) for i in range(12)]
+    assert repeats(tables.documents(spark, rows)) == substring_dedup.brute(rows)
+
+
 def test_repeats_edge_cases(spark):
     assert repeats(tables.documents(spark, [])) == {}
     rows = [(1, tables.text(40)), (2, None)]

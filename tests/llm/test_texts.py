@@ -153,8 +153,16 @@ def test_shards_of_copies(spark, tmp_path):
     df = tables.documents(spark, [(1, "x" * 100)] * 5 + [(2, "y" * 50)])
     got = extendible_sharding.assign_shards(df, 120)
     assert got.count() == 6 and {(r.shard_bytes, r.oversized) for r in got.collect()} == {(500, True), (50, False)}
-    extendible_sharding.write_shards(df, 120, str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 6
+    assert extendible_sharding.write_shards(df, 120, str(tmp_path / "out")) == "shard"
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 6 and {"p" + r.shard for r in got.collect()} == {r.shard for r in back.select("shard").distinct().collect()}
+    # One shard, and columns named as the working ones are.
+    one = df.withColumns({"Shard": F.lit(1), "_h": F.lit(2), "p": F.lit(3)})
+    assert extendible_sharding.write_shards(one, 10_000, str(tmp_path / "one")) == "_shard"
+    back = spark.read.parquet(str(tmp_path / "one"))
+    assert {r["_shard"] for r in back.collect()} == {"p"} and back.drop("_shard").columns == one.columns
+    ids = extendible_sharding.assign_shards(tables.documents(spark, [(None, "x"), (None, "x"), (None, None), (3, None)]), 1).collect()
+    assert sorted((r.doc_id is None, r.n_bytes, r.oversized) for r in ids) == [(False, 0, False), (True, 0, False), (True, 1, True), (True, 1, True)]
 
 
 def test_chats(spark):
@@ -335,3 +343,92 @@ def test_items_without_an_id(spark):
     got = decontamination.find_contamination(tables.documents(spark, [(1, item), (2, "other")]), items(spark, [(None, item), (5, "not there")])).collect()
     assert {r.doc_id: (r.n_hit, r.item_ids) for r in got} == {1: (20, []), 2: (0, [])}
     assert [r.doc_id for r in decontamination.drop_contaminated(tables.documents(spark, [(1, item), (2, "other")]), items(spark, [(None, item)])).collect()] == [2]
+
+
+def plain_ratio(rows, trusted, n_buckets, orders):
+    """llr of every text by two counters of n-gram buckets; hashes as Spark makes them (seed 42, columns chained)."""
+    import math
+
+    import xxhash
+
+    def buckets(text):
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", text or "") if x]
+        signed = lambda h: h - 2**64 if h >= 2**63 else h
+        one = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in w]
+        long = lambda h, seed: xxhash.xxh64(h.to_bytes(8, "little"), seed=seed).intdigest()
+        two = [long(b, long(a, 42)) for a, b in zip(one, one[1:])]
+        return [signed(h) % n_buckets for n, hs in ((1, one), (2, two)) if n in orders for h in hs]
+
+    raw, target = Counter(), Counter()
+    for d, t in rows:
+        raw.update(buckets(t))
+        if d in trusted:
+            target.update(buckets(t))
+    all_raw, all_target = sum(raw.values()), sum(target.values())
+    weight = {b: math.log((target[b] + 1) / (all_target + n_buckets)) - math.log((raw[b] + 1) / (all_raw + n_buckets)) for b in raw}
+    return {d: sum(weight[b] for b in bs) / len(bs) if (bs := buckets(t)) else 0.0 for d, t in rows}
+
+
+@pytest.mark.parametrize("orders", [(1,), (1, 2)])
+def test_verdicts_of_rules_against_plain_counts(spark, orders):
+    rng = random.Random(12)
+    rows = tables.odd_texts()[:5] + [(30 + i, tables.text(40, rng)) for i in range(25)] + [(90 + i, " ".join(rng.choice(tables.WORDS[:6]) + "#" for _ in range(30))) for i in range(10)]
+    trusted = {d for d, _ in rows if 30 <= d < 50}
+    ids = spark.createDataFrame([(d,) for d in trusted], "doc_id long")
+    want = plain_ratio(rows, trusted, 512, orders)
+    got = quality_rules.apply_rules(tables.documents(spark, rows), ids, n_buckets=512, orders=orders, threshold=-0.05).collect()
+    assert len(got) == len(rows) and {r.kept for r in got} == {True, False}
+    for r in got:
+        assert abs(r.llr - want[r.doc_id]) < 1e-6 and r.kept == (not r.base_failed and want[r.doc_id] >= -0.05)
+
+
+def test_a_long_conversation(spark):
+    """Thousands of turns in one conversation: the same result as turn by turn, at a cost in proportion."""
+    import time
+
+    said = [(1, j, "assistant" if j % 3 else "user", f"turn {j} <é#\\> " * (1 + j % 40)) for j in range(12_000)]
+    df = spark.createDataFrame(said + [(2, 0, "assistant", "x")], "conv_id long, turn long, role string, text string")
+    began = time.time()
+    got = {r.conv_id: r for r in chat_formatting.digest(chat_formatting.format_conversations(df)).collect()}
+    assert time.time() - began < 60
+    loss = "".join(t for _, _, r, t in said if r == "assistant")
+    assert got[1].n_turns == 12_000 and got[1].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest() and got[1].loss_chars == len(loss)
+    assert got[2].loss_chars == 1
+
+
+def test_spans_across_parts(spark):
+    text = "é𝄞x" * 5000
+    spans = [(0, 0), (0, 4096), (4095, 4097), (4096, 8192), (8191, 14_999), (14_999, 15_000), (15_000, 15_000)]
+    df = spark.createDataFrame([(text, spans), ("", [(0, 0)])], "t string, s array<struct<start:bigint,end:bigint>>")
+    got = [r[0] for r in df.select(chat_formatting.cut_out(F.col("t"), F.col("s"))).collect()]
+    assert sorted(got, key=len) == [[""], [text[a:b] for a, b in spans]]
+
+
+def test_a_large_benchmark_in_bounded_blocks(spark):
+    """A benchmark of many blocks says what one automaton says, and a worker's automaton stays small."""
+    rng = random.Random(5)
+    vocabulary = [a + b for a in tables.WORDS for b in tables.WORDS]
+    bench = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 5, 40, 60])))) for i in range(400)]
+    rows = [(1000 + i, " ".join(rng.choice(vocabulary) for _ in range(60)) + " " + bench[i][1].upper()) for i in range(60)] + [(1, None), (2, "")]
+    df, items_ = tables.documents(spark, rows + rows[:3]), items(spark, bench)
+    key = lambda out: sorted((r.doc_id, r.n_words, r.n_hit, tuple(r.item_ids), tuple(r.spans)) for r in out.collect())
+    one = key(decontamination.find_contamination(df, items_, block_bytes=1 << 30))
+    assert key(decontamination.find_contamination(df, items_, block_bytes=4000)) == one and sum(x[2] for x in one) > 100
+    text = [(str(i), " ".join(rng.choice(vocabulary) for _ in range(150)).encode()) for i in range(400)]
+    size = sum(len(t) for _, t in text)
+    stats = decontamination.Scanner(text).automaton.get_stats()
+    assert stats["total_size"] < 100 * size and decontamination.BLOCK_BYTES * 100 <= 100 << 20
+
+
+def test_scanner_against_brute_force():
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(30)]
+    for _ in range(200):
+        bench = [(str(i), " ".join(rng.choice(words) for _ in range(rng.randint(0, 18)))) for i in range(8)]
+        text = [rng.choice(words) for _ in range(rng.randint(0, 80))]
+        for _ in range(2):
+            text[rng.randint(0, len(text)) : 0] = rng.choice(bench)[1].split()
+        joined = " ".join(text)
+        runs, who = decontamination.Scanner([(i, t.encode()) for i, t in bench], 5).hits(decontamination.words_of(joined.encode()))
+        _, hit, n_items, *_ = decontamination.brute(joined, bench, 5)
+        assert (sum(b - a for a, b in runs), len(who)) == (hit, n_items) and all(x[1] < y[0] for x, y in zip(runs, runs[1:]))
