@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rankloom.llm import decontamination, ngram_join, packing, quality_classifier, secret_scan
-from rankloom.llm.scratch import Scratch
+from rankloom.scratch import Scratch
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
