@@ -20,6 +20,25 @@ def report(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     return counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"r{i}").alias("violations")) for i, n in enumerate(rules)])).alias("x")).select("x.*")
 
 
+def observed(df: DataFrame, rules: dict[str, Column], name: str = "quality"):
+    """df, and an observation that holds the number of violations of each rule once df has been run; no pass of its own."""
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    return df.observe(seen, *[F.count_if(~F.coalesce(ok, F.lit(False))).alias(n) for n, ok in rules.items()]), seen
+
+
+def write_report(df: DataFrame, key: str, rules: dict[str, Column], path: str, examples: int = 50) -> bool:
+    """Writes counts and the first violations of all rules, by rule and key, as JSON; whether there are none. The bound
+    is on what is shown, the counts are of all rows."""
+    from ..sources.tables import write_json_atomically
+
+    counts = {r["rule"]: r["violations"] for r in report(df, key, rules).collect()}  # one row for each rule
+    shown = [{"rule": r["rule"], "key": str(r["key"])} for r in violations(df, key, rules).orderBy("rule", "key").limit(examples).collect()]
+    write_json_atomically(path, {"violations": counts, "errors": shown})
+    return not any(counts.values())
+
+
 def gated(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """df, which fails when run if a row breaks a rule; the first broken rule names the error."""
     message = F.lit(None).cast("string")

@@ -89,7 +89,7 @@ def reason_counts(spark, sf_dir):
 def fingerprint_gate(spark, sf_dir):
     """A rebuilt table that is taken because the digest of one of its sources is another."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"))
-    prints = lambda df: df.groupBy(F.col("y").cast("string").alias("name")).agg(F.sum("o_orderkey").cast("string").alias("sha256"))
+    prints = lambda df: df.groupBy(F.col("y").cast("string").alias("name")).agg(F.concat_ws(":", F.count("*"), F.sum("o_orderkey")).alias("sha256"))
     newest = o.agg(F.max("y").alias("m"))
     rebuilt = o.join(F.broadcast(newest), F.col("y") == F.col("m")).select("o_orderkey")
     return merge.rebuilt_if_changed(o.select("o_orderkey"), rebuilt, prints(o.filter("o_orderkey <> 0")), prints(o))
@@ -218,7 +218,7 @@ def offer_gate(spark, sf_dir):
 @entry("""
 SELECT 'distinct_orders' AS rule, l_suppkey::VARCHAR AS key FROM lineitem GROUP BY l_suppkey HAVING count(l_orderkey) <> count(DISTINCT l_orderkey)
 UNION ALL SELECT 'items', c_custkey::VARCHAR FROM customer WHERE c_custkey NOT IN (SELECT l_suppkey FROM lineitem)
-UNION ALL SELECT 'key_once', c_nationkey::VARCHAR FROM customer GROUP BY 1 HAVING count(*) > 1
+UNION ALL SELECT 'key_once', c_nationkey::VARCHAR FROM customer GROUP BY c_nationkey HAVING count(*) > 1
 """)
 def document_gate(spark, sf_dir):
     """Documents with an order number given twice, documents without rows, keys given twice."""
@@ -254,7 +254,7 @@ def award_blocks(spark, sf_dir):
     c = F.col
     kind = classify.lookup({"1-URGENT": "VACANT", "2-HIGH": "Substitució determinada", "3-MEDIUM": "SUSTITUCIÓN INDETERMINADA"}, c("o_orderpriority"))
     rows = F.array(
-        F.concat((c("o_orderkey") % 90000 + 1).cast("string"), F.lit(" / 7 PERSON "), c("o_custkey"), F.lit(", ANA Petició : 3")),
+        F.concat((c("o_orderkey") % 90000 + 1).cast("string"), F.lit(" / 7 PERSON "), c("o_custkey"), F.lit(", ANA Petición : 3")),
         F.concat(F.lit("921979 TOWN("), F.lpad(c("o_custkey").cast("string"), 8, "0"), F.lit(")SCHOOL")),
         F.concat(F.when(c("o_orderstatus") == "F", "126").otherwise("3A1"), F.lit(" / NAME")),
         F.concat_ws(" ", F.lit("Adjudicat"), kind, F.when(c("o_custkey") % 2 == 0, F.concat((c("o_custkey") % 30).cast("string"), F.lit(" hores"))), F.when(c("o_custkey") % 5 == 0, "Itinerante"), F.when(c("o_custkey") % 3 == 0, "/ ING.")),
@@ -273,8 +273,8 @@ def page_headers(spark, sf_dir):
 
 
 @entry("""
-SELECT p_partkey, 'IES la '[:4] || 'La ' || array_to_string(list_transform(string_split(p_name, ' '), x -> upper(x[1]) || x[2:]), ' ') || ' d''en Joan XII' AS title,
-       'La ' || array_to_string(list_transform(string_split(p_name, ' '), x -> upper(x[1]) || x[2:]), ' ') AS place, array_to_string(list_transform(string_split(p_name, ' '), x -> upper(x[1]) || x[2:]), ' ') || ' ' || p_type[1] || lower(p_type[2:]) AS person
+SELECT p_partkey, 'IES la '[:4] || 'La ' || array_to_string(list_transform(string_split(p_name, ' '), lambda x: upper(x[1]) || x[2:]), ' ') || ' d''en Joan XII' AS title,
+       'La ' || array_to_string(list_transform(string_split(p_name, ' '), lambda x: upper(x[1]) || x[2:]), ' ') AS place, array_to_string(list_transform(string_split(p_name, ' '), lambda x: upper(x[1]) || x[2:]), ' ') || ' ' || p_type[1] || lower(p_type[2:]) AS person
 FROM part
 """)
 def display_names(spark, sf_dir):
@@ -350,7 +350,7 @@ def document_cuts(spark, sf_dir):
     c = F.col
     awards = _t(spark, sf_dir, "lineitem").select(
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("url"), F.lpad(c("l_suppkey").cast("string"), 8, "0").alias("center_code"), F.when(c("l_returnflag") == "A", "126").otherwise("3A1").alias("specialty_code"),
-        c("l_quantity").cast("int").alias("cut"), F.when(c("l_linestatus") == "F", "maestros").otherwise("secundaria").alias("body"), (c("l_orderkey") * 10_000_000_000 + c("l_linenumber") * 1_000_000_000 + c("l_partkey")).alias("seq"),
+        c("l_quantity").cast("int").alias("cut"), F.when(c("l_linestatus") == "F", "maestros").otherwise("secundaria").alias("body"), (c("l_orderkey").cast("decimal(38,0)") * 10**12 + c("l_linenumber") * F.lit(10**11) + c("l_partkey")).alias("seq"),
         c("l_partkey").cast("string").alias("specialty_name"), F.concat(F.lit("RAW "), c("l_suppkey")).alias("center_name"), F.lit("TOWN").alias("locality"), F.lit("vacante").alias("placement_type"),
         F.lit(False).alias("english_requirement"), F.lit(False).alias("itinerant"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("published_date"), F.lit("h").alias("sha256"),
     )
@@ -375,3 +375,74 @@ def offers_update(spark, sf_dir):
     )
     state = offers.item_rows(payloads.filter("academic_year = '1996-1997'"))
     return offers.update(state, payloads, "1997-1998").select("offer_order", "center_code", "placement_type")
+
+
+@entry("""
+WITH d AS (SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m, o_custkey % 3 AS k FROM orders)
+SELECT o_orderkey, CASE k WHEN 0 THEN y < 2000 AND y NOT IN (1998, 1999) WHEN 1 THEN y NOT IN (1998, 1999) ELSE false END AS outside FROM d
+""")
+def links_outside_year(spark, sf_dir):
+    """Links whose text names other years than the target's, in four digits that begin with 20, or whose file name begins
+    with another year's two digits."""
+    c = F.col
+    url = F.when(c("o_custkey") % 3 == 1, F.concat(F.lit("http://h/dir%2Fx/"), F.date_format("o_orderdate", "yyMMdd"), F.lit("_list.pdf"))).otherwise("http://h/list.pdf")
+    words = F.when(c("o_custkey") % 3 == 0, F.concat(F.lit("curso "), F.year("o_orderdate") + 100)).otherwise("curso")
+    return _t(spark, sf_dir, "orders").select("o_orderkey", cuts.outside_year(url, words, F.lit("2098-2099")).alias("outside"))
+
+
+@entry("""
+SELECT o_orderkey, CASE WHEN o_custkey % 4 = 0 THEN true ELSE year(o_orderdate) + 20 IN (2017, 2018) END AS allowed, o_custkey % 2 = 0 AS overlap FROM orders
+""")
+def year_mentions(spark, sf_dir):
+    """Texts that name school years, against those allowed on a date; text without a year is allowed."""
+    y = F.year("o_orderdate") + 20
+    said = F.when(F.col("o_custkey") % 4 == 0, "no year").otherwise(F.concat(F.lit("curso "), y, F.lit(" / "), y + 1))
+    both = F.arrays_overlap(F.array(F.lit("a"), F.lit("b")), F.array(F.when(F.col("o_custkey") % 2 == 0, "b").otherwise("c")))
+    from ..functions import calendar
+
+    return _t(spark, sf_dir, "orders").select("o_orderkey", calendar.mentions_allowed_year(said, calendar.allowed_years(F.lit("2018-07-15").cast("date"))).alias("allowed"), both.alias("overlap"))
+
+
+@entry("""
+SELECT 'arity' AS rule, c_custkey AS key FROM customer WHERE c_custkey % 5 = 0 UNION ALL SELECT 'coordinates', c_custkey FROM customer WHERE c_custkey % 5 = 0 OR c_acctbal < 0
+""")
+def centre_override_gate(spark, sf_dir):
+    """Override rows of the wrong length or without finite coordinates."""
+    filled = F.array(*[F.lit("x")] * 14)
+    lat = F.when(F.col("c_acctbal") < 0, "Infinity").otherwise(F.col("c_acctbal").cast("string"))
+    row = F.when(F.col("c_custkey") % 5 == 0, filled).otherwise(F.concat(filled, F.array(lat, F.lit("0.5"))))
+    return quality.violations(_t(spark, sf_dir, "customer").select("c_custkey", row.alias("r")), "c_custkey", quality.override_rules("r", 16))
+
+
+@entry("""
+SELECT 'schema' AS rule, n_nationkey AS key FROM nation WHERE n_regionkey < 3 UNION ALL SELECT 'policy', n_nationkey FROM nation WHERE n_nationkey < 5
+UNION ALL SELECT 'pdf_maestros', n_nationkey FROM nation WHERE n_nationkey % 2 = 1 UNION ALL SELECT 'fields', n_nationkey FROM nation WHERE n_nationkey % 3 = 0
+""")
+def cut_table_gate(spark, sf_dir):
+    """Preconditions of cut tables."""
+    c = F.col
+    pdfs = F.create_map(F.lit("maestros"), F.when(c("n_nationkey") % 2 == 0, "digest").otherwise("other"))
+    fields = F.array(*map(F.lit, quality.CUT_FIELDS))
+    table = _t(spark, sf_dir, "nation").select("n_nationkey", c("n_regionkey").alias("schema_version"), c("n_nationkey").alias("policy_version"), pdfs.alias("pdfs"), F.when(c("n_nationkey") % 3 == 0, F.slice(fields, 1, 3)).otherwise(fields).alias("cut_format"))
+    return quality.violations(table, "n_nationkey", quality.cut_table_rules({"maestros": "digest"}))
+
+
+@entry("SELECT 'control_example' AS rule, s_suppkey AS key FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_linenumber = 7 AND l_returnflag = 'R' AND l_quantity = 50)")
+def control_example_gate(spark, sf_dir):
+    """Suppliers expected with a certain line, for which none is found."""
+    expected = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.lit(7).alias("n"), F.lit("R").alias("f"), F.lit(50.0).alias("q"))
+    found = _t(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("f"), F.col("l_quantity").alias("q"))
+    return quality.control_examples(found, expected, "k")
+
+
+@entry("SELECT doc_id, doc_id % 4 = 0 AND text IS NOT NULL AS pdf FROM documents")
+def magic_bytes(spark, sf_dir):
+    """Whether bytes begin, after white space, as a PDF does."""
+    head = F.when(F.col("doc_id") % 4 == 0, F.lit("\n %PDF-1.7 ")).otherwise("%PDX")
+    return _t(spark, sf_dir, "documents").select("doc_id", quality.is_pdf(F.concat(head, "text").cast("binary")).alias("pdf"))
+
+
+@entry("SELECT o_orderkey, min(o_custkey) AS o_custkey FROM orders GROUP BY 1")
+def unambiguous_index(spark, sf_dir):
+    """An index of one value for each key, which fails where a key has several."""
+    return quality.unambiguous(_t(spark, sf_dir, "orders"), ["o_orderkey"], "o_custkey")

@@ -243,3 +243,16 @@ def test_fetch_uses_the_whole_window():
     with pytest.raises(OSError, match="down"):
         fetch.fetch_within(request, window=0, clock=lambda: now[0], pause=lambda s: None)
     assert len(seen) == 1 and seen[0][1] == 120
+
+
+def test_report_and_observation(spark, tmp_path):
+    from rankloom.sources import tables
+
+    df = spark.createDataFrame([(1, 5), (2, -1), (3, None)], "k int, v int")
+    rules = {"positive": F.col("v") > 0, "key": F.col("k") > 0}
+    path = str(tmp_path / "report.json")
+    assert quality.write_report(df, "k", rules, path) is False
+    assert tables.read_json(path) == {"violations": {"positive": 2, "key": 0}, "errors": [{"rule": "positive", "key": "2"}, {"rule": "positive", "key": "3"}]}
+    assert quality.write_report(df.filter("v > 0"), "k", rules, path)
+    out, seen = quality.observed(df, rules)
+    assert out.count() == 3 and seen.get == {"positive": 2, "key": 0}
