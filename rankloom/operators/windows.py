@@ -30,12 +30,32 @@ def counts_ahead(refs: DataFrame, events: DataFrame, keys: list[str], ref_order:
     return both.select("*", *sums).filter("__ref").select(*refs.columns, *values)
 
 
-def ordinal(df: DataFrame, keys: list[str], order: list, name: str = "ordinal") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-
-
-def active_rank(df: DataFrame, keys: list[str], order: list, active: Column, name: str) -> DataFrame:
-    """One more than the number of active rows strictly before; the row itself always counts as one."""
+def spread_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str) -> DataFrame:
+    """The sum of values up to and with each row, for keys that may hold a large part of all rows: ranges of (keys,
+    order) are summed apart, then moved on by the sums of the key's ranges before. The order must be total, or rows
+    alike in it share a range and any order among them. The ranges are written once, as their bounds are sampled."""
+    ranged = Scratch(df.sparkSession, "spread-sum").table(df.withColumn("__v", value).repartitionByRange(*keys, *order).withColumn("__p", F.spark_partition_id()), "ranged")
+    local = ranged.withColumn("__s", F.sum("__v").over(_upto(["__p", *keys], order)))
+    per = ranged.groupBy("__p", *keys).agg(F.sum("__v").alias("__t"))
+    # A row for each range of a key: a key has no more of them than there are ranges.
+    before = per.withColumn("__b", F.coalesce(F.sum("__t").over(_upto(keys, ["__p"], -1)), F.lit(0))).select(F.col("__p").alias("__q"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__b")
+    same = F.col("__p") == F.col("__q")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return local.join(before, same).select(*df.columns, (F.col("__s") + F.col("__b")).alias(name))
+
+
+def ordinal(df: DataFrame, keys: list[str], order: list, name: str = "ordinal", spread: bool = False) -> DataFrame:
+    """Numbers from 1; spread where a key may hold a large part of all rows."""
+    return spread_sum(df, keys, order, F.lit(1), name) if spread else df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+
+
+def active_rank(df: DataFrame, keys: list[str], order: list, active: Column, name: str, spread: bool = False) -> DataFrame:
+    """One more than the number of active rows strictly before; the row itself always counts as one. Spread where a key
+    may hold a large part of all rows."""
+    if spread:
+        flagged = df.withColumn("__active", F.when(active, 1).otherwise(0))
+        return spread_sum(flagged, keys, order, F.col("__active"), name).withColumn(name, F.col(name) - F.col("__active") + 1).drop("__active")
     before = F.sum(F.when(active, 1).otherwise(0)).over(_upto(keys, order, -1))
     return df.withColumn(name, F.lit(1) + F.coalesce(before, F.lit(0)))
 

@@ -334,7 +334,7 @@ SELECT p_partkey, token, row_number() OVER (PARTITION BY token ORDER BY p_partke
 """)
 def running_ordinal_exploded(spark, sf_dir):
     tokens = _t(spark, sf_dir, "part").select("p_partkey", F.explode(F.array_distinct(F.split("p_name", " "))).alias("token"))
-    return windows.ordinal(tokens, ["token"], ["p_partkey"])
+    return windows.ordinal(tokens, ["token"], ["p_partkey"], spread=True)  # few tokens, each in many rows
 
 
 @entry("""
@@ -342,7 +342,7 @@ SELECT c_custkey, 1 + coalesce(sum((c_acctbal > 0)::INT) OVER (PARTITION BY c_na
 """)
 def active_ahead_rank(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    return windows.active_rank(c, ["c_nationkey"], ["c_acctbal", "c_custkey"], F.col("c_acctbal") > 0, "active_rank").select("c_custkey", F.col("active_rank").cast("long").alias("active_rank"))
+    return windows.active_rank(c, ["c_nationkey"], ["c_acctbal", "c_custkey"], F.col("c_acctbal") > 0, "active_rank", spread=True).select("c_custkey", F.col("active_rank").cast("long").alias("active_rank"))
 
 
 @entry("""

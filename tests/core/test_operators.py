@@ -37,7 +37,7 @@ def test_fuzzy_against_plain(spark):
     rng = random.Random(3)
     names = ["".join(rng.choice("ABCDE ") for _ in range(12)) for _ in range(40)] + ["ANA RUIZ", "RUIZ ANA", "MAR TIN"]
     big = 2**60 + 1
-    recs = [(f"b{i % 3}", big + i, n[:-1] + rng.choice("ABX")) for i, n in enumerate(names[:40])] + [("b0", 2, "ANA  RUIZ"), ("b1", 3, "RUIZ ANA"), ("b2", 4, "MARTIN")]
+    recs = [(f"b{i % 3}", big + i, n[:-1] + rng.choice("ABX")) for i, n in enumerate(names[:40])] + [("b0", 2, "ANA  RUIZ"), ("b1", 3, "RUIZ ANA"), ("b0", 4, "MARTIN")]
     cand = [(f"b{i % 3}", big + 100 + i, n) for i, n in enumerate(names)]
     got = rows(joins.fuzzy_match(spark.createDataFrame(recs, "b string, i long, k string"), spark.createDataFrame(cand, "b string, j long, r string"), "b", "i", "k", "j", "r", 0.8, 0.05).select("i", "j"))
     free, want = {(b, j): r for b, j, r in cand}, []
@@ -102,6 +102,19 @@ def test_active_rank_against_plain(spark):
     assert got == sorted((o, 1 + sum(a for k2, o2, a in data if k2 == k and o2 < o)) for k, o, _ in data)
 
 
+def test_spread_sums_against_windows(spark):
+    """A key with most rows, null keys and a plain window over the same rows."""
+    rng = random.Random(2)
+    data = [(None if i % 17 == 0 else 0 if rng.random() < 0.8 else rng.randint(1, 5), i * 7919 % 6007, rng.random() < 0.5) for i in range(6007)]
+    df = spark.createDataFrame(data, "k int, o int, act boolean").repartition(5)
+    for a, b in (
+        (windows.active_rank(df, ["k"], ["o"], F.col("act"), "r", spread=True), windows.active_rank(df, ["k"], ["o"], F.col("act"), "r")),
+        (windows.ordinal(df, ["k"], ["o"], "r", spread=True), windows.ordinal(df, ["k"], ["o"], "r")),
+    ):
+        got, want = ({(x["k"], x["o"]): x["r"] for x in y.collect()} for y in (a, b))
+        assert got == want and len(got) == 6007
+
+
 def test_blocks_and_gaps(spark):
     df = spark.createDataFrame([(i, c) for i, c in enumerate("xSaSbb")], "i int, c string").withColumn("k", F.lit(1))
     assert rows(windows.blocks_by_start(df, ["k"], ["i"], F.col("c") == "S").select("i", "block")) == [(1, 1), (2, 1), (3, 2), (4, 2), (5, 2)]
