@@ -7,8 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Texts are taken together up to so many bytes; a longer one alone.
-SLICE_BYTES = 1 << 20
+#: Texts are taken together up to so many bytes, so that their hashes stay in a processor's cache; a longer one alone.
+SLICE_BYTES = 1 << 17
 
 _U = np.uint64
 _MULT = 0x9E3779B97F4A7C15 | 1
@@ -17,9 +17,15 @@ _powers: list[np.ndarray] = []
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits whose output bits depend on all input bits (the finaliser of splitmix64)."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    out = x >> _U(30)
+    out ^= x
+    out *= _U(0xBF58476D1CE4E5B9)
+    shifted = out >> _U(27)
+    out ^= shifted
+    out *= _U(0x94D049BB133111EB)
+    shifted = out >> _U(31)
+    out ^= shifted
+    return out
 
 
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _U(_MULT))
@@ -35,7 +41,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
             t = np.full(size, p, np.uint64)
             t[0] = 1
             made.append(np.multiply.accumulate(t))
-        if size > 8 * SLICE_BYTES:
+        if size > 8 << 20:
             return made[0], made[1]
         _powers[:] = made
     return _powers[0], _powers[1]
@@ -52,6 +58,13 @@ class RangeHash:
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
 
+    def every(self, size: int) -> np.ndarray:
+        """Hashes of all ranges of one size, as the call gives them, without picking places."""
+        sums = self.sums[size:] - self.sums[: len(self.sums) - size]
+        sums *= self.inverse[: len(sums)]
+        sums += _U(size)
+        return mix(sums)
+
 
 def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) for consecutive rows of a string or binary column; nulls are empty."""

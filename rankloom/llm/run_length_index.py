@@ -143,20 +143,25 @@ class RunLengthIndex:
             np.where(found, length + 1, 0),
         )
 
-    def matching_statistics(self, data: np.ndarray, offsets: np.ndarray, tags: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each byte of the patterns: the length of its longest match, a place of it in the text, and its row."""
+    def matching_statistics(self, data: np.ndarray, offsets: np.ndarray, tags: np.ndarray | None = None, least: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each byte of the patterns: the length of its longest match, a place of it in the text, and its row. Where
+        only matches of `least` bytes or more are asked for, a pattern is left as soon as none can follow: a match grows
+        by one byte a step at most, so length and bytes left must add up to that. Its other lengths are then 0."""
         data = _tagged(data, offsets, tags)
         length, place, rows = (np.zeros(len(data), np.int64) for _ in range(3))
-        sizes = np.diff(offsets)
-        order = np.argsort(-sizes, kind="stable")
-        ends, sizes = offsets[1:][order], sizes[order]
-        n = len(order)
-        row, pos, size = np.zeros(n, np.int64), np.full(n, self._first(), np.int64), np.zeros(n, np.int64)
-        for t in range(int(sizes[0]) if n else 0):
-            live = int(np.searchsorted(-sizes, -t, "left"))  # patterns longer than t come first
-            at = ends[:live] - 1 - t
-            row[:live], pos[:live], size[:live] = self.step(row[:live], pos[:live], size[:live], data[at])
-            length[at], place[at], rows[at] = size[:live], pos[:live], row[:live]
+        left = np.diff(offsets)
+        live = np.flatnonzero(left > 0)
+        at, left = offsets[1:][live] - 1, left[live]
+        row, pos, size = np.zeros(len(live), np.int64), np.full(len(live), self._first(), np.int64), np.zeros(len(live), np.int64)
+        while len(at):
+            row, pos, size = self.step(row, pos, size, data[at])
+            length[at], place[at], rows[at] = size, pos, row
+            at, left = at - 1, left - 1
+            go_on = left > 0
+            if least:
+                go_on &= size + left >= least
+            if not go_on.all():
+                at, left, row, pos, size = (x[go_on] for x in (at, left, row, pos, size))
         return length, place, rows
 
     def _first(self) -> int:

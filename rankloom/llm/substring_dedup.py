@@ -47,7 +47,7 @@ from ..shipping import map_arrow
 DEPTH, GRAM = 100, 32
 SPAN = DEPTH - GRAM + 1  # grams in a window
 #: Distinct pieces of a group that are indexed together, and bytes of a block.
-GROUP_ROWS, BLOCK_BYTES = 1024, 1 << 20
+GROUP_ROWS, BLOCK_BYTES = 1024, 2 << 20
 #: A place is packed as: 17 bits of the text's hash, 32 bits of start, 7 bits of windows - 1, 7 bits of anchor offset.
 _CHUNK = 4 << 20
 
@@ -63,10 +63,9 @@ def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     if n < DEPTH:
         return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),) * 2
     hashed = bytes_ops.RangeHash(data)
-    at = np.arange(n - GRAM + 1)
-    gram = hashed(at, at + GRAM)
+    gram = hashed.every(GRAM)
     # 40 bits of hash and 24 of place: the least is the leftmost of equals.
-    least = (gram & np.uint64(0xFFFFFFFFFF000000)) | at.astype(np.uint64)
+    least = (gram & np.uint64(0xFFFFFFFFFF000000)) | np.arange(n - GRAM + 1, dtype=np.uint64)
     reach = 1
     low = least
     while reach * 2 <= SPAN:
@@ -198,7 +197,7 @@ def _repeats_of_earlier(data: np.ndarray, offs: np.ndarray, g: np.ndarray, order
         bytes_held, cuts, _ = _taken(data, offs, held)
         index = RunLengthIndex(bytes_held, cuts, pair[held])
         bytes_asked, cuts, at = _taken(data, offs, asked)
-        length, _, _ = index.matching_statistics(bytes_asked, cuts, pair[asked])
+        length, _, _ = index.matching_statistics(bytes_asked, cuts, pair[asked], DEPTH)
         repeats[at] |= length >= DEPTH
         found = np.add.reduceat(repeats[at].astype(np.int64), cuts[:-1])
         open_[asked[found == windows[asked]]] = False

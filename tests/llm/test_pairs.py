@@ -35,6 +35,8 @@ def test_index_matches_brute_force():
         index = run_length_index.RunLengthIndex(*join(held))
         data, at = join(asked)
         length, place, row = index.matching_statistics(data, at)
+        long, _, _ = index.matching_statistics(data, at, least=3)
+        assert (long[length >= 3] == length[length >= 3]).all() and (long[length < 3] < 3).all()
         for j, p in enumerate(asked):
             for i in range(len(p)):
                 best = max(m for m in range(len(p) - i + 1) if any(p[i : i + m] in x for x in held))
