@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import pick
+from .columns import pick, pick_as
 from ..shipping import map_arrow
 
 WINDOW = 13
@@ -126,10 +126,9 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     """The kept columns of every document row, then n_words, n_hit, item_ids (sorted as strings), spans (code points
     of the original text, one for each maximal run of hit words)."""
     spark = documents.sparkSession
-    docs = pick(documents, *dict.fromkeys((*keep, "text")))
     blocks = [spark.sparkContext.broadcast(b) for b in _blocks(benchmark, block_bytes)]
     names = [f"k_{i}" for i in range(len(keep))]
-    work = docs.select(*[F.col(k).alias(n) for k, n in zip(keep, names)], F.col("text").alias("k_text"))
+    work = pick_as(documents, dict(zip(names, keep)) | {"k_text": "text"})
     if len(blocks) > 1:
         # What is hit depends on the text alone: texts with hits in a block are kept by hash and length, and joined back.
         key = [F.xxhash64("k_text").alias("k_hash"), F.octet_length("k_text").alias("k_size")]

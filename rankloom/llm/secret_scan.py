@@ -2,7 +2,7 @@
 
 Each text is scanned as it is, then as layers: URL escapes and Unicode escapes decoded in place, runs of base64
 decoded (over line breaks, and at all four alignments, since what stands before may be of the alphabet too), and
-compressed payloads (zlib, gzip) unpacked wherever they start in the bytes. Decoded bytes need not be text throughout. Every layer is scanned and put on the worklist until nothing
+compressed payloads (zlib, gzip, bzip2, xz) unpacked wherever they start in the bytes. Decoded bytes need not be text throughout. Every layer is scanned and put on the worklist until nothing
 new appears; layers already seen, by the characters and the place they come from, are not decoded again, which ends
 cycles. Each character of a layer knows the span of the original text it comes from, so a secret found three layers
 down is reported at the characters of the original that encode it. Found in the text itself, spans are the base
@@ -20,7 +20,9 @@ returned once. Extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import binascii
+import bz2
 import hashlib
+import lzma
 import re
 import zlib
 from bisect import bisect_right
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import pick
+from .columns import pick_as
 from ..shipping import map_arrow
 
 KINDS = ("assign", "access", "hex")
@@ -55,7 +57,7 @@ _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{4,}(?:\r?\n[\x20\t
 _BREAKS = re.compile(r"\r?\n[\x20\t]*")
 #: An encoded layer needs one of these; cheap to rule out.
 _ENCODED = re.compile(rb"%%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]|&#|[A-Za-z0-9+/_-]{%d}|[A-Za-z0-9+/_-]{4}\r?\n[\x20\t]*[A-Za-z0-9+/_-]" % MIN_BASE64)
-_PAYLOAD = re.compile(rb"\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78](?=[\x00-\xff])")
+_PAYLOAD = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|[\x08\x18\x28\x38\x48\x58\x68\x78](?=[\x00-\xff])")
 _PRINTABLE = re.compile(r"[\t-\r\x20-\x7e]{8,}")
 
 Span = tuple[str, int, int]
@@ -139,10 +141,35 @@ def _unicode(m: re.Match) -> str | None:
 
 
 def _packed(raw: bytes) -> bool:
-    """Whether bytes start as a gzip or zlib payload does."""
+    """Whether bytes start as a gzip, bzip2, xz or zlib payload does."""
+    if bytes(raw[4:10]) == b"1AY&SY" and bytes(raw[:3]) == b"BZh" or bytes(raw[:6]) == b"\xfd7zXZ\x00":
+        return True
     return raw[:3] == b"\x1f\x8b\x08" or (len(raw) > 2 and raw[0] & 143 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0)
 
 
+class _Buffered:
+    """bzip2 and xz as zlib's objects are used: they keep what they have not unpacked yet themselves."""
+
+    unconsumed_tail = b""
+
+    def __init__(self, inner):
+        self.inner = inner
+
+    def decompress(self, data: bytes, most: int) -> bytes:
+        return self.inner.decompress(data, most)
+
+    eof = property(lambda self: self.inner.eof)
+    unused_data = property(lambda self: self.inner.unused_data)
+
+
+def _opened(head: bytes):
+    if bytes(head[:3]) == b"BZh":
+        return _Buffered(bz2.BZ2Decompressor())
+    if bytes(head[:6]) == b"\xfd7zXZ\x00":
+        return _Buffered(lzma.LZMADecompressor(lzma.FORMAT_XZ, MAX_UNPACKED))
+    return zlib.decompressobj(47)
+
+
 def _pieces(raw: bytes) -> Iterator[bytes]:
     return (raw[i : i + PIECE] for i in range(0, len(raw), PIECE))
 
@@ -157,11 +184,11 @@ class Unpacking:
     def __iter__(self) -> Iterator[bytes]:
         data, any_out = b"", False
         while _packed(data := self._more(data)):
-            d = zlib.decompressobj(47)
+            d = _opened(data)
             while not d.eof:
                 try:
                     out = d.decompress(data, PIECE)
-                except zlib.error:
+                except (zlib.error, OSError, lzma.LZMAError):
                     self.broken = any_out
                     return
                 self.used += len(data) - len(d.unconsumed_tail) - len(d.unused_data)
@@ -174,7 +201,7 @@ class Unpacking:
             data = d.unused_data
 
     def _more(self, data: bytes) -> bytes:
-        while len(data) < 3 and (x := next(self.source, b"")):
+        while len(data) < 10 and (x := next(self.source, b"")):
             data = bytes(data) + bytes(x)
         return data
 
@@ -333,8 +360,8 @@ def _scanned(text: str) -> tuple[list[Span], list[Span], set[tuple[int, int]]]:
 
 
 def _key(x: Layer) -> bytes:
-    whole = f"{x.pieces[0][2]},{x.pieces[0][3]},{len(x.pieces)}" if x.pieces else ""
-    return hashlib.sha256(x.text.encode("utf-8", "surrogatepass")).digest() + whole.encode()
+    """The characters and where each piece of them comes from."""
+    return hashlib.sha256(x.text.encode("utf-8", "surrogatepass")).digest() + hashlib.sha256(repr(x.pieces).encode()).digest()
 
 
 def _ORDER(s: Span) -> tuple[int, int, int]:
@@ -363,9 +390,8 @@ def scan_documents(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",), re
     """The kept columns, then base and spans (strings of kind:start:end), counts of the base, truncated; with redact,
     text is returned with every span replaced by [REDACTED:kind] (overlapping spans together, by the first's kind), and
     payloads that could not be read whole by [REDACTED:payload]."""
-    docs = pick(documents, *dict.fromkeys((*keep, "text")))
     names = [f"k_{i}" for i in range(len(keep))]
-    work = docs.select(*[F.col(k).alias(n) for k, n in zip(keep, names)], F.col("text").alias("k_text"))
+    work = pick_as(documents, dict(zip(names, keep)) | {"k_text": "text"})
     fields = ", ".join(f"{n} {work.schema[n].dataType.simpleString()}" for n in names)
     made = "n_assign bigint, n_access bigint, n_hex bigint, base string, spans string, truncated boolean" + (", clean string" if redact else "")
 
@@ -404,8 +430,12 @@ def redacted(text: str, spans: list[Span]) -> str:
 def redact_secrets(documents: DataFrame) -> DataFrame:
     """All rows and columns of documents, with secrets in text replaced and n_chars, where there is one, counted anew."""
     found = scan_documents(documents, keep=tuple(documents.columns), redact=True)
-    cols = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
-    return found.select(*[F.when((F.col("spans") != "") | F.col("truncated"), cols[c]).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in documents.columns])
+    new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
+    changed = (F.col("found_spans") != "") | F.col("truncated")
+    # Columns of documents may be named as those of the scan are, or differ from the usual names in case.
+    n = len(documents.columns)
+    found = found.toDF(*[f"c{i}" for i in range(n)], "n_assign", "n_access", "n_hex", "base", "found_spans", "truncated", "clean")
+    return found.select(*[(F.when(changed, new[c.lower()]).otherwise(F.col(f"c{i}")) if c.lower() in new else F.col(f"c{i}")).alias(c) for i, c in enumerate(documents.columns)])
 
 
 def op7_secret_scan(spark, sf_dir: str) -> DataFrame:

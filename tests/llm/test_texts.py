@@ -251,6 +251,36 @@ def test_base64_however_it_stands(how):
     assert "assign" in {s[0] for s in added} and not cut and all(7 <= a < b <= 7 + len(hidden) for _, a, b in added)
 
 
+@pytest.mark.parametrize("name", ["bz2", "lzma", "zlib", "gzip"])
+def test_compressed_layers_of_every_kind(name):
+    import importlib
+
+    pack = importlib.import_module(name).compress
+    secret = b'password = "hunter2hunter2"'
+    inner = base64.b64encode(pack(b"x " * 500 + secret)).decode()
+    for text in ("see " + inner, "see " + base64.b64encode(pack(pack(secret))).decode(), "see " + base64.b64encode(b"head" + pack(b"no") + pack(secret)).decode()):
+        base, every, unread = secret_scan.scan_text(text)
+        assert not base and {(a, b) for _, a, b in every} and not unread
+
+
+def test_equal_layers_of_other_places_are_both_read():
+    """Two runs of one text, the second with a line break: the same characters from other places."""
+    run = base64.b64encode(b'password = "hunter2hunter2"').decode()
+    spans = secret_scan.scan_text(f"{run} and {run[:20]}\n{run[20:]}")[1]
+    assert len(spans) == 2 and spans[0][2] <= len(run) < spans[1][1]
+
+
+def test_redaction_bears_clashing_names(spark):
+    df = tables.documents(spark, [(1, 'token = "abcdef123456"'), (2, "clean"), (None, None)])
+    for c in ("spans", "clean", "base", "truncated", "n_hex"):
+        df = df.withColumn(c, F.lit(7))
+    df = df.withColumnRenamed("text", "Text")
+    out = secret_scan.redact_secrets(df)
+    assert out.columns == df.columns
+    rows = {r.doc_id: r for r in out.collect()}
+    assert "abcdef" not in rows[1].Text and rows[2].Text == "clean" and rows[None].Text is None and rows[1].spans == 7 and rows[1].n_chars == len(rows[1].Text)
+
+
 def test_spans_of_glued_base64():
     one = base64.b64encode(SECRET.encode()).decode()
     text = f"see data={one} end"
