@@ -4,11 +4,13 @@ Benchmark items are normalised to words (A-Z lowered, runs of other than letters
 numbers, and every window of 13 consecutive words of an item (all of a shorter one) becomes a pattern of one automaton
 over these numbers. A document is normalised the same way and scanned once; hits are word places and, for the spans
 that are returned, are mapped to offsets in the original text. Two neighbouring words that are neighbours in no item
-end every match, so only the stretches between such places are given to the automaton, which most texts don't have.
+end every match. That is looked up for all words of a batch at once, in a table of fixed size that errs on the side of
+yes, and only texts with a stretch long enough for a pattern go on to the automaton.
 
 The automaton takes about 700 bytes for each word of the benchmark, in every worker. So it is built for block_bytes of
-benchmark text; a larger benchmark is cut into blocks of items by size, each with an automaton and a pass of its own,
-of which a worker holds one at a time, and the hits of each text are united. Results do not depend on the bound.
+benchmark text; a larger benchmark is cut into blocks of items by size, each with an automaton and a pass of its own
+over the texts that the table lets through, of which a worker holds one at a time, and the hits of each text are
+united. Results do not depend on the bound.
 
 Defined cases: null and empty texts have no words, no hits and are not contaminated. An item without words has no
 window. Repeated rows are each returned. Items that share an id count as one id; the words of an item
@@ -26,7 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import bytes_ops
 from .columns import pick, pick_as
+from ..scratch import Scratch
 from ..shipping import map_arrow
 
 WINDOW = 13
@@ -37,6 +41,60 @@ _KEEP = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100)
 _TABLE = bytes(i + 32 if 65 <= i <= 90 else i if i in _KEEP else 32 for i in range(256))
 
 
+_BYTES = np.frombuffer(_TABLE, np.uint8)
+#: Places of the table of words that may follow each other.
+SLOTS = 1 << 24
+
+
+class Filter:
+    """Rules texts out: a table, by hashes, of words that stand next to each other in an item, or alone in one."""
+
+    def __init__(self, window: int = WINDOW):
+        self.window, self.least = window, 0
+        self.pairs, self.singles = np.zeros(SLOTS, bool), np.zeros(SLOTS, bool)
+
+    @staticmethod
+    def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of words, and the number of words before each row."""
+        data = _BYTES[data]
+        starts, ends, before = bytes_ops.words(data, offsets)
+        return bytes_ops.RangeHash(data)(starts, ends), before
+
+    @staticmethod
+    def _slots(h: np.ndarray) -> np.ndarray:
+        return (bytes_ops.mix(h[:-1] + (h[1:] << np.uint64(1))) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+    def add(self, texts: pa.Array) -> None:
+        for _, data, offsets in bytes_ops.slices(texts):
+            h, before = self._words(data, offsets)
+            n = np.diff(before)
+            joined = np.ones(max(0, len(h) - 1), bool)
+            joined[before[1:-1][(before[1:-1] > 0) & (before[1:-1] < len(h))] - 1] = False
+            self.pairs[self._slots(h)[joined]] = True
+            self.singles[(h[before[:-1][n == 1]] & np.uint64(SLOTS - 1)).astype(np.int64)] = True
+            sizes = np.minimum(n[n > 1], self.window)
+            if len(sizes):
+                self.least = min(self.least or self.window, int(sizes.min()))
+
+    def rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The number of words of each text, and whether a window may occur in it."""
+        counts, may = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+        for _, data, offsets in bytes_ops.slices(texts):
+            h, before = self._words(data, offsets)
+            found = np.zeros(len(before) - 1, bool)
+            alone = np.flatnonzero(self.singles[(h & np.uint64(SLOTS - 1)).astype(np.int64)])
+            found[np.searchsorted(before, alone, "right") - 1] = True
+            if self.least and len(h) > 1:
+                joined = self.pairs[self._slots(h)]
+                joined[before[1:-1][(before[1:-1] > 0) & (before[1:-1] < len(h))] - 1] = False
+                edge = np.flatnonzero(np.diff(joined, prepend=False, append=False))
+                first = edge[::2][edge[1::2] - edge[::2] + 1 >= self.least]
+                found[np.searchsorted(before, first, "right") - 1] = True
+            counts.append(np.diff(before))
+            may.append(found)
+        return np.concatenate(counts), np.concatenate(may)
+
+
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
 
@@ -52,6 +110,8 @@ class Scanner:
         self.number: dict[bytes, int] = {}
         owners: dict[tuple[int, ...], set[int]] = {}
         neighbours: set[tuple[int, int]] = set()
+        self.filter = Filter(window)
+        self.filter.add(pa.array([t for _, t in items], pa.binary()))
         for item, text in items:
             w = [self.number.setdefault(x, len(self.number) + 1) for x in words_of(text)]
             n = min(window, len(w))
@@ -132,7 +192,13 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     if len(blocks) > 1:
         # What is hit depends on the text alone: texts with hits in a block are kept by hash and length, and joined back.
         key = [F.xxhash64("k_text").alias("k_hash"), F.octet_length("k_text").alias("k_size")]
-        texts, found = work.select(*key, "k_text"), None
+        every = Filter(window)
+        for block in blocks:
+            every.add(pa.array([t for _, t in block.value], pa.binary()))
+        table = spark.sparkContext.broadcast(every)  # 2 SLOTS bytes
+        fields = "k_hash bigint, k_size int, k_text string"
+        scratch = Scratch(spark, "decontamination")
+        texts, found = scratch.table(map_arrow(work.select(*key, "k_text"), _let_through(table), fields), "texts"), None
         for block in blocks:
             part = map_arrow(texts, _hits_in(block, window), "k_hash bigint, k_size int, runs array<struct<a:int,b:int>>, ids array<string>")
             found = part if found is None else found.unionByName(part)
@@ -144,15 +210,15 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _cached(blocks[0], window) if len(blocks) == 1 else None
         for batch in batches:
-            n_words, n_hit, ids, spans = [], [], [], []
+            n_hit, ids, spans = [], [], []
+            raw = batch.column("k_text").cast(pa.binary())
+            n_words, may = (scanner.filter if scanner else _COUNTER).rows(raw)
             known = (batch.column(c).to_pylist() for c in ("k_runs", "k_ids")) if len(blocks) > 1 else ([None] * batch.num_rows,) * 2
-            for text, own, own_ids in zip(batch.column("k_text").cast(pa.binary()).to_pylist(), *known):
-                words = words_of(text) if text else []
-                runs, who = scanner.hits(words) if scanner else (_united([(x["a"], x["b"]) for x in own or []]), own_ids or [])
-                n_words.append(len(words))
+            for text, hope, own, own_ids in zip(raw, may.tolist(), *known):
+                runs, who = (scanner.hits(words_of(text.as_py())) if hope else ([], [])) if scanner else (_united([(x["a"], x["b"]) for x in own or []]), own_ids or [])
                 n_hit.append(sum(b - a for a, b in runs))
                 ids.append(sorted(who))
-                at = word_offsets(text) if runs else []
+                at = word_offsets(text.as_py()) if runs else []
                 spans.append([{"start": at[a][0], "end": at[b - 1][1]} for a, b in runs])
             cols = [batch.column(n) for n in names]
             cols += [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(ids, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
@@ -162,6 +228,21 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     return out.toDF(*keep, "n_words", "n_hit", "item_ids", "spans")
 
 
+#: Counts words only.
+_COUNTER = Filter()
+
+
+def _let_through(table):
+    """Texts in which a window may occur, with their keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, may = table.value.rows(batch.column("k_text").cast(pa.binary()))
+            yield batch.filter(pa.array(may))
+
+    return run
+
+
 def _hits_in(block, window: int):
     """Of texts with hits in one block: their key, runs of hit words, and items."""
     run_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
@@ -170,8 +251,9 @@ def _hits_in(block, window: int):
         scanner = _cached(block, window)
         for batch in batches:
             rows, runs, ids = [], [], []
-            for i, text in enumerate(batch.column("k_text").cast(pa.binary()).to_pylist()):
-                found, who = scanner.hits(words_of(text)) if text else ([], set())
+            raw = batch.column("k_text").cast(pa.binary())
+            for i in np.flatnonzero(scanner.filter.rows(raw)[1]).tolist():
+                found, who = scanner.hits(words_of(raw[i].as_py()))
                 if found:
                     rows.append(i)
                     runs.append([{"a": a, "b": b} for a, b in found])

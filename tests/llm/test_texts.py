@@ -450,6 +450,26 @@ def test_a_large_benchmark_in_bounded_blocks(spark):
     assert stats["total_size"] < 100 * size and decontamination.BLOCK_BYTES * 100 <= 100 << 20
 
 
+def test_filter_lets_every_window_through():
+    """Words counted as a split counts them, and no text with a hit ruled out."""
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(40)] + ["é", "Ünï", "x"]
+    for _ in range(60):
+        bench = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 20))) for _ in range(6)]
+        texts = [None, "", " .. "] + [rng.choice([" ", "--", "\n"]).join([*(rng.choice(words) for _ in range(rng.randint(0, 30))), rng.choice(bench), rng.choice(words).upper()]) for _ in range(8)]
+        f = decontamination.Filter(5)
+        f.add(pa.array([t.encode() for t in bench], pa.binary()))
+        n, may = f.rows(pa.array(texts, pa.string()))
+        assert n.tolist() == [len(decontamination.words_of((t or "").encode())) for t in texts]
+        hit = [decontamination.brute(t, [(str(i), b) for i, b in enumerate(bench)], 5)[1] > 0 for t in texts]
+        assert all(m for m, h in zip(may, hit) if h)
+    clean = decontamination.Filter()
+    clean.add(pa.array([tables.text(40, random.Random(1)).encode()], pa.binary()))
+    assert not clean.rows(pa.array([tables.text(60, random.Random(2))]))[1].any()
+
+
 def test_scanner_against_brute_force():
     rng = random.Random(3)
     words = [f"w{i}" for i in range(30)]
