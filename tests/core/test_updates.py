@@ -256,3 +256,26 @@ def test_report_and_observation(spark, tmp_path):
     assert quality.write_report(df.filter("v > 0"), "k", rules, path)
     out, seen = quality.observed(df, rules)
     assert out.count() == 3 and seen.get == {"positive": 2, "key": 0}
+
+
+def test_scratch_tables(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from rankloom import scratch
+
+    s = scratch.Scratch(spark, "test")
+    a, b = s.table(spark.range(3), "a"), s.table(spark.range(4), "b")
+    s.keep_only(b)
+    assert b.count() == 4
+    with pytest.raises(Exception, match="(?i)not.exist|not.found"):
+        a.collect()
+    s.drop_all()
+    # Without a shared folder a cluster is refused.
+    conf = SimpleNamespace(get=lambda *_: None)
+    for master, refused in (("spark://host:7077", True), ("yarn", True), ("local-cluster[2,1,1024]", True), ("local[4]", False)):
+        fake = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, master=master, applicationId="test-app"))
+        if refused:
+            with pytest.raises(RuntimeError, match="checkpoint"):
+                scratch.shared_dir(fake)
+        else:
+            assert scratch.shared_dir(fake).startswith("file://")
