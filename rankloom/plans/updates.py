@@ -245,7 +245,7 @@ def web_override_gate(spark, sf_dir):
 
 
 @entry("""
-SELECT o_orderkey, o_orderkey % 90000 + 1 AS cut, 'PERSON ' || o_custkey || ', ANA' AS candidate_name, lpad(o_custkey::VARCHAR, 8, '0') AS center_code, CASE WHEN o_orderstatus = 'F' THEN '126' ELSE '3A1' END AS specialty_code,
+SELECT o_orderkey, (o_orderkey % 90000 + 1)::INT AS cut, 'PERSON ' || o_custkey || ', ANA' AS candidate_name, lpad(o_custkey::VARCHAR, 8, '0') AS center_code, CASE WHEN o_orderstatus = 'F' THEN '126' ELSE '3A1' END AS specialty_code,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'vacante' WHEN '2-HIGH' THEN 'sub_determinada' WHEN '3-MEDIUM' THEN 'sub_indeterminada' ELSE '' END AS placement_type,
        CASE WHEN o_custkey % 2 = 0 THEN (o_custkey % 30)::VARCHAR ELSE 'C' END AS workload, o_custkey % 5 = 0 AS itinerant, o_custkey % 3 = 0 AS english_requirement FROM orders
 """)
