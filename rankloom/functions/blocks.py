@@ -49,9 +49,10 @@ def awards(blocks: DataFrame) -> DataFrame:
     head = F.get("lines", F.lit(0))
     rest = F.slice("lines", F.lit(2), F.greatest(F.size("lines"), F.lit(1)))
     first = lambda p: F.get(F.filter(rest, lambda x: x.rlike(p)), F.lit(0))
-    centre, spec = first(CENTRE), first(SPECIALTY)
+    # Columns of their own, so that lines are searched, and the text is folded, once for all that is read from them.
+    found = blocks.withColumns({"__centre": first(CENTRE), "__spec": first(SPECIALTY), "__text": folded(F.array_join("lines", " "))})
+    centre, spec, joined = F.col("__centre"), F.col("__spec"), F.col("__text")
     awarded = F.regexp_extract(spec, SPECIALTY, 1)
-    joined = F.array_join("lines", " ")
     other = F.col("body") == "secundaria"
     code = F.when(other, F.col("page_specialty.code")).otherwise(awarded)
     name = F.when(other, F.col("page_specialty.name")).otherwise(squeeze(F.regexp_extract(spec, SPECIALTY, 2)))
@@ -71,4 +72,4 @@ def awards(blocks: DataFrame) -> DataFrame:
         classify.workload(joined).alias("workload"),
         classify.itinerant(joined).alias("itinerant"),
     )
-    return blocks.withColumn("award", F.when(valid, award))
+    return found.withColumn("award", F.when(valid, award)).drop("__centre", "__spec", "__text")
