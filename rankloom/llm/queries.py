@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_formatting, decontamination, extendible_sharding, license_scan, ngram_join, packing, quality_classifier, quality_rules, secret_scan, substring_dedup
+from . import chat_formatting, decontamination, exact_dedup, extendible_sharding, license_scan, ngram_join, packing, quality_classifier, quality_rules, secret_scan, substring_dedup
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_ngram_join": ngram_join.op8_ngram_join,
         "op9_quality_rules": quality_rules.op9_quality_rules,
         "op10_chat_formatting": chat_formatting.op10_chat_formatting,
+        "op11_exact_dedup": exact_dedup.op11_exact_dedup,
     }
 
 
@@ -28,4 +29,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": decontamination.OP6_SQL,
         "op8_ngram_join": ngram_join.OP8_SQL,
         "op10_chat_formatting": chat_formatting.OP10_SQL,
+        "op11_exact_dedup": exact_dedup.OP11_SQL,
     }
