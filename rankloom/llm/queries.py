@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_formatting, decontamination, exact_dedup, extendible_sharding, license_scan, ngram_join, packing, quality_classifier, quality_rules, secret_scan, substring_dedup
+from . import chat_formatting, decontamination, exact_dedup, extendible_sharding, hard_negatives, license_scan, ngram_join, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, whitening
 
 
 def queries() -> dict:
@@ -18,6 +18,8 @@ def queries() -> dict:
         "op9_quality_rules": quality_rules.op9_quality_rules,
         "op10_chat_formatting": chat_formatting.op10_chat_formatting,
         "op11_exact_dedup": exact_dedup.op11_exact_dedup,
+        "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+        "op13_embedding_whitening": whitening.op13_embedding_whitening,
     }
 
 
@@ -30,4 +32,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_ngram_join": ngram_join.OP8_SQL,
         "op10_chat_formatting": chat_formatting.OP10_SQL,
         "op11_exact_dedup": exact_dedup.OP11_SQL,
+        "op12_hard_negatives": hard_negatives.OP12_SQL,
     }
