@@ -121,7 +121,8 @@ def decided(scratch: Scratch, index: DigestState, content: DataFrame) -> tuple[D
     log = index.log()
     total = log.count()
     if not total:
-        return log.withColumn("group_size", F.lit(0).cast("long")).withColumn("keep", _row()), [scratch.table(log, "log")]
+        none = scratch.table(log.withColumn("group_size", F.lit(0).cast("long")).withColumn("keep", _row()), "none")
+        return none, [none]
     state = scratch.table(index.state(), "state")
     # group_size sums to total over all digests, so at most HOT_PART of them reach the bound.
     hot = scratch.table(state.filter(F.col("group_size") * HOT_PART >= total), "hot")
