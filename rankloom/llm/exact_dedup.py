@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 from ..scratch import Scratch
 from .columns import pick, pick_as
 
-#: Keyed state on disk, its memory bounded for all partitions of an executor together.
+#: Keyed state on disk, its memory bounded for all partitions of an executor together; no space set aside for files that
+#: stay small, of which each partition has several.
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 #: Bytes of log that a micro-batch takes.
 BATCH_BYTES = 1 << 30
