@@ -92,19 +92,19 @@ class _Side:
                         yield w, chosen[inside], own[inside]
 
 
-def _shifts(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    return np.array([max(int(h - l).bit_length() - BITS, 0) for l, h in zip(lo, hi)], np.int64)
+def _shifts(lo: np.ndarray, hi: np.ndarray, bits: int) -> np.ndarray:
+    return np.array([max(int(h - l).bit_length() - bits, 0) for l, h in zip(lo, hi)], np.int64)
 
 
-def _histograms(same_label: bool):
+def _histograms(same_label: bool, bits: int):
     """ab, a, w, bucket, n: counts by leading bits of (hi - score), each window's from the top until they reach need."""
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if left.num_rows and right.num_rows:
             side = _Side(right)
-            shift = _shifts(side.lo, side.hi)
-            counts = np.zeros((len(side.a), 1 << BITS), np.int64)
+            shift = _shifts(side.lo, side.hi, bits)
+            counts = np.zeros((len(side.a), 1 << bits), np.int64)
             for batch in left.to_batches(max_chunksize=1):
                 for w, _, scores in side.candidates(batch.to_pylist()[0], same_label):
                     buckets, n = np.unique((side.hi[w] - scores) >> shift[w], return_counts=True)
@@ -147,8 +147,8 @@ def _gathered(same_label: bool, k: int):
 class _Grid:
     """Blocks of anchors against slices of row blocks."""
 
-    def __init__(self, scratch: Scratch, rows: DataFrame, divisor: int | None):
-        self.scratch = scratch
+    def __init__(self, scratch: Scratch, rows: DataFrame, divisor: int | None, block_anchors: int, bits: int, few: int):
+        self.scratch, self.bits, self.few = scratch, bits, few
         spark = rows.sparkSession
         anchors = scratch.table(map_arrow(rows, _anchors_of(divisor), _ANCHOR), "anchor-rows")
         self.n_anchors = anchors.count()
@@ -158,11 +158,11 @@ class _Grid:
             return
         if self.bound >= 2.0**61:
             raise OverflowError("an inner product may be too large for a whole number of 64 bits")
-        parts = -(-4 * self.n_anchors // (3 * ANCHORS))
+        parts = -(-4 * self.n_anchors // (3 * block_anchors))
         within = W.partitionBy("part").orderBy("own_block", "own_row")
         numbered = anchors.withColumn("part", F.pmod(F.xxhash64("own_block", "own_row"), F.lit(parts))).withColumn("i", F.row_number().over(within) - 1)
         # Parts are a little under a block; what a part has beyond one makes another block.
-        numbered = numbered.withColumn("ab", F.col("part") + F.floor(F.col("i") / ANCHORS) * parts)
+        numbered = numbered.withColumn("ab", F.col("part") + F.floor(F.col("i") / block_anchors) * parts)
         packed = numbered.groupBy("ab").agg(F.array_sort(F.collect_list(F.struct("i", "vec_id", "label", "own_block", "own_row", "x", "width"))).alias("anchors"))
         self.anchors = scratch.table(packed, "anchors")
         n_blocks = self.anchors.agg(F.max("ab") + 1).first()[0]
@@ -181,7 +181,7 @@ class _Grid:
         return each.select("ab", F.col("a").cast("long").alias("a"), F.lit(0).cast("long").alias("w"), F.lit(-top).cast("long").alias("lo"), F.lit(top).cast("long").alias("hi"), F.lit(k).cast("long").alias("need"))
 
     def _run(self, windows: DataFrame, function, schema: str) -> DataFrame:
-        # A block has ANCHORS anchors and a few windows for each, which bounds the list.
+        # A block has so many anchors and a few windows for each, which bounds the list.
         own = windows.groupBy("ab").agg(F.collect_list(F.struct("a", "w", "lo", "hi", "need")).alias("windows"))
         right = self.anchors.join(own, "ab").withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.n_slices - 1).cast("long"))))
         return self.left.groupBy("ab", "s").cogroup(right.groupBy("ab", "s")).applyInArrow(function, schema)
@@ -191,17 +191,17 @@ class _Grid:
         windows = self.scratch.table(windows.withColumn("top", F.col("hi")), "windows")
         done = None
         while True:
-            counts = self._run(windows, _histograms(same_label), "ab long, a long, w long, bucket long, n long")
+            counts = self._run(windows, _histograms(same_label, self.bits), "ab long, a long, w long, bucket long, n long")
             counts = counts.groupBy("ab", "a", "w", "bucket").agg(F.sum("n").alias("n"))
             upto = counts.withColumn("upto", F.sum("n").over(W.partitionBy("ab", "a", "w").orderBy("bucket")))
             met = upto.join(windows, ["ab", "a", "w"]).filter("upto >= need and upto - n < need").select("ab", "a", "w", "bucket", "n", "upto")
-            bits = F.greatest(F.length(F.bin(F.col("hi") - F.col("lo"))) - BITS, F.lit(0))
+            bits = F.greatest(F.length(F.bin(F.col("hi") - F.col("lo"))) - self.bits, F.lit(0))
             found = windows.join(met, ["ab", "a", "w"], "left").withColumn("shift", bits)
             # Without such a bucket all that lies in the window is wanted.
             lo = F.expr("CASE WHEN bucket IS NULL THEN lo ELSE greatest(lo, hi - shiftleft(bucket + 1, shift) + 1) END")
             hi = F.expr("CASE WHEN bucket IS NULL THEN hi ELSE hi - shiftleft(bucket, shift) END")
             need = F.expr("CASE WHEN bucket IS NULL THEN need ELSE need - (upto - n) END")
-            ends = F.coalesce((F.col("n") <= FEW) | (F.col("shift") == 0), F.lit(True))
+            ends = F.coalesce((F.col("n") <= self.few) | (F.col("shift") == 0), F.lit(True))
             after = self.scratch.table(found.select("ab", "a", "w", lo.alias("lo"), hi.alias("hi"), need.alias("need"), "top", ends.alias("ends")), "narrowed")
             part = after.filter("ends").select("ab", "a", "w", "lo", F.col("top").alias("hi"), "need")
             done = part if done is None else done.unionByName(part)
@@ -216,21 +216,21 @@ class _Grid:
 RESULT = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
 
 
-def hard_negatives(rows: DataFrame, anchors_divide: int | None = None, scale: int = 256, n_positives: int = 5, n_negatives: int = 5, least_percent: int = 80) -> DataFrame:
+def hard_negatives(rows: DataFrame, anchors_divide: int | None = None, scale: int = 256, n_positives: int = 5, n_negatives: int = 5, least_percent: int = 80, block_anchors: int = ANCHORS, bits: int = BITS, few: int = FEW) -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score. rows: vec_id, label (a whole number),
     embedding. Anchors are the rows whose id anchors_divide divides (all, if None). A window holds the scores from
-    least_percent of the positive's score up to it."""
+    least_percent of the positive's score up to it. block_anchors, bits and few set the work of a task only."""
     spark = rows.sparkSession
     ship(spark)
     scratch = Scratch(spark, "hard-negatives")
     packed, _ = vectors.blocks(scratch, rows, scale, needs_label=True)
-    grid = _Grid(scratch, packed, anchors_divide)
+    grid = _Grid(scratch, packed, anchors_divide, block_anchors, bits, few)
     if not grid.n_anchors:
         scratch.drop_all()
         return spark.createDataFrame([], RESULT)
     nearest = grid.select(grid.first_windows(n_positives), True, n_positives)
     positives = nearest.withColumn("w", F.col("rank").cast("long"))
-    floor = F.expr(f"({least_percent} * score + 99) div 100")
+    floor = F.expr(f"{least_percent} * (score div 100) + ({least_percent} * (score % 100) + 99) div 100")  # rounded up, without overflow
     windows = positives.select("ab", "a", "w", floor.alias("lo"), F.col("score").alias("hi"), F.lit(n_negatives).cast("long").alias("need")).filter("hi >= 0 and lo <= hi")
     negatives = grid.select(windows, False, n_negatives)
     ids = grid.anchors.select("ab", F.posexplode("anchors").alias("a", "r")).select("ab", F.col("a").cast("long").alias("a"), F.col("r.vec_id").alias("anchor_id"))
