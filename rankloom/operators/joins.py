@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..shipping import map_arrow, ship
+from .likeness import fuzzy_match  # noqa: F401  a join like the others here
 
 
 def lookup(left: DataFrame, dimension: DataFrame, on: list[str], fallbacks: dict[str, Column | str]) -> DataFrame:
@@ -85,71 +85,6 @@ def guarded_full_outer(left: DataFrame, right: DataFrame, key: str, left_columns
     return out.select(key, *[F.col(f"__l.{c}").alias(c) for c in left_columns], *[F.col(f"__r.{c}").alias(c) for c in right_columns], "source")
 
 
-def _ratios(floor: float):
-    """Of every pair 1 if it is known to be the same, else the share of text in matching blocks, where that can reach floor."""
-
-    def run(batches):
-        from difflib import SequenceMatcher
-
-        import pyarrow as pa
-
-        for batch in batches:
-            scores = []
-            matcher = SequenceMatcher()
-            for same, k, r in zip(*(batch.column(c).to_pylist() for c in ("same", "k", "r"))):
-                if same:
-                    scores.append(1.0)
-                    continue
-                matcher.set_seqs(k, r)
-                scores.append(matcher.ratio() if matcher.quick_ratio() >= floor else None)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("b", "i", "j")), pa.array(scores, pa.float64())], names=["b", "i", "j", "score"])
-
-    return run
-
-
-def scored_pairs(records: DataFrame, rows: DataFrame, floor: float) -> DataFrame:
-    """b, i, j, score of pairs of a block (records: b, i, k; rows: b, j, r) whose names are alike to floor or more. Names
-    that are equal but for blanks or the order of words score 1; lengths rule out most others before any text is read."""
-    compact = lambda c: F.regexp_replace(c, r"\s", "")
-    words = lambda c: F.array_sort(F.split(F.trim(c), r"\s+"))
-    same = (compact("k") == compact("r")) | (words("k") == words("r"))
-    least, total = F.least(F.length("k"), F.length("r")), F.length("k") + F.length("r")
-    near = records.join(rows, "b").withColumn("same", same).filter(F.col("same") | (2 * least >= F.lit(floor) * total))
-    kind = lambda c: near.schema[c].dataType.simpleString()
-    return map_arrow(near.select("b", "i", "j", "same", "k", "r"), _ratios(floor), f"b {kind('b')}, i {kind('i')}, j {kind('j')}, score double").filter(F.col("score") >= floor)
-
-
-def fuzzy_match(records: DataFrame, rows: DataFrame, block: str, record_id: str, record_key: str, row_id: str, row_key: str, least: float = 0.92, margin: float = 0.05) -> DataFrame:
-    """record_id, row_id, score: in each block records, in order of id, take the free row of best score if it reaches
-    `least` and leads the second best by `margin`. Pairs below least - margin can neither win nor stand in the way, so
-    only the others, which are few, take turns; that is sequential in a block, and blocks run apart."""
-    ship(records.sparkSession)
-    a = records.select(F.col(block).alias("b"), F.col(record_id).alias("i"), F.col(record_key).alias("k"))
-    z = rows.select(F.col(block).alias("b"), F.col(row_id).alias("j"), F.col(row_key).alias("r"))
-    scored = scored_pairs(a, z, least - margin)
-    kind = lambda c: scored.schema[c].dataType.simpleString()
-
-    def turns(table):
-        from itertools import groupby
-
-        import pyarrow as pa
-
-        out, taken = [], set()
-        ordered = sorted(zip(*(table.column(c).to_pylist() for c in ("i", "score", "j"))))
-        for i, own in groupby(ordered, key=lambda x: x[0]):
-            free = [(score, j) for _, score, j in own if j not in taken]
-            score, j = free[-1] if free else (0.0, None)
-            if score >= least and score - (free[-2][0] if len(free) > 1 else 0.0) >= margin:
-                out.append((i, j, round(score, 6)))
-                taken.add(j)
-        columns = zip(*out) if out else ([], [], [])
-        types = (table.schema.field("i").type, table.schema.field("j").type, pa.float64())
-        return pa.table([pa.array(list(c), t) for c, t in zip(columns, types)], names=["i", "j", "score"])
-
-    matched = scored.groupBy("b").applyInArrow(turns, f"i {kind('i')}, j {kind('j')}, score double")
-    return matched.select(F.col("i").alias(record_id), F.col("j").alias(row_id), "score")
-
-
 def top_with_margin(scored: DataFrame, key: str, candidate: str, score: str, least: float, margin: float) -> DataFrame:
     """key, candidate, score of the best candidate where it is good enough and ahead of the second; ties have no winner."""
     w = W.partitionBy(key).orderBy(F.desc(score), candidate)

@@ -282,3 +282,49 @@ def test_stream_keeps_state(spark, tmp_path):
     run()
     run()
     assert rows(incremental.current(spark, str(tmp_path / "state"), empty)) == [("a", "2", 1), ("b", "2", 9)]
+
+
+def test_index_finds_every_alike_pair(spark):
+    """All pairs by difflib, over floors, lengths, repeated letters, letters of several bytes and hot names."""
+    from difflib import SequenceMatcher
+
+    from rankloom.operators import likeness
+    from rankloom.scratch import Scratch
+
+    rng = random.Random(8)
+    base = ["".join(rng.choice("ABCDÑ ") for _ in range(rng.randint(1, 30))) for _ in range(40)] + ["A", "AA", "AAAAAAAA", "ABABABABAB", "x" * 230, ""]
+    change = lambda n: "".join(rng.choice([c, c, c, c, c, c, c, c, "", c + "B", "Z"]) for c in n)
+    left, right = {n for n in base}, {change(n) for n in base for _ in range(3)} | set(base)
+    names = spark.createDataFrame([(0, "b", n) for n in left] + [(1, "b", n) for n in right] + [(1, "other", n) for n in left], "side int, b string, name string")
+    classes = Scratch(spark, "test-index").table(names.withColumn("c", F.monotonically_increasing_id()))
+    name_of = {r["c"]: r["name"] for r in classes.collect()}
+    for floor in (0.5, 0.78, 0.87):
+        got = {(name_of[r["i"]], name_of[r["j"]]): r["score"] for r in likeness.alike(Scratch(spark, "test-index"), classes, floor).collect()}
+        for a in left:
+            for z in right:
+                same = a.replace(" ", "") == z.replace(" ", "") or " ".join(sorted(a.split())) == " ".join(sorted(z.split()))
+                score = 1.0 if same else SequenceMatcher(None, a, z).ratio()
+                assert got.get((a, z)) == (score if score >= floor else None), (a, z, floor)
+
+
+def test_index_compares_few_of_all_pairs(spark):
+    from rankloom.operators import likeness
+    from rankloom.scratch import Scratch
+
+    rng = random.Random(4)
+    parts = ["".join(rng.choice("ABCDEFGHILMNOPRSTUVZ") for _ in range(rng.randint(3, 8))) for _ in range(400)]
+    names = list({" ".join(rng.choice(parts) for _ in range(3)) for _ in range(2000)})
+    df = spark.createDataFrame([(s, "b", n if s else n[:5] + "X" + n[6:]) for n in names for s in (0, 1)], "side int, b string, name string").distinct()
+    scratch = Scratch(spark, "test-index")
+    classes = scratch.table(df.withColumn("c", F.monotonically_increasing_id()))
+    assert len(names) <= likeness.candidate_pairs(scratch, classes, 0.87).count() + 20 < 5 * len(names)
+
+
+def test_copies_stand_in_the_way_and_components_take_turns_apart(spark):
+    recs = [("b", i, "ANA MARIA RUIZ PEREZ") for i in range(300)] + [("b", 900, "LUISA GARCIA MORENO"), (None, 901, "X"), ("b", 902, None)]
+    cand = [("b", 1000 + i, "ANA MARIA RUIZ PEREZ") for i in range(200)] + [("b", 5000, "LUISA GARCIA MORENOS"), ("b", 5001, None)]
+    frame = lambda rows, k, i: spark.createDataFrame(rows, f"b string, {i} long, {k} string")
+    match = lambda c: rows(joins.fuzzy_match(frame(recs, "k", "i"), frame(c, "r", "j"), "b", "i", "k", "j", "r").select("i", "j"))
+    assert match(cand) == [(900, 5000)]
+    assert match([("b", 7, "ANA MARIA RUIZ PEREZ")]) == [(0, 7)]
+    assert match([]) == []
