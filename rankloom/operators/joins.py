@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+from . import windows
 from .likeness import fuzzy_match  # noqa: F401  a join like the others here
 
 
@@ -56,20 +58,70 @@ def occurrence_join_fallback(left: DataFrame, right: DataFrame, exact: str, loos
     return first.unionByName(second)
 
 
-def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, values: list[str], strict: bool = True) -> DataFrame:
+def _in_turns(table):
+    """Rows of one loose key, in order: each takes the first free record of its exact key, else the first free of all."""
+    from collections import defaultdict, deque
+
+    import pyarrow as pa
+
+    own, every, turns, used, out = defaultdict(deque), deque(), [], set(), []
+    columns = [table.column(c).to_pylist() for c in ("side", "n", "exact", "left", "right")]
+    for side, n, exact, left, right in sorted(zip(*columns), key=lambda x: x[:2]):
+        if side:
+            turns.append((exact, left))
+            continue
+        every.append((n, right))
+        if exact is not None:
+            own[exact].append((n, right))
+    for exact, left in turns:
+        for tier, queue in ((1, own[exact] if exact is not None else deque()), (2, every)):
+            while queue and queue[0][0] in used:
+                queue.popleft()
+            if queue:
+                n, right = queue.popleft()
+                used.add(n)
+                out.append((left, right, tier))
+                break
+    types = (table.schema.field("left").type, table.schema.field("right").type, pa.int32())
+    return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=["left", "right", "tier"])
+
+
+def occurrence_join_competing(left: DataFrame, right: DataFrame, exact: str, loose: str, left_id: str, right_id: str, left_order: list, right_order: list) -> DataFrame:
+    """left_id, right_id, tier: left rows take turns, in order; each takes the first right row of its exact key that is
+    free (tier 1), else the first free one of its loose key (tier 2), which a later row of that exact key then misses.
+    Orders must be total in a loose key; rows without a loose key match nothing. An exact key has one loose key.
+
+    Turns touch each other within a loose key only. Where that stands for one exact key on both sides, no one takes
+    another's row, and occurrences decide without turns, however many there are; only the others run key by key."""
+    ship(left.sparkSession)
+    side = lambda df, s, i, o: df.filter(F.col(loose).isNotNull()).select(F.lit(s).alias("side"), F.col(loose).alias("loose"), F.col(exact).alias("exact"), F.col(i).alias("id"), F.struct(*o).alias("o"))
+    a, z = side(left, 1, left_id, left_order), side(right, 0, right_id, right_order)
+    kinds = a.select("loose", "exact").unionByName(z.select("loose", "exact")).groupBy("loose").agg(F.min("exact").alias("__a"), F.max("exact").alias("__z"), F.count_if(F.col("exact").isNull()).alias("__n"))
+    single = kinds.filter("__a = __z and __n = 0").select("loose")
+    named = lambda df, n: df.select("loose", F.col("id").alias(n), F.col("o").alias(f"__o_{n}"))
+    plain = occurrence_join(named(a, left_id).join(single, "loose", "left_semi"), named(z, right_id).join(single, "loose", "left_semi"), ["loose"], [f"__o_{left_id}"], [f"__o_{right_id}"], "inner")
+    many = lambda df: numbered(df.join(single, "loose", "left_anti"), ["loose"], ["o"], "n")
+    kind = lambda df: df.schema["id"].dataType.simpleString()
+    of_left = many(a).select("loose", "side", "n", "exact", F.col("id").alias("left"), F.lit(None).cast(kind(z)).alias("right"))
+    of_right = many(z).select("loose", "side", "n", "exact", F.lit(None).cast(kind(a)).alias("left"), F.col("id").alias("right"))
+    turns = of_left.unionByName(of_right).groupBy("loose").applyInArrow(_in_turns, f"left {kind(a)}, right {kind(z)}, tier int")
+    return plain.select(left_id, right_id, F.lit(1).alias("tier")).unionByName(turns.select(F.col("left").alias(left_id), F.col("right").alias(right_id), "tier"))
+
+
+def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, values: list[str], strict: bool = True, spread: bool = False) -> DataFrame:
     """Adds the values of the last right row of the key before (or, not strict, at) each left row's time. Of right rows
-    at one time the one with the greatest values counts. One shuffle: both sides are put in one order and filled forward."""
+    at one time the one with the greatest values counts. One shuffle: both sides are put in one order and filled forward;
+    spread over ranges of that order where a key may hold a large part of all rows."""
     a = left.select("*", F.col(left_time).alias("__t"), F.lit(None).cast(right.select(F.struct(*values)).schema[0].dataType).alias("__v"), F.lit(1 if not strict else 0).alias("__side"))
     b = right.groupBy(*keys, F.col(right_time).alias("__t")).agg(F.max(F.struct(*values)).alias("__v")).withColumn("__side", F.lit(0 if not strict else 1))
     both = a.unionByName(b.withColumn("__right", F.lit(True)), allowMissingColumns=True)
-    w = W.partitionBy(*keys).orderBy("__t", "__side").rowsBetween(W.unboundedPreceding, 0)
-    filled = both.withColumn("__f", F.last("__v", ignorenulls=True).over(w)).filter("__right is null")
+    filled = windows.forward_fill(both, keys, ["__t", "__side"], "__v", "__f", spread).filter("__right is null")
     return filled.select(*left.columns, *[F.col(f"__f.{v}").alias(v) for v in values])
 
 
-def block_join(rows: DataFrame, starts: DataFrame, keys: list[str], row_at: str, start_at: str, values: list[str]) -> DataFrame:
+def block_join(rows: DataFrame, starts: DataFrame, keys: list[str], row_at: str, start_at: str, values: list[str], spread: bool = False) -> DataFrame:
     """Rows between a start and the next one take the start's values; rows before the first are dropped."""
-    return asof_join(rows, starts.withColumn("__is", F.lit(True)), keys, row_at, start_at, [*values, "__is"], strict=False).filter("__is").drop("__is")
+    return asof_join(rows, starts.withColumn("__is", F.lit(True)), keys, row_at, start_at, [*values, "__is"], strict=False, spread=spread).filter("__is").drop("__is")
 
 
 def guarded_full_outer(left: DataFrame, right: DataFrame, key: str, left_columns: list[str], right_columns: list[str]) -> DataFrame:

@@ -41,9 +41,10 @@ def replace_snapshot(state: DataFrame, snapshots: DataFrame, version: str, diges
 
 
 def reset_period(state: DataFrame, batch: DataFrame, period: str) -> DataFrame:
-    """The state's rows of the newest period in either table: a new period empties it."""
+    """The state's rows of the newest period in either table: a new period empties it. Rows without a period belong to
+    the newest, whichever that is."""
     newest = state.select(period).unionByName(batch.select(period)).agg(F.max(period).alias("__p"))  # one row
-    return state.join(F.broadcast(newest), F.col(period) == F.col("__p")).select(*state.columns)
+    return state.join(F.broadcast(newest), F.coalesce(F.col(period), F.col("__p")).eqNullSafe(F.col("__p"))).select(*state.columns)
 
 
 def of_period(batch: DataFrame, period: Column, wanted) -> tuple[DataFrame, DataFrame]:

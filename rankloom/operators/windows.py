@@ -45,6 +45,22 @@ def spread_sum(df: DataFrame, keys: list[str], order: list[str], value: Column,
     return local.join(before, same).select(*df.columns, (F.col("__s") + F.col("__b")).alias(name))
 
 
+def spread_last(df: DataFrame, keys: list[str], order: list[str], column: str, name: str) -> DataFrame:
+    """The last value of column that is not null, up to and with each row, for keys that may hold a large part of all
+    rows: ranges of (keys, order) are filled apart, then a range's rows before its first value take the last value of
+    the key's ranges before. As spread_sum, the order must be total where values differ."""
+    ranged = Scratch(df.sparkSession, "spread-last").table(df.repartitionByRange(*keys, *order).withColumn("__p", F.spark_partition_id()), "ranged")
+    local = ranged.withColumn("__l", F.last(column, ignorenulls=True).over(_upto(["__p", *keys], order)))
+    per = ranged.groupBy("__p", *keys).agg(F.max_by(column, F.when(F.col(column).isNotNull(), F.struct(*order))).alias("__t"))
+    # A row for each range of a key: a key has no more of them than there are ranges.
+    carried = per.withColumn("__b", F.last("__t", ignorenulls=True).over(_upto(keys, ["__p"], -1))).select(F.col("__p").alias("__q"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__b")
+    same = F.col("__p") == F.col("__q")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    kept = [c for c in df.columns if c != name]
+    return local.join(carried, same).select(*kept, F.coalesce("__l", "__b").alias(name)).select(*df.columns, *([] if name in df.columns else [name]))
+
+
 def ordinal(df: DataFrame, keys: list[str], order: list, name: str = "ordinal", spread: bool = False) -> DataFrame:
     """Numbers from 1; spread where a key may hold a large part of all rows."""
     return spread_sum(df, keys, order, F.lit(1), name) if spread else df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
@@ -83,7 +99,10 @@ def blocks_by_end(df: DataFrame, keys: list[str], order: list, ends: Column, nam
     return df.withColumn(name, F.coalesce(F.sum(F.when(ends, 1).otherwise(0)).over(_upto(keys, order, -1)), F.lit(0)))
 
 
-def forward_fill(df: DataFrame, keys: list[str], order: list, column: str, name: str | None = None) -> DataFrame:
+def forward_fill(df: DataFrame, keys: list[str], order: list, column: str, name: str | None = None, spread: bool = False) -> DataFrame:
+    """The last value that is not null up to each row; spread where a key may hold a large part of all rows."""
+    if spread:
+        return spread_last(df, keys, order, column, name or column)
     return df.withColumn(name or column, F.last(column, ignorenulls=True).over(_upto(keys, order)))
 
 
@@ -121,7 +140,7 @@ def text_order(df: DataFrame, keys: list[Column], name: str = "place") -> DataFr
     ranged = Scratch(df.sparkSession, "text-order").table(df.repartitionByRange(*order).withColumn("__p", F.spark_partition_id()), "ranged")
     local = ranged.withColumn("__n", F.row_number().over(W.partitionBy("__p").orderBy(*order)))
     sizes = ranged.groupBy("__p").agg(F.count("*").alias("__c"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.__p") < F.col("a.__p"), "left").groupBy(F.col("a.__p").alias("__p")).agg(F.coalesce(F.sum("b.__c"), F.lit(0)).alias("__s"))
+    before = sizes.select("__p", F.coalesce(F.sum("__c").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__s"))  # a row for each range
     return local.join(F.broadcast(before), "__p").withColumn(name, F.col("__n") + F.col("__s")).drop("__p", "__n", "__s")
 
 

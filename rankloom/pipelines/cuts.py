@@ -22,14 +22,15 @@ def owned(awards: DataFrame) -> DataFrame:
     return awards.filter(classify.owner(F.col("specialty_code")) == F.col("body"))
 
 
-def document_cuts(awards: DataFrame, centres: DataFrame) -> DataFrame:
+def document_cuts(awards: DataFrame, centres: DataFrame, today: Column | None = None) -> DataFrame:
     """Per document, centre and specialty the award of greatest cut, the first of equals, with the centre's published
-    name and place where the guide has it."""
+    name and place where the guide has it. A document without a date belongs to the school year of today."""
     columns = ["cut", "specialty_name", "center_name", "locality", "placement_type", "english_requirement", "itinerant", "published_date", "sha256", "body"]
     best = aggregates.argmax_first(owned(awards), ["url", "center_code", "specialty_code"], "cut", "seq", columns)
     guide = centres.select(F.col("code").alias("center_code"), F.col("name").alias("center_name"), "municipality")
     named = joins.lookup(best.withColumn("municipality", display_place(F.col("locality"))).withColumnRenamed("center_name", "__raw"), guide, ["center_code"], {"center_name": smart_title(F.col("__raw")), "municipality": "municipality"})
-    return named.drop("__raw", "locality").withColumn("school_year", calendar.school_year(F.col("published_date").try_cast("date")))
+    dated = F.coalesce(F.col("published_date").try_cast("date"), F.current_date() if today is None else today.cast("date"))
+    return named.drop("__raw", "locality").withColumn("school_year", calendar.school_year(dated))
 
 
 def assignments(awards: DataFrame) -> DataFrame:
@@ -59,6 +60,21 @@ def apply_start(start: DataFrame, cuts: DataFrame) -> DataFrame:
     return merge.replace_partitions(current, merge.reset_period(batch, start, "school_year"), "body")
 
 
+def course_after_start(course: DataFrame, before: DataFrame, start: DataFrame) -> DataFrame:
+    """The course's cuts once the start has gone from before to start. A start that opens another year empties the
+    course; while the course has no documents of its own in the start's year, it holds the start's rows. A course of
+    another year than an unchanged start's stays."""
+    year = lambda df, n: df.agg(F.max("school_year").alias(n))  # noqa: E731  one row
+    own = course.filter("origin = 'curso'").agg(F.max("school_year").alias("__own"))  # one row
+    rule = year(before, "__before").join(year(start, "__now")).join(year(course, "__course")).join(own)
+    opened = ~F.col("__now").eqNullSafe(F.col("__before"))
+    waiting = F.col("__own").isNull() & F.coalesce(F.col("__course") == F.col("__now"), F.lit(True))
+    seeds = F.coalesce(F.col("__now").isNotNull() & (opened | waiting), F.lit(False))
+    verdict = F.broadcast(rule.select(seeds.alias("__seeds")))
+    seeded = start.join(verdict).filter("__seeds").select(*course.columns)
+    return course.join(verdict).filter("not __seeds").select(*course.columns).unionByName(seeded)
+
+
 def apply_course(course: DataFrame, start: DataFrame, cuts: DataFrame) -> DataFrame:
     """The course's cuts after new documents: the newest row of a centre, specialty and body wins, in the order of
     documents (date, body, url). A new year begins from the start's cuts, as does a course without rows."""
@@ -71,12 +87,17 @@ def apply_course(course: DataFrame, start: DataFrame, cuts: DataFrame) -> DataFr
     return merge.upsert(seeded, batch, KEYS, ["published_date", "url"])
 
 
-def run(start: DataFrame, course: DataFrame, ledger: DataFrame, awards: DataFrame, centres: DataFrame, mode: str) -> dict[str, DataFrame]:
+def run(start: DataFrame, course: DataFrame, ledger: DataFrame, awards: DataFrame, centres: DataFrame, mode: str, today: Column | None = None) -> dict[str, DataFrame]:
     """One update in a mode ('inicio' or 'curso'): documents that the ledger has by url, or by content under another url,
-    are left out; the result holds start, course, ledger and vacancies."""
+    are left out; the result holds start, course, ledger and vacancies. today (the session's date, if not given) decides
+    the school year of documents without a date."""
     fresh = joins.not_seen_elsewhere(joins.not_seen(awards, ledger, "url"), ledger.filter("sha256 is not null"), "sha256", "url")
-    cuts = document_cuts(fresh, centres)
-    start, course = (apply_start(start, cuts), course) if mode == "inicio" else (start, apply_course(course, start, cuts))
+    cuts = document_cuts(fresh, centres, today)
+    if mode == "inicio":
+        before, start = start, apply_start(start, cuts)
+        course = course_after_start(course, before, start)
+    else:
+        course = apply_course(course, start, cuts)
     documents = fresh.groupBy("url").agg(F.max("sha256").alias("sha256"), F.max("body").alias("body"), F.max("published_date").alias("published_date"))
     rows = cuts.groupBy("url").agg(F.count("*").alias("rows"))
     done = documents.join(rows, "url", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))

@@ -46,8 +46,9 @@ def english_positions(positions: DataFrame, accredited: DataFrame) -> DataFrame:
     rows = positions.withColumn("__key", identity_key(F.col("official_name"))).join(named, "__key", "left").join(has, "person_index")
     counts = F.col("masters") & F.col("specialty_code").isin(*ranks.ENGLISH_CODES) & F.col("after").isNotNull()
     points = F.when(counts, ranks.english_contribution(F.col("__has"), F.col("__acc"))).otherwise(0)
-    summed = windows.running_sum(rows.withColumn("__points", points), ["specialty_code"], ["after", "person_index"], F.col("__points"), "english_position")
-    return summed.select(*positions.columns, "english_position")
+    # The lists are few and long: their sums are spread over ranges.
+    summed = windows.spread_sum(rows.withColumn("__points", points), ["specialty_code"], ["after", "person_index"], F.col("__points"), "__sum")
+    return summed.select(*positions.columns, F.when(F.col("__points") > 0, F.col("__sum")).alias("english_position"))
 
 
 def english_totals(positions: DataFrame) -> DataFrame:

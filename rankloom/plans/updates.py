@@ -3,6 +3,8 @@ composed from their columns, so that SQL can say from the columns what reading t
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import blocks, classify, ranks, text
@@ -446,3 +448,122 @@ def magic_bytes(spark, sf_dir):
 def unambiguous_index(spark, sf_dir):
     """An index of one value for each key, which fails where a key has several."""
     return quality.unambiguous(_t(spark, sf_dir, "orders"), ["o_orderkey"], "o_custkey")
+
+
+@entry("""
+WITH RECURSIVE split AS (SELECT 'c' AS side, c_custkey AS id, c_nationkey AS nation, c_acctbal AS o FROM customer UNION ALL SELECT 's', s_suppkey, s_nationkey, s_acctbal FROM supplier),
+keyed AS (SELECT side, id, n_name AS loose, left(n_name, (1 + id % 3)::INT) || ' ' || substr(n_name, (2 + id % 3)::INT) AS exact, row_number() OVER (PARTITION BY side, n_name ORDER BY o DESC, id) AS n FROM split JOIN nation ON nation = n_nationkey),
+steps AS (
+  SELECT loose, 0::BIGINT AS n, list({'i': id, 'e': exact} ORDER BY n) AS free, NULL::BIGINT AS c_custkey, NULL::BIGINT AS s_suppkey, 0 AS tier FROM keyed WHERE side = 's' GROUP BY loose
+  UNION ALL
+  SELECT loose, n, [x FOR x IN free IF x.i <> p.i], id, p.i, CASE WHEN p.e = exact THEN 1 ELSE 2 END
+  FROM (SELECT keyed.*, free, coalesce([x FOR x IN free IF x.e = exact][1], free[1]) AS p FROM steps JOIN keyed ON keyed.side = 'c' AND keyed.loose = steps.loose AND keyed.n = steps.n + 1 WHERE len(free) > 0)
+)
+SELECT c_custkey, s_suppkey, tier FROM steps WHERE n > 0
+""")
+def occurrence_join_competing(spark, sf_dir):
+    """Customers of a nation, the richest first, take suppliers: one whose nation is spelt with the same blank, else any."""
+    nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    spelt = lambda i: F.concat(F.expr(f"left(n_name, cast(1 + {i} % 3 AS int))"), F.lit(" "), F.expr(f"substring(n_name, cast(2 + {i} % 3 AS int))")).alias("exact")
+    side = lambda t, p, i: _t(spark, sf_dir, t).join(nation, F.col(f"{p}_nationkey") == F.col("n_nationkey")).select(i, F.col("n_name").alias("loose"), spelt(i), (-F.col(f"{p}_acctbal")).alias("o"))
+    return joins.occurrence_join_competing(side("customer", "c", "c_custkey"), side("supplier", "s", "s_suppkey"), "exact", "loose", "c_custkey", "s_suppkey", ["o", "c_custkey"], ["o", "s_suppkey"])
+
+
+@entry("""
+WITH d AS (SELECT lpad(l_suppkey::VARCHAR, 8, '0') AS center_code, CASE WHEN l_linenumber % 2 = 0 THEN '126' ELSE '3A1' END AS specialty_code, CASE WHEN l_linenumber % 2 = 0 THEN 'maestros' ELSE 'secundaria' END AS body,
+                  l_shipdate::DATE AS day, l_quantity::INT AS cut FROM lineitem),
+best AS (SELECT center_code, specialty_code, body, day, max(cut) AS cut FROM d GROUP BY ALL),
+starts AS (SELECT * FROM best WHERE day >= DATE '1998-07-01' AND day < DATE '1998-09-01'),
+start AS (SELECT * FROM starts WHERE day = (SELECT max(day) FROM starts s WHERE s.body = starts.body)),
+course AS (SELECT * FROM best WHERE day >= DATE '1998-09-01' QUALIFY row_number() OVER (PARTITION BY center_code, specialty_code, body ORDER BY day DESC) = 1)
+SELECT center_code, specialty_code, body, cut, day::VARCHAR AS published_date, 'curso' AS origin FROM course
+UNION ALL SELECT center_code, specialty_code, body, cut, day::VARCHAR, 'inicio' FROM start ANTI JOIN course USING (center_code, specialty_code, body)
+""")
+def start_then_course(spark, sf_dir):
+    """Three updates: the course up to the summer of 1998, whose year ends there; the start of the next year, which
+    empties and seeds the course; the new year's course. State is written between them, as users keep it."""
+    from ..operators.merge import LEDGER
+    from ..scratch import Scratch
+
+    c, scratch = F.col, Scratch(spark, "start-then-course")
+    even, day = c("l_linenumber") % 2 == 0, F.date_format("l_shipdate", "yyyy-MM-dd")
+    body = F.when(even, "maestros").otherwise("secundaria")
+    awards = _t(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", body, day).alias("url"), F.lpad(c("l_suppkey").cast("string"), 8, "0").alias("center_code"), F.when(even, "126").otherwise("3A1").alias("specialty_code"),
+        c("l_quantity").cast("int").alias("cut"), body.alias("body"), (c("l_orderkey").cast("decimal(38,0)") * 10**12 + c("l_linenumber") * F.lit(10**11) + c("l_partkey")).alias("seq"),
+        c("l_partkey").cast("string").alias("specialty_name"), F.concat(F.lit("RAW "), c("l_suppkey")).alias("center_name"), F.lit("TOWN").alias("locality"), F.lit("vacante").alias("placement_type"),
+        F.lit(False).alias("english_requirement"), F.lit(False).alias("itinerant"), day.alias("published_date"), F.sha2(F.concat_ws("-", body, day), 256).alias("sha256"),
+    )
+    guide = _t(spark, sf_dir, "supplier").select(F.lpad(c("s_suppkey").cast("string"), 8, "0").alias("code"), c("s_name").alias("name"), F.lit("T").alias("municipality"))
+    empty = spark.createDataFrame([], "center_code string, specialty_code string, cut int, specialty_name string, center_name string, municipality string, body string, placement_type string, english_requirement boolean, itinerant boolean, origin string, school_year string, published_date string, url string")
+    start, course, ledger = empty, empty, spark.createDataFrame([], LEDGER)
+    for mode, own in (("curso", c("published_date") < "1998-07-01"), ("inicio", c("published_date").between("1998-07-01", "1998-08-31")), ("curso", c("published_date") > "1998-08-31")):
+        after = cuts.run(start, course, ledger, awards.filter(own), guide, mode)
+        start, course, ledger = (scratch.table(after[n].select(*old.columns), n) for n, old in (("start", start), ("course", course), ("ledger", ledger)))
+    return course.select("center_code", "specialty_code", "body", "cut", "published_date", "origin")
+
+
+@entry("""
+WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 2 DESC, o_orderdate DESC, o_orderkey DESC) AS k FROM orders)
+SELECT o_orderpriority, count(*) AS n_rows, sum(o_orderkey % 10)::BIGINT AS total FROM o WHERE k = 1 GROUP BY 1
+""")
+def corrected_totals(spark, sf_dir):
+    """Orders of even number, the latest of a customer as its document, corrected by those of odd number: totals by
+    priority follow from signed changes."""
+    from ..operators.versions import DocumentTotals
+    from ..scratch import shared_dir
+
+    o = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority", (F.col("o_orderkey") % 10).alias("n"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in o.schema.fields)
+    totals = DocumentTotals(spark, f"{shared_dir(spark)}/corrected-totals-{uuid.uuid4().hex}", schema, "o_custkey", ["o_orderdate", "o_orderkey"], ["o_orderpriority"], "n", buckets=16)
+    for part in (0, 1):
+        totals.apply(o.filter(F.col("o_orderkey") % 2 == part))
+    return totals.totals()
+
+
+@entry("""
+SELECT year(l_shipdate)::INT AS year, count(*) AS n, sum(l_quantity::BIGINT)::BIGINT AS quantity FROM lineitem WHERE year(l_shipdate) % 2 = 0 OR l_quantity >= 49 GROUP BY 1
+""")
+def partition_versions(spark, sf_dir):
+    """Lines kept by year; the odd years are replaced by their large lines, the others' files stay."""
+    from ..operators.versions import PartitionedState
+    from ..scratch import shared_dir
+
+    lines = _t(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year"), "l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("quantity"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lines.schema.fields)
+    state = PartitionedState(spark, f"{shared_dir(spark)}/partition-versions-{uuid.uuid4().hex}", schema, F.col("year"))
+    state.replace(lines)
+    state.replace(lines.filter("year % 2 = 1 and quantity >= 49"))
+    return state.read().groupBy("year").agg(F.count("*").alias("n"), F.sum("quantity").alias("quantity"))
+
+
+@entry("SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate::DATE DESC, o_orderkey DESC) = 1")
+def stream_newest(spark, sf_dir):
+    """Orders as a stream: keyed state on disk holds each customer's newest, read back once all is taken in."""
+    from ..scratch import shared_dir
+    from ..streaming import keyed
+
+    path, checkpoint = f"{sf_dir}/orders.parquet", f"{shared_dir(spark)}/stream-newest-{uuid.uuid4().hex}"
+    # As a pattern, since a stream's path may be a folder or a pattern but not one file.
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/orders.parque[t]")
+    rows = stream.select("o_custkey", "o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("d"))
+    keyed.keep_newest(rows, checkpoint, ["o_custkey"], "d", ["o_orderkey"]).awaitTermination()
+    return keyed.held_rows(spark, checkpoint).select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+@entry("""
+SELECT p.event_id, coalesce(v.event_id, -1) AS view_id FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN (SELECT ts, max(event_id) AS event_id FROM events WHERE event_type = 'view' GROUP BY 1) v ON p.ts > v.ts
+""")
+def asof_one_key(spark, sf_dir):
+    """The last view of anyone before each purchase: one key holds every row, ranges of time are filled apart."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "event_type", "ts", F.lit(1).alias("k"))
+    views = ev.filter("event_type = 'view'").select("k", F.col("ts").alias("vts"), F.col("event_id").alias("view_id"))
+    return joins.asof_join(ev.filter("event_type = 'purchase'"), views, ["k"], "ts", "vts", ["view_id"], spread=True).select("event_id", F.coalesce("view_id", F.lit(-1)).alias("view_id"))
+
+
+@entry("SELECT event_id, coalesce(last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (ORDER BY ts, event_id), -1) AS purchase_id FROM events")
+def fill_one_key(spark, sf_dir):
+    """The last purchase up to each event, over the whole table in one order."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "ts", F.lit(1).alias("k"), F.when(F.col("event_type") == "purchase", F.col("event_id")).alias("purchase_id"))
+    return windows.forward_fill(ev, ["k"], ["ts", "event_id"], "purchase_id", spread=True).select("event_id", F.coalesce("purchase_id", F.lit(-1)).alias("purchase_id"))

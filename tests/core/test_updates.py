@@ -58,9 +58,14 @@ def test_start_then_course(spark):
     course = awards(spark, award("c1", "2026-10-01", 6), award("c2", "2026-10-08", 2), award("c2", "2026-10-08", 1, centre="03000009"))
     third = run(second["start"], second["course"], second["ledger"], course, guide(spark), "curso")
     assert rows(third["course"].select("center_code", "specialty_code", "cut", "origin")) == [("03000009", "126", 1, "curso"), ("46000001", "126", 2, "curso"), ("46000001", "3A1", 7, "inicio")]
-    # A new school year empties both.
+    # A new school year empties both; the course holds the start's rows until it has documents of its own.
     new = run(third["start"], third["course"], third["ledger"], awards(spark, award("n1", "2027-07-20", 8)), guide(spark), "inicio")
     assert rows(new["start"].select("cut", "school_year")) == [(8, "2027-2028")]
+    assert rows(new["course"].select("cut", "school_year", "origin")) == [(8, "2027-2028", "inicio")]
+    # While it has none it follows corrections of the start; once it has, it stays as it is.
+    assert rows(out["course"].select("cut", "origin")) == [(5, "inicio"), (7, "inicio")] and rows(second["course"].select("cut")) == [(4,), (7,)]
+    fourth = run(third["start"], third["course"], third["ledger"], awards(spark, award("m9", "2026-10-20", 1)), guide(spark), "inicio")
+    assert rows(fourth["course"].select("center_code", "cut")) == rows(third["course"].select("center_code", "cut"))
     late = cuts.apply_course(third["course"], new["start"], cuts.document_cuts(awards(spark, award("n2", "2027-10-01", 3, centre="03000009")), guide(spark)))
     assert rows(late.select("center_code", "cut", "origin")) == [("03000009", 3, "curso"), ("46000001", 8, "inicio")]
 
@@ -279,3 +284,25 @@ def test_scratch_tables(spark, tmp_path):
                 scratch.shared_dir(fake)
         else:
             assert scratch.shared_dir(fake).startswith("file://")
+
+
+def test_stale_course_is_emptied_by_a_new_start(spark):
+    stale = spark.createDataFrame([("46000001", "126", 3, "S", "C", "M", "maestros", "vacante", False, False, o, "2024-2025", "2024-10-01", "old") for o in ("curso", "inicio")], STATE)
+    empty, ledger = spark.createDataFrame([], STATE), spark.createDataFrame([], merge.LEDGER)
+    out = cuts.run(empty, stale, ledger, awards(spark, award("n", "2025-07-20", 8)), guide(spark), "inicio")
+    assert rows(out["course"].select("school_year", "cut", "origin")) == [("2025-2026", 8, "inicio")]
+    none = cuts.run(empty, stale, ledger, awards(spark), guide(spark), "inicio")
+    assert none["course"].count() == 2 and none["start"].count() == 0
+
+
+@pytest.mark.parametrize("mode, table", [("inicio", "start"), ("curso", "course")])
+def test_documents_without_a_date_belong_to_today(spark, mode, table):
+    empty, ledger = spark.createDataFrame([], STATE), spark.createDataFrame([], merge.LEDGER)
+    out = cuts.run(empty, empty, ledger, awards(spark, award("u", None, 8)), guide(spark), mode, F.lit("2026-02-03"))
+    assert rows(out[table].select("school_year", "cut")) == [("2025-2026", 8)]
+    assert rows(out["ledger"].select("url", "rows")) == [("u", 1)]
+    later = cuts.run(empty, empty, ledger, awards(spark, award("u", "no date", 8)), guide(spark), mode)
+    assert later[table].count() == 1
+    odd = spark.createDataFrame([("a", None), ("b", "2025-2026"), ("c", "2024-2025")], "k string, p string")
+    assert rows(merge.reset_period(odd, odd.limit(0), "p").select("k")) == [("a",), ("b",)]
+    assert merge.reset_period(odd.filter("p is null"), odd.limit(0), "p").count() == 1
