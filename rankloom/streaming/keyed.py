@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -60,6 +62,8 @@ def newest_rows(stream: DataFrame, keys: list[str], date: str, order: list[str])
     """A streaming table of the rows that win, as operators.merge.dated_upsert has them: a later batch's row replaces
     the one held unless that is strictly newer. A late row changes nothing."""
     ship(stream.sparkSession)
+    # The driver starts a worker of its own to ask the processor for its state, and that has no shipped files.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return stream.groupBy(*keys).transformWithState(NewestRow(stream.schema, date, order), stream.schema, "Update", "None")
 
 
