@@ -9,6 +9,8 @@ down is reported at the characters of the original that encode it. Found in the
 spans; the method only adds.
 
 No bound on the chain of layers: URL, Unicode and base64 steps shrink the text, so they end; time grows with the depth.
+An escape of an escape (and so on) of one kind is a single step, so such chains take linear time; only texts that
+nest different kinds in turns pay for each turn.
 Compressed payloads are unpacked to their end, member after member, and scanned in stretches of MAX_UNPACKED bytes that
 overlap, so memory is bounded however much they hold. `truncated` says where a payload could not be read whole: it
 breaks off in error, or an encoded run inside it is as long as a stretch. redact_secrets takes such payloads out.
@@ -50,8 +52,14 @@ MIN_BASE64 = 16
 
 _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _HEX_BYTES = re.compile(b"[0-9a-f]{24}")
-_URL = re.compile("(?:%[0-9A-Fa-f]{2})+")
-_UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+#: An escape together with the escapes of its own sign before it: "%252541" stands for "%41" escaped twice more. All
+#: levels are peeled in one step, so a chain costs its length, not its square; what lies between are parts of one run.
+_URL = re.compile("(?:%(?:25)*[0-9A-Fa-f]{2})+")
+_URL_ONE = re.compile("%(?:25)*([0-9A-Fa-f]{2})")
+_UNICODE = re.compile(
+    r"\\(?:u\{0*5[Cc]\}|u005[Cc]|U0000005[Cc]|x5[Cc])*(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))"
+    r"|&(?:#x0*26;|#0*38;)*(?:#x([0-9A-Fa-f]{1,6});|#([0-9]{1,7});)"
+)
 #: A run on one line, or over line breaks (MIME). What is glued to it by characters of the alphabet is part of the run.
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{4,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+|[A-Za-z0-9+/_-]{%d,})={0,2}" % MIN_BASE64)
 _BREAKS = re.compile(r"\r?\n[\x20\t]*")
@@ -128,11 +136,13 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     return Layer("".join(parts), pieces, layer.depth + 1)
 
 
-def _url(m: re.Match) -> str | None:
+def _url(m: re.Match) -> str:
+    """As UTF-8 where the run is that, else a character for each byte, as all that is looked for is ASCII."""
+    raw = bytes.fromhex("".join(_URL_ONE.findall(m[0])))
     try:
-        return bytes.fromhex(m[0].replace("%", "")).decode("utf-8")
+        return raw.decode("utf-8")
     except UnicodeDecodeError:
-        return None
+        return raw.decode("latin-1")
 
 
 def _unicode(m: re.Match) -> str | None:
