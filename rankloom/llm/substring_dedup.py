@@ -22,7 +22,7 @@ be indexed apart and still lose no repeat:
 What is a window's first copy stays; all other windows with repeating anchors are removed, bytes once each.
 
 Order of documents: doc_id, then a hash of the text. Defined cases: null text is empty. Rows alike in doc_id and text
-count as one document and are all returned, cut alike. Rows that share only doc_id are told apart by 17 bits of a hash
+count as one document and are all returned, cut alike. Rows that share only doc_id are told apart by 64 bits of a hash
 of the text. A null doc_id comes first. Texts under 100 bytes are untouched. An empty table gives no rows; extra
 columns are ignored. doc_id must be an integer.
 """
@@ -48,15 +48,11 @@ DEPTH, GRAM = 100, 32
 SPAN = DEPTH - GRAM + 1  # grams in a window
 #: Distinct pieces of a group that are indexed together, and bytes of a block.
 GROUP_ROWS, BLOCK_BYTES = 1024, 2 << 20
-#: A place is packed as: 17 bits of the text's hash, 32 bits of start, 7 bits of windows - 1, 7 bits of anchor offset.
+#: A place in a text (doc, th: its id and its hash) is packed as: 32 bits of start, 7 bits of windows - 1, 7 bits of
+#: anchor offset.
 _CHUNK = 4 << 20
 
 
-def _text() -> Column:
-    """The bits of the text's hash in a packed place."""
-    return F.shiftright("packed", 46).alias("th")
-
-
 def _anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Pieces of many texts: row, first window, last window, anchor (places in data), hash of the anchor, hash of the piece."""
     n = len(data)
@@ -111,29 +107,26 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, data, offsets, shift in _batches(batch.column("text")):
             r, first, last, where, h, piece = _anchors(data, offsets)
             start = first - (offsets[r] if not shift else 0) + shift
-            packed = th[row + r] << 46 | start << 14 | (last - first) << 7 | (where - first)
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(h)), pa.array(_signed(piece)), pa.array(doc[row + r]), pa.array(packed)], names=["h", "ph", "doc", "packed"])
+            packed = start << 14 | (last - first) << 7 | (where - first)
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(h)), pa.array(_signed(piece)), pa.array(doc[row + r]), pa.array(th[row + r]), pa.array(packed)], names=["h", "ph", "doc", "th", "packed"])
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of wanted pieces of each document."""
     for batch in batches:
-        th = batch.column("th").to_numpy()
         raw, wanted = batch.column("text").cast(pa.binary()), batch.column("wanted")
         offsets = wanted.offsets.to_numpy()
         flat = wanted.values
-        h, packed = flat.field("h").to_numpy(), flat.field("packed").to_numpy()
+        h, packed = (flat.field(c).to_numpy()[offsets[0] : offsets[-1]] for c in ("h", "packed"))
         row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-        mine = np.flatnonzero(packed[offsets[0] : offsets[-1]] >> 46 == th[row])
-        row, h, packed = row[mine], h[offsets[0] :][mine], packed[offsets[0] :][mine]
         start, more = packed >> 14 & 0xFFFFFFFF, packed >> 7 & 127
         held, texts = -1, []
         for i, a, b in zip(row.tolist(), start.tolist(), (start + more + DEPTH).tolist()):
             if i != held:
                 held, text = i, raw[i].as_py() or b""
             texts.append(text[a:b])
-        doc = batch.column("doc").to_numpy()[row]
-        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(doc), pa.array(packed), pa.array(np.zeros(len(h), np.int32)), pa.array(texts, pa.binary())], names=["g", "doc", "packed", "at", "piece"])
+        doc, th = (batch.column(c).to_numpy()[row] for c in ("doc", "th"))
+        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(doc), pa.array(th), pa.array(packed), pa.array(np.zeros(len(h), np.int32)), pa.array(texts, pa.binary())], names=["g", "doc", "th", "packed", "at", "piece"])
 
 
 def _halves(size: int):
@@ -142,7 +135,7 @@ def _halves(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            g, doc, packed, at, low = (batch.column(c).to_numpy() for c in ("g", "doc", "packed", "at", "low"))
+            g, doc, th, packed, at, low = (batch.column(c).to_numpy() for c in ("g", "doc", "th", "packed", "at", "low"))
             for row, data, offsets in bytes_ops.slices(batch.column("piece")):
                 n = len(offsets) - 1
                 rows = np.arange(row, row + n)
@@ -159,8 +152,8 @@ def _halves(size: int):
                     cuts = np.r_[0, np.cumsum(sizes)]
                     parts = data[np.arange(cuts[-1]) + np.repeat(f - cuts[:-1], sizes)]
                     piece = pa.Array.from_buffers(pa.binary(), len(ok), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(parts)])
-                    columns = [_signed(group), _signed(hashed(f, e)), doc[r], packed[r], (at[r] + f - offsets[:-1][ok]).astype(np.int32)]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), piece, pa.array(a[ok].astype(np.int32))], names=["g", "ph", "doc", "packed", "at", "piece", "low"])
+                    columns = [_signed(group), _signed(hashed(f, e)), doc[r], th[r], packed[r], (at[r] + f - offsets[:-1][ok]).astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), piece, pa.array(a[ok].astype(np.int32))], names=["g", "ph", "doc", "th", "packed", "at", "piece", "low"])
 
     return run
 
@@ -206,20 +199,19 @@ def _repeats_of_earlier(data: np.ndarray, offs: np.ndarray, g: np.ndarray, order
 
 def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by group. Blocks of whole groups are indexed and streamed; what returns are runs of windows
-    that are first copies: doc, packed, offset of the first and last window in the piece."""
+    that are first copies: doc, th, packed, offset of the first and last window in the piece."""
     held: list[pa.RecordBatch] = []
     size = 0
 
     def flush(rows: pa.RecordBatch | pa.Table) -> pa.RecordBatch:
-        g, doc, packed, at = (rows.column(c).to_numpy() for c in ("g", "doc", "packed", "at"))
+        g, doc, th, packed, at = (rows.column(c).to_numpy() for c in ("g", "doc", "th", "packed", "at"))
         pieces = rows.column("piece")
         pieces = pieces.combine_chunks() if isinstance(pieces, pa.ChunkedArray) else pieces
         pieces = pieces.cast(pa.binary())
         offs = np.frombuffer(pieces.buffers()[1], np.int32, len(pieces) + 1, pieces.offset * 4).astype(np.int64)
         data = np.frombuffer(pieces.buffers()[2], np.uint8)[offs[0] : offs[-1]]
         offs = offs - offs[0]
-        place = (packed >> 46 << 32) + (packed >> 14 & 0xFFFFFFFF) + at
-        repeats = _repeats_of_earlier(data, offs, g, np.lexsort((place, doc, g)))
+        repeats = _repeats_of_earlier(data, offs, g, np.lexsort(((packed >> 14 & 0xFFFFFFFF) + at, th, doc, g)))
         inner = np.arange(len(data)) - np.repeat(offs[:-1], np.diff(offs))
         keep = np.flatnonzero(~repeats & (inner + DEPTH <= np.repeat(np.diff(offs), np.diff(offs))))
         p = np.searchsorted(offs, keep, "right") - 1
@@ -228,7 +220,7 @@ def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         cut[1:] = (p[1:] != p[:-1]) | (w[1:] != w[:-1] + 1)
         a = np.flatnonzero(cut)
         b = np.r_[a[1:], len(keep)] - 1 if len(a) else a
-        return pa.RecordBatch.from_arrays([pa.array(doc[p[a]]), pa.array(packed[p[a]]), pa.array((at[p[a]] + w[a]).astype(np.int32)), pa.array((at[p[b]] + w[b]).astype(np.int32))], names=["doc", "packed", "a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(doc[p[a]]), pa.array(th[p[a]]), pa.array(packed[p[a]]), pa.array((at[p[a]] + w[a]).astype(np.int32)), pa.array((at[p[b]] + w[b]).astype(np.int32))], names=["doc", "th", "packed", "a", "b"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -252,36 +244,36 @@ def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield flush(pa.Table.from_batches(held))
 
 
-_FIRST = "doc bigint, packed bigint, a int, b int"
+_FIRST = "doc bigint, th bigint, packed bigint, a int, b int"
 
 
 def _blocks(parts: DataFrame) -> DataFrame:
     """First copies within groups of bounded size."""
     n = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = parts.select("g", "doc", "packed", "at", "piece").repartition(n, "g").sortWithinPartitions("g", "doc", "packed", "at")
+    rows = parts.select("g", "doc", "th", "packed", "at", "piece").repartition(n, "g").sortWithinPartitions("g", "doc", "th", "packed", "at")
     return map_arrow(rows, _first_copies, _FIRST)
 
 
 def _first_windows(scratch: Scratch, docs: DataFrame, places: DataFrame) -> DataFrame:
-    """places: h, ph, doc, packed of windows with repeating anchors -> runs of windows that are first copies."""
-    first = F.min(F.struct("doc", "packed")).alias("f")
-    distinct = scratch.table(places.groupBy("h", "ph").agg(first).select("h", "f.doc", "f.packed"), "distinct")
+    """places: h, ph, doc, th, packed of windows with repeating anchors -> runs of windows that are first copies."""
+    first = F.min(F.struct("doc", "th", "packed")).alias("f")
+    distinct = scratch.table(places.groupBy("h", "ph").agg(first).select("h", "f.*"), "distinct")
     sizes = distinct.groupBy("h").agg(F.count("*").alias("pieces"))
     distinct = scratch.table(distinct.join(sizes, "h"), "sized")
-    single = distinct.filter("pieces = 1").select("doc", "packed", F.lit(0).alias("a"), F.expr("int(shiftright(packed, 7) & 127)").alias("b"))
-    wanted = distinct.filter("pieces > 1").groupBy("doc", _text()).agg(F.collect_list(F.struct("h", "packed")).alias("wanted"))
+    single = distinct.filter("pieces = 1").select("doc", "th", "packed", F.lit(0).alias("a"), F.expr("int(shiftright(packed, 7) & 127)").alias("b"))
+    wanted = distinct.filter("pieces > 1").groupBy("doc", "th").agg(F.collect_list(F.struct("h", "packed")).alias("wanted"))
     near = docs.join(wanted, ["doc", "th"]).select("doc", "th", "text", "wanted")
-    rows = scratch.table(map_arrow(near, _fetch, "g bigint, doc bigint, packed bigint, at int, piece binary").dropDuplicates(["g", "doc", "packed"]), "pieces")
+    rows = scratch.table(map_arrow(near, _fetch, "g bigint, doc bigint, th bigint, packed bigint, at int, piece binary").dropDuplicates(["g", "doc", "th", "packed"]), "pieces")
     out, rest, size = [single], rows.withColumn("low", F.lit(0)), SPAN
     while size > 1 and not rest.isEmpty():
-        cut = map_arrow(rest.select("g", "doc", "packed", "at", "piece", "low"), _halves(size), "g bigint, ph bigint, doc bigint, packed bigint, at int, piece binary, low int")
+        cut = map_arrow(rest.select("g", "doc", "th", "packed", "at", "piece", "low"), _halves(size), "g bigint, ph bigint, doc bigint, th bigint, packed bigint, at int, piece binary, low int")
         # By true place, as offsets in pieces differ: hash, then start and offset. Equal parts have equal bytes.
-        place = F.struct("doc", F.expr("shiftright(packed, 46)").alias("t"), F.expr("(shiftright(packed, 14) & 4294967295) + at").alias("s"), "packed", "at", "low")
-        parts = cut.groupBy("g", "ph").agg(F.min(place).alias("p"), F.first("piece").alias("piece")).select("g", "p.doc", "p.packed", "p.at", "piece", "p.low")
+        place = F.struct("doc", "th", F.expr("(shiftright(packed, 14) & 4294967295) + at").alias("s"), "packed", "at", "low")
+        parts = cut.groupBy("g", "ph").agg(F.min(place).alias("p"), F.first("piece").alias("piece")).select("g", "p.doc", "p.th", "p.packed", "p.at", "piece", "p.low")
         parts = scratch.table(parts, "parts")
         counted = scratch.table(parts.join(parts.groupBy("g").agg(F.count("*").alias("pieces")), "g"), "counted")
         scratch.drop(parts)
-        out.append(counted.filter("pieces = 1").select("doc", "packed", F.col("at").alias("a"), (F.col("at") + F.length("piece") - DEPTH).cast("int").alias("b")))
+        out.append(counted.filter("pieces = 1").select("doc", "th", "packed", F.col("at").alias("a"), (F.col("at") + F.length("piece") - DEPTH).cast("int").alias("b")))
         out.append(scratch.table(_blocks(counted.filter((F.col("pieces") > 1) & (F.col("pieces") <= GROUP_ROWS))), "first"))
         rest, size = counted.filter(F.col("pieces") > GROUP_ROWS), (size + 1) // 2
     # A range of one is one window: its group has one part, so nothing large can be left.
@@ -294,7 +286,6 @@ def _first_windows(scratch: Scratch, docs: DataFrame, places: DataFrame) -> Data
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw = batch.column("text").cast(pa.binary())
-        th = batch.column("th").to_numpy()
         places, firsts = batch.column("places"), batch.column("firsts")
         n_bytes, n_removed, n_spans, shas, kept = [], [], [], [], []
         for i in range(batch.num_rows):
@@ -302,7 +293,6 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = np.zeros(len(text) + 1, np.int32)
             if places[i].is_valid:
                 p = np.asarray(places[i].values.to_numpy())
-                p = p[p >> 46 == th[i]]
                 start, more = p >> 14 & 0xFFFFFFFF, p >> 7 & 127
                 later = np.zeros(len(text) + 1, np.int32)  # windows that repeat an earlier one
                 np.add.at(later, start, 1)
@@ -310,10 +300,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if firsts[i].is_valid:
                     f = firsts[i].values
                     fp, a, b = (f.field(c).to_numpy() for c in ("packed", "a", "b"))
-                    mine = fp >> 46 == th[i]
-                    at = fp[mine] >> 14 & 0xFFFFFFFF
-                    np.add.at(later, at + a[mine], -1)
-                    np.add.at(later, at + b[mine] + 1, 1)
+                    at = fp >> 14 & 0xFFFFFFFF
+                    np.add.at(later, at + a, -1)
+                    np.add.at(later, at + b + 1, 1)
                 where = np.flatnonzero(np.cumsum(later[:-1]) > 0)
                 np.add.at(gone, where, 1)
                 np.add.at(gone, np.minimum(where + DEPTH, len(text)), -1)
@@ -333,20 +322,20 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes) of every document."""
     spark = documents.sparkSession
     scratch = Scratch(spark, "substring-dedup")
-    docs = pick(documents, "doc_id", "text").select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc"), F.expr("xxhash64(text) & 131071").alias("th"), "text")
+    docs = pick(documents, "doc_id", "text").select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc"), F.xxhash64("text").alias("th"), "text")
     source = docs.select("doc", "th", "text")
     grams = map_arrow(source.select("text"), _count_grams, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
     repeated = scratch.table(grams, "grams")
-    places = scratch.table(map_arrow(source, _pieces, "h bigint, ph bigint, doc bigint, packed bigint").join(repeated, "h"), "places")
+    places = scratch.table(map_arrow(source, _pieces, "h bigint, ph bigint, doc bigint, th bigint, packed bigint").join(repeated, "h"), "places")
     scratch.drop(repeated)
     firsts = _first_windows(scratch, source, places)
     # By text and not by id alone: rows that share an id, such as those without one, are many.
-    by_doc = places.groupBy("doc", _text()).agg(F.collect_set("packed").alias("places"))
-    of_doc = firsts.groupBy("doc", _text()).agg(F.collect_set(F.struct("packed", "a", "b")).alias("firsts"))
+    by_doc = places.groupBy("doc", "th").agg(F.collect_set("packed").alias("places"))
+    of_doc = firsts.groupBy("doc", "th").agg(F.collect_set(F.struct("packed", "a", "b")).alias("firsts"))
     marks = scratch.table(by_doc.join(of_doc, ["doc", "th"], "left"), "marks")
     scratch.keep_only(marks)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    joined = docs.join(marks, ["doc", "th"], "left").select("doc_id", "th", "text", "places", "firsts")
+    joined = docs.join(marks, ["doc", "th"], "left").select("doc_id", "text", "places", "firsts")
     return map_arrow(joined, _cut, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
 
 
