@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from . import bytes_ops
 from .columns import pick
-from .components import components
+from ..operators.components import components
 from ..scratch import Scratch
 from ..shipping import map_arrow
 
@@ -97,9 +97,9 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for every document (key, size, sketches), and at a task's end its counts of shingle buckets."""
+    """A row for every document (hash of its text, key, size, sketches), and at a task's end its counts of shingle buckets."""
     total = np.zeros(BUCKETS, np.int64)
-    names = ["doc", "k", "n", "sketch", "wide", "bucket", "count"]
+    names = ["doc", "th", "k", "n", "sketch", "wide", "bucket", "count"]
     for batch in batches:
         ks, ns, sk, wide = [], [], [], []
         for s in shingle_sets(batch.column("text")):
@@ -110,10 +110,10 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, counts = np.unique(s >> _U(48), return_counts=True)  # sorted already
             total[at.astype(np.int64)] += counts
         m = batch.num_rows
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(ks, pa.int64()), pa.array(ns, pa.int64()), _lists(sk), pa.array(wide, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("th"), pa.array(ks, pa.int64()), pa.array(ns, pa.int64()), _lists(sk), pa.array(wide, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())], names=names)
     at = np.flatnonzero(total)
     m = len(at)
-    yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.binary()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=names)
+    yield pa.RecordBatch.from_arrays([*[pa.nulls(m, pa.int64())] * 4, pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.binary()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=names)
 
 
 def prefix_length(n: int) -> int:
@@ -224,17 +224,20 @@ class _Join:
     def __init__(self, documents: DataFrame):
         self.spark = documents.sparkSession
         self.scratch = Scratch(self.spark, "ngram-join")
-        self.docs = pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
+        self.docs = pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("th"), "text")
         #: Pairs that have been counted, linked or not.
         self.tried: DataFrame | None = None
 
     def run(self) -> DataFrame:
         sc = self.scratch
-        schema = "doc bigint, k bigint, n bigint, sketch array<bigint>, wide binary, bucket int, count bigint"
+        schema = "doc bigint, th bigint, k bigint, n bigint, sketch array<bigint>, wide binary, bucket int, count bigint"
         told = sc.table(map_arrow(self.docs, _describe, schema), "told")
-        self.sets = told.filter("k is not null").select("doc", "k", "n", "sketch", "wide")
+        self.sets = told.filter("k is not null").select("doc", "th", "k", "n", "sketch", "wide")
         filled = self.sets.filter("n > 0")
-        self.classes = sc.table(filled.groupBy("k").agg(F.coalesce(F.min(F.when(F.col("doc") != NO_ID, F.col("doc"))), F.lit(NO_ID)).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "classes")
+        # A class is known by one row, the one of least id; rows without an id come last.
+        least = F.min(F.struct((F.col("doc") == NO_ID).alias("none"), "doc", "th")).alias("r")
+        classes = filled.groupBy("k").agg(least, F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"))
+        self.classes = sc.table(classes.select("k", F.col("r.doc").alias("rep"), F.col("r.th").alias("rep_th"), "n", "sketch", "wide"), "classes")
         counts = np.zeros(BUCKETS, np.int64)
         for r in told.filter("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("c")).collect():  # one row for each of 65536 buckets
             counts[r["bucket"]] = r["c"]
@@ -350,10 +353,10 @@ class _Join:
     def _sets(self, keys: DataFrame) -> DataFrame:
         """The sets, in fragments, of the given classes, made anew from one document each. The classes are counted; if
         they are few their ids go to the texts, otherwise texts and ids meet in a shuffle."""
-        keys = self.scratch.table(keys.join(self.classes, "k").select(F.col("rep").alias("doc"), "k"), "keys")
+        keys = self.scratch.table(keys.join(self.classes, "k").select(F.col("rep").alias("doc"), F.col("rep_th").alias("th"), "k"), "keys")
         few = keys.count() <= BROADCAST_ROWS
-        texts = self.docs.join(F.broadcast(keys) if few else keys, "doc").select("k", "text")
-        # Rows may share an id or be copies; only the text that made the key counts, and once.
+        texts = self.docs.join(F.broadcast(keys) if few else keys, ["doc", "th"]).select("k", "text")
+        # Rows may be copies; the text that made the key counts once.
         return self.scratch.table(map_arrow(texts, _fragments(self.order), "k bigint, f int, s array<bigint>").dropDuplicates(["k", "f"]), "sets")
 
     def _across(self, live: DataFrame) -> DataFrame:

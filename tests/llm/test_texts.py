@@ -482,3 +482,39 @@ def test_scanner_against_brute_force():
         runs, who = decontamination.Scanner([(i, t.encode()) for i, t in bench], 5).hits(decontamination.words_of(joined.encode()))
         _, hit, n_items, *_ = decontamination.brute(joined, bench, 5)
         assert (sum(b - a for a, b in runs), len(who)) == (hit, n_items) and all(x[1] < y[0] for x, y in zip(runs, runs[1:]))
+
+
+def test_rows_that_share_an_id_keep_their_own_bytes(spark):
+    """Thousands of rows without an id: a repeat inside one of them takes no byte of another."""
+    import random
+
+    from rankloom.llm import substring_dedup
+
+    rng = random.Random(21)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage = word(150)
+    rows = [(None, word(rng.randint(120, 350))) for _ in range(3000)] + [(None, passage + word(51) + passage), (7, word(200)), (7, word(200) + passage)]
+    got = substring_dedup.remove_repeats(tables.documents(spark, rows)).collect()
+    cut = sorted((r["n_bytes"], r["n_removed"], r["n_spans"]) for r in got if r["n_removed"])
+    assert len(got) == len(rows) and cut == [(350, 150, 1), (351, 150, 1)]
+
+
+def test_chains_of_escapes_take_linear_time_and_odd_bytes_lose_nothing():
+    import time
+
+    from rankloom.llm import secret_scan
+
+    secret, began = 'password = "hunter2hunter2"', time.perf_counter()
+    for text in ("%" + "25" * 150_000 + "41 ", "\\" + "u005c" * 100_000 + "u0041 ", "&" + "#38;" * 100_000 + "#65; "):
+        base, every, _ = secret_scan.scan_text(text + secret)
+        assert ("assign", len(text), len(text) + len(secret) - 1) in every and set(base) <= set(every)
+    assert time.perf_counter() - began < 60
+    run = "".join(f"%{b:02x}" for b in secret.encode())
+    for before in ("%ff", "%e9", "%c3%28", ""):
+        for deeper in range(4):
+            hidden = (before + run).replace("%", "%" + "25" * deeper)
+            assert [s[0] for s in secret_scan.scan_text(hidden)[1]] == ["assign"], (before, deeper)
+    assert [s[0] for s in secret_scan.scan_text("\\u005cu005cu0070assword=hunter2hunter2")[1]] == ["assign"]
+    assert [s[0] for s in secret_scan.scan_text("&#38;#112;assword=hunter2hunter2")[1]] == ["assign"]
+    # Kinds in turns: URL escapes of Unicode escapes of URL escapes.
+    assert [s[0] for s in secret_scan.scan_text("%5cu0025" + "70assword=hunter2hunter2")[1]] == ["assign"]
