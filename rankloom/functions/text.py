@@ -63,9 +63,12 @@ def header_key(c: Column) -> Column:
     return F.regexp_replace(folded(c, True), "[^a-z0-9]+", "")
 
 
+# Letters that a wrong code page has put in place of accented vowels, and these.
+WRONG_LETTERS, RIGHT_LETTERS = "ŔČŇŮ", "ÀÈÒÚ"
+
+
 def repaired(c: Column) -> Column:
-    """Letters that a wrong code page has put in place of accented vowels."""
-    return F.translate(c, "ŔČŇŮ", "ÀÈÒÙ".replace("Ù", "Ú"))
+    return F.translate(c, WRONG_LETTERS, RIGHT_LETTERS)
 
 
 def official_name(c: Column) -> Column:

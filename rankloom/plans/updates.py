@@ -567,3 +567,53 @@ def fill_one_key(spark, sf_dir):
     """The last purchase up to each event, over the whole table in one order."""
     ev = _t(spark, sf_dir, "events").select("event_id", "ts", F.lit(1).alias("k"), F.when(F.col("event_type") == "purchase", F.col("event_id")).alias("purchase_id"))
     return windows.forward_fill(ev, ["k"], ["ts", "event_id"], "purchase_id", spread=True).select("event_id", F.coalesce("purchase_id", F.lit(-1)).alias("purchase_id"))
+
+
+_CRAWL = "o_custkey AS page, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS place, o_orderkey % (SELECT max(o_custkey) FROM orders) AS url, o_orderpriority AS text, CASE WHEN o_orderstatus = 'F' THEN left(o_orderpriority, 1) END AS own, o_orderkey % 3 > 0 AS follows"
+
+
+@entry(f"""
+WITH RECURSIVE e AS (SELECT {_CRAWL} FROM orders),
+walk AS (
+  SELECT 1::BIGINT AS url, [0::BIGINT] AS path, NULL::VARCHAR AS label, 0 AS depth
+  UNION ALL
+  SELECT url, path, label, depth FROM (
+    SELECT e.url, list_append(walk.path, e.place) AS path, coalesce(e.own, walk.label) AS label, walk.depth + 1 AS depth, row_number() OVER (PARTITION BY e.url ORDER BY list_append(walk.path, e.place)) AS k
+    FROM walk JOIN e ON e.page = walk.url AND e.follows WHERE walk.depth < 4
+  ) WHERE k = 1
+),
+seen AS (SELECT url, depth, path, label FROM walk QUALIFY row_number() OVER (PARTITION BY url ORDER BY depth, path) = 1),
+pages AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY depth, path) AS nth FROM seen) WHERE nth <= 30)
+SELECT e.page::BIGINT AS page, e.place::INT AS place, e.url::BIGINT AS url, coalesce(own, label) AS label, depth::INT AS depth, nth::INT AS nth
+FROM pages JOIN e ON e.page = pages.url AND NOT follows WHERE coalesce(own, label) IS NOT NULL
+""")
+def crawl_documents(spark, sf_dir):
+    """Customers as pages, their orders as links to other customers or (one in three) to documents; what an order names
+    goes to the pages and documents behind it."""
+    from pyspark.sql import Window as W
+
+    c, o = F.col, _t(spark, sf_dir, "orders")
+    pages = o.agg(F.max("o_custkey").alias("m"))  # one row
+    place = F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey"))
+    links = o.join(F.broadcast(pages)).select(c("o_custkey").alias("page"), place.alias("place"), (c("o_orderkey") % c("m")).alias("url"), c("o_orderpriority").alias("text"), "o_orderstatus", (c("o_orderkey") % 3).alias("kind"))
+    links = links.withColumn("text", F.concat_ws("|", "text", "o_orderstatus", "kind"))
+    parts = F.split("text", "[|]")
+    own = F.when(parts[1] == "F", F.substring(parts[0], 1, 1))
+    roots = spark.range(1).select(F.lit(1).cast("long").alias("url"))
+    visited, documents = html.crawl_documents(links, roots, own, parts[2] != "0", parts[2] == "0", 30)
+    nth = visited.select(F.col("url").alias("page"), "depth", "nth")
+    return documents.join(nth, "page").select("page", "place", "url", "label", "depth", "nth")
+
+
+@entry("""
+WITH c AS (SELECT c_custkey // 40 AS page, c_custkey % 40 AS n, c_name, c_mktsegment, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'no ' || c_nationkey END AS third FROM customer)
+SELECT page::BIGINT AS page, (row_number() OVER (PARTITION BY page ORDER BY n) - 1)::INT AS row, c_name || '|' || c_mktsegment || CASE WHEN max(third) OVER (PARTITION BY page) = '' THEN '' ELSE '|' || third END AS cells FROM c
+""")
+def cell_grids(spark, sf_dir):
+    """Customers set as tables of forty rows a page: words with places go in, rows of cells come out."""
+    c = F.col
+    page, top = F.floor(c("c_custkey") / 40).alias("page"), (F.lit(80.0) + 12 * (c("c_custkey") % 40))
+    word = lambda text, x0, down=0.0: F.struct(text.alias("text"), F.lit(float(x0)).alias("x0"), (F.lit(float(x0)) + 5 * F.length(text)).alias("x1"), (top + down).alias("top"))
+    third = F.when(c("c_custkey") % 3 != 0, F.array(word(c("c_nationkey").cast("string"), 330, 0.8), word(F.lit("no"), 315))).otherwise(F.array())
+    words = _t(spark, sf_dir, "customer").select(page, F.explode(F.concat(F.array(word(c("c_name"), 40, 0.4), word(c("c_mktsegment"), 200)), third)).alias("w")).select("page", "w.*")
+    return lines.cell_grid(words, ["page"]).select("page", F.posexplode("cells").alias("row", "c")).select("page", "row", F.array_join("c", "|").alias("cells"))

@@ -8,6 +8,7 @@ from urllib.parse import urldefrag, urljoin
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..scratch import Scratch
@@ -83,3 +84,36 @@ def crawl(edges: DataFrame, roots: DataFrame, most: int = 30) -> DataFrame:
             break
         seen, level, n = seen.unionByName(new), new, n + got
     return seen
+
+
+def crawl_documents(links: DataFrame, roots: DataFrame, label: Column, follows: Column, is_document: Column, most: int = 30) -> tuple[DataFrame, DataFrame]:
+    """Pages in the order in which a queue visits them, at most `most`, and the documents that they link to.
+
+    links: page, place, url, text (as page_links gives them). roots: url. label says what a link's text or url names
+    (null if nothing), and a link without one takes its page's label; the first link to a page decides. follows and
+    is_document are conditions on a link. Pages: url, nth (from 1), depth, label. Documents: page, place, url, text,
+    label (never null), as often as visited pages link to them.
+
+    A level of the search is one join from its pages; a level's pages are numbered by their first link (the linking
+    page's number, then place), which is the queue's order. Levels end at the bound or when nothing new is reached."""
+    scratch = Scratch(links.sparkSession, "crawl")
+    marked = links.select("page", "place", "url", "text", label.alias("__label"), follows.alias("__follows"), is_document.alias("__is_document"))
+    first = W.partitionBy("url").orderBy("__parent", "place")
+    numbered = W.orderBy("__parent", "place", "url")
+    # One row for each page of a level, which the bound keeps few.
+    level = roots.select("url").distinct().withColumn("nth", F.row_number().over(W.orderBy("url"))).filter(F.col("nth") <= most)
+    level = scratch.table(level.select("url", "nth", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("label")), "level")
+    seen, n, depth = level, level.count(), 0
+    while n < most:
+        depth += 1
+        reached = marked.filter("__follows").join(level.select(F.col("url").alias("page"), F.col("nth").alias("__parent"), F.col("label").alias("__from")), "page")
+        fresh = reached.join(seen.select("url"), "url", "left_anti").withColumn("__k", F.row_number().over(first)).filter("__k = 1")
+        placed = fresh.select("url", (F.row_number().over(numbered) + n).alias("nth"), F.lit(depth).alias("depth"), F.coalesce("__label", "__from").alias("label"))
+        level = scratch.table(placed.filter(F.col("nth") <= most), "level")
+        got = level.count()
+        if not got:
+            break
+        seen, n = seen.unionByName(level), n + got
+    found = marked.filter("__is_document").join(seen.select(F.col("url").alias("page"), F.col("label").alias("__from")), "page")
+    documents = found.withColumn("label", F.coalesce("__label", "__from")).filter("label is not null")
+    return seen, documents.select("page", "place", "url", "text", "label")

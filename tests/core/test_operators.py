@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -229,6 +230,58 @@ def test_accreditations(spark):
     table = [["Apellido1", "Apellido2", "Nombre", "Idioma", "Nivel", "Motivos Exclusión"], ["UNO", "DOS", "ANA", "Inglés", "b2", ""], ["TRES", None, "EVA", "Francés", "B2", ""], ["SEIS", "", "IU", "Anglès", "C1", "x"], ["OCHO", "", "PAU", "Anglès", "A2", ""]]
     df = spark.createDataFrame([(table,)], "t array<array<string>>")
     assert rows(lines.accreditation_rows(df, "t")) == [("UNO DOS, ANA", "B2")]
+    # The header may follow a title, its cells may say more, a level may be punctuated; short rows and tables without a header give nothing.
+    other = [["Llistat"], ["1. Apellido1", "Nombre / Nom", "Idioma", "Nivel", "Apellido2"], ["NEU", "IVO\nJAN", "English", "C-1.", "RIU"], ["", "EVA", "Anglès", "C2", "SOL"], ["CURT", "X"], ["", "SENSE", "Anglès", "C2", ""]]
+    more = spark.createDataFrame([(other,), ([["Nombre"], ["x"]],), ([],), (None,)], "t array<array<string>>")
+    assert rows(lines.accreditation_rows(more, "t")) == [("NEU RIU, IVO JAN", "C1"), ("SOL, EVA", "C2")]
+
+
+def test_cell_grid_gives_back_the_table(spark):
+    """Boxes of a table's words, in any order, form the arrays that accreditation rows are read from."""
+    table = [["Apellido1", "Apellido2", "Nombre", "Idioma", "Nivel"], ["UNO", "DEL RIO", "ANA MARIA", "Inglés", "B2"], ["TRES", "", "EVA", "Anglès", "C1"], ["", "", "", "Francés", "C1"]]
+    words = [(p, w, 40.0 + 110 * j + 40 * k, 40.0 + 110 * j + 40 * k + 5 * len(w), 50.0 + 14 * i + 0.5 * (j % 3)) for p in (1, 2) for i, row in enumerate(table) for j, cell in enumerate(row) for k, w in enumerate(cell.split())]
+    random.Random(1).shuffle(words)
+    df = spark.createDataFrame(words, "page int, text string, x0 double, x1 double, top double").repartition(3)
+    grid = lines.cell_grid(df, ["page"], column_gap=20)
+    assert [[list(r) for r in x["cells"]] for x in grid.orderBy("page").collect()] == [table, table]
+    assert rows(lines.accreditation_rows(grid, "cells").distinct()) == [("TRES, EVA", "C1"), ("UNO DEL RIO, ANA MARIA", "B2")]
+    assert lines.cell_grid(df.limit(0), ["page"]).count() == 0
+
+
+def test_envelope_written_in_parts(spark, tmp_path):
+    df = spark.range(20_000).select(F.pmod(F.xxhash64("id"), F.lit(10**6)).alias("k"), "id", F.when(F.col("id") % 7 != 0, F.concat(F.lit('q"ü,'), "id")).alias("v")).repartition(5)
+    path = str(tmp_path / "out.json")
+    for _ in range(2):  # a second run replaces the file
+        tables.write_envelope(df, path, "fields", "items", ["k", F.col("id").desc()], {"v": 1})
+    got = json.load(open(path, encoding="utf-8"))
+    assert got["v"] == 1 and got["fields"] == ["k", "id", "v"]
+    assert got["items"] == sorted(([r["k"], r["id"], r["v"]] for r in df.collect()), key=lambda r: (r[0], -r[1]))
+    tables.write_envelope(df.limit(0), path, "fields", "items", ["k"])
+    assert json.load(open(path))["items"] == [] and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["out.json"]
+
+
+def test_crawl_hands_labels_down_in_the_order_of_a_queue(spark):
+    from collections import deque
+
+    rng = random.Random(5)
+    links = [(f"p{i}", j, f"p{rng.randrange(40)}" if rng.random() < 0.6 else f"d{rng.randrange(60)}", rng.choice(["", "", "north", "south"])) for i in range(40) for j in range(rng.randint(0, 5))]
+    pending, seen, docs = deque([("p0", None)]), {}, []
+    while pending and len(seen) < 12:
+        page, label = pending.popleft()
+        if page in seen:
+            continue
+        seen[page] = (len(seen) + 1, label)
+        for p, place, url, text in sorted(x for x in links if x[0] == page):
+            own = text or label
+            if url.startswith("p"):
+                pending.append((url, own))
+            elif own:
+                docs.append((p, place, url, text, own))
+    df = spark.createDataFrame(links, "page string, place int, url string, text string")
+    label = F.nullif(F.col("text"), F.lit(""))
+    pages, found = html.crawl_documents(df, spark.createDataFrame([("p0",)], "url string"), label, F.col("url").startswith("p"), F.col("url").startswith("d"), 12)
+    assert {r["url"]: (r["nth"], r["label"]) for r in pages.collect()} == seen
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(docs, key=str) and len(docs) > 3
 
 
 def test_files(spark, tmp_path):
