@@ -617,3 +617,36 @@ def cell_grids(spark, sf_dir):
     third = F.when(c("c_custkey") % 3 != 0, F.array(word(c("c_nationkey").cast("string"), 330, 0.8), word(F.lit("no"), 315))).otherwise(F.array())
     words = _t(spark, sf_dir, "customer").select(page, F.explode(F.concat(F.array(word(c("c_name"), 40, 0.4), word(c("c_mktsegment"), 200)), third)).alias("w")).select("page", "w.*")
     return lines.cell_grid(words, ["page"]).select("page", F.posexplode("cells").alias("row", "c")).select("page", "row", F.array_join("c", "|").alias("cells"))
+
+
+@entry("""
+WITH o AS (SELECT c_custkey, o_orderkey, 'q' || quarter(o_orderdate) AS doc, max(o_orderdate::DATE) OVER (PARTITION BY quarter(o_orderdate)) AS day,
+                  CASE o_orderkey % 9 WHEN c_custkey % 7 THEN 0 WHEN c_custkey % 7 + 1 THEN 1 END AS exact
+           FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= TIMESTAMP '1996-07-01' AND o_orderdate < TIMESTAMP '1997-07-01'),
+b AS (SELECT *, coalesce(bool_or(exact = 0) OVER before, false) AS had0, coalesce(bool_or(exact = 1) OVER before, false) AS had1 FROM o
+      WINDOW before AS (PARTITION BY c_custkey ORDER BY day RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING)),
+r AS (SELECT *, coalesce(exact, CASE WHEN had0 AND NOT had1 THEN 0 WHEN had1 AND NOT had0 THEN 1 END) AS position FROM b)
+SELECT c_custkey::INT AS person_index, position::INT AS position_index, (c_custkey % 7 + position)::INT AS after_order, day::VARCHAR AS published_date, doc AS source_url, o_orderkey::VARCHAR AS workload
+FROM r WHERE position IS NOT NULL QUALIFY row_number() OVER (PARTITION BY c_custkey, position ORDER BY day DESC, o_orderkey) = 1
+""")
+def assignments_through_course(spark, sf_dir):
+    """Orders as awards in four documents of a course. A customer has two profiles of one name: the order that an award
+    names tells them apart, and later awards that name none go to the one profile that had one before."""
+    from pyspark.sql import Window as W
+
+    from ..pipelines import assignments
+
+    c, quarter = F.col, F.concat(F.lit("q"), F.quarter("o_orderdate"))
+    customers = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    o = _t(spark, sf_dir, "orders").join(customers.select(c("c_custkey").alias("o_custkey"), "c_name"), "o_custkey").withColumn("url", quarter)
+    in_year = F.to_date("o_orderdate").between("1996-07-01", "1997-06-30")
+    day = F.when(in_year, F.date_format(F.max(F.when(in_year, F.to_date("o_orderdate"))).over(W.partitionBy("url")), "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    awards = o.select(
+        "url", F.sha2("url", 256).alias("sha256"), day.alias("published_date"), c("o_orderkey").alias("seq"), (c("o_orderkey") % 9).cast("int").alias("cut"), c("c_name").alias("candidate_name"), F.lit("03000001").alias("center_code"),
+        F.lit("3A1").alias("specialty_code"), F.lit("S").alias("specialty_name"), F.lit("C").alias("center_name"), F.lit("L").alias("locality"), F.lit("secundaria").alias("body"), F.lit("vacante").alias("placement_type"),
+        F.lit(False).alias("english_requirement"), c("o_orderkey").cast("string").alias("workload"), F.lit(False).alias("itinerant"),
+    )
+    two = customers.select(c("c_custkey").cast("int").alias("person_index"), F.explode(F.array(F.lit(0), F.lit(1))).alias("position_index"), c("c_name").alias("official_name"))
+    profiles = two.select("*", F.lit("3A1").alias("specialty_code"), F.lit("secundaria").alias("body"), (c("person_index") % 7 + c("position_index")).cast("int").alias("after_order"), F.lit(None).cast("int").alias("initial_order"))
+    out = assignments.run(spark.createDataFrame([], assignments.ASSIGNMENTS), spark.createDataFrame([], assignments.SKIPPED), awards, profiles, "1996-1997", "1996-1997", "curso")
+    return out["state"].select("person_index", "position_index", "after_order", "published_date", "source_url", "workload")

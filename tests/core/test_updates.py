@@ -306,3 +306,41 @@ def test_documents_without_a_date_belong_to_today(spark, mode, table):
     odd = spark.createDataFrame([("a", None), ("b", "2025-2026"), ("c", "2024-2025")], "k string, p string")
     assert rows(merge.reset_period(odd, odd.limit(0), "p").select("k")) == [("a",), ("b",)]
     assert merge.reset_period(odd.filter("p is null"), odd.limit(0), "p").count() == 1
+
+
+def test_assignments_are_kept_through_the_course(spark):
+    from rankloom.pipelines import assignments
+
+    profiles = spark.createDataFrame(
+        [(1, 0, "PÉREZ GIL, ANA", "126", "maestros", 5, 2), (2, 0, "RUIZ, EVA", "126", "maestros", None, 3), (3, 0, "SANZ, PAU", "3A1", "secundaria", 8, 4), (4, 0, "SANZ, PAU", "3A1", "secundaria", 9, 6), (5, 0, "DE LA O, IU", "3A1", "secundaria", 11, 7)],
+        "person_index int, position_index int, official_name string, specialty_code string, body string, after_order int, initial_order int",
+    )
+    none = (spark.createDataFrame([], schemas.ASSIGNMENTS), spark.createDataFrame([], assignments.SKIPPED))
+    go = lambda state, skipped, data, year, mode: assignments.run(state, skipped, awards(spark, *data), profiles, "2026-2027", year, mode)
+    # Before a start of the year the course waits.
+    early = go(*none, [award("c0", "2026-10-01", 5, name="Pérez Gil, Ana")], "2025-2026", "curso")
+    assert early["state"].count() == 0 and early["state_year"] == "2025-2026"
+    start = [
+        award("m", "2026-07-20", 5, seq=1, name="Pérez Gil, Ana"), award("m", "2026-07-20", 6, seq=2, name="RUIZ, EVA"), award("m", "2026-07-20", 6, seq=3, name="Ruiz, Eva"), award("m", "2026-07-20", 7, seq=4, name="Nobody, X"),
+        award("m", "2026-07-20", 1, seq=5, code="", name="A, B"), award("m", "2026-07-20", 1, seq=6, centre="99000001", name="A, B"), award("old", "2025-07-20", 1, seq=1, name="RUIZ, EVA"), award("un", None, 1, seq=1),
+        award("s", "2026-07-21", 8, seq=1, code="3A1", body="secundaria", name="Sanz, Pau"),
+    ]
+    first = go(*none, start, None, "inicio")
+    view = lambda out: rows(out["state"].select("person_index", "after_order", "initial_order", "source_url", "mode"))
+    assert view(first) == [(-1, 7, None, "m", "inicio"), (1, 5, 2, "m", "inicio"), (2, 6, 3, "m", "inicio"), (3, 8, 4, "s", "inicio")] and first["state_year"] == "2026-2027"
+    assert rows(first["skipped"]) == [("inicio", "maestros", r, 1) for r in ("duplicate_assignment", "initial_position_without_profile", "unknown_province", "without_specialty")]
+    course = [
+        award("c2", "2026-11-01", 99, seq=1, code="3A1", body="secundaria", name="Sanz, Pau"), award("c1", "2026-10-01", 9, seq=1, code="3A1", body="secundaria", name="SANZ, PAU", centre="46000009"),
+        award("c3", "2026-12-01", 3, seq=1, code="3A1", body="secundaria", name="Delao, Iu"), award("c3", "2026-12-01", 3, seq=2, name="Nobody, X", code="3A1", body="secundaria"),
+    ]
+    second = go(first["state"], first["skipped"], course, "2026-2027", "curso")
+    # c1 names the order of the second profile; by then both have one, so c2 is open; c3's name agrees without blanks.
+    assert view(second) == [(-1, 7, None, "m", "inicio"), (1, 5, 2, "m", "inicio"), (2, 6, 3, "m", "inicio"), (3, 8, 4, "s", "inicio"), (4, 9, 6, "c1", "curso"), (5, 11, 7, "c3", "curso")]
+    assert [r for r in rows(second["skipped"]) if r[0] == "curso"] == [("curso", "secundaria", "without_unique_profile", 1)]
+    # One earlier assignment settles a name that is open; an older document doesn't replace it, a corrected start does.
+    third = go(first["state"], first["skipped"], [award("c2", "2026-11-01", 99, seq=1, code="3A1", body="secundaria", name="Sanz, Pau")], "2026-2027", "curso")
+    assert view(third)[3] == (3, 8, 4, "c2", "curso")
+    fourth = go(third["state"], third["skipped"], [award("c9", "2026-09-01", 98, seq=1, code="3A1", body="secundaria", name="Sanz, Pau")], "2026-2027", "curso")
+    assert view(fourth)[3] == (3, 8, 4, "c2", "curso")
+    fifth = go(fourth["state"], fourth["skipped"], [award("s2", "2026-12-20", 9, seq=1, code="3A1", body="secundaria", name="Sanz, Pau")], "2026-2027", "inicio")
+    assert [r for r in view(fifth) if r[0] > 2] == [(4, 9, 6, "s2", "inicio")]
