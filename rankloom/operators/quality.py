@@ -101,6 +101,23 @@ def offer_payload_rules(target_year: Column, fields: list[str]) -> dict[str, Col
     }
 
 
+def offer_snapshot_violations(heads: DataFrame, items: DataFrame, target_year: Column, fields: list[str]) -> DataFrame:
+    """rule, key (sha256) of snapshots that break the rules of offer_payload_rules, with items as rows, so that no row
+    holds a snapshot. heads: sha256, dataset, update_mode, academic_year, status, publication_date, item_fields. items:
+    sha256, item (array<string>). Items are counted in each task before they meet their head."""
+    empty = heads.withColumn("items", F.array(F.array(F.lit(""))))
+    of_items = ("items", "whole_items", "distinct_orders", "centre_codes", "placements")
+    plain = {n: ok for n, ok in offer_payload_rules(target_year, fields).items() if n not in of_items}
+    bad = lambda test: F.count_if(~F.coalesce(test, F.lit(False)))
+    cell = lambda i: F.coalesce(F.get("item", F.lit(i)), F.lit(""))
+    # Orders are counted apart; a null order counts as one of its own, as in an array.
+    orders = items.groupBy("sha256", F.get("item", F.lit(0)).alias("o")).agg(F.count("*").alias("n")).groupBy("sha256").agg(F.max("n").alias("most"))
+    counted = items.groupBy("sha256").agg(F.count("*").alias("n"), bad(F.size("item") == len(fields)).alias("short"), bad(cell(5).rlike(CODE)).alias("codes"), bad(cell(12).isin(*PLACEMENTS)).alias("kinds")).join(orders, "sha256")
+    joined = empty.join(counted.select("sha256", *[F.col(c).alias(f"__{c}") for c in ("n", "short", "most", "codes", "kinds")]), "sha256", "left")
+    none = F.col("__n").isNull()
+    return violations(joined, "sha256", plain | {"items": ~none, "whole_items": none | (F.col("__short") == 0), "distinct_orders": none | (F.col("__most") == 1), "centre_codes": none | (F.col("__codes") == 0), "placements": none | (F.col("__kinds") == 0)})
+
+
 def document_rules(items: DataFrame, document: str, order: str, date: str) -> DataFrame:
     """rule, key for documents with an order number given twice or without a date. Documents without items have no row
     here; see documents_without."""

@@ -35,3 +35,12 @@ def update(state: DataFrame, payloads: DataFrame, target_year: str) -> DataFrame
     a new year without one empties it."""
     items = item_rows(valid_payloads(payloads, target_year))
     return merge.snapshot_for_year(state, items.select(*state.columns), "academic_year", "publication_date", "sha256", target_year)
+
+
+def update_from_items(state: DataFrame, heads: DataFrame, items: DataFrame, target_year: str) -> DataFrame:
+    """As update, for snapshots whose items are rows (sha256, item); see quality.offer_snapshot_violations."""
+    broken = quality.offer_snapshot_violations(heads, items, F.lit(target_year), names_of(OFFERS)).select(F.col("key").alias("sha256")).distinct()
+    valid = heads.join(broken, "sha256", "left_anti").select("sha256", "academic_year", "publication_date")
+    rows = items.join(valid, "sha256").select(F.struct("academic_year", "publication_date", "sha256").alias("__k"), "item")
+    typed = positional(rows, "item", names_of(OFFERS), OFFERS, keep=["__k"]).select("__k.*", *names_of(OFFERS))
+    return merge.snapshot_for_year(state, typed.select(*state.columns), "academic_year", "publication_date", "sha256", target_year)

@@ -650,3 +650,64 @@ def assignments_through_course(spark, sf_dir):
     profiles = two.select("*", F.lit("3A1").alias("specialty_code"), F.lit("secundaria").alias("body"), (c("person_index") % 7 + c("position_index")).cast("int").alias("after_order"), F.lit(None).cast("int").alias("initial_order"))
     out = assignments.run(spark.createDataFrame([], assignments.ASSIGNMENTS), spark.createDataFrame([], assignments.SKIPPED), awards, profiles, "1996-1997", "1996-1997", "curso")
     return out["state"].select("person_index", "position_index", "after_order", "published_date", "source_url", "workload")
+
+
+def _snapshots(spark, sf_dir):
+    """Monthly snapshots: heads, some of which break a rule, and their items as rows; the last month of 1997 has none."""
+    from ..functions.calendar import school_year
+
+    c, names = F.col, names_of(OFFERS)
+    o = _t(spark, sf_dir, "orders").withColumn("month", F.trunc("o_orderdate", "month")).withColumn("sha256", F.sha2(c("month").cast("string"), 256)).withColumn("m", F.month("month"))
+    heads = o.groupBy("month", "sha256", "m").agg(F.lit(1).alias("one")).select(
+        "sha256", F.when(c("m") == 3, "other").otherwise(quality.OFFER_DATASET).alias("dataset"), F.lit(quality.OFFER_MODE).alias("update_mode"), school_year(c("month")).alias("academic_year"),
+        F.when(c("m") == 4, "draft").otherwise(quality.OFFER_STATUS).alias("status"), F.when(c("m") == 5, "soon").otherwise(c("month").cast("string")).alias("publication_date"),
+        F.when(c("m") == 6, F.array(F.lit("x"))).otherwise(F.array(*map(F.lit, names))).alias("item_fields"), "month",
+    )
+    order = F.when((c("m") == 8) & (c("o_orderkey") % 2 == 0), "1").otherwise(c("o_orderkey").cast("string"))
+    item = {"offer_order": order, "center_code": F.when((c("m") == 9) & (c("o_custkey") % 50 == 0), "x").otherwise(F.lpad(c("o_custkey").cast("string"), 8, "0")), "placement_type": F.when((c("m") == 10) & (c("o_custkey") % 50 == 0), "?").otherwise("vacante")}
+    cells = F.array(*[item.get(n, F.lit("")) for n in names])
+    items = o.filter("month <> date'1997-12-01'").select("sha256", F.when((c("m") == 11) & (c("o_custkey") % 50 == 0), F.slice(cells, 1, len(names) - 1)).otherwise(cells).alias("item"))
+    return heads, items
+
+
+_SNAPSHOTS = """
+WITH o AS (SELECT date_trunc('month', o_orderdate)::DATE AS month, month(o_orderdate) AS m, o_orderkey, o_custkey, o_custkey % 50 = 0 AS odd, o_orderkey % 2 = 0 AS even FROM orders),
+h AS (SELECT month, m, CASE WHEN m >= 7 THEN year(month) ELSE year(month) - 1 END AS y, bool_or(odd) AS odd, sum(even::INT) AS evens, count_if(NOT even AND o_orderkey = 1) AS ones FROM o GROUP BY ALL),
+broken AS (
+  SELECT 'year' AS rule, month FROM h WHERE y <> 1997 UNION ALL SELECT 'dataset', month FROM h WHERE m = 3 UNION ALL SELECT 'status', month FROM h WHERE m = 4 UNION ALL SELECT 'date', month FROM h WHERE m = 5 UNION ALL SELECT 'fields', month FROM h WHERE m = 6
+  UNION ALL SELECT 'items', month FROM h WHERE month = DATE '1997-12-01' UNION ALL SELECT 'distinct_orders', month FROM h WHERE m = 8 AND evens + ones > 1 UNION ALL SELECT 'centre_codes', month FROM h WHERE m = 9 AND odd
+  UNION ALL SELECT 'placements', month FROM h WHERE m IN (10, 11) AND odd UNION ALL SELECT 'whole_items', month FROM h WHERE m = 11 AND odd
+)
+"""
+
+
+@entry(_SNAPSHOTS + "SELECT rule, sha256(month::VARCHAR) AS key FROM broken")
+def offer_payload_gate(spark, sf_dir):
+    """Rules that monthly snapshots break, their items checked as rows."""
+    heads, items = _snapshots(spark, sf_dir)
+    return quality.offer_snapshot_violations(heads.drop("month"), items, F.lit("1997-1998"), names_of(OFFERS))
+
+
+@entry(_SNAPSHOTS + """, newest AS (SELECT max(month) AS month FROM h WHERE month NOT IN (SELECT month FROM broken))
+SELECT o_orderkey::INT AS offer_order, lpad(o_custkey::VARCHAR, 8, '0') AS center_code FROM o JOIN newest USING (month)""")
+def offers_update_rows(spark, sf_dir):
+    """The newest valid snapshot of the year replaces the state of the year before, item by item."""
+    heads, items = _snapshots(spark, sf_dir)
+    state = spark.createDataFrame([], "academic_year string, publication_date string, sha256 string, " + OFFERS)
+    return offers.update_from_items(state, heads.drop("month"), items, "1997-1998").select("offer_order", "center_code")
+
+
+@entry("""
+SELECT o_orderkey, (o_orderkey % 90000 + 1)::INT AS cut, CASE WHEN o_orderstatus = 'F' THEN '2B1' ELSE '3A1' END AS specialty_code, 'PAGE NAME' AS specialty_name, o_custkey % 3 = 0 AS itinerant
+FROM orders WHERE CASE WHEN o_orderstatus = 'F' THEN '2B1' ELSE '3A1' END = CASE WHEN o_custkey % 4 = 0 THEN '2B1' WHEN o_custkey % 4 < 3 THEN '3A1' END
+""")
+def award_blocks_of_pages(spark, sf_dir):
+    """Awards of the other bodies count where the page's specialty is the awarded one; its name is the page's."""
+    c = F.col
+    rows = F.array(
+        F.concat((c("o_orderkey") % 90000 + 1).cast("string"), F.lit(" PERSON "), c("o_custkey"), F.lit(", ANA")), F.lit("921979 TOWN(03000001)SCHOOL"),
+        F.concat(F.when(c("o_orderstatus") == "F", "2B1").otherwise("3A1"), F.lit(" / OWN NAME")), F.concat_ws(" ", F.lit("Adjudicat VACANT"), F.when(c("o_custkey") % 3 == 0, "Itinerant")),
+    )
+    page = F.when(c("o_custkey") % 4 == 0, "2B1").when(c("o_custkey") % 4 < 3, "3A1")
+    made = _t(spark, sf_dir, "orders").select("o_orderkey", rows.alias("lines"), F.lit("secundaria").alias("body"), F.when(page.isNotNull(), F.struct(page.alias("code"), F.lit("PAGE NAME").alias("name"))).alias("page_specialty"))
+    return blocks.awards(made).filter("award is not null").select("o_orderkey", *[f"award.{x}" for x in ("cut", "specialty_code", "specialty_name", "itinerant")])

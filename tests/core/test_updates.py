@@ -344,3 +344,16 @@ def test_assignments_are_kept_through_the_course(spark):
     assert view(fourth)[3] == (3, 8, 4, "c2", "curso")
     fifth = go(fourth["state"], fourth["skipped"], [award("s2", "2026-12-20", 9, seq=1, code="3A1", body="secundaria", name="Sanz, Pau")], "2026-2027", "inicio")
     assert [r for r in view(fifth) if r[0] > 2] == [(4, 9, 6, "s2", "inicio")]
+
+
+def test_snapshots_by_rows_break_the_same_rules_as_in_one_row(spark):
+    names = schemas.names_of(schemas.OFFERS)
+    item = lambda order="1", code="03000001", kind="vacante", cells=13: ([order] + [""] * 4 + [code] + [""] * 6 + [kind])[:cells]
+    lists = {"a": [item(), item("2")], "b": [item(), item()], "c": [item(code="x")], "d": [item(kind="")], "e": [item(cells=12)], "f": [], "g": [item(None), item(None)], "h": [item(code=None)], "i": [item()], "j": [item()]}
+    head = lambda k: (k, quality.OFFER_DATASET, quality.OFFER_MODE, "2025-2026" if k == "i" else "2026-2027", quality.OFFER_STATUS, None if k == "j" else "2026-09-01", names)
+    schema = "sha256 string, dataset string, update_mode string, academic_year string, status string, publication_date string, item_fields array<string>"
+    heads = spark.createDataFrame([head(k) for k in lists], schema)
+    whole = spark.createDataFrame([(*head(k), v) for k, v in lists.items()], schema + ", items array<array<string>>")
+    items = spark.createDataFrame([(k, x) for k, v in lists.items() for x in v], "sha256 string, item array<string>")
+    got = rows(quality.offer_snapshot_violations(heads, items, F.lit("2026-2027"), names))
+    assert got == rows(offers.broken_payloads(whole, "2026-2027")) and len({k for _, k in got}) == 9
