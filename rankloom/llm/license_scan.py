@@ -7,13 +7,15 @@ table of known sentences (a bounded literal), and a rule's match is a run in whi
 
 Defined cases: null and empty texts have no sentences. Unrecognised sentences between recognised ones do not break a
 match. Rows alike in doc_id and text count as one document, rows that share doc_id only are scanned apart and their
-matches all returned. A line is a sentence, and so is what runs over line ends inside a paragraph (hard-wrapped texts);
+matches all returned. An expression of SPDX identifiers gives each of them, at one place; what follows WITH is no
+licence. A colon ends a sentence only where a list of terms begins. A line is a sentence, and so is what runs over line ends inside a paragraph (hard-wrapped texts);
 places count lines. OP1_SQL says the first only, so it holds where no known sentence is wrapped. Longer rules do not hide shorter ones. An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import reduce
 from operator import or_
 
@@ -135,29 +137,82 @@ RULES = [
     ("reserved-line", "Proprietary", ["reserved"]),
 ]
 
-#: A sentence ends at a line's end, or after one of these and white space.
-ENDS, SPACE = "[.!?;]", r"[\x20\x09-\x0D]"
+# Names of public licences in notices, by identifier, and identifiers without a rule of their own above.
+NAMES = {
+    "MIT": ["MIT License", "MIT Licence", "Expat License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0 License"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GNU General Public License v2.0", "GNU GPL v2", "GPLv2"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GNU General Public License v3.0", "GNU GPL v3", "GPLv3"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1", "LGPLv2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0", "LGPLv3"],
+    "AGPL-3.0": ["GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0", "AGPLv3"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"],
+    "ISC": ["ISC License"],
+    "Zlib": ["zlib License"],
+    "BSL-1.0": ["Boost Software License, Version 1.0", "Boost Software License 1.0"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "MPL 2.0"],
+    "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License v2.0"],
+    "EUPL-1.2": ["European Union Public Licence 1.2", "EUPL 1.2"],
+    "Artistic-2.0": ["Artistic License 2.0"],
+    "OFL-1.1": ["SIL Open Font License, Version 1.1", "SIL Open Font License 1.1"],
+    "Unlicense": ["Unlicense"],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International License", "CC BY 4.0 License"],
+    "CC-BY-SA-4.0": ["Creative Commons Attribution-ShareAlike 4.0 International License", "CC BY-SA 4.0 License"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International License", "CC BY-NC 4.0 License"],
+    "CC0-1.0": ["CC0 1.0 Universal license"],
+}
+LEADS = ["Licensed under the", "Released under the", "Distributed under the", "Available under the", "This project is licensed under the", "This software is licensed under the", "This program is licensed under the", "This work is licensed under the", "This code is licensed under the", "This file is licensed under the"]
+IDENTIFIERS = ["LGPL-2.1-only", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "EUPL-1.2", "Artistic-2.0", "OFL-1.1", "0BSD", "Unlicense", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "PostgreSQL", "WTFPL"]
+
+SPDX = "SPDX-License-Identifier:"
+#: Every lead with every name, with and without "terms of the", is one identifier for each licence.
+SENTENCES |= {f"{x}-said": [f"{lead}{terms} {n}" for lead in LEADS for terms in ("", " terms of the") for n in names] for x, names in NAMES.items()}
+SENTENCES |= {f"{x}-named": f"{SPDX} {x}" for x in IDENTIFIERS}
+RULES += [(f"{x.lower()}-said", x, [f"{x}-said"]) for x in NAMES]
+RULES += [(f"{x.lower()}-named", x.removesuffix("-only").removesuffix("-or-later"), [f"{x}-named"]) for x in IDENTIFIERS]
+
+#: A sentence ends at a line's end, after one of these marks and white space, or after a colon and blanks where a list of
+#: terms begins. Of the two groups one is empty.
+SPACE = r"[\x20\x09-\x0D]"
+CUT = rf"([.!?;]){SPACE}+|((?:conditions|restrictions|met):)[\x20\x09]+"
+#: Between the parts of an identifier's expression.
+OPERATORS = " +(?:OR|AND|WITH) +"
 
 
 def sentences_of(text: str) -> list[str]:
     """The plain form of what the expressions below do; tables of known sentences are made with it."""
-    lines = re.sub(f"({ENDS}){SPACE}+", "\\1\n", text).split("\n")
+    lines = re.sub(CUT, "\\1\\2\n", text).split("\n")
     return [re.sub("[^a-z0-9]+", " ", x.translate({i: i + 32 for i in range(65, 91)})).strip(" ") for x in lines]
 
 
-def known_rows(sentences: dict[str, str] = SENTENCES) -> list[tuple[str, str]]:
-    rows = []
-    for name, text in sentences.items():
-        parts = [s for s in sentences_of(text) if s]
-        rows += [(p, name if len(parts) == 1 else f"{name}/{i}") for i, p in enumerate(parts)]
-    return rows
+def known_rows(sentences: dict[str, str | list[str]] = SENTENCES) -> list[tuple[str, str]]:
+    """sentence, identifier. A text of several sentences gives as many identifiers; the texts of a list mean the same."""
+    rows = {}
+    for name, texts in sentences.items():
+        for text in [texts] if isinstance(texts, str) else texts:
+            parts = [s for s in sentences_of(text) if s]
+            for i, p in enumerate(parts):
+                rows.setdefault(p, name if len(parts) == 1 else f"{name}/{i}")
+    return list(rows.items())
+
+
+def marks(sentences: list[str]) -> list[str]:
+    """A few long words of which every sentence holds one (its longest word, if that is short), taken greedily: a text
+    that holds none holds no sentence. Words keep whole over line ends, so texts need no normalising for this."""
+    left, out = sorted(set(sentences)), []
+    while left:
+        held = Counter(w for x in left for w in {w for w in x.split(" ") if len(w) >= 7} or {max(x.split(" "), key=len)})
+        out.append(min(held, key=lambda w: (-held[w], w)))
+        left = [x for x in left if out[-1] not in x]
+    return out
 
 
-def rule_rows(rules=RULES, sentences: dict[str, str] = SENTENCES) -> list[tuple[str, str, int, str, int]]:
+def rule_rows(rules=RULES, sentences: dict[str, str | list[str]] = SENTENCES) -> list[tuple[str, str, int, str, int]]:
     """rule, licence, step, identifier, steps; an identifier of several sentences stands for all of them in order."""
-    parts: dict[str, list[str]] = {}
+    parts: dict[str, dict[str, None]] = {}
     for _, name in known_rows(sentences):
-        parts.setdefault(name.split("/")[0], []).append(name)
+        parts.setdefault(name.split("/")[0], {})[name] = None
     rows = []
     for rule, licence, names in rules:
         steps = [p for n in names for p in parts[n]]
@@ -166,7 +221,7 @@ def rule_rows(rules=RULES, sentences: dict[str, str] = SENTENCES) -> list[tuple[
 
 
 def _sentences(text: Column) -> Column:
-    cut = F.regexp_replace(text, f"({ENDS}){SPACE}+", "$1\n")
+    cut = F.regexp_replace(text, CUT, "$1$2\n")
     return F.split(cut, "\n", -1)
 
 
@@ -180,22 +235,24 @@ def _normal(c: Column) -> Column:
 
 def _wrapped(docs: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
     """doc_id, th, place, upto, sentence: known sentences that run over line ends inside a paragraph, with the places of
-    their first and last line. Only texts that hold the words of a known sentence are cut a second time."""
-    flat = _normal(F.col("text"))
+    their first and last line. Only texts that hold a mark of the known sentences are cut a second time."""
     words = [x for x, _ in known]
-    # The lambda binds the normal form, which would be made again for every sentence otherwise.
-    holding = docs.filter(F.contains("text", F.lit("\n"))).filter(F.exists(F.array(flat), lambda f: reduce(or_, [F.contains(f, F.lit(x)) for x in words])))
+    # The lambda binds the lower form, which would be made again for every mark otherwise.
+    few = marks(words)
+    marked = lambda c: reduce(or_, [F.contains(c, F.lit(x)) for x in few])
+    holding = docs.filter(F.contains("text", F.lit("\n"))).filter(F.exists(F.array(lower_ascii(F.col("text"))), marked))
+    every = F.split(F.lit("\n".join(words)), "\n", -1)  # one literal, made once; a thousand would burden the plan
     # Every piece keeps the line ends in it, one for each cut too, so line ends before a piece tell its place.
-    cut = F.regexp_replace(F.regexp_replace(F.translate("text", "\x01", " "), f"({ENDS}){SPACE}+", "$1\n\x01"), PARAGRAPH, "\n\x01")
+    cut = F.regexp_replace(F.regexp_replace(F.translate("text", "\x01", " "), CUT, "$1$2\n\x01"), PARAGRAPH, "\n\x01")
     pieces = F.transform(F.split(cut, "\x01", -1), lambda x, i: F.struct(i.alias("i"), x.alias("raw"), _normal(x).alias("sentence")))
-    said = holding.select("doc_id", "th", F.split(cut, "\x01", -1).alias("all"), F.explode(F.filter(pieces, lambda x: x["sentence"].isin(words))).alias("p"))
+    said = holding.select("doc_id", "th", F.split(cut, "\x01", -1).alias("all"), F.explode(F.filter(pieces, lambda x: marked(x["sentence"]) & F.array_contains(every, x["sentence"]))).alias("p"))
     ends = lambda c: F.length(F.regexp_replace(c, "[^\n]+", "")).cast("int")
     lead = ends(F.concat(F.array_join(F.slice("all", F.lit(1), F.col("p.i")), ""), F.regexp_extract("p.raw", "^[^A-Za-z0-9]*", 0)))
     inside = ends(F.regexp_extract("p.raw", "[A-Za-z0-9](?s:.*)[A-Za-z0-9]", 0))
     return said.select("doc_id", "th", lead.alias("place"), (lead + inside).alias("upto"), F.col("p.sentence").alias("sentence")).filter("upto > place")
 
 
-def scan(documents: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULES) -> DataFrame:
+def scan(documents: DataFrame, sentences: dict[str, str | list[str]] = SENTENCES, rules=RULES) -> DataFrame:
     """doc_id, license, rule, first_sentence, last_sentence (places among the document's sentences, from 0), a row for each match."""
     spark = documents.sparkSession
     known = spark.createDataFrame(known_rows(sentences), "sentence string, sid string")
@@ -204,6 +261,8 @@ def scan(documents: DataFrame, sentences: dict[str, str] = SENTENCES, rules=RULE
     said = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(_sentences(F.col("text"))).alias("place", "raw"))
     least = min(len(x) for x, _ in known_rows(sentences))  # normalising never lengthens a sentence
     near = said.filter(F.length("raw") >= least)
+    parts = F.transform(F.split("raw", OPERATORS, -1), lambda x, i: F.when(i == 0, x).otherwise(F.concat(F.lit(SPDX), x)))
+    near = near.withColumn("raw", F.explode(F.when(F.contains("raw", F.lit(SPDX)), parts).otherwise(F.array("raw"))))
     lines = near.select("doc_id", "th", "place", F.col("place").alias("upto"), _normal(F.col("raw")).alias("sentence"))
     wrapped = _wrapped(docs.select("doc_id", "text", F.xxhash64("text").alias("th")), known_rows(sentences))
     seen = lines.unionByName(wrapped).join(F.broadcast(known), "sentence").select("doc_id", "th", "place", "upto", "sid").distinct()
@@ -228,10 +287,14 @@ WITH known(sentence, sid) AS (VALUES {_values(known_rows())}),
 steps(rule, license, step, sid, steps) AS (VALUES {_values(rule_rows())}),
 s AS (
   SELECT doc_id, md5(text) AS th, unnest(x) AS raw, generate_subscripts(x, 1) - 1 AS place
-  FROM (SELECT doc_id, text, string_split(regexp_replace(text, '({ENDS}){SPACE}+', '\1' || chr(10), 'g'), chr(10)) AS x FROM documents WHERE text IS NOT NULL)
+  FROM (SELECT doc_id, text, string_split(regexp_replace(text, '{CUT}', '\1\2' || chr(10), 'g'), chr(10)) AS x FROM documents WHERE text IS NOT NULL)
+), parts AS (SELECT doc_id, th, place, unnest(string_split_regex(raw, '{OPERATORS}')) AS part, generate_subscripts(string_split_regex(raw, '{OPERATORS}'), 1) AS i FROM s WHERE contains(raw, '{SPDX}')),
+one AS (
+  SELECT doc_id, th, place, raw FROM s WHERE NOT contains(raw, '{SPDX}')
+  UNION ALL SELECT doc_id, th, place, CASE WHEN i = 1 THEN part ELSE '{SPDX}' || part END FROM parts
 ), seen AS (
   SELECT DISTINCT doc_id, th, place, sid
-  FROM s JOIN known ON known.sentence = trim(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'))
+  FROM one JOIN known ON known.sentence = trim(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'))
 ), placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id, th ORDER BY place, sid) AS nth FROM seen),
 whole AS (
   SELECT doc_id, th, rule, license, steps, nth - step AS run, count(*) AS n, min(place) AS a, max(place) AS b

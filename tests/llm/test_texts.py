@@ -518,3 +518,26 @@ def test_chains_of_escapes_take_linear_time_and_odd_bytes_lose_nothing():
     assert [s[0] for s in secret_scan.scan_text("&#38;#112;assword=hunter2hunter2")[1]] == ["assign"]
     # Kinds in turns: URL escapes of Unicode escapes of URL escapes.
     assert [s[0] for s in secret_scan.scan_text("%5cu0025" + "70assword=hunter2hunter2")[1]] == ["assign"]
+
+
+def test_licences_on_one_line(spark):
+    joined = " ".join(license_scan.SENTENCES[x] for x in ("mit-grant", "mit-condition", "mit-warranty", "mit-liability"))
+    said = ["This project is licensed under the MIT license.", "This work is licensed under the terms of the Artistic License 2.0!", "licensed under the some license"]
+    spdx = ["// SPDX-License-Identifier: MIT OR Apache-2.0", "SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0) AND ISC OR Zlib", "SPDX-License-Identifier: MIT or ISC", "MIT OR ISC"]
+    rows = list(enumerate([joined, "# " + joined, *said, *spdx, "x\n\nThis project is licensed\nunder the Artistic\nLicense 2.0.\ny"]))
+    got = {i: set() for i, _ in rows}
+    for r in license_scan.scan(tables.documents(spark, rows)).collect():
+        got[r.doc_id].add((r.rule, r.license))
+    mit = {("mit-text", "MIT"), ("mit-whole", "MIT")}
+    assert [got[i] for i in range(5)] == [mit, mit, {("mit-said", "MIT")}, {("artistic-2.0-said", "Artistic-2.0")}, set()]
+    assert [{k for _, k in got[i]} for i in range(5, 9)] == [{"MIT", "Apache-2.0"}, {"GPL-2.0", "ISC", "Zlib"}, set(), set()]
+    assert got[9] == {("artistic-2.0-said", "Artistic-2.0")}
+
+
+def test_marks_lose_no_sentence():
+    known = [x for x, _ in license_scan.known_rows()]
+    found = license_scan.marks(known)
+    assert len(found) < 12 and all(any(m in x for m in found) for x in known)
+    short = ["a b", "c de"]
+    assert all(any(m in x for m in license_scan.marks(short)) for x in short)
+    assert not any(" " in m for m in found)
