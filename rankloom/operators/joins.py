@@ -146,6 +146,42 @@ def top_with_margin(scored: DataFrame, key: str, candidate: str, score: str, lea
     return best.filter(ok).select(key, F.col(f"b.{candidate}").alias(candidate), F.col(f"b.{score}").alias(score))
 
 
+def likest_with_margin(rows: DataFrame, blocks: list[str], row_id: str, name: str, least: float, margin: float) -> DataFrame:
+    """row_id, b, score: for each row the likest other row of its block, by 1 - levenshtein / greater length, if it is
+    good enough and ahead of the second by the margin (above 0), as top_with_margin over all pairs gives it.
+
+    Names are compared once for each block, not once for each pair of rows: a name that two other rows have is as like
+    as itself and never leads, so counts and the least and greatest id of a name say all. Pairs below least - margin can
+    neither win nor stand in the way. Work grows with the square of a block's different names, not of its rows. An id
+    that several rows have goes through the pairs of rows, since its rows are no candidates of each other."""
+    if margin <= 0:
+        raise ValueError("margin must be above 0")
+    known = rows.select(*blocks, F.col(row_id).alias("__a"), F.col(name).alias("__k")).dropna()
+    classes = known.groupBy(*blocks, "__k").agg(F.count("*").alias("__n"), F.min("__a").alias("__first"), F.max("__a").alias("__last"))
+    size = F.nullif(F.greatest(F.length("__k"), F.length("__r")), F.lit(0))  # two empty names have no likeness
+    score = 1 - F.levenshtein("__k", "__r") / size
+    floor = least - margin - 1e-9
+    # Names of three rows or more have no winner; those of two have each other, and a second among the other names.
+    mine = classes.filter("__n <= 2").withColumnRenamed("__n", "__own")
+    other = classes.select(*blocks, F.col("__k").alias("__r"), F.col("__n"), F.col("__first").alias("__b"))
+    near = mine.select(*blocks, "__k").join(other.hint("merge"), blocks).filter("__k <> __r").filter(1 - F.abs(F.length("__k") - F.length("__r")) / size >= floor)
+    near = near.withColumn("__s", score).filter(F.col("__s") >= floor)
+    w = W.partitionBy(*blocks, "__k").orderBy(F.desc("__s"), "__b")
+    two = near.withColumn("__at", F.row_number().over(w)).filter("__at <= 2")
+    at = lambda n, v: F.max(F.when(F.col("__at") == n, v))
+    best = two.groupBy(*blocks, "__k").agg(at(1, F.struct("__s", "__b", "__n")).alias("__x"), at(2, F.col("__s")).alias("__y"))
+    found = mine.join(best, [*blocks, "__k"], "left")
+    alone = F.struct(F.col("__first").alias("a"), F.col("__x.__b").alias("b"), F.col("__x.__s").alias("s"), F.when(F.col("__x.__n") > 1, F.col("__x.__s")).otherwise(F.col("__y")).alias("second"))
+    copy = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"), F.lit(1.0).alias("s"), F.col("__x.__s").alias("second"))
+    first = F.explode(F.when(F.col("__own") == 1, F.array(alone)).when(F.length("__k") > 0, F.array(copy("__first", "__last"), copy("__last", "__first"))))
+    won = found.select(first.alias("w")).select("w.*").filter((F.col("s") >= least) & (F.col("s") - F.coalesce("second", F.lit(0.0)) >= margin))
+    repeated = known.groupBy("__a").agg(F.count("*").alias("__m")).filter("__m > 1").select("__a")
+    once = won.join(repeated, F.col("a") == F.col("__a"), "left_anti").select("a", "b", F.col("s").alias("score"))
+    pairs = known.join(repeated, "__a", "left_semi").join(known.select(*blocks, F.col("__a").alias("b"), F.col("__k").alias("__r")).hint("merge"), blocks)
+    pairs = pairs.filter("__a <> b").select(F.col("__a").alias("a"), "b", score.alias("score"))
+    return once.unionByName(top_with_margin(pairs, "a", "b", "score", least, margin)).withColumnRenamed("a", row_id)
+
+
 def cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[list[str]]) -> DataFrame:
     """left_id, right_id, tier of the first tier of key columns on which a left row has exactly one right row; a tier
     with several is ambiguous and leaves the row to the next. Keys that hold nulls never match. Each tier is one join

@@ -163,11 +163,8 @@ WHERE k = 1 AND s >= 0.5 AND s - coalesce(second, 0) >= 0.05
 """)
 def fuzzy_top1_margin(spark, sf_dir):
     """The likest other part of the same brand and size, if it is like enough and ahead of the second."""
-    p = _t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    other = p.select(F.col("p_partkey").alias("b"), F.col("p_name").alias("n2"), "p_brand", "p_size")
-    pairs = p.join(other, ["p_brand", "p_size"]).filter("p_partkey <> b")
-    score = 1 - F.levenshtein("p_name", "n2") / F.greatest(F.length("p_name"), F.length("n2"))
-    best = joins.top_with_margin(pairs.select(F.col("p_partkey").alias("a"), "b", score.alias("score")), "a", "b", "score", 0.5, 0.05)
+    p = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("a"), "p_name", "p_brand", "p_size")
+    best = joins.likest_with_margin(p, ["p_brand", "p_size"], "a", "p_name", 0.5, 0.05)
     return best.withColumn("score", F.round("score", 6))
 
 

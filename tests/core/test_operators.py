@@ -26,6 +26,23 @@ def test_fallback_uses_what_is_left(spark):
     assert rows(joins.occurrence_join_fallback(a, b, "e", "l", "i", "j", ["i"], ["j"])) == [(1, 11, 2), (2, 10, 1)]
 
 
+def test_likest_with_margin_against_all_pairs(spark):
+    """Names of one, two and more rows, null and empty ones, and ids that several rows have; and no pairs of rows."""
+    rng = random.Random(7)
+    names = ["large ring", "large rind", "hot bolt", "cold bolt", "old plate", "cold plate", "x", "", None, "élan vital", "elan vital"]
+    data = [(i if i % 40 else 40, rng.choice("AB") if i % 50 else None, rng.randrange(25), n and n + rng.choice(["", "", "s", " q"])) for i in range(600) for n in [rng.choice(names)]]
+    data += [(1000, "C", 1, ""), (1001, "C", 1, "")]
+    df = spark.createDataFrame(data, "a long, brand string, size int, name string")
+    other = df.select(F.col("a").alias("b"), "brand", "size", F.col("name").alias("r"))
+    longer = F.nullif(F.greatest(F.length("name"), F.length("r")), F.lit(0))
+    pairs = df.join(other, ["brand", "size"]).filter("a <> b").select("a", "b", (1 - F.levenshtein("name", "r") / longer).alias("score"))
+    for least, margin in ((0.5, 0.05), (0.8, 0.3)):
+        got, want = joins.likest_with_margin(df, ["brand", "size"], "a", "name", least, margin), joins.top_with_margin(pairs, "a", "b", "score", least, margin)
+        assert rows(got) == rows(want) and got.count() > 10
+    many = spark.range(200_000).select("id", F.lit(1).alias("block"), F.concat(F.lit("name "), (F.col("id") % 64).cast("string")).alias("name"))
+    assert joins.likest_with_margin(many, ["block"], "id", "name", 0.5, 0.05).count() == 0
+
+
 def test_fuzzy_against_plain(spark):
     """All pairs of a block, in turns, by difflib; and ids beyond what a double holds."""
     from difflib import SequenceMatcher
