@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar, classify
 from ..functions.text import display_place, folded, smart_title
 from ..operators import aggregates, joins, merge
+from ..scratch import Scratch
 
 KEYS = ["center_code", "specialty_code", "body"]
 
@@ -87,19 +88,53 @@ def apply_course(course: DataFrame, start: DataFrame, cuts: DataFrame) -> DataFr
     return merge.upsert(seeded, batch, KEYS, ["published_date", "url"])
 
 
+def _decisive(heads: DataFrame, mode: str, today: Column | None) -> DataFrame:
+    """url, sha256, body of owned heads that can give rows of the state. At the start of a year an older document of a
+    body than one that has its rows cannot be the newest; in the course none of an older school year is of the newest.
+    Rows of one document may differ in date: it is out where even its latest comes before another's earliest."""
+    owned_heads = heads.filter("owned")
+    if mode == "inicio":
+        at, over = F.coalesce("published_date", F.lit("")), ["body"]
+    else:
+        at, over = calendar.school_year(F.coalesce(F.col("published_date").try_cast("date"), F.current_date() if today is None else today.cast("date"))), []
+    ranges = owned_heads.groupBy("url", "body").agg(F.min(at).alias("__low"), F.max(at).alias("__high"))
+    # A document's rows of another body are rows of it too, so in the course the least counts over all.
+    least = ranges.groupBy(*over).agg(F.max("__low").alias("__least"))
+    ranges = ranges.join(least, over) if over else ranges.join(F.broadcast(least))  # without bodies one row
+    kept = ranges.filter("__high >= __least").select(F.col("url").alias("__u"), F.col("body").alias("__b"))
+    return owned_heads.join(kept, F.col("url").eqNullSafe(F.col("__u")) & (F.col("body") == F.col("__b")), "left_semi").select("url", "sha256", "body")
+
+
+def _of(awards: DataFrame, heads: DataFrame, columns: list[str]) -> DataFrame:
+    """Awards that agree with one of the heads, nulls with nulls."""
+    named = heads.select(*[F.col(c).alias(f"__h_{c}") for c in columns]).distinct()
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"__h_{c}"))
+    return awards.join(named, same, "left_semi")
+
+
 def run(start: DataFrame, course: DataFrame, ledger: DataFrame, awards: DataFrame, centres: DataFrame, mode: str, today: Column | None = None) -> dict[str, DataFrame]:
     """One update in a mode ('inicio' or 'curso'): documents that the ledger has by url, or by content under another url,
     are left out; the result holds start, course, ledger and vacancies. today (the session's date, if not given) decides
-    the school year of documents without a date."""
-    fresh = joins.not_seen_elsewhere(joins.not_seen(awards, ledger, "url"), ledger.filter("sha256 is not null"), "sha256", "url")
-    cuts = document_cuts(fresh, centres, today)
+    the school year of documents without a date.
+
+    What the awards say of their documents (heads, a row for each) is written first, then the cuts of those documents
+    that can give rows of the state; the ledger needs no more than counts of the others. Awards are read once for each."""
+    scratch = Scratch(awards.sparkSession, "cuts")
+    mine = F.coalesce(classify.owner(F.col("specialty_code")) == F.col("body"), F.lit(False))
+    heads = awards.select("url", "sha256", "body", "published_date", mine.alias("owned")).distinct()
+    heads = joins.not_seen_elsewhere(joins.not_seen(heads, ledger, "url"), ledger.filter("sha256 is not null"), "sha256", "url")
+    heads = scratch.table(heads, "heads")
+    fresh = _of(awards, heads, ["url", "sha256"])
+    cuts = scratch.table(document_cuts(_of(awards, _decisive(heads, mode, today), ["url", "sha256", "body"]), centres, today), "cuts")
     if mode == "inicio":
         before, start = start, apply_start(start, cuts)
         course = course_after_start(course, before, start)
     else:
         course = apply_course(course, start, cuts)
-    documents = fresh.groupBy("url").agg(F.max("sha256").alias("sha256"), F.max("body").alias("body"), F.max("published_date").alias("published_date"))
-    rows = cuts.groupBy("url").agg(F.count("*").alias("rows"))
+    documents = heads.groupBy("url").agg(F.max("sha256").alias("sha256"), F.max("body").alias("body"), F.max("published_date").alias("published_date"))
+    rows = owned(fresh).select("url", "center_code", "specialty_code").distinct().groupBy("url").agg(F.count("*").alias("rows"))
     done = documents.join(rows, "url", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
     return {"start": start, "course": course, "ledger": merge.marked(ledger, done, mode), "vacancies": document_vacancies(fresh)}
 

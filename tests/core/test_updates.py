@@ -357,3 +357,34 @@ def test_snapshots_by_rows_break_the_same_rules_as_in_one_row(spark):
     items = spark.createDataFrame([(k, x) for k, v in lists.items() for x in v], "sha256 string, item array<string>")
     got = rows(quality.offer_snapshot_violations(heads, items, F.lit("2026-2027"), names))
     assert got == rows(offers.broken_payloads(whole, "2026-2027")) and len({k for _, k in got}) == 9
+
+
+def test_only_documents_that_can_decide_are_cut(spark):
+    """Random documents of several years and odd dates, against all cuts of all documents; and awards of documents that
+    cannot give rows are counted for the ledger, not cut (their names fail where they are read)."""
+    import random
+
+    rng, today = random.Random(3), F.lit("2026-02-03")
+    dates = ["2024-07-20", "2024-10-01", "2025-06-30", "2025-07-01", "2025-10-02", "2026-01-05", None, "soon", ""]
+    empty = spark.createDataFrame([], STATE)
+    held = spark.createDataFrame([("46000001", c, 3, "S", "C", "M", b, "vacante", False, False, "curso", "2024-2025", "2024-10-01", "old") for c, b in (("126", "maestros"), ("3A1", "secundaria"))], STATE)
+    ledger = spark.createDataFrame([("u0", "sha-u0", "curso", "maestros", None, 1, None)], merge.LEDGER)
+    for mode in ("inicio", "curso"):
+        for state in (empty, held):
+            kinds = [("126", "maestros"), ("3A1", "secundaria"), ("3A1", "maestros")]
+            data = [award(u, rng.choice(dates) if u == "u7" else dates[(int(u[1:]) * 5) % 9] if u else dates[3], rng.randrange(9), rng.choice(["46000001", "03000009"]), *rng.choice(kinds), seq=i) for i in range(80) for u in [rng.choice([*(f"u{n}" for n in range(9)), None])]]
+            data.append(award("u1-copy", "2026-01-06", 9, seq=99, sha="sha-u0"))
+            out = cuts.run(state, state, ledger, awards(spark, *data), guide(spark), mode, today)
+            fresh = awards(spark, *data).filter("url is null or url not in ('u0', 'u1-copy')")
+            every = cuts.document_cuts(fresh, guide(spark), today)
+            start = cuts.apply_start(state, every) if mode == "inicio" else state
+            course = cuts.course_after_start(state, state, start) if mode == "inicio" else cuts.apply_course(state, state, every)
+            text = lambda df: sorted(str(tuple(r)) for r in df.select(*state.columns).collect())
+            assert text(out["start"]) == text(start) and text(out["course"]) == text(course)
+            counts = {r["url"]: r["rows"] for r in out["ledger"].collect()}
+            assert {u: n for u, n in counts.items() if u != "u0" and n} == {r["url"]: r["count"] for r in every.groupBy("url").count().collect() if r["url"]}
+    older = awards(spark, award("old", "2024-10-01", 5), award("new", "2025-10-01", 6))
+    failing = older.withColumn("center_name", F.when(F.col("url") == "old", F.raise_error(F.lit("read"))).otherwise(F.col("center_name")))
+    out = cuts.run(empty, empty, ledger, failing, guide(spark), "curso", today)
+    assert rows(out["course"].select("cut", "school_year")) == [(6, "2025-2026")]
+    assert rows(out["ledger"].filter("url <> 'u0'").select("url", "rows")) == [("new", 1), ("old", 1)]
