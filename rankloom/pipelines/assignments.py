@@ -28,9 +28,10 @@ def _keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("__key", F.when((F.col("person_index") >= 0) & (F.col("position_index") >= 0), of_profile).otherwise(by_name))
 
 
-def resolve_document(awards: DataFrame, profiles: DataFrame, state: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
+def resolve_document(awards: DataFrame, profiles: DataFrame, state: DataFrame, mode: str, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """A document's assignments, and why others were left out (reason, n). At the start of a year an award without a
-    profile is kept by name; in the course it is left out. Of awards of one profile the first stays."""
+    profile is kept by name; in the course it is left out. Of awards of one profile the first stays. Both come from one
+    table of what was made of each award, which is written where scratch is given."""
     province = F.element_at(F.create_map(*[F.lit(x) for kv in classify.PROVINCES.items() for x in kv]), F.substring("center_code", 1, 2))
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     given = awards.withColumns({"id": F.col("seq"), "province_index": province, "specialty_code": text("specialty_code"), "candidate_name": text("candidate_name"), "body": text("body"), "cut": F.coalesce("cut", F.lit(0))})
@@ -41,20 +42,24 @@ def resolve_document(awards: DataFrame, profiles: DataFrame, state: DataFrame, m
     known = profiles.withColumn("profile", _WHO)
     found = resolve_profiles(usable, known, previous, mode).select("id", "profile")
     facts = known.select("profile", F.col("body").alias("__body"), F.col("after_order").alias("__after"), "initial_order")
-    joined = usable.join(found, "id", "left").join(facts, "profile", "left").withColumn("__has", F.col("profile").isNotNull())
+    joined = usable.join(found.hint("merge"), "id", "left").join(facts.hint("merge"), "profile", "left").withColumn("__has", F.col("profile").isNotNull())
     start = mode == "inicio"
     rows = joined.select(
         "id", "__has", F.coalesce("__body", "body").alias("body"), "specialty_code", F.coalesce("profile.person_index", F.lit(-1)).alias("person_index"), F.coalesce("profile.position_index", F.lit(-1)).alias("position_index"),
         (F.col("cut") if start else F.col("__after")).alias("after_order"), "initial_order", text("center_code"), "province_index", text("published_date"), F.lit(mode).alias("mode"), text("placement_type"), "candidate_name",
         text("url").alias("source_url"), text("sha256").alias("source_sha256"), "workload", F.coalesce("english_requirement", F.lit(False)).alias("english_requirement"), F.coalesce("itinerant", F.lit(False)).alias("itinerant"), text("center_name"), text("locality"),
     )
-    kept = rows if start else rows.filter("__has")
-    once = _keyed(kept).withColumn("__n", F.row_number().over(W.partitionBy("__key").orderBy("id")))
-    nameless = rows.filter("not __has").select(F.lit("initial_position_without_profile" if start else "without_unique_profile").alias("reason"))
-    twice = once.filter("__n > 1").select(F.lit("duplicate_assignment").alias("reason"))
-    skipped = given.filter("reason is not null").select("reason").unionByName(nameless).unionByName(twice).groupBy("reason").agg(F.count("*").alias("n"))
-    names = names_of(ASSIGNMENTS)
-    return once.filter("__n = 1").select(*[F.col(c).cast("int").alias(c) if c in ("person_index", "position_index", "after_order", "initial_order", "province_index") else F.col(c) for c in names]), skipped
+    keys = ["__key"] if start else ["__key", "__has"]
+    once = _keyed(rows).withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy("id")))
+    kept = F.lit(True) if start else F.col("__has")
+    nameless = F.when(~F.col("__has"), "initial_position_without_profile" if start else "without_unique_profile")
+    twice = F.when(kept & (F.col("__n") > 1), "duplicate_assignment")
+    whole = [F.col(c).cast("int").alias(c) if c in ("person_index", "position_index", "after_order", "initial_order", "province_index") else F.col(c) for c in names_of(ASSIGNMENTS)]
+    judged = once.select(*whole, (kept & (F.col("__n") == 1)).alias("__stays"), F.array_compact(F.array(nameless, twice)).alias("__reasons"))
+    judged = judged.unionByName(given.filter("reason is not null").select(F.lit(False).alias("__stays"), F.array("reason").alias("__reasons")), allowMissingColumns=True)
+    judged = scratch.table(judged, "judged") if scratch else judged
+    skipped = judged.select(F.explode("__reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    return judged.filter("__stays").drop("__stays", "__reasons"), skipped
 
 
 def merge_document(state: DataFrame, resolved: DataFrame, body: str, mode: str) -> DataFrame:
@@ -82,8 +87,7 @@ def run(state: DataFrame, skipped: DataFrame, awards: DataFrame, profiles: DataF
     for d in sorted(documents, key=lambda r: (r["date"], r["body"], r["url"])):
         if state_year != year:
             state, skipped, state_year = spark.createDataFrame([], ASSIGNMENTS), spark.createDataFrame([], SKIPPED), year
-        resolved, reasons = resolve_document(own.filter(F.col("url").eqNullSafe(F.lit(d["url"]))), profiles, state, mode)
-        resolved = scratch.table(resolved, "resolved")
+        resolved, reasons = resolve_document(own.filter(F.col("url").eqNullSafe(F.lit(d["url"]))), profiles, state, mode, scratch)
         state = scratch.table(merge_document(state.select(*names), resolved, d["body"], mode), "state")
         counted = reasons.select(F.lit(mode).alias("mode"), F.lit(d["body"]).alias("body"), "reason", "n")
         skipped = scratch.table(skipped.join(counted, ["mode", "body", "reason"], "left_anti").select(*counted.columns).unionByName(counted), "skipped")

@@ -18,20 +18,22 @@ def resolve_profiles(assignments: DataFrame, profiles: DataFrame, previous: Data
     Candidates agree in code and body and in identity or, if none does, in identity without blanks. Of candidates the
     one whose after_order is the cut is meant. Else, at the start of a year, the one profile of code and body with that
     order, then the one candidate without an order; in the course, the one candidate, then the one candidate with an
-    earlier assignment of that name and code."""
+    earlier assignment of that name and code.
+
+    Both sides grow, and names and ids take little room in files but much in memory, so none is broadcast."""
     a = assignments.select("id", F.col("specialty_code").alias("code"), "body", "cut", identity_key(F.col("candidate_name")).alias("name"), compact_key(F.col("candidate_name")).alias("compact"))
     p = profiles.select("profile", F.col("specialty_code").alias("code"), "body", "after_order", identity_key(F.col("official_name")).alias("name"), compact_key(F.col("official_name")).alias("compact"))
-    named = a.join(p.drop("compact"), ["code", "body", "name"]).select("id", "profile", "after_order")
-    unnamed = a.join(named.select("id"), "id", "left_anti")
-    loose = unnamed.join(p.drop("name"), ["code", "body", "compact"]).select("id", "profile", "after_order")
+    named = a.join(p.drop("compact").hint("merge"), ["code", "body", "name"]).select("id", "profile", "after_order")
+    unnamed = a.join(named.select("id").hint("merge"), "id", "left_anti")
+    loose = unnamed.join(p.drop("name").hint("merge"), ["code", "body", "compact"]).select("id", "profile", "after_order")
     before = previous.select("profile", F.col("specialty_code").alias("code"), identity_key(F.col("candidate_name")).alias("name"), F.lit(True).alias("earlier")).distinct()
-    candidates = named.unionByName(loose).join(a.select("id", "code", "name", "cut"), "id").join(before, ["profile", "code", "name"], "left")
+    candidates = named.unionByName(loose).join(a.select("id", "code", "name", "cut").hint("merge"), "id").join(before.hint("merge"), ["profile", "code", "name"], "left")
     one = lambda test: F.when(F.count_if(test) == 1, F.max(F.when(test, F.col("profile"))))
     per = candidates.groupBy("id").agg(
         one(F.col("after_order") == F.col("cut")).alias("exact"), one(F.col("after_order").isNull()).alias("unranked"), one(F.lit(True)).alias("only"), one(F.coalesce("earlier", F.lit(False))).alias("repeated")
     )
     ranked = p.filter("after_order is not null").groupBy("code", "body", F.col("after_order").alias("cut")).agg(F.when(F.count("*") == 1, F.max("profile")).alias("ranked"))
-    found = a.join(per, "id", "left").join(ranked, ["code", "body", "cut"], "left")
+    found = a.join(per.hint("merge"), "id", "left").join(ranked.hint("merge"), ["code", "body", "cut"], "left")
     tiers = ("exact", "ranked", "unranked") if mode == "inicio" else ("exact", "only", "repeated")
     hit = F.coalesce(*[F.when(F.col(t).isNotNull(), F.struct(F.col(t).alias("profile"), F.lit(t).alias("tier"))) for t in tiers])
     return found.select("id", hit.alias("h")).filter("h is not null").select("id", "h.profile", "h.tier")

@@ -638,7 +638,7 @@ def assignments_through_course(spark, sf_dir):
 
     c, quarter = F.col, F.concat(F.lit("q"), F.quarter("o_orderdate"))
     customers = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    o = _t(spark, sf_dir, "orders").join(customers.select(c("c_custkey").alias("o_custkey"), "c_name"), "o_custkey").withColumn("url", quarter)
+    o = _t(spark, sf_dir, "orders").join(customers.select(c("c_custkey").alias("o_custkey"), "c_name").hint("merge"), "o_custkey").withColumn("url", quarter)
     in_year = F.to_date("o_orderdate").between("1996-07-01", "1997-06-30")
     day = F.when(in_year, F.date_format(F.max(F.when(in_year, F.to_date("o_orderdate"))).over(W.partitionBy("url")), "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
     awards = o.select(

@@ -388,3 +388,20 @@ def test_only_documents_that_can_decide_are_cut(spark):
     out = cuts.run(empty, empty, ledger, failing, guide(spark), "curso", today)
     assert rows(out["course"].select("cut", "school_year")) == [(6, "2025-2026")]
     assert rows(out["ledger"].filter("url <> 'u0'").select("url", "rows")) == [("new", 1), ("old", 1)]
+
+
+@pytest.mark.parametrize("mode", ["inicio", "curso"])
+def test_assignments_broadcast_neither_awards_nor_profiles(spark, tmp_path, mode):
+    """Both grow, and Spark's sizes of files say little of their size in memory."""
+    from rankloom.pipelines import assignments
+
+    schema = "person_index int, position_index int, official_name string, specialty_code string, body string, after_order int, initial_order int"
+    filed = lambda df, n: df.write.parquet(f"{tmp_path}/{n}") or spark.read.schema(df.schema).parquet(f"{tmp_path}/{n}")  # noqa: E731  with a size
+    profiles = filed(spark.createDataFrame([(1, 0, "RUIZ, EVA", "126", "maestros", 5, 2)], schema), "profiles")
+    data = [award("u", "2026-10-01", 5, seq=1, name="Ruiz, Eva"), award("u", "2026-10-01", 5, seq=2, name="RUIZ, EVA"), award("u", "2026-10-01", 7, seq=3, name="Nobody, X"), award("u", "2026-10-01", 7, seq=4, name="nobody x"), award("u", "2026-10-01", 7, seq=5, code="")]
+    resolved, skipped = assignments.resolve_document(filed(awards(spark, *data), "awards"), profiles, filed(spark.createDataFrame([], schemas.ASSIGNMENTS), "state"), mode)
+    assert all("Broadcast" not in df._jdf.queryExecution().executedPlan().toString() for df in (resolved, skipped))
+    start = mode == "inicio"
+    assert rows(resolved.select("person_index", "after_order")) == ([(-1, 7)] if start else []) + [(1, 5)]
+    # Of two awards by one name the second is without a profile and a duplicate, in that it would be kept by name.
+    assert rows(skipped) == sorted([("duplicate_assignment", 2 if start else 1), ("initial_position_without_profile" if start else "without_unique_profile", 2), ("without_specialty", 1)])
